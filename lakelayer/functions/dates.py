@@ -49,3 +49,9 @@ QUARTER_END_MONTH = {1: "Marzo", 2: "Junio", 3: "Septiembre", 4: "Diciembre"}
 
 def quarter_end_month(q: int) -> str:
     return QUARTER_END_MONTH.get(int(q), "Diciembre")
+
+
+def epoch_seconds(col: Column | str) -> Column:
+    """Whole seconds since the epoch for TIMESTAMP and TIMESTAMP_NTZ columns
+    (an NTZ value is read as UTC wall time; the session zone is UTC)."""
+    return F.unix_seconds(_c(col).cast("timestamp"))

@@ -43,7 +43,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     for k, v in {**REQUIRED_CONF, **SCALE_CONF}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     ensure_checkpoint_dir(spark)
     return spark
 
