@@ -144,3 +144,21 @@ def zip_rows(a: DataFrame, b: DataFrame, partition: Sequence[str], order_a: Sequ
     ra = with_ordinal(a, partition, order_a, "_pos")
     rb = with_ordinal(b, partition, order_b, "_pos")
     return ra.join(rb, [*partition, "_pos"], "inner").drop("_pos")
+
+
+def running_sum(df: DataFrame, cols: Sequence[str], partition: Sequence[str], order: Sequence[Column | str],
+                chunk: Column | None = None, prefix: str = "cum_") -> DataFrame:
+    """Running (inclusive) sums of ``cols`` along ``order``; with ``chunk``
+    the scan is split into ranges and carried across them as above (used for
+    cumulative curves over a globally sorted table)."""
+    d, part = _setup(df, partition, chunk)
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(UNB, 0)
+    d = d.withColumns({f"_in_{c}": F.sum(c).over(w) for c in cols})
+    if chunk is None:
+        return d.withColumns({f"{prefix}{c}": F.col(f"_in_{c}") for c in cols}).drop(*[f"_in_{c}" for c in cols])
+    summary = d.groupBy(*part).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    wc = Window.partitionBy(*partition).orderBy("_chunk").rowsBetween(UNB, -1)
+    carry = summary.withColumns({f"_cy_{c}": F.coalesce(F.sum(f"_t_{c}").over(wc), F.lit(0)) for c in cols})
+    carry = carry.drop(*[f"_t_{c}" for c in cols])
+    res = d.join(carry, part, "left").withColumns({f"{prefix}{c}": F.col(f"_in_{c}") + F.col(f"_cy_{c}") for c in cols})
+    return _finish(res.drop(*[f"_in_{c}" for c in cols], *[f"_cy_{c}" for c in cols]))
