@@ -76,7 +76,10 @@ def profile_metrics(
         _div0(F.sum(F.col("sup") * F.col("rec")), F.sum("sup")).alias("recall_weighted"),
         F.avg("f1").alias("f1_macro"),
     )
-    out = base.join(avg, keys, "inner")
+    # slice_key / slice_value are NULL on the whole-table slice: null-safe join
+    b, a = base.alias("b"), avg.alias("a")
+    cond = [F.col(f"b.{k}").eqNullSafe(F.col(f"a.{k}")) for k in keys]
+    out = b.join(a, cond, "inner").select("b.*", *[F.col(f"a.{c}") for c in avg.columns if c not in keys])
     num = [c for c in ("accuracy", "precision_weighted", "recall_weighted", "f1_macro", "custom_metric") if c in out.columns]
     out = out.withColumns({c: F.round(c, digits) for c in num})
     return out.select(
@@ -181,16 +184,16 @@ def drift(
     ref_w = ref.join(windows, keys, "inner")
     j = cur_w.join(ref_w, [*keys, "category"], "full_outer").fillna(0, subset=["n", "m"])
     tot = Window.partitionBy(*keys)
-    j = j.withColumns({"N": F.sum("n").over(tot), "M": F.sum("m").over(tot)})
-    j = j.withColumns({"p": F.col("n") / F.col("N"), "q": F.col("m") / F.col("M")})
+    j = j.withColumns({"_tn": F.sum("n").over(tot), "_tm": F.sum("m").over(tot)})
+    j = j.withColumns({"p": F.col("n") / F.col("_tn"), "q": F.col("m") / F.col("_tm")})
     mid = (F.col("p") + F.col("q")) / 2
 
     def kl(a):
         return F.when(F.col(a) > 0, F.col(a) * F.log2(F.col(a) / mid)).otherwise(F.lit(0.0))
 
-    tot_all = F.col("N") + F.col("M")
-    e_cur = (F.col("n") + F.col("m")) * F.col("N") / tot_all
-    e_ref = (F.col("n") + F.col("m")) * F.col("M") / tot_all
+    tot_all = F.col("_tn") + F.col("_tm")
+    e_cur = (F.col("n") + F.col("m")) * F.col("_tn") / tot_all
+    e_ref = (F.col("n") + F.col("m")) * F.col("_tm") / tot_all
     chi = F.when(e_cur > 0, (F.col("n") - e_cur) ** 2 / e_cur).otherwise(0.0) + F.when(
         e_ref > 0, (F.col("m") - e_ref) ** 2 / e_ref
     ).otherwise(0.0)
