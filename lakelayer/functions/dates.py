@@ -29,7 +29,7 @@ def days_since(col: Column | str, as_of: str | dt.date | Column) -> Column:
 
 def serial_date(col: Column | str) -> Column:
     """Spreadsheet serial day number -> date."""
-    return F.date_add(F.to_date(F.lit(SERIAL_EPOCH)), F.try_cast(_c(col), "int"))
+    return F.date_add(F.to_date(F.lit(SERIAL_EPOCH)), _c(col).try_cast("int"))
 
 
 def time_parts(col: Column | str, prefix: str) -> dict[str, Column]:

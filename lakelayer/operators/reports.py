@@ -82,12 +82,6 @@ def promote_header(cells: DataFrame, header_row: int) -> DataFrame:
     return cells.filter(F.col("row") > header_row).join(names, [*SHEET, "col"], "left")
 
 
-def clean_column_name(name: str) -> str:
-    """Strip accents, newlines, spaces and punctuation from a name."""
-    s = "".join(c for c in unicodedata.normalize("NFD", name) if unicodedata.category(c) != "Mn")
-    return "".join(ch for ch in s.replace("\n", " ") if ch.isalnum() or ch == "_")
-
-
 # ---------------------------------------------------------------- M4
 # Captions and labels of the statement sheets.
 COMPANY_PREFIXES = [
@@ -363,3 +357,149 @@ def classify_indent(cells: DataFrame, order: str = "row") -> DataFrame:
         .otherwise(F.lit("detail"))
     )
     return d.withColumn("kind", kind).drop("_nb", "_prev_present")
+
+
+# ---------------------------------------------------------------- B18, M8
+# Footnote / total captions removed from the debt sheets.
+DEBT_FOOTNOTES = [
+    "(1) Bonos emitidos en PEN y se hizo un SWAP a USD con el Banco BBVA.",
+    "(2) Bonos emitidos en USD y se hizo un SWAP a UF.",
+    "(3) Opcion Call",
+    "Bonos Verdes",
+    "TOTAL BONOS",
+]
+# Header substrings that name the amount columns, and their new names.
+DEBT_AMOUNT_HEADERS = [
+    ("moneda del crédito", "MonedaDelCredito"),
+    ("millones de COP", "MillonesDeCOP"),
+    ("miles USD", "MilesUSD"),
+]
+
+
+def parse_header_period(names: Sequence[str]) -> tuple[dict[str, str], str | None, str | None]:
+    """Rename amount columns found by substring and read the period
+    (``Mes-Año``) from the first line of the currency header.  Works on the
+    column names only (metadata), never on data."""
+    rename: dict[str, str] = {}
+    mes = ano = None
+    for n in names:
+        for sub, new in DEBT_AMOUNT_HEADERS:
+            if sub in n:
+                rename[n] = new
+                if new == "MonedaDelCredito":
+                    first = n.split("\n")[0]
+                    parts = first.split("-")
+                    mes, ano = parts[0], (parts[1] if len(parts) > 1 else None)
+    return rename, mes, ano
+
+
+def _to_iso_date(col: str) -> Column:
+    return F.date_format(F.try_to_timestamp(F.col(col)), "yyyy-MM-dd")
+
+
+def parse_debt(rows: DataFrame, kind: str, mes: str | None, ano: str | None, year: int, q: int, published: str,
+               order: str = "row") -> DataFrame:
+    """M8: consolidated bonds (``kind='bonos'``) or loans (``'creditos'``).
+
+    ``rows`` carries the sheet columns under their header names (amount
+    columns already renamed by :func:`parse_header_period`).  Sentinels ->
+    NULL, all-blank rows and footnote captions dropped (NULL captions kept),
+    decimal casts (HALF_UP, bad text NULL), rate text assembled, and country
+    (caption without type) and company (caption with type) forward-filled
+    down the sheet; only typed rows remain."""
+    data_cols = [c for c in rows.columns if c not in (*SHEET, order)]
+    d = null_out(rows, [c for c, t in rows.dtypes if t == "string" and c in data_cols], ["nan", "NaT", "NaN"])
+    d = d.dropna(how="all", subset=data_cols)
+    d = d.filter(F.coalesce(~F.col("Filial").isin(DEBT_FOOTNOTES), F.lit(True)))
+    pct = F.when(
+        F.col("Unnamed: 9").isNotNull(),
+        F.concat_ws(" ", F.round(F.col("Unnamed: 9").try_cast("double") * 100.0, 3).cast("string"), F.lit("%")),
+    )
+    d = d.withColumns(
+        {
+            "MesMoneda": F.lit(mes),
+            "AnoMoneda": F.lit(ano),
+            "FechaVencimiento": _to_iso_date("Fecha Vencimiento"),
+            "PlazoAnos": F.col("Plazo Años").try_cast("decimal(10,2)"),
+            "MonedaDelCredito": F.col("MonedaDelCredito").try_cast("decimal(20,0)"),
+            "MillonesDeCOP": F.col("MillonesDeCOP").try_cast("decimal(10,0)"),
+            "MilesUSD": F.col("MilesUSD").try_cast("decimal(10,0)"),
+            "TasaDeInteres": F.concat_ws(" ", F.col("Tasa de Interés"), F.col("Unnamed: 8"), pct),
+        }
+    )
+    if kind == "bonos":
+        d = d.withColumn("FechaEmision", _to_iso_date("Fecha Emisión"))
+    else:
+        d = d.withColumn("FechaEmision", _to_iso_date("Fecha Inicial")).withColumn(
+            "Tipo", F.when(F.col("Fuente de Financiación").isNotNull(), F.lit("Creditos"))
+        )
+    d = d.filter(~((F.col("Filial") == " ") & (F.col("Tipo") == " ")))
+    d = d.withColumns(
+        {
+            "_pais": F.when(F.col("Filial").isNotNull() & F.col("Tipo").isNull(), F.col("Filial")),
+            "_comp": F.when(F.col("Filial").isNotNull() & F.col("Tipo").isNotNull(), F.col("Filial")),
+        }
+    )
+    d = ffill(d, "_pais", SHEET, [order], out="Pais")
+    d = ffill(d, "_comp", SHEET, [order], out="Compania")
+    d = d.filter(F.col("Tipo").isNotNull())
+    return d.select(
+        "Compania", "Pais", "Tipo", F.col("Fuente de Financiación").alias("FuentedeFinanciacion"),
+        F.col("Moneda Crédito").alias("MonedaCredito"), "FechaEmision", "FechaVencimiento", "PlazoAnos", "TasaDeInteres",
+        "AnoMoneda", "MesMoneda", "MonedaDelCredito", "MillonesDeCOP", "MilesUSD",
+        F.lit(str(year)).alias("AnoEvaluado"), F.lit(str(q)).alias("trimestreEvaluado"),
+        F.lit(published).cast("timestamp").alias("FECHAPUBLICACION"),
+    )
+
+
+# ---------------------------------------------------------------- M10
+LEGACY_FOOTNOTES = DEBT_FOOTNOTES[:4]
+
+
+def legacy_name(name: str) -> str:
+    """B17 as in the legacy loan sheet: NFD, newlines and spaces removed,
+    only ``[A-Za-z0-9_]`` kept, combining marks dropped."""
+    import re
+
+    s = unicodedata.normalize("NFD", name).replace("\n", "").replace(" ", "")
+    s = re.sub(r"[^A-Za-z0-9_]", "", s)
+    return "".join(ch for ch in s if not unicodedata.combining(ch))
+
+
+def parse_loans_legacy(cells: DataFrame, names: Sequence[str], published: str, order: str = "row") -> DataFrame:
+    """Legacy loan sheet from its cell table.  The first row holds the
+    headers (B16); ``names`` are those header texts in column order (sheet
+    metadata).  Cells are pivoted to one row per sheet row with the listed
+    names (no extra distinct pass), repeated header rows and all-blank rows
+    dropped, names cleaned (B17), serial day numbers turned into dates
+    (H16), amounts cast to decimals, country / company forward-filled."""
+    from ..functions.dates import serial_date
+
+    header_row = cells.groupBy(*SHEET).agg(F.min(order).alias("_h"))
+    body = cells.join(header_row, SHEET).filter(F.col(order) > F.col("_h")).drop("_h")
+    wide = body.groupBy(*SHEET, order).pivot("col", list(range(1, len(names) + 1))).agg(F.first("value"))
+    clean = [legacy_name(n) for n in names]
+    wide = wide.toDF(*SHEET, order, *clean)
+    d = wide.filter(F.coalesce(F.col("Filial") != "Filial", F.lit(True))).dropna(how="all", subset=clean)
+    d = d.filter(F.coalesce(~F.col("Filial").isin(LEGACY_FOOTNOTES), F.lit(True)))
+    amounts = {c: (F.col(c).try_cast("decimal(20,0)") if c.endswith("monedadelcredito") else F.col(c).try_cast("decimal(10,0)"))
+               for c in clean if c.endswith(("monedadelcredito", "millonesdeCOP", "milesUSD"))}
+    d = d.withColumns(
+        {
+            "FechaInicial": F.when(F.col("FechaInicial").isNotNull(), serial_date("FechaInicial")),
+            "FechaVencimiento": F.when(F.col("FechaVencimiento").isNotNull(), serial_date("FechaVencimiento")),
+            "PlazoAnos": F.col("PlazoAnos").try_cast("int"),
+            **amounts,
+        }
+    )
+    d = d.withColumns(
+        {
+            "_pais": F.when(F.col("Filial").isNotNull() & F.col("FuentedeFinanciacion").isNull(), F.col("Filial")),
+            "_comp": F.when(F.col("Filial").isNotNull() & F.col("FuentedeFinanciacion").isNotNull(), F.col("Filial")),
+        }
+    )
+    d = ffill(d, "_pais", SHEET, [order], out="Pais")
+    d = ffill(d, "_comp", SHEET, [order], out="Compania").filter(F.col("FuentedeFinanciacion").isNotNull())
+    keep = ["Compania", "Pais", "FuentedeFinanciacion", "MonedaCredito", "FechaInicial", "FechaVencimiento", "PlazoAnos",
+            "TasadeInteres", *amounts]
+    return d.select(*[c for c in keep if c in d.columns], F.lit(published).cast("timestamp").alias("FECHAPUBLICACION"))

@@ -344,3 +344,75 @@ def q_classify_indent(spark, sf_dir):
                      (F.col("n_nationkey").cast("long") * LINE + LINE - 1).alias("row"), F.lit(None).cast("string").alias("value"),
                      F.lit(0).alias("indent"))
     return classify_indent(head.unionByName(lines).unionByName(blank))
+
+
+DEBT_COLS = [
+    "Filial", "Tipo", "Fuente de Financiación", "Moneda Crédito", "Fecha Emisión", "Fecha Vencimiento", "Plazo Años",
+    "Tasa de Interés", "Unnamed: 8", "Unnamed: 9", "Jun-2024\n(moneda del crédito)", "Jun-2024\n(millones de COP)",
+    "Jun-2024\n(miles USD)",
+]
+
+
+def _debt_sheet(t: Tables):
+    n, s = t.nation, t.supplier
+    base = F.col("n_nationkey").cast("long") * F.lit(LINE)
+    null = F.lit(None).cast("string")
+    country = n.select(base.alias("b"), F.lit(0).alias("o"), F.col("n_name").alias("Filial"), *[null.alias(c) for c in DEBT_COLS[1:]])
+    bonds = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        base.alias("b"), (F.lit(10) + F.col("s_suppkey")).alias("o"),
+        F.col("s_name").alias("Filial"),
+        F.when(F.col("s_suppkey") % 2 == 0, "Bonos").otherwise("Bonos Verdes").alias("Tipo"),
+        F.lit("Mercado").alias("Fuente de Financiación"), F.lit("USD").alias("Moneda Crédito"),
+        F.date_format(F.date_add(F.lit("2015-01-01").cast("date"), F.col("s_suppkey").cast("int")), "yyyy-MM-dd HH:mm:ss").alias("Fecha Emisión"),
+        F.date_format(F.date_add(F.lit("2030-01-01").cast("date"), F.col("s_suppkey").cast("int")), "yyyy-MM-dd HH:mm:ss").alias("Fecha Vencimiento"),
+        (F.col("s_suppkey") % 30 + F.lit(0.5)).cast("string").alias("Plazo Años"),
+        F.lit("IPC").alias("Tasa de Interés"), F.lit("+").alias("Unnamed: 8"),
+        F.when(F.col("s_suppkey") % 5 == 0, F.lit("nan")).otherwise((F.col("s_suppkey") % 7 / 100.0).cast("string")).alias("Unnamed: 9"),
+        F.col("s_acctbal").cast("string").alias("Jun-2024\n(moneda del crédito)"),
+        (F.col("s_acctbal") * 4).cast("string").alias("Jun-2024\n(millones de COP)"),
+        F.floor("s_acctbal").cast("string").alias("Jun-2024\n(miles USD)"),
+    )
+    total = n.select(base.alias("b"), F.lit(900000).alias("o"), F.lit("TOTAL BONOS").alias("Filial"), *[null.alias(c) for c in DEBT_COLS[1:]])
+    u = country.unionByName(bonds).unionByName(total)
+    return u.select(F.lit("deuda.xlsx").alias("file"), F.lit("KitBonos").alias("sheet"), (F.col("b") + F.col("o")).alias("row"), *DEBT_COLS)
+
+
+@register("parse_debt")
+def q_parse_debt(spark, sf_dir):
+    """Consolidated bonds sheet -> typed tidy rows."""
+    from ..operators.reports import parse_debt, parse_header_period
+
+    rows = _debt_sheet(Tables(spark, sf_dir))
+    rename, mes, ano = parse_header_period(rows.columns)
+    return parse_debt(rows.withColumnsRenamed(rename), "bonos", mes, ano, 2024, 2, PUBLISHED)
+
+
+LEGACY_NAMES = ["Filial", "Fuente de\nFinanciación", "Moneda Crédito", "Fecha Inicial", "Fecha Vencimiento", "Plazo Años",
+                "Tasa de Interés", "Jun 2024\n(moneda del crédito)", "Jun 2024\n(millones de COP)", "Jun 2024\n(miles USD)"]
+
+
+def _legacy_cells(t: Tables):
+    n, s = t.nation, t.supplier
+    base = F.col("n_nationkey").cast("long") * F.lit(LINE) + F.lit(10)
+    head = t.region.filter(F.col("r_regionkey") == 0).select(
+        F.lit(1).cast("long").alias("row"), *[F.lit(x).alias(f"v{i}") for i, x in enumerate(LEGACY_NAMES)]
+    )
+    null = F.lit(None).cast("string")
+    country = n.select(base.alias("row"), F.col("n_name").alias("v0"), *[null.alias(f"v{i}") for i in range(1, len(LEGACY_NAMES))])
+    loans = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        (base + F.lit(1) + F.col("s_suppkey")).alias("row"), F.col("s_name").alias("v0"), F.lit("Banco").alias("v1"),
+        F.lit("COP").alias("v2"), (F.lit(43000) + F.col("s_suppkey")).cast("string").alias("v3"),
+        (F.lit(47000) + F.col("s_suppkey")).cast("string").alias("v4"), (F.col("s_suppkey") % 12).cast("string").alias("v5"),
+        F.lit("IBR + 2%").alias("v6"), F.col("s_acctbal").cast("string").alias("v7"),
+        (F.col("s_acctbal") * 4).cast("string").alias("v8"), F.floor("s_acctbal").cast("string").alias("v9"),
+    )
+    grid = head.unionByName(country).unionByName(loans).withColumns({"file": F.lit("creditos.xlsx"), "sheet": F.lit("KitCreditos")})
+    return cells_from_rows(grid, "file", "sheet", "row", [f"v{i}" for i in range(len(LEGACY_NAMES))])
+
+
+@register("parse_loans_legacy")
+def q_parse_loans_legacy(spark, sf_dir):
+    """Legacy loan sheet (header row, serial dates)."""
+    from ..operators.reports import parse_loans_legacy
+
+    return parse_loans_legacy(_legacy_cells(Tables(spark, sf_dir)), LEGACY_NAMES, PUBLISHED)
