@@ -55,3 +55,10 @@ def epoch_seconds(col: Column | str) -> Column:
     """Whole seconds since the epoch for TIMESTAMP and TIMESTAMP_NTZ columns
     (an NTZ value is read as UTC wall time; the session zone is UTC)."""
     return F.unix_seconds(_c(col).cast("timestamp"))
+
+
+def with_constants(df, year: int, quarter: int, published: str):
+    """Evaluated year / quarter and publish time as literal columns."""
+    return df.withColumns(
+        {"Ano": F.lit(str(year)), "Trimestre": F.lit(str(quarter)), "FECHAPUBLICACION": F.lit(published).cast("timestamp")}
+    )

@@ -31,6 +31,7 @@ PLAN_MODULES = (
     "evaluation",
     "monitoring",
     "streams",
+    "scalars",
     "models",
 )
 
