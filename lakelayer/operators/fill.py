@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNB = Window.unboundedPreceding
-UNF = Window.unboundedFollowing
 
 
 def _c(x: Column | str) -> Column:
@@ -58,17 +57,20 @@ def ffill(df: DataFrame, col: str, partition: Sequence[str], order: Sequence[str
 
 def bfill(df: DataFrame, col: str, partition: Sequence[str], order: Sequence[str], chunk: Column | None = None,
           out: str | None = None) -> DataFrame:
-    """First non-NULL ``col`` strictly *after* each row."""
+    """First non-NULL ``col`` strictly *after* each row.  Evaluated as a
+    running ``last`` over the reversed order (``rowsBetween(UNB, -1)``): an
+    unbounded-following frame would be re-aggregated for every row."""
     out = out or col
     d, part = _setup(df, partition, chunk)
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(1, UNF)
-    d = d.withColumn("_in", F.first(col, ignorenulls=True).over(w))
+    rev = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order]
+    w = Window.partitionBy(*part).orderBy(*rev).rowsBetween(UNB, -1)
+    d = d.withColumn("_in", F.last(col, ignorenulls=True).over(w))
     if chunk is None:
         return d.withColumn(out, F.col("_in")).drop("_in")
     okey = F.struct(*order)
     summary = d.groupBy(*part).agg(F.min_by(F.col(col), F.when(F.col(col).isNotNull(), okey)).alias("_firstv"))
-    wc = Window.partitionBy(*partition).orderBy("_chunk").rowsBetween(1, UNF)
-    carry = summary.withColumn("_carry", F.first("_firstv", ignorenulls=True).over(wc)).drop("_firstv")
+    wc = Window.partitionBy(*partition).orderBy(F.col("_chunk").desc()).rowsBetween(UNB, -1)
+    carry = summary.withColumn("_carry", F.last("_firstv", ignorenulls=True).over(wc)).drop("_firstv")
     res = d.join(carry, part, "left").withColumn(out, F.coalesce("_in", "_carry")).drop("_in", "_carry")
     return _finish(res)
 

@@ -1,14 +1,26 @@
 """Trailing time-range window features (survey E3-E5, N3, N5).
 
-A plain ``partitionBy(key).orderBy(ts).rangeBetween(-R, 0)`` window puts all
-rows of one key into one task; a key holding a third of the table would then
-be sorted and scanned by a single core.  ``rolling`` therefore splits each
-key's timeline into buckets of ``bucket_secs``: a row is evaluated in its own
-bucket and copied, as context only, into the ``ceil(R / bucket_secs)``
-following buckets whose frames can reach it.  Every window partition then
-holds at most ``R + bucket_secs`` seconds of one key, and the result equals
-the unsplit window exactly (the frame is still ``[ts - R, ts]`` over real
-rows).  Cost: each row is shuffled ``1 + ceil(R / bucket_secs)`` times.
+The reference computes ``sum`` / ``count`` over
+``partitionBy(key).orderBy(ts).rangeBetween(-R, 0)``.  Spark evaluates such a
+sliding frame by re-aggregating the whole frame for every row, so the cost
+is rows x rows-per-frame, and one key holding a third of the table is one
+task.  ``rolling`` computes the same numbers exactly with running frames
+only:
+
+* each key's timeline is cut into buckets of ``bucket_secs`` (at most R);
+  a row is evaluated in its own bucket and copied, as *context*, into the
+  ``ceil(R / bucket_secs)`` following buckets its frame can reach, so a
+  window partition holds at most ``R + bucket_secs`` seconds of one key;
+* inside a partition, for a row at second ``t`` the frame sum is
+  ``own(t) + ctx_total - ctx(<= t - R - 1)``: ``own`` is the running sum of
+  the bucket's own rows (a RANGE frame, so same-second peers count),
+  ``ctx_total`` the partition total of context rows, and ``ctx(..)`` a
+  running sum of context rows read at ``t - R - 1`` by ordering the row at
+  that key.  Every frame is running or whole-partition: O(n log n).
+
+Aggregates are given as ``(kind, expr)``: ``("sum", col)`` or
+``("count", col | None)`` (``None`` counts rows).  A sum whose frame holds
+no non-NULL value is NULL, as in SQL.
 """
 
 from __future__ import annotations
@@ -22,6 +34,13 @@ from pyspark.sql import functions as F
 from ..functions.dates import epoch_seconds
 
 DAY = 86400
+UNB = Window.unboundedPreceding
+
+Agg = tuple[str, "Column | str | None"]
+
+
+def _col(x):
+    return F.col(x) if isinstance(x, str) else x
 
 
 def rolling(
@@ -29,64 +48,69 @@ def rolling(
     keys: Sequence[str],
     ts: str,
     range_secs: int,
-    aggs: Mapping[str, Column],
+    aggs: Mapping[str, Agg],
     bucket_secs: int | None = None,
 ) -> DataFrame:
-    """Add one column per ``aggs`` entry (an aggregate expression such as
-    ``F.sum("price")``) over the trailing frame ``[ts - range_secs, ts]`` of
-    the same key.  The order key is ``ts`` cast to whole seconds, so rows in
-    the same second are peers of the current row.
+    """One trailing frame ``[ts - range_secs, ts]`` (whole seconds).
 
-    ``bucket_secs=0`` disables the time split (one window partition per key)."""
+    ``bucket_secs`` (default and maximum ``range_secs``) sets the time split;
+    a bucket no longer than the frame means every earlier row of the row's
+    own bucket lies inside the frame."""
     keys = list(keys)
-    if bucket_secs is None:
-        bucket_secs = max(int(range_secs), DAY)
-    tsl = epoch_seconds(ts)
-    if not bucket_secs:
-        w = Window.partitionBy(*keys).orderBy(tsl).rangeBetween(-int(range_secs), 0)
-        return df.withColumns({n: a.over(w) for n, a in aggs.items()})
-
-    hops = int(math.ceil(range_secs / bucket_secs))
-    own = F.floor(tsl / F.lit(bucket_secs))
-    staged = df.withColumn("_own", own).withColumn(
+    R = int(range_secs)
+    bucket = int(min(bucket_secs or R, R))
+    hops = int(math.ceil(R / bucket))
+    staged = df.withColumn("_t", epoch_seconds(ts))
+    staged = staged.withColumn("_own", F.floor(F.col("_t") / F.lit(bucket))).withColumn(
         "_bucket", F.explode(F.sequence(F.col("_own"), F.col("_own") + F.lit(hops)))
     )
-    w = Window.partitionBy(*keys, "_bucket").orderBy(tsl).rangeBetween(-int(range_secs), 0)
-    out = staged.withColumns({n: a.over(w) for n, a in aggs.items()})
-    return out.filter(F.col("_bucket") == F.col("_own")).drop("_own", "_bucket")
+    tgt = F.col("_bucket") == F.col("_own")
+    part = [*keys, "_bucket"]
+    w_all = Window.partitionBy(*part)
+    w_own = Window.partitionBy(*part).orderBy("_t").rangeBetween(UNB, 0)
+    probe = F.when(tgt, F.col("_t") - F.lit(R + 1)).otherwise(F.col("_t"))
+    w_probe = Window.partitionBy(*part).orderBy(probe).rangeBetween(UNB, 0)
+
+    def frame_sum(v: Column) -> Column:
+        own = F.sum(F.when(tgt, v)).over(w_own)
+        ctx_total = F.sum(F.when(~tgt, v)).over(w_all)
+        ctx_before = F.sum(F.when(~tgt, v)).over(w_probe)
+        return F.coalesce(own, F.lit(0)) + F.coalesce(ctx_total, F.lit(0)) - F.coalesce(ctx_before, F.lit(0))
+
+    cols: dict[str, Column] = {}
+    for name, (kind, expr) in aggs.items():
+        if kind == "count":
+            v = F.lit(1) if expr is None else _col(expr).isNotNull()
+            cols[name] = frame_sum(v.cast("long"))
+        elif kind == "sum":
+            e = _col(expr)
+            n = frame_sum(e.isNotNull().cast("long"))
+            cols[name] = F.when(n > 0, frame_sum(e))
+        else:
+            raise ValueError(f"unsupported rolling aggregate {kind!r} (sum, count)")
+    out = staged.withColumns(cols).filter(tgt)
+    return out.drop("_t", "_own", "_bucket")
 
 
 def rolling_many(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
-    frames: Mapping[int, Mapping[str, Column]],
+    frames: Mapping[int, Mapping[str, Agg]],
     bucket_secs: int | None = None,
 ) -> DataFrame:
-    """Several trailing frames on one key.  The split is sized for the longest
-    frame so all frames share one exchange and one sort."""
-    longest = max(frames)
-    keys = list(keys)
-    if bucket_secs is None:
-        bucket_secs = max(int(longest), DAY)
-    tsl = epoch_seconds(ts)
-    hops = int(math.ceil(longest / bucket_secs)) if bucket_secs else 0
-    if bucket_secs:
-        own = F.floor(tsl / F.lit(bucket_secs))
-        df = df.withColumn("_own", own).withColumn(
-            "_bucket", F.explode(F.sequence(F.col("_own"), F.col("_own") + F.lit(hops)))
-        )
-        part = [*keys, "_bucket"]
-    else:
-        part = keys
-    cols = {}
-    for secs, aggs in frames.items():
-        w = Window.partitionBy(*part).orderBy(tsl).rangeBetween(-int(secs), 0)
-        cols.update({n: a.over(w) for n, a in aggs.items()})
-    out = df.withColumns(cols)
-    if bucket_secs:
-        out = out.filter(F.col("_bucket") == F.col("_own")).drop("_own", "_bucket")
-    return out
+    """Several trailing frames ``{range_secs: {name: (kind, expr)}}`` on one
+    key, one time split (exchange) per frame length."""
+    for secs, aggs in sorted(frames.items()):
+        df = rolling(df, keys, ts, secs, aggs, bucket_secs)
+    return df
+
+
+def rolling_sliding(df: DataFrame, keys: Sequence[str], ts: str, range_secs: int, aggs: Mapping[str, Column]) -> DataFrame:
+    """The plain sliding-frame form (any aggregate, e.g. min / max), one
+    window partition per key: for small groups or non-invertible aggregates."""
+    w = Window.partitionBy(*keys).orderBy(epoch_seconds(ts)).rangeBetween(-int(range_secs), 0)
+    return df.withColumns({n: a.over(w) for n, a in aggs.items()})
 
 
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
@@ -107,8 +131,8 @@ def user_behavior(
         [user],
         ts,
         {
-            7 * DAY: {"_sum7": F.sum(price), "_cnt7": F.count(F.lit(1))},
-            6 * 30 * DAY: {"_p6m": F.sum("_tickets")},
+            7 * DAY: {"_sum7": ("sum", price), "_cnt7": ("count", None)},
+            6 * 30 * DAY: {"_p6m": ("sum", "_tickets")},
         },
     )
     return out.select(
@@ -126,7 +150,7 @@ def destination_features(p: DataFrame, dest: str = "destination_id", ts: str = "
         [dest],
         ts,
         7 * DAY,
-        {"sum_clicks_7d": F.sum("_clicked"), "sum_impressions_7d": F.count(F.lit(1))},
+        {"sum_clicks_7d": ("sum", "_clicked"), "sum_impressions_7d": ("count", None)},
     )
     return out.select(dest, ts, "sum_clicks_7d", "sum_impressions_7d")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lakelayer.operators import fill
 from lakelayer.operators.asof import asof_join
 from lakelayer.operators.clean import keep_first, two_level_counts
-from lakelayer.operators.rolling import rolling
+from lakelayer.operators.rolling import rolling, rolling_sliding
 from lakelayer.operators.upsert import DuplicateSourceKeys, change_feed, scd1, upsert
 
 
@@ -60,11 +60,12 @@ def test_rolling_bucketed_equals_plain(spark):
     rnd = random.Random(5)
     t0 = datetime(2024, 1, 1)
     data = [(rnd.choice("xyz"), t0 + timedelta(seconds=rnd.randint(0, 40 * 86400)), float(rnd.randint(1, 9))) for _ in range(600)]
+    data += [("x", data[0][1], None), ("z", t0, None)]  # same-second peer; a frame with no value
     df = spark.createDataFrame(data, "k string, ts timestamp, p double")
-    aggs = {"s": F.sum("p"), "n": F.count(F.lit(1))}
-    a = rolling(df, ["k"], "ts", 7 * 86400, aggs, bucket_secs=0)
-    b = rolling(df, ["k"], "ts", 7 * 86400, aggs, bucket_secs=86400)
-    assert rows(a, "k", "ts", "p", "s") == rows(b, "k", "ts", "p", "s")
+    want = rolling_sliding(df, ["k"], "ts", 7 * 86400, {"s": F.sum("p"), "n": F.count(F.lit(1)), "c": F.count("p")})
+    for bucket in (None, 86400, 3 * 86400):
+        got = rolling(df, ["k"], "ts", 7 * 86400, {"s": ("sum", "p"), "n": ("count", None), "c": ("count", "p")}, bucket)
+        assert rows(want, "k", "ts", "p", "s", "n") == rows(got, "k", "ts", "p", "s", "n")
 
 
 def test_asof_equals_brute_force(spark):
@@ -135,3 +136,17 @@ def test_global_order_scan_runs_in_chunks(spark):
     df = spark.range(0, 1000).select(F.lit("s").alias("g"), F.col("id").alias("r"), F.when(F.col("id") % 10 == 0, F.col("id")).alias("m"))
     plan = fill.ffill(df, "m", ["g"], ["r"], F.floor(F.col("r") / 100), out="o")._jdf.queryExecution().executedPlan().toString()
     assert "_chunk" in plan
+
+
+def test_rolling_many_frames_equal_sliding(spark):
+    from lakelayer.operators.rolling import rolling_many
+
+    rnd = random.Random(8)
+    t0 = datetime(2024, 1, 1)
+    data = [(rnd.choice("ab"), t0 + timedelta(seconds=rnd.randint(0, 60 * 86400)), rnd.randint(0, 5)) for _ in range(500)]
+    df = spark.createDataFrame(data, "k string, ts timestamp, p int")
+    got = rolling_many(df, ["k"], "ts", {3 * 86400: {"s3": ("sum", "p")}, 20 * 86400: {"s20": ("sum", "p"), "n20": ("count", None)}})
+    a = rolling_sliding(df, ["k"], "ts", 3 * 86400, {"s3": F.sum("p")})
+    want = rolling_sliding(a, ["k"], "ts", 20 * 86400, {"s20": F.sum("p"), "n20": F.count(F.lit(1))})
+    cols = ["k", "ts", "p", "s3", "s20", "n20"]
+    assert rows(got.select(*cols), *cols) == rows(want.select(*cols), *cols)
