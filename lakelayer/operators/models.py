@@ -12,6 +12,7 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -83,6 +84,11 @@ def search(train_df: DataFrame, val_df: DataFrame, features: Sequence[str], labe
     rng = random.Random(seed)
     rows = []
     trial = 0
+    # every trial scans the same inputs: keep them on the executors (memory,
+    # spilling to disk) instead of recomputing the feature plan per trial;
+    # a lost executor recomputes its blocks from the lineage
+    train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
+    val_df = val_df.persist(StorageLevel.MEMORY_AND_DISK)
     for fam in families:
         for _ in range(n_trials):
             params = {k: rng.choice(v) for k, v in space[fam].items()}
@@ -92,6 +98,8 @@ def search(train_df: DataFrame, val_df: DataFrame, features: Sequence[str], labe
                 f1 = None
             rows.append((trial, fam, repr(sorted(params.items())), f1))
             trial += 1
+    train_df.unpersist()
+    val_df.unpersist()
     schema = T.StructType(
         [
             T.StructField("trial", T.IntegerType()),
