@@ -146,7 +146,27 @@ def _capex_rows(t: Tables):
                     (F.col("b") + F.col("o")).alias("row"), "EMPRESA", "Valor")
 
 
-@register("parse_capex")
+@register(
+    "parse_capex",
+    """
+WITH r AS (
+  SELECT n_nationkey * 1000000 AS row, n_name AS EMPRESA, CAST(NULL AS VARCHAR) AS Valor FROM nation
+  UNION ALL SELECT n_nationkey * 1000000 + 10 + s_suppkey,
+         CASE WHEN s_suppkey % 17 = 0 THEN 'Inversiones dentro balance ' || s_name ELSE s_name END, CAST(s_acctbal AS VARCHAR)
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION ALL SELECT n_nationkey * 1000000 + 900000, 'Total ' || n_name, 'total' FROM nation
+    WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)
+  UNION ALL SELECT n_nationkey * 1000000 + 900001, NULL, NULL FROM nation),
+l AS (SELECT *, lead(EMPRESA) OVER (ORDER BY row) AS nxt FROM r),
+k AS (SELECT * FROM l WHERE nxt IS NOT NULL AND EMPRESA IS NOT NULL),
+f AS (SELECT *, last_value(CASE WHEN Valor IS NULL THEN EMPRESA END IGNORE NULLS)
+                  OVER (ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS PAIS FROM k)
+SELECT PAIS, EMPRESA, Valor, '2023' AS AnoEvaluado, '3' AS trimestreEvaluado,
+       TIMESTAMP '2024-01-31 00:00:00' AS FECHA_PUBLICACION
+FROM f WHERE Valor IS NOT NULL AND EMPRESA NOT LIKE '%Inversiones dentro balance%'
+  AND EMPRESA NOT LIKE '%Negocios que no consolidan%'
+""",
+)
 def q_parse_capex(spark, sf_dir):
     """M5: capex blocks -> (country, company, value)."""
     return parse_capex(_capex_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED)
@@ -171,7 +191,33 @@ def _traffic_rows(t: Tables):
                     (F.col("b") + F.col("o")).alias("row"), "Empresa", "Valor")
 
 
-@register("parse_traffic")
+@register(
+    "parse_traffic",
+    r"""
+WITH seg AS (SELECT c_nationkey, c_mktsegment, count(*) AS k FROM customer GROUP BY ALL),
+r AS (
+  SELECT n_nationkey * 1000000 AS row, 'RUTA - ' || n_name AS Empresa, 'nan' AS Valor FROM nation
+  UNION ALL SELECT n_nationkey * 1000000 + 10 + length(c_mktsegment) * 100 + ascii(c_mktsegment), ' ' || c_mktsegment,
+         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN ' ' ELSE '1 ' || CAST(k AS VARCHAR) END
+    FROM seg JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT n_nationkey * 1000000 + 900000, '**TPD: Tráfico Promedio Diario', NULL FROM nation),
+a AS (SELECT row, CASE WHEN Empresa = 'nan' THEN NULL ELSE Empresa END AS Empresa,
+             CASE WHEN Valor = 'nan' THEN NULL ELSE Valor END AS Valor FROM r
+      WHERE Empresa NOT IN ('*TMDE: Tráfico medio diario equivalente',
+        'TMDE 2015- 2021 con base 365 días, excepto 2016 y 2020 los cuales están con base 366 días',
+        '**TPD: Tráfico Promedio Diario')),
+b AS (SELECT row, regexp_replace(Empresa, '[-\s\t\n\r\x0b\x0c\x{00A0}]+', '', 'g') AS Empresa,
+             regexp_replace(Valor, '[-\s\t\n\r\x0b\x0c\x{00A0}]+', '', 'g') AS v2 FROM a),
+c AS (SELECT row, Empresa, CASE WHEN trim(v2) = '' THEN NULL ELSE v2 END AS Valor FROM b),
+d AS (SELECT row, Empresa,
+             CASE WHEN Empresa IS NOT NULL AND trim(Empresa) <> '' AND Valor IS NULL THEN '0' ELSE Valor END AS Valor FROM c),
+e AS (SELECT *, regexp_matches(Empresa, '(?i)(RUTA|TMDE|TPD)') AS is_c FROM d WHERE Empresa IS NOT NULL AND Valor IS NOT NULL),
+f AS (SELECT *, last_value(CASE WHEN is_c THEN Empresa END IGNORE NULLS)
+                  OVER (ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS Compania FROM e)
+SELECT Compania, Empresa AS Tipo, Valor, '2023' AS Ano, '3' AS Trimestre, '2024-01-31 00:00:00' AS FECHAPUBLICACION
+FROM f WHERE NOT is_c
+""",
+)
 def q_parse_traffic(spark, sf_dir):
     """M6: traffic sheet -> (company, type, value)."""
     return parse_traffic(_traffic_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED)
@@ -196,7 +242,25 @@ def _debt_rows(t: Tables):
                     (F.col("b") + F.col("o")).alias("row"), "Compania", "Moneda", "Valor", "tint")
 
 
-@register("parse_debt_profile")
+@register(
+    "parse_debt_profile",
+    """
+WITH r AS (
+  SELECT r_regionkey * 1000000 + 10 + n_nationkey * 2 AS row,
+         CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE n_name END AS Compania, 'USD' AS Moneda,
+         CAST(CAST(n_nationkey * 10.5 AS DOUBLE) AS VARCHAR) AS Valor, 0.0 AS tint
+    FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT r_regionkey * 1000000 + 900000, r_name, NULL, NULL, -0.25 FROM region
+  UNION ALL SELECT 5000000, 'TOTAL DEUDA', NULL, '0', -0.5 FROM region WHERE r_regionkey = 4),
+a AS (SELECT * FROM r WHERE NOT (Compania IS NULL AND Moneda IS NULL AND Valor IS NULL)),
+b AS (SELECT *, CASE WHEN tint <> 0 THEN Compania ELSE first_value(CASE WHEN tint <> 0 THEN Compania END IGNORE NULLS)
+                  OVER (ORDER BY row ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) END AS Pais FROM a),
+c AS (SELECT * FROM b WHERE Pais IS NOT NULL AND Pais <> 'TOTAL DEUDA')
+SELECT Pais, CASE WHEN Compania IS NOT NULL THEN Compania ELSE lag(Compania) OVER (ORDER BY row) END AS Compania,
+       Moneda, TRY_CAST(Valor AS DOUBLE) AS Valor, '2023' AS Ano, '3' AS trimestre, '2024-01-31 00:00:00' AS FECHAPUBLICACION
+FROM c
+""",
+)
 def q_parse_debt_profile(spark, sf_dir):
     """M7: debt profile -> (country, company, currency, value)."""
     return parse_debt_profile(_debt_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED)
