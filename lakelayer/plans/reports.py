@@ -120,7 +120,73 @@ def _statement_rows(t: Tables):
     )
 
 
-@register("parse_statements")
+@register(
+    "parse_statements",
+    r"""
+WITH raw AS (
+  SELECT n_nationkey * 1000000 + o AS row, d AS Descripcion, CAST(NULL AS VARCHAR) AS Valor
+  FROM nation, (VALUES (0, 'T1'), (1, 'Cifras expresadas en millones de pesos'), (2, 'ACTIVO'), (3, 'Activo corriente'),
+                       (100000, 'Total activo corriente'), (100001, 'PASIVO'), (100002, 'Pasivo no corriente'),
+                       (200000, 'T2'), (200001, 'Ingresos operacionales'), (300000, 'TOTAL RESULTADO')) v(o, d0),
+       LATERAL (SELECT CASE d0 WHEN 'T1' THEN 'ESTADOS CONSOLIDADOS DE SITUACIÓN FINANCIERA - ' || n_name
+                               WHEN 'T2' THEN 'ESTADOS DE RESULTADOS CONSOLIDADO - ' || n_name ELSE d0 END AS d)
+  UNION ALL SELECT n_nationkey * 1000000 + 10 + s_suppkey, 'Cuenta ' || s_name,
+         CASE WHEN s_suppkey % 9 = 0 THEN 'nan' ELSE CAST(s_acctbal AS VARCHAR) END
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION ALL SELECT n_nationkey * 1000000 + 100010 + c_custkey % 90000, 'Obligacion ' || c_name, CAST(c_acctbal AS VARCHAR)
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT n_nationkey * 1000000 + 200010 + c_custkey % 90000,
+         'Ingreso ' || c_mktsegment || ' ' || CAST(c_custkey AS VARCHAR), CAST(c_acctbal AS VARCHAR)
+    FROM customer JOIN nation ON c_nationkey = n_nationkey),
+a AS (SELECT row, CASE WHEN Descripcion = 'nan' THEN NULL ELSE Descripcion END AS Descripcion,
+             CASE WHEN Valor = 'nan' THEN NULL ELSE Valor END AS Valor FROM raw),
+titles AS (SELECT DISTINCT Descripcion AS t FROM a
+           WHERE Descripcion LIKE 'ESTADOS SEPARADOS%' OR Descripcion LIKE 'ESTADOS DE RESULTADOS SEPARADOS%'
+              OR Descripcion LIKE 'ESTADOS DE RESULTADOS CONSOLIDADO%' OR Descripcion LIKE 'ESTADOS CONSOLIDADOS DE SITUACIÓN%'),
+b AS (SELECT row, Valor,
+        regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(Descripcion,
+          'PASIVO MAS PATRIMONIO DE LOS ACCIONISTAS', 'PASIVO', 'g'), 'Liabilities and Shareholders'' Equity', 'Liabilities', 'g'),
+          'SHAREHOLDERS'' EQUITY', 'EQUITY', 'g'), 'Patrimonio de los accionistas', 'Patrimonio', 'g'),
+          'Total patrimonio de los accionistas', 'Total Patrimonio', 'g'), 'TOTAL SHAREHOLDER''S EQUITY', 'Total Equity', 'g'),
+          'Assets \(BRL thousand\)', 'Assets', 'g') AS Descripcion
+      FROM a
+      WHERE Descripcion NOT LIKE 'Valores expresados en%' AND Descripcion NOT LIKE 'Cifras expresadas en%'
+        AND (Descripcion LIKE 'Total%') <> TRUE AND (Descripcion LIKE 'TOTAL%') <> TRUE AND (Descripcion LIKE 'IFRS Results') <> TRUE),
+c AS (SELECT b.*, t IS NOT NULL AS is_title FROM b LEFT JOIN titles ON Descripcion = t),
+d AS (SELECT *, last_value(CASE WHEN is_title THEN Descripcion END IGNORE NULLS)
+                  OVER (ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS Empresa FROM c),
+e AS (SELECT *,
+        CASE WHEN upper(Descripcion) IN ('ACTIVO', 'ASSETS', 'PASIVO', 'LIABILITIES', 'PATRIMONIO', 'EQUITY', 'GROSS')
+             THEN array_to_string(list_transform(string_split(Descripcion, ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') END AS kind,
+        CASE WHEN Descripcion IN ('Activo corriente', 'Activo no corriente', 'Pasivo corriente', 'Pasivo no corriente', 'CURRENT',
+                                  'NON-CURRENT', 'CURRENT ASSETS', 'NON-CURRENT ASSETS', 'CURRENT LIABILITIES', 'NON-CURRENT LIABILITIES')
+             THEN array_to_string(list_transform(string_split(Descripcion, ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') END AS term
+      FROM d WHERE Empresa <> Descripcion),
+f AS (SELECT *, coalesce(last_value(kind IGNORE NULLS) OVER w, 'Utilidad') AS ValorContable,
+                last_value(term IGNORE NULLS) OVER w AS term_f
+      FROM e WINDOW w AS (PARTITION BY Empresa ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (SELECT *, CASE WHEN ValorContable IN ('Activo', 'Pasivo', 'Assets', 'Liabilities') THEN term_f ELSE 'N/A' END AS tc FROM f),
+h AS (SELECT *, CASE WHEN ValorContable = 'Assets' AND tc IN ('Current', 'Current Assets') THEN 'Activo Corriente'
+                     WHEN ValorContable = 'Liabilities' AND tc IN ('Current', 'Current Liabilities') THEN 'Pasivo Corriente'
+                     WHEN ValorContable = 'Assets' AND tc IN ('Non-current', 'Non-current Assets') THEN 'Activo No Corriente'
+                     WHEN ValorContable = 'Liabilities' AND tc IN ('Non-current', 'Non-current Liabilities') THEN 'Pasivo No Corriente'
+                     ELSE tc END AS TipoCorriente FROM g),
+k AS (SELECT * FROM h
+      WHERE (Descripcion LIKE '%ACTIVO%') <> TRUE AND (Descripcion LIKE '%Activo corriente%') <> TRUE
+        AND (Descripcion LIKE '%Activo no corriente%') <> TRUE AND (Descripcion LIKE '%PASIVO%') <> TRUE
+        AND (Descripcion LIKE '%Pasivo corriente%') <> TRUE AND (Descripcion LIKE '%Pasivo no corriente%') <> TRUE
+        AND (Descripcion LIKE '%Patrimonio%') <> TRUE AND (Descripcion LIKE '%Assets%') <> TRUE
+        AND (Descripcion LIKE '%CURRENT%') <> TRUE AND upper(Descripcion) <> upper(Empresa)
+        AND upper(Descripcion) <> upper(ValorContable) AND Descripcion NOT LIKE '%(BRL thousand)%'
+        AND (Descripcion LIKE '%EQUITY%') <> TRUE AND NOT is_title)
+SELECT trim(string_split(Empresa, '-')[1]) AS Estado, trim(string_split(Empresa, '-')[2]) AS Empresa, Descripcion,
+       regexp_replace(regexp_replace(regexp_replace(regexp_replace(ValorContable, 'Gross', 'Utilidad', 'g'),
+         'Assets', 'Activo', 'g'), 'Liabilities', 'Pasivo', 'g'), 'Equity', 'Patrimonio', 'g') AS ValorContable,
+       TipoCorriente, coalesce(TRY_CAST(Valor AS DOUBLE), 0.0) AS valor, '2023' AS Ano, '3' AS Trimestre,
+       TIMESTAMP '2024-01-31 00:00:00' AS FECHA_PUBLICACION
+FROM k
+""",
+)
 def q_parse_statements(spark, sf_dir):
     """M4: statement sections -> tidy (state, company, line, kind, term, value)."""
     return parse_statements(_statement_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED)
