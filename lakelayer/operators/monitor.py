@@ -147,6 +147,20 @@ def category_counts(df: DataFrame, ts: str, col: str, group: Sequence[str] = (),
     )
 
 
+# Guard on the baseline distribution held as plan literals: (group x
+# category) cells of a categorical column; larger inputs are rejected.
+MAX_BASELINE_CELLS = 100000
+_SEP, _NULL = "\u0001", "\u0002null"
+
+
+def _round_out(agg: DataFrame, col: str, mode: str, digits: int) -> DataFrame:
+    agg = agg.withColumn("chi_squared_pvalue", chi2_sf(F.col("chi_squared_statistic"), F.col("dof").cast("double")))
+    num = ["js_distance", "tv_distance", "l_infinity_distance", "chi_squared_statistic", "chi_squared_pvalue"]
+    return agg.withColumns({c: F.round(c, digits) for c in num}).withColumn("column_name", F.lit(col)).withColumn(
+        "drift_type", F.lit(mode.upper())
+    )
+
+
 def drift(
     df: DataFrame,
     ts: str,
@@ -161,25 +175,19 @@ def drift(
     the previous window (``consecutive``) or a baseline table (``baseline``):
     Jensen-Shannon distance (sqrt of the divergence, log base 2, 0*log 0 = 0),
     total variation, L-infinity, chi-squared statistic and p-value over the
-    union of categories.  Works on the (window x category) count table only."""
+    union of categories.  Works on the (window x category) count table only;
+    consecutive windows are matched by an equi-join on (window, category)."""
     cur = category_counts(df, ts, col, group, window)
-    if mode == "consecutive":
-        step = F.expr(f"INTERVAL {window}")
-        ref = cur.select(
-            (F.col("window_start") + step).alias("window_start"), *group, "category", F.col("n").alias("m")
-        )
-        windows = cur.select("window_start", *group).distinct()
-        prev = cur.select(F.col("window_start").alias("_ws"), *group).distinct()
-        # keep only windows that have a previous window
-        windows = windows.join(
-            prev.withColumn("window_start", F.col("_ws") + step).drop("_ws"), ["window_start", *group], "inner"
-        )
-    else:
-        b = baseline if baseline is not None else df
-        base = b.groupBy(*group, F.col(col).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("m"))
-        windows = cur.select("window_start", *group).distinct()
-        ref = windows.join(base, list(group), "inner") if group else windows.join(base, how="inner")
     keys = ["window_start", *group]
+    if mode != "consecutive":
+        return _drift_vs_baseline(cur, baseline if baseline is not None else df, col, list(group), digits)
+    step = F.expr(f"INTERVAL {window}")
+    ref = cur.select((F.col("window_start") + step).alias("window_start"), *group, "category", F.col("n").alias("m"))
+    present = cur.select("window_start", *group).distinct()
+    # windows that have a previous window
+    windows = present.join(
+        present.withColumn("window_start", F.col("window_start") + step), ["window_start", *group], "inner"
+    )
     cur_w = cur.join(windows, keys, "inner")
     ref_w = ref.join(windows, keys, "inner")
     j = cur_w.join(ref_w, [*keys, "category"], "full_outer").fillna(0, subset=["n", "m"])
@@ -204,11 +212,94 @@ def drift(
         F.sum(chi).alias("chi_squared_statistic"),
         (F.count(F.lit(1)) - 1).alias("dof"),
     )
-    agg = agg.withColumn("chi_squared_pvalue", chi2_sf(F.col("chi_squared_statistic"), F.col("dof").cast("double")))
-    num = ["js_distance", "tv_distance", "l_infinity_distance", "chi_squared_statistic", "chi_squared_pvalue"]
-    return agg.withColumns({c: F.round(c, digits) for c in num}).withColumn("column_name", F.lit(col)).withColumn(
-        "drift_type", F.lit(mode.upper())
+    return _round_out(agg, col, mode, digits)
+
+
+def _drift_vs_baseline(cur: DataFrame, baseline: DataFrame, col: str, group: list[str], digits: int) -> DataFrame:
+    """Each window against a fixed baseline distribution, without pairing
+    windows with baseline categories (no cross join): the baseline (one
+    count per group x category, a bounded table) is inlined as literal maps;
+    categories of the window are looked up, and the terms of baseline
+    categories absent from the window follow from totals (their JS and TV
+    terms are ``q/2`` each, their chi-squared terms ``(N/M) * m``); their
+    largest ``q`` for L-infinity is the first baseline category, by
+    descending share, that the window lacks (rank = 1 + length of the
+    matched prefix of ranks)."""
+    gk = F.concat_ws(_SEP, *[F.col(g).cast("string") for g in group]) if group else F.lit("")
+    b = baseline.groupBy(*group, F.col(col).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("m"))
+    cells = b.select(gk.alias("g"), "category", "m").limit(MAX_BASELINE_CELLS + 1).collect()
+    if len(cells) > MAX_BASELINE_CELLS:
+        raise ValueError(f"baseline has more than {MAX_BASELINE_CELLS} (group, category) cells")
+    per: dict[str, list[tuple[str | None, int]]] = {}
+    for r in cells:
+        per.setdefault(r["g"], []).append((r["category"], int(r["m"])))
+    m_map, r_map, tot_map, size_map, q_sorted = {}, {}, {}, {}, {}
+    for g, items in per.items():
+        total = sum(m for _, m in items)
+        items.sort(key=lambda x: (-x[1], x[0] if x[0] is not None else ""))
+        tot_map[g], size_map[g] = total, len(items)
+        q_sorted[g] = [m / total for _, m in items]
+        for i, (c, m) in enumerate(items, 1):
+            k = g + _SEP + (c if c is not None else _NULL)
+            m_map[k], r_map[k] = m, i
+
+    def lit_map(d, vtype):
+        if not d:
+            return F.create_map().cast(f"map<string,{vtype}>")
+        return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v).cast(vtype))])
+
+    qs_map = F.create_map(*[x for k, v in q_sorted.items() for x in (F.lit(k), F.array(*[F.lit(q) for q in v]))]) if q_sorted \
+        else F.create_map().cast("map<string,array<double>>")
+    keys = ["window_start", *group]
+    ck = F.concat(gk, F.lit(_SEP), F.coalesce(F.col("category"), F.lit(_NULL)))
+    d = cur.withColumns(
+        {
+            "_g": gk,
+            "m": F.coalesce(F.element_at(lit_map(m_map, "long"), ck), F.lit(0)),
+            "_r": F.element_at(lit_map(r_map, "int"), ck),
+        }
+    )
+    d = d.withColumns(
+        {
+            "_tm": F.element_at(lit_map(tot_map, "long"), F.col("_g")),
+            "_bsize": F.element_at(lit_map(size_map, "int"), F.col("_g")),
+            "_tn": F.sum("n").over(Window.partitionBy(*keys)),
+            "_rn": F.when(F.col("_r").isNotNull(), F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_r").asc_nulls_last()))),
+        }
+    )
+    d = d.withColumns({"p": F.col("n") / F.col("_tn"), "q": F.col("m") / F.col("_tm")})
+    mid = (F.col("p") + F.col("q")) / 2
+    kl_p = F.col("p") * F.log2(F.col("p") / mid)
+    kl_q = F.when(F.col("q") > 0, F.col("q") * F.log2(F.col("q") / mid)).otherwise(0.0)
+    tot_all = F.col("_tn") + F.col("_tm")
+    e_cur = (F.col("n") + F.col("m")) * F.col("_tn") / tot_all
+    e_ref = (F.col("n") + F.col("m")) * F.col("_tm") / tot_all
+    chi = F.when(e_cur > 0, (F.col("n") - e_cur) ** 2 / e_cur).otherwise(0.0) + F.when(
+        e_ref > 0, (F.col("m") - e_ref) ** 2 / e_ref
+    ).otherwise(0.0)
+    agg = d.groupBy(*keys, "_g", "_tn", "_tm", "_bsize").agg(
+        F.sum(kl_p).alias("_klp"),
+        F.sum(kl_q).alias("_klq"),
+        F.sum("q").alias("_qm"),
+        F.sum("m").alias("_mm"),
+        F.sum(0.5 * F.abs(F.col("p") - F.col("q"))).alias("_tv"),
+        F.max(F.abs(F.col("p") - F.col("q"))).alias("_linf"),
+        F.sum(chi).alias("_chi"),
+        F.count(F.lit(1)).alias("_w"),
+        F.count_if(F.col("_r").isNotNull()).alias("_both"),
+        F.count_if(F.col("_r") == F.col("_rn")).alias("_prefix"),
+    )
+    missing_q = 1.0 - F.col("_qm")
+    q_next = F.get(F.element_at(qs_map, F.col("_g")), F.col("_prefix").cast("int"))
+    out = agg.select(
+        *keys,
+        F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.col("_klp") + 0.5 * F.col("_klq") + 0.5 * missing_q)).alias("js_distance"),
+        (F.col("_tv") + 0.5 * missing_q).alias("tv_distance"),
+        F.greatest(F.col("_linf"), F.coalesce(q_next, F.lit(0.0))).alias("l_infinity_distance"),
+        (F.col("_chi") + F.col("_tn") / F.col("_tm") * (F.col("_tm") - F.col("_mm"))).alias("chi_squared_statistic"),
+        (F.col("_w") + F.col("_bsize") - F.col("_both") - 1).alias("dof"),
     )
+    return _round_out(out, col, "baseline", digits)
 
 
 def all_metrics(perf: DataFrame, drift_long: DataFrame, keys: Sequence[str], names: Sequence[str],

@@ -93,3 +93,31 @@ def test_checkpoint_dir_is_session_setting(spark):
 
     assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert os.path.isdir(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_drift_baseline_missing_categories(spark):
+    """Baseline categories absent from a window (and window categories absent
+    from the baseline) against a brute-force computation."""
+    base_rows = [("2024-01-01 00:00:00", c) for c in "aaaabbbccd"]
+    cur_rows = [("2024-01-02 01:00:00", c) for c in "aabe"] + [("2024-01-03 01:00:00", c) for c in "bbbb"]
+    mk = lambda rs: spark.createDataFrame(rs, "ts string, c string").withColumn("ts", F.col("ts").cast("timestamp"))
+    got = {str(r.window_start)[:10]: r for r in drift(mk(cur_rows), "ts", "c", mode="baseline", baseline=mk(base_rows)).collect()}
+    base = pd.Series(list("aaaabbbccd")).value_counts()
+    for day, cs in (("2024-01-02", "aabe"), ("2024-01-03", "bbbb")):
+        cur = pd.Series(list(cs)).value_counts()
+        cats = sorted(set(base.index) | set(cur.index))
+        n = cur.reindex(cats, fill_value=0).astype(float)
+        m = base.reindex(cats, fill_value=0).astype(float)
+        p, q = n / n.sum(), m / m.sum()
+        mid = (p + q) / 2
+        js = math.sqrt(0.5 * sum(p[c] * math.log2(p[c] / mid[c]) for c in cats if p[c] > 0)
+                       + 0.5 * sum(q[c] * math.log2(q[c] / mid[c]) for c in cats if q[c] > 0))
+        N, M = n.sum(), m.sum()
+        ec, er = (n + m) * N / (N + M), (n + m) * M / (N + M)
+        chi = sum((n[c] - ec[c]) ** 2 / ec[c] + (m[c] - er[c]) ** 2 / er[c] for c in cats)
+        r = got[day]
+        assert abs(r.js_distance - js) < 1e-6
+        assert abs(r.tv_distance - 0.5 * (p - q).abs().sum()) < 1e-6
+        assert abs(r.l_infinity_distance - (p - q).abs().max()) < 1e-6
+        assert abs(r.chi_squared_statistic - chi) < 1e-5
+        assert r.dof == len(cats) - 1
