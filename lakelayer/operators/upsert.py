@@ -78,6 +78,21 @@ def scd1(state: DataFrame | None, batch: DataFrame, keys: Sequence[str], seq: Se
     return latest_per_key(both, keys, seq)
 
 
+def scd1_apply(batches, keys: Sequence[str], seq: Sequence[str], state: DataFrame | None = None,
+               checkpoint_every: int = 4) -> DataFrame:
+    """I6 over a sequence of micro-batches.  Each step unions the state with
+    a batch and reduces it again, so the plan grows with the number of
+    batches; every ``checkpoint_every`` batches the state is written with
+    ``DataFrame.checkpoint()`` (reliable, to the session's shared
+    ``spark.checkpoint.dir``), cutting the lineage so a lost executor
+    recomputes from the last checkpoint, not from the first batch."""
+    for i, b in enumerate(batches, 1):
+        state = scd1(state, b, keys, seq)
+        if checkpoint_every and i % checkpoint_every == 0:
+            state = state.checkpoint(eager=True)
+    return state
+
+
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Change rows between two versions of a keyed table:
     ``insert``, ``delete``, ``update_preimage`` + ``update_postimage``.

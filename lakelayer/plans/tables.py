@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.upsert import change_feed, scd1, update_from, upsert
+from ..operators.upsert import change_feed, scd1_apply, update_from, upsert
 from ..sources.tables import Tables
 from .registry import register
 
@@ -70,9 +70,7 @@ def q_scd1(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
     y = F.year("l_shipdate")
     batches = [li.filter(y < 1997), li.filter((y >= 1997) & (y < 1999)), li.filter(y >= 1999)]
-    state = None
-    for b in batches:
-        state = scd1(state, b, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    state = scd1_apply(batches, ["l_orderkey", "l_linenumber"], ["l_shipdate"], checkpoint_every=2)
     return state.select(*li.columns)
 
 

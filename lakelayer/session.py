@@ -58,13 +58,18 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and
-    is used as is.  Only when it is unset -- local tests -- a scratch folder is
-    created, so lineage can still be cut with ``DataFrame.checkpoint()``.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
+    and is used as is (also when it was only set on the SparkContext).  Only
+    when it is unset -- local tests, the bench -- a scratch folder is
+    created, so lineage can still be cut with ``DataFrame.checkpoint()``."""
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="lakelayer-ckpt-")
+    if spark.conf.get("spark.checkpoint.dir", None) != current:
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
