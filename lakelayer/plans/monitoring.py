@@ -122,9 +122,49 @@ def q_drift_baseline(spark, sf_dir):
     return drift(ev, "ts", "event_type", mode="baseline", baseline=base)
 
 
+def _js_sql(col: str) -> str:
+    """Consecutive-day JS distance of ``col`` per model version."""
+    return f"""
+SELECT window_start, model_version, sqrt(greatest(0, 0.5 * sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END)
+         + 0.5 * sum(CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END))) AS js
+FROM (SELECT *, n / sum(n) OVER (PARTITION BY window_start, model_version) AS p,
+             m / sum(m) OVER (PARTITION BY window_start, model_version) AS q
+      FROM (SELECT coalesce(a.window_start, b.window_start) AS window_start,
+                   coalesce(a.model_version, b.model_version) AS model_version,
+                   coalesce(a.n, 0) AS n, coalesce(b.m, 0) AS m
+            FROM (SELECT c.* FROM c_{col} c JOIN w_{col} USING (window_start, model_version)) a
+            FULL OUTER JOIN (SELECT c.window_start + INTERVAL 1 DAY AS window_start, c.model_version, c.category, c.n AS m
+                             FROM c_{col} c JOIN w_{col} w ON c.window_start + INTERVAL 1 DAY = w.window_start
+                                                        AND c.model_version = w.model_version) b
+              ON a.window_start = b.window_start AND a.model_version = b.model_version AND a.category = b.category))
+GROUP BY window_start, model_version"""
+
+
+def _counts_sql(col: str) -> str:
+    return f"""
+c_{col} AS (SELECT window_start, model_version, CAST({col} AS VARCHAR) AS category, count(*) AS n FROM lg GROUP BY ALL),
+w_{col} AS (SELECT DISTINCT window_start, model_version FROM c_{col} x
+            WHERE EXISTS (SELECT 1 FROM c_{col} y WHERE y.window_start = x.window_start - INTERVAL 1 DAY
+                                                   AND y.model_version = x.model_version)),
+d_{col} AS ({_js_sql(col)})"""
+
+
 @register(
     "metrics_violations",
-    None,
+    f"""
+WITH {LOG_SQL.strip()},
+{_counts_sql('label').strip()},
+{_counts_sql('prediction').strip()},
+perf AS (SELECT window_start, model_version, f1_macro AS performance_metric, custom_metric AS expected_loss
+         FROM prof WHERE slice_key IS NULL),
+m AS (SELECT perf.*, dl.js AS label, dp.js AS prediction
+      FROM perf JOIN d_label dl USING (window_start, model_version) JOIN d_prediction dp USING (window_start, model_version))
+SELECT count(*) FILTER (WHERE performance_metric < 0.5 AND abs(expected_loss) > 30) AS performance_violations,
+       count(*) FILTER (WHERE round(label, 6) > 0.19 AND round(prediction, 6) > 0.19) AS drift_violations,
+       count(*) FILTER (WHERE performance_metric < 0.5 AND abs(expected_loss) > 30)
+         + count(*) FILTER (WHERE round(label, 6) > 0.19 AND round(prediction, 6) > 0.19) AS all_violations
+FROM m
+""",
 )
 def q_metrics_violations(spark, sf_dir):
     """Whole-table daily F1 and expected loss per model joined with the
