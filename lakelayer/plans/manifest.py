@@ -90,7 +90,7 @@ def q_match_period_files(spark, sf_dir):
 
 CATALOG_SQL = """
 cat AS (SELECT '/data/' || lower(n_name) AS path, n_name AS NombreCatalogo FROM nation),
-man AS (SELECT upper(n_name) AS NombreArchivo FROM nation WHERE n_nationkey % 5 <> 0
+man AS (SELECT upper(n_name) AS NombreArchivo FROM nation WHERE n_regionkey <> 4
         UNION ALL SELECT r_name FROM region),
 j AS (SELECT * FROM cat FULL JOIN man ON lower(NombreCatalogo) = lower(NombreArchivo)),
 miss AS (SELECT CASE WHEN NombreArchivo IS NULL THEN '"' || NombreCatalogo || '" no existe en el Archivo'
@@ -101,7 +101,7 @@ miss AS (SELECT CASE WHEN NombreArchivo IS NULL THEN '"' || NombreCatalogo || '"
 def _catalog(t: Tables):
     cat = t.nation.select(F.concat(F.lit("/data/"), F.lower("n_name")).alias("path"), F.col("n_name").alias("NombreCatalogo"))
     man = (
-        t.nation.filter(F.col("n_nationkey") % 5 != 0)
+        t.nation.filter(F.col("n_regionkey") != 4)
         .select(F.upper("n_name").alias("NombreArchivo"))
         .unionByName(t.region.select(F.col("r_name").alias("NombreArchivo")))
     )

@@ -77,11 +77,12 @@ def q_scd1(spark, sf_dir):
 @register(
     "change_feed",
     """
-WITH o AS (SELECT * FROM orders WHERE o_orderkey % 10 <> 9),
+WITH o AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'),
 n AS (SELECT o_orderkey, o_custkey, o_orderstatus,
-             CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+             CASE WHEN o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2000-01-01' THEN o_totalprice + 1
+                  ELSE o_totalprice END AS o_totalprice,
              o_orderdate, o_orderpriority
-      FROM orders WHERE o_orderkey % 10 <> 0)
+      FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1996-01-01'))
 SELECT n.*, 'insert' AS _change_type FROM n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM o)
 UNION ALL SELECT o.*, 'delete' FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM n)
 UNION ALL SELECT o.*, 'update_preimage' FROM o JOIN n USING (o_orderkey) WHERE o.o_totalprice <> n.o_totalprice
@@ -89,12 +90,16 @@ UNION ALL SELECT n.*, 'update_postimage' FROM o JOIN n USING (o_orderkey) WHERE
 """,
 )
 def q_change_feed(spark, sf_dir):
-    """Insert / delete / update pre- and post-images between two versions."""
+    """Insert / delete / update pre- and post-images between two versions
+    of ``orders``: the old version ends before 2001 (later orders are
+    inserts), the new one has lost the pending pre-1996 orders (deletes) and
+    re-prices urgent orders from 2000 on (updates)."""
     o = Tables(spark, sf_dir).orders
-    old = o.filter(F.col("o_orderkey") % 10 != 9)
-    new = o.filter(F.col("o_orderkey") % 10 != 0).withColumn(
-        "o_totalprice",
-        F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+    old = o.filter(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp"))
+    gone = (F.col("o_orderstatus") == "P") & (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp"))
+    repriced = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp"))
+    new = o.filter(~gone).withColumn(
+        "o_totalprice", F.when(repriced, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     )
     return change_feed(old, new, ["o_orderkey"]).select(*ORDER_COLS, "_change_type")
 
