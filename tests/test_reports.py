@@ -113,3 +113,54 @@ def test_parse_projects(spark):
     got = [(r.Compania, r.Ano, r.Trimestre, r.InversionAprobadaUSD, r.Comentarios)
            for r in parse_projects(df, 2024, 3, PUB).orderBy("Compania").collect()]
     assert got == [("E1", 2025, 1, 15.0, "a"), ("E2", None, None, 1.0, "c")]
+
+
+def test_parse_debt_bonds(spark):
+    from decimal import Decimal
+
+    from lakelayer.operators.reports import parse_debt, parse_header_period
+
+    cols = ["Filial", "Tipo", "Fuente de Financiación", "Moneda Crédito", "Fecha Emisión", "Fecha Vencimiento",
+            "Plazo Años", "Tasa de Interés", "Unnamed: 8", "Unnamed: 9", "Jun-2024\n(moneda del crédito)",
+            "Jun-2024\n(millones de COP)", "Jun-2024\n(miles USD)"]
+    n = [None] * 12
+    data = [
+        ("COLOMBIA", *n),
+        ("Filial A", "Bonos", "Mercado", "COP", "2020-01-15 00:00:00", "2030-01-15 00:00:00", "10.005", "IPC", "+",
+         "0.0525", "1000.5", "2.5", "99999999999"),
+        (None, "Bonos", "Mercado", "USD", "NaT", "nan", "nan", "Fija", None, "nan", "7", "8", "9"),
+        ("TOTAL BONOS", *n),
+        ("(3) Opcion Call", *n),
+        tuple([None] * 13),
+    ]
+    df = spark.createDataFrame([("f", "KitBonos", i, *r) for i, r in enumerate(data)],
+                               "file string, sheet string, row int, " + ", ".join(f"`{c}` string" for c in cols))
+    rename, mes, ano = parse_header_period(df.columns)
+    assert (mes, ano) == ("Jun", "2024")
+    out = parse_debt(df.withColumnsRenamed(rename), "bonos", mes, ano, 2024, 2, PUB).orderBy("MonedaCredito").collect()
+    assert [(r.Pais, r.Compania, r.MonedaCredito) for r in out] == [("COLOMBIA", "Filial A", "COP"), ("COLOMBIA", "Filial A", "USD")]
+    a, b = out
+    assert a.PlazoAnos == Decimal("10.01") and a.MonedaDelCredito == Decimal("1001") and a.MillonesDeCOP == Decimal("3")
+    assert a.MilesUSD is None  # overflow of decimal(10,0) -> NULL
+    assert a.TasaDeInteres == "IPC + 5.25 %" and b.TasaDeInteres == "Fija"
+    assert a.FechaEmision == "2020-01-15" and b.FechaVencimiento is None
+
+
+def test_parse_loans_legacy(spark):
+    from lakelayer.operators.reports import cells_from_rows, parse_loans_legacy
+
+    names = ["Filial", "Fuente de\nFinanciación", "Fecha Inicial", "Fecha Vencimiento", "Plazo Años", "Jun 2024\n(miles USD)"]
+    grid = [
+        (1, *names),
+        (2, "PERU", None, None, None, None, None),
+        (3, "Filial B", "Banco", "45473", "45838", "1", "12.5"),
+        (4, None, "Banco 2", "45000", None, "x", "3"),
+        (5, "Filial", None, None, None, None, None),
+        (6, "Bonos Verdes", None, None, None, None, None),
+    ]
+    df = spark.createDataFrame([("f", "s", *g) for g in grid],
+                               "file string, sheet string, row int, a string, b string, c string, d string, e string, g string")
+    cells = cells_from_rows(df, "file", "sheet", "row", ["a", "b", "c", "d", "e", "g"])
+    out = parse_loans_legacy(cells, names, PUB).orderBy("FuentedeFinanciacion").collect()
+    got = [(r.Pais, r.Compania, r.FuentedeFinanciacion, str(r.FechaInicial), r.PlazoAnos) for r in out]
+    assert got == [("PERU", "Filial B", "Banco", "2024-06-30", 1), ("PERU", "Filial B", "Banco 2", "2023-03-15", None)]
