@@ -16,6 +16,7 @@ from ..operators.clean import (
     null_out,
     null_report,
     recode,
+    step_counts,
     two_level_counts,
 )
 from ..sources.tables import Tables
@@ -272,3 +273,28 @@ def q_pattern_filters(spark, sf_dir):
     return p.filter(cond).withColumns(
         {"name_part0": split_part_or_null("p_name", " ", 0), "name_part2": split_part_or_null("p_name", " ", 2)}
     )
+
+
+@register(
+    "step_counts",
+    """
+WITH raw AS (SELECT c_custkey, c_name, c_mktsegment FROM customer
+             UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer
+             UNION ALL SELECT CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE c_custkey END, c_name, c_mktsegment FROM customer),
+nn AS (SELECT * FROM raw WHERE c_custkey IS NOT NULL),
+dd AS (SELECT DISTINCT c_custkey FROM nn)
+SELECT 'raw' AS step, count(*) AS rows FROM raw
+UNION ALL SELECT 'not_null_key', count(*) FROM nn
+UNION ALL SELECT 'deduplicated', count(*) FROM dd
+""",
+)
+def q_step_counts(spark, sf_dir):
+    """The bronze customer table holds each customer three
+    times (create + insert + re-insert, one copy with NULL keys); row counts
+    after each cleaning step."""
+    c = Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment")
+    spoiled = c.withColumn("c_custkey", F.when(F.col("c_custkey") % 50 == 0, F.lit(None)).otherwise(F.col("c_custkey")))
+    raw = c.unionByName(c).unionByName(spoiled)
+    nn = raw.dropna(subset=["c_custkey"])
+    dd = keep_first(nn, ["c_custkey"], [("c_name", True), ("c_mktsegment", True)])
+    return step_counts({"raw": raw, "not_null_key": nn, "deduplicated": dd})

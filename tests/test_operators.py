@@ -150,3 +150,24 @@ def test_rolling_many_frames_equal_sliding(spark):
     want = rolling_sliding(a, ["k"], "ts", 20 * 86400, {"s20": F.sum("p"), "n20": F.count(F.lit(1))})
     cols = ["k", "ts", "p", "s3", "s20", "n20"]
     assert rows(got.select(*cols), *cols) == rows(want.select(*cols), *cols)
+
+
+def test_zip_rows_observe_and_classify(spark):
+    from pyspark.sql import types as T
+
+    from lakelayer.operators.fill import zip_rows
+    from lakelayer.operators.prep import classify_columns
+    from lakelayer.operators.quality import expect
+
+    a = spark.createDataFrame([("s", 2, "b"), ("s", 1, "a")], "g string, r int, x string")
+    b = spark.createDataFrame([("s", 10, 0.5), ("s", 20, 0.7)], "g string, k int, tint double")
+    z = rows(zip_rows(a, b, ["g"], ["r"], ["k"]), "r")
+    assert z == [("s", 1, "a", 10, 0.5), ("s", 2, "b", 20, 0.7)]
+    df = spark.createDataFrame([(1,), (None,), (3,)], "v int")
+    checked, obs = expect(df, [("v_present", "v IS NOT NULL"), ("v_big", "v > 2")])
+    assert checked.count() == 3
+    assert obs.get == {"_rows": 3, "v_present": 1, "v_big": 2}
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType()),
+                           T.StructField("c", T.TimestampNTZType()), T.StructField("d", T.BooleanType())])
+    assert classify_columns(schema, {"a": "categorical"}) == {
+        "numeric": [], "categorical": ["a", "b"], "datetime": ["c"], "boolean": ["d"]}
