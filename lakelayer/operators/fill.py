@@ -7,10 +7,14 @@ table, E11) -- never by ``monotonically_increasing_id`` after a shuffle.
 An ordered scan over one partition key runs in one task, so a sheet (or any
 group) holding a third of the table would be scanned by one core.  Each scan
 therefore accepts ``chunk``: a column that is non-decreasing along the order
-(e.g. ``floor(row / 100000)``).  The scan runs per ``(partition, chunk)``; a
-small per-chunk summary (one row per chunk) carries the value across chunk
-borders through a window over chunks; an equi-join on ``(partition, chunk)``
-puts it back, and the large side is already partitioned on those columns.
+(e.g. ``floor(row / 100000)``).  The scan runs per ``(partition, chunk)``.
+The per-chunk statistic needed by the next chunk (last value, edge row,
+count) is a whole-partition window on the *same* partitioning, so it adds no
+shuffle; the rows are reduced to one per chunk without a new exchange, a
+window over that small table (ordered by chunk) carries the value across
+chunk borders, and an equi-join on ``(partition, chunk)`` puts it back --
+the large side is already partitioned on those columns and the exchange of
+the input is shared by both branches (never recomputed per branch).
 Without ``chunk`` the plain per-partition window is used.
 """
 
@@ -38,21 +42,40 @@ def _finish(df: DataFrame) -> DataFrame:
     return df.drop("_chunk") if "_chunk" in df.columns else df
 
 
-def ffill(df: DataFrame, col: str, partition: Sequence[str], order: Sequence[str], chunk: Column | None = None,
-          out: str | None = None) -> DataFrame:
-    """Last non-NULL ``col`` at or before each row."""
-    out = out or col
+def _with_carry(d: DataFrame, part: Sequence[str], partition: Sequence[str], stat, carry) -> DataFrame:
+    """Attach ``_carry``: ``carry(col, chunk_window)`` evaluated over the
+    one-row-per-chunk table of the per-chunk statistic; ``stat(window)``
+    builds that statistic over the whole chunk."""
+    d = d.withColumn("_stat", stat(Window.partitionBy(*part)))
+    summary = d.groupBy(*part).agg(F.first("_stat").alias("_s"))
+    wc = Window.partitionBy(*partition)
+    carried = summary.withColumn("_carry", carry(F.col("_s"), wc)).drop("_s")
+    return d.drop("_stat").join(carried, list(part), "left")
+
+
+def ffill(df: DataFrame, col: str | Sequence[str], partition: Sequence[str], order: Sequence[str],
+          chunk: Column | None = None, out: str | Sequence[str] | None = None) -> DataFrame:
+    """Last non-NULL value at or before each row, for one column or
+    several (filled in the same pass: one exchange, one carry join)."""
+    cols = [col] if isinstance(col, str) else list(col)
+    outs = [out] if isinstance(out, str) else list(out) if out else cols
     d, part = _setup(df, partition, chunk)
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(UNB, 0)
-    d = d.withColumn("_in", F.last(col, ignorenulls=True).over(w))
+    d = d.withColumns({f"_in{i}": F.last(c, ignorenulls=True).over(w) for i, c in enumerate(cols)})
     if chunk is None:
-        return d.withColumn(out, F.col("_in")).drop("_in")
+        return d.withColumns({o: F.col(f"_in{i}") for i, o in enumerate(outs)}).drop(*[f"_in{i}" for i in range(len(cols))])
     okey = F.struct(*order)
-    summary = d.groupBy(*part).agg(F.max_by(F.col(col), F.when(F.col(col).isNotNull(), okey)).alias("_lastv"))
-    wc = Window.partitionBy(*partition).orderBy("_chunk").rowsBetween(UNB, -1)
-    carry = summary.withColumn("_carry", F.last("_lastv", ignorenulls=True).over(wc)).drop("_lastv")
-    res = d.join(carry, part, "left").withColumn(out, F.coalesce("_in", "_carry")).drop("_in", "_carry")
-    return _finish(res)
+
+    def last_in_chunk(wa):
+        return F.struct(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).over(wa).alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def carry(s, wc):
+        wprev = wc.orderBy("_chunk").rowsBetween(UNB, -1)
+        return F.struct(*[F.last(s.getField(f"c{i}"), ignorenulls=True).over(wprev).alias(f"c{i}") for i in range(len(cols))])
+
+    d = _with_carry(d, part, partition, last_in_chunk, carry)
+    d = d.withColumns({o: F.coalesce(F.col(f"_in{i}"), F.col("_carry").getField(f"c{i}")) for i, o in enumerate(outs)})
+    return _finish(d.drop(*[f"_in{i}" for i in range(len(cols))], "_carry"))
 
 
 def bfill(df: DataFrame, col: str, partition: Sequence[str], order: Sequence[str], chunk: Column | None = None,
@@ -67,29 +90,26 @@ def bfill(df: DataFrame, col: str, partition: Sequence[str], order: Sequence[str
     d = d.withColumn("_in", F.last(col, ignorenulls=True).over(w))
     if chunk is None:
         return d.withColumn(out, F.col("_in")).drop("_in")
-    okey = F.struct(*order)
-    summary = d.groupBy(*part).agg(F.min_by(F.col(col), F.when(F.col(col).isNotNull(), okey)).alias("_firstv"))
-    wc = Window.partitionBy(*partition).orderBy(F.col("_chunk").desc()).rowsBetween(UNB, -1)
-    carry = summary.withColumn("_carry", F.last("_firstv", ignorenulls=True).over(wc)).drop("_firstv")
-    res = d.join(carry, part, "left").withColumn(out, F.coalesce("_in", "_carry")).drop("_in", "_carry")
-    return _finish(res)
+    first_in_chunk = F.min_by(F.col(col), F.when(F.col(col).isNotNull(), F.struct(*order)))
+    d = _with_carry(
+        d, part, partition, first_in_chunk.over,
+        lambda s, wc: F.last(s, ignorenulls=True).over(wc.orderBy(F.col("_chunk").desc()).rowsBetween(UNB, -1)),
+    )
+    return _finish(d.withColumn(out, F.coalesce("_in", "_carry")).drop("_in", "_carry"))
 
 
 def _neighbour(df: DataFrame, col: str, partition, order, chunk, step: int) -> tuple[DataFrame, Column]:
     """Value of ``col`` on the previous (step=-1) or next (step=1) row; the
-    neighbour across a chunk border comes from the chunk summary."""
+    neighbour across a chunk border comes from the chunk summary.  Adds
+    ``_nb`` (and ``_carry`` when chunked); callers drop them."""
     d, part = _setup(df, partition, chunk)
     w = Window.partitionBy(*part).orderBy(*order)
     fn = F.lag if step < 0 else F.lead
     d = d.withColumn("_nb", fn(F.struct(F.col(col).alias("v")), 1).over(w))
     if chunk is None:
         return d, F.col("_nb.v")
-    okey = F.struct(*order)
-    edge = F.max_by if step < 0 else F.min_by
-    summary = d.groupBy(*part).agg(edge(F.struct(F.col(col).alias("v")), okey).alias("_edge"))
-    wc = Window.partitionBy(*partition).orderBy("_chunk")
-    carry = summary.withColumn("_carry", fn("_edge", 1).over(wc)).drop("_edge")
-    d = d.join(carry, part, "left")
+    edge = (F.max_by if step < 0 else F.min_by)(F.struct(F.col(col).alias("v")), F.struct(*order))
+    d = _with_carry(d, part, partition, edge.over, lambda s, wc: fn(s, 1).over(wc.orderBy("_chunk")))
     return d, F.when(F.col("_nb").isNull(), F.col("_carry.v")).otherwise(F.col("_nb.v"))
 
 
@@ -120,17 +140,9 @@ def running_count(df: DataFrame, cond: Column, partition: Sequence[str], order:
                   chunk: Column | None = None, out: str = "block_id") -> DataFrame:
     """Running count of rows meeting ``cond`` (a block id that steps at
     each separator row)."""
-    d, part = _setup(df, partition, chunk)
-    d = d.withColumn("_hit", cond.cast("int"))
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(UNB, 0)
-    d = d.withColumn("_in", F.coalesce(F.sum("_hit").over(w), F.lit(0)))
-    if chunk is None:
-        return d.withColumn(out, F.col("_in").cast("long")).drop("_in", "_hit")
-    summary = d.groupBy(*part).agg(F.coalesce(F.sum("_hit"), F.lit(0)).alias("_n"))
-    wc = Window.partitionBy(*partition).orderBy("_chunk").rowsBetween(UNB, -1)
-    carry = summary.withColumn("_carry", F.coalesce(F.sum("_n").over(wc), F.lit(0))).drop("_n")
-    res = d.join(carry, part, "left").withColumn(out, (F.col("_in") + F.col("_carry")).cast("long"))
-    return _finish(res.drop("_in", "_carry", "_hit"))
+    d = df.withColumn("_hit", cond.cast("long"))
+    d = running_sum(d, ["_hit"], partition, order, chunk, prefix="_cum")
+    return d.withColumn(out, F.coalesce(F.col("_cum_hit"), F.lit(0)).cast("long")).drop("_hit", "_cum_hit")
 
 
 def with_ordinal(df: DataFrame, partition: Sequence[str], order: Sequence[str], out: str = "ordinal") -> DataFrame:
@@ -152,15 +164,20 @@ def running_sum(df: DataFrame, cols: Sequence[str], partition: Sequence[str], or
                 chunk: Column | None = None, prefix: str = "cum_") -> DataFrame:
     """Running (inclusive) sums of ``cols`` along ``order``; with ``chunk``
     the scan is split into ranges and carried across them as above (used for
-    cumulative curves over a globally sorted table)."""
+    block ids and cumulative curves over a globally sorted table)."""
     d, part = _setup(df, partition, chunk)
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(UNB, 0)
     d = d.withColumns({f"_in_{c}": F.sum(c).over(w) for c in cols})
     if chunk is None:
         return d.withColumns({f"{prefix}{c}": F.col(f"_in_{c}") for c in cols}).drop(*[f"_in_{c}" for c in cols])
-    summary = d.groupBy(*part).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    wc = Window.partitionBy(*partition).orderBy("_chunk").rowsBetween(UNB, -1)
-    carry = summary.withColumns({f"_cy_{c}": F.coalesce(F.sum(f"_t_{c}").over(wc), F.lit(0)) for c in cols})
-    carry = carry.drop(*[f"_t_{c}" for c in cols])
-    res = d.join(carry, part, "left").withColumns({f"{prefix}{c}": F.col(f"_in_{c}") + F.col(f"_cy_{c}") for c in cols})
-    return _finish(res.drop(*[f"_in_{c}" for c in cols], *[f"_cy_{c}" for c in cols]))
+    def totals(w):
+        return F.struct(*[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(c) for c in cols])
+
+    d = _with_carry(
+        d, part, partition, totals,
+        lambda s, wc: F.struct(
+            *[F.coalesce(F.sum(s.getField(c)).over(wc.orderBy("_chunk").rowsBetween(UNB, -1)), F.lit(0)).alias(c) for c in cols]
+        ),
+    )
+    d = d.withColumns({f"{prefix}{c}": F.col(f"_in_{c}") + F.col("_carry").getField(c) for c in cols})
+    return _finish(d.drop(*[f"_in_{c}" for c in cols], "_carry"))

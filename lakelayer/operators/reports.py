@@ -128,7 +128,8 @@ def _like_ne_true(col: str, pattern: str) -> Column:
     return F.col(col).like(pattern) != F.lit(True)
 
 
-def parse_statements(rows: DataFrame, year: int, q: int, published: str, order: str = "row") -> DataFrame:
+def parse_statements(rows: DataFrame, year: int, q: int, published: str, order: str = "row",
+                     chunk: Column | None = None) -> DataFrame:
     """M4: sectioned income / balance statements -> tidy rows.
 
     ``rows``: ``(file, sheet, row, Descripcion, Valor)`` from :func:`slice_period`.
@@ -155,16 +156,17 @@ def parse_statements(rows: DataFrame, year: int, q: int, published: str, order:
         "left",
     )
     d = d.withColumn("_marker", F.when(F.col("_is_title"), F.col("Descripcion")))
-    d = ffill(d, "_marker", SHEET, [order], out="Empresa")
+    d = ffill(d, "_marker", SHEET, [order], chunk, out="Empresa")
     d = d.filter(F.col("Empresa") != F.col("Descripcion"))
-    d = d.withColumn(
-        "_kind", F.when(F.upper("Descripcion").isin(KIND_WORDS), F.initcap("Descripcion"))
+    d = d.withColumns(
+        {
+            "_kind": F.when(F.upper("Descripcion").isin(KIND_WORDS), F.initcap("Descripcion")),
+            "_term": F.when(F.col("Descripcion").isin(TERM_WORDS), F.initcap("Descripcion")),
+        }
     )
-    part = [*SHEET, "Empresa"]
-    d = ffill(d, "_kind", part, [order], out="_kind_f")
+    # statement kind and current / non-current term, filled within a company
+    d = ffill(d, ["_kind", "_term"], [*SHEET, "Empresa"], [order], chunk, out=["_kind_f", "_term_f"])
     d = d.withColumn("ValorContable", F.coalesce("_kind_f", F.lit("Utilidad")))
-    d = d.withColumn("_term", F.when(F.col("Descripcion").isin(TERM_WORDS), F.initcap("Descripcion")))
-    d = ffill(d, "_term", part, [order], out="_term_f")
     d = d.withColumn(
         "TipoCorriente",
         F.when(F.col("ValorContable").isin("Activo", "Pasivo", "Assets", "Liabilities"), F.col("_term_f")).otherwise("N/A"),
@@ -204,14 +206,15 @@ def parse_statements(rows: DataFrame, year: int, q: int, published: str, order:
 CAPEX_EXCLUDE = ["%Inversiones dentro balance%", "%Negocios que no consolidan%"]
 
 
-def parse_capex(rows: DataFrame, year: int, q: int, published: str, order: str = "row") -> DataFrame:
+def parse_capex(rows: DataFrame, year: int, q: int, published: str, order: str = "row",
+                chunk: Column | None = None) -> DataFrame:
     """M5: ``(file, sheet, row, EMPRESA, Valor)`` -> ``PAIS, EMPRESA, Valor``:
     the row before each blank caption (block total) is dropped, a captioned
     row without value is a country header forward-filled onto the companies
     below it, excluded captions removed."""
-    d = drop_before_blank(rows, "EMPRESA", SHEET, [order]).filter(F.col("EMPRESA").isNotNull())
+    d = drop_before_blank(rows, "EMPRESA", SHEET, [order], chunk).filter(F.col("EMPRESA").isNotNull())
     d = d.withColumn("_country", F.when(F.col("Valor").isNull(), F.col("EMPRESA")))
-    d = ffill(d, "_country", SHEET, [order], out="PAIS").filter(F.col("Valor").isNotNull())
+    d = ffill(d, "_country", SHEET, [order], chunk, out="PAIS").filter(F.col("Valor").isNotNull())
     for p in CAPEX_EXCLUDE:
         d = d.filter(~F.col("EMPRESA").like(p))
     return d.select(
@@ -232,7 +235,8 @@ TRAFFIC_SEPARATORS = "[-\\s\\t\\n\\r\\x0b\\x0c\\u00A0]+"
 TRAFFIC_COMPANY = "(?i)(RUTA|TMDE|TPD)"
 
 
-def parse_traffic(rows: DataFrame, year: int, q: int, published: str, order: str = "row") -> DataFrame:
+def parse_traffic(rows: DataFrame, year: int, q: int, published: str, order: str = "row",
+                  chunk: Column | None = None) -> DataFrame:
     """M6: company rows (``RUTA``/``TMDE``/``TPD``) with type rows beneath;
     separators stripped; a captioned row without value gets ``'0'``."""
     d = rows
@@ -250,7 +254,7 @@ def parse_traffic(rows: DataFrame, year: int, q: int, published: str, order: str
     ).dropna(subset=["Empresa", "Valor"])
     d = d.withColumn("_is_company", F.col("Empresa").rlike(TRAFFIC_COMPANY))
     d = d.withColumn("_marker", F.when(F.col("_is_company"), F.col("Empresa")))
-    d = ffill(d, "_marker", SHEET, [order], out="Compania").filter(~F.col("_is_company"))
+    d = ffill(d, "_marker", SHEET, [order], chunk, out="Compania").filter(~F.col("_is_company"))
     return d.select(
         "Compania", F.col("Empresa").alias("Tipo"), "Valor",
         F.lit(str(year)).alias("Ano"), F.lit(str(q)).alias("Trimestre"),
@@ -259,7 +263,8 @@ def parse_traffic(rows: DataFrame, year: int, q: int, published: str, order: str
 
 
 # ---------------------------------------------------------------- M7
-def parse_debt_profile(rows: DataFrame, year: int, q: int, published: str, order: str = "row") -> DataFrame:
+def parse_debt_profile(rows: DataFrame, year: int, q: int, published: str, order: str = "row",
+                       chunk: Column | None = None) -> DataFrame:
     """M7: ``(file, sheet, row, Compania, Moneda, Valor, tint)``: a coloured
     row (``tint != 0``) names a country, which applies to itself and to the
     rows *before* it (backward fill); ``TOTAL DEUDA`` rows are dropped; a
@@ -267,12 +272,12 @@ def parse_debt_profile(rows: DataFrame, year: int, q: int, published: str, order
     d = null_out(rows, ["Compania", "Moneda", "Valor"], ["nan"])
     d = d.filter(~(F.col("Compania").isNull() & F.col("Moneda").isNull() & F.col("Valor").isNull()))
     d = d.withColumn("_c", F.when(F.col("tint") != 0, F.col("Compania")))
-    d = bfill(d, "_c", SHEET, [order], out="_next_c")
+    d = bfill(d, "_c", SHEET, [order], chunk, out="_next_c")
     d = d.withColumn("Pais", F.when(F.col("tint") != 0, F.col("Compania")).otherwise(F.col("_next_c")))
     d = d.filter(F.col("Pais").isNotNull() & (F.col("Pais") != "TOTAL DEUDA"))
     from .fill import lag_fill
 
-    d = lag_fill(d, "Compania", SHEET, [order])
+    d = lag_fill(d, "Compania", SHEET, [order], chunk)
     return d.select(
         "Pais", "Compania", "Moneda", F.col("Valor").try_cast("double").alias("Valor"),
         F.lit(str(year)).alias("Ano"), F.lit(str(q)).alias("trimestre"), F.lit(published).alias("FECHAPUBLICACION"),
@@ -343,20 +348,23 @@ def project_report(df: DataFrame) -> DataFrame:
     )
 
 
-def classify_indent(cells: DataFrame, order: str = "row") -> DataFrame:
+def classify_indent(cells: DataFrame, order: str = "row", chunk: Column | None = None) -> DataFrame:
     """Rows of a block -- a row right after a blank caption is a country
     header; a row with indent 1 is a company; others are detail lines."""
     from .fill import _neighbour
 
-    d, prev = _neighbour(cells, "value", SHEET, [order], None, -1)
-    d = d.withColumn("_prev_present", F.col("_nb").isNotNull())
+    d, prev = _neighbour(cells, "value", SHEET, [order], chunk, -1)
+    # a row has a previous row when it has one in its chunk or across a border
+    has_prev = F.col("_nb").isNotNull() | (F.col("_carry").isNotNull() if chunk is not None else F.lit(False))
+    d = d.withColumn("_prev_present", has_prev)
     kind = (
         F.when(F.col("value").isNull(), F.lit("blank"))
         .when(F.col("_prev_present") & prev.isNull(), F.lit("country"))
         .when(F.col("indent") == 1, F.lit("company"))
         .otherwise(F.lit("detail"))
     )
-    return d.withColumn("kind", kind).drop("_nb", "_prev_present")
+    out = d.withColumn("kind", kind).drop("_nb", "_prev_present", "_carry")
+    return out.drop("_chunk") if "_chunk" in out.columns else out
 
 
 # ---------------------------------------------------------------- B18, M8
@@ -398,7 +406,7 @@ def _to_iso_date(col: str) -> Column:
 
 
 def parse_debt(rows: DataFrame, kind: str, mes: str | None, ano: str | None, year: int, q: int, published: str,
-               order: str = "row") -> DataFrame:
+               order: str = "row", chunk: Column | None = None) -> DataFrame:
     """M8: consolidated bonds (``kind='bonos'``) or loans (``'creditos'``).
 
     ``rows`` carries the sheet columns under their header names (amount
@@ -440,8 +448,8 @@ def parse_debt(rows: DataFrame, kind: str, mes: str | None, ano: str | None, yea
             "_comp": F.when(F.col("Filial").isNotNull() & F.col("Tipo").isNotNull(), F.col("Filial")),
         }
     )
-    d = ffill(d, "_pais", SHEET, [order], out="Pais")
-    d = ffill(d, "_comp", SHEET, [order], out="Compania")
+    d = ffill(d, "_pais", SHEET, [order], chunk, out="Pais")
+    d = ffill(d, "_comp", SHEET, [order], chunk, out="Compania")
     d = d.filter(F.col("Tipo").isNotNull())
     return d.select(
         "Compania", "Pais", "Tipo", F.col("Fuente de Financiación").alias("FuentedeFinanciacion"),
@@ -466,7 +474,8 @@ def legacy_name(name: str) -> str:
     return "".join(ch for ch in s if not unicodedata.combining(ch))
 
 
-def parse_loans_legacy(cells: DataFrame, names: Sequence[str], published: str, order: str = "row") -> DataFrame:
+def parse_loans_legacy(cells: DataFrame, names: Sequence[str], published: str, order: str = "row",
+                       chunk: Column | None = None) -> DataFrame:
     """Legacy loan sheet from its cell table.  The first row holds the
     headers (B16); ``names`` are those header texts in column order (sheet
     metadata).  Cells are pivoted to one row per sheet row with the listed
@@ -498,8 +507,8 @@ def parse_loans_legacy(cells: DataFrame, names: Sequence[str], published: str, o
             "_comp": F.when(F.col("Filial").isNotNull() & F.col("FuentedeFinanciacion").isNotNull(), F.col("Filial")),
         }
     )
-    d = ffill(d, "_pais", SHEET, [order], out="Pais")
-    d = ffill(d, "_comp", SHEET, [order], out="Compania").filter(F.col("FuentedeFinanciacion").isNotNull())
+    d = ffill(d, "_pais", SHEET, [order], chunk, out="Pais")
+    d = ffill(d, "_comp", SHEET, [order], chunk, out="Compania").filter(F.col("FuentedeFinanciacion").isNotNull())
     keep = ["Compania", "Pais", "FuentedeFinanciacion", "MonedaCredito", "FechaInicial", "FechaVencimiento", "PlazoAnos",
             "TasadeInteres", *amounts]
     return d.select(*[c for c in keep if c in d.columns], F.lit(published).cast("timestamp").alias("FECHAPUBLICACION"))

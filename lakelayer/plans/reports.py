@@ -29,6 +29,12 @@ PUBLISHED = "2024-01-31 00:00:00"
 LINE = 1_000_000  # rows reserved per nation block
 
 
+def _chunk():
+    """Ordered scans over a sheet run in chunks of one block (a sheet here
+    holds a whole table, so an unchunked scan would be one task)."""
+    return F.floor(F.col("row") / F.lit(LINE))
+
+
 def _quarter_grid(t: Tables):
     """Per nation one sheet: a title + period header row, then one row per
     customer with its 1998 order count per quarter (blank when none)."""
@@ -189,7 +195,7 @@ FROM k
 )
 def q_parse_statements(spark, sf_dir):
     """M4: statement sections -> tidy (state, company, line, kind, term, value)."""
-    return parse_statements(_statement_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED)
+    return parse_statements(_statement_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=_chunk())
 
 
 def _capex_rows(t: Tables):
@@ -235,7 +241,7 @@ FROM f WHERE Valor IS NOT NULL AND EMPRESA NOT LIKE '%Inversiones dentro balance
 )
 def q_parse_capex(spark, sf_dir):
     """M5: capex blocks -> (country, company, value)."""
-    return parse_capex(_capex_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED)
+    return parse_capex(_capex_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=_chunk())
 
 
 def _traffic_rows(t: Tables):
@@ -286,7 +292,7 @@ FROM f WHERE NOT is_c
 )
 def q_parse_traffic(spark, sf_dir):
     """M6: traffic sheet -> (company, type, value)."""
-    return parse_traffic(_traffic_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED)
+    return parse_traffic(_traffic_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=_chunk())
 
 
 def _debt_rows(t: Tables):
@@ -329,7 +335,7 @@ FROM c
 )
 def q_parse_debt_profile(spark, sf_dir):
     """M7: debt profile -> (country, company, currency, value)."""
-    return parse_debt_profile(_debt_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED)
+    return parse_debt_profile(_debt_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=_chunk())
 
 
 PROJECTS_SQL = """
@@ -473,7 +479,7 @@ def q_classify_indent(spark, sf_dir):
     blank = n.select(F.lit("capex.xlsx").alias("file"), F.lit("CAPEX").alias("sheet"),
                      (F.col("n_nationkey").cast("long") * LINE + LINE - 1).alias("row"), F.lit(None).cast("string").alias("value"),
                      F.lit(0).alias("indent"))
-    return classify_indent(head.unionByName(lines).unionByName(blank))
+    return classify_indent(head.unionByName(lines).unionByName(blank), chunk=_chunk())
 
 
 DEBT_COLS = [
@@ -514,7 +520,7 @@ def q_parse_debt(spark, sf_dir):
 
     rows = _debt_sheet(Tables(spark, sf_dir))
     rename, mes, ano = parse_header_period(rows.columns)
-    return parse_debt(rows.withColumnsRenamed(rename), "bonos", mes, ano, 2024, 2, PUBLISHED)
+    return parse_debt(rows.withColumnsRenamed(rename), "bonos", mes, ano, 2024, 2, PUBLISHED, chunk=_chunk())
 
 
 LEGACY_NAMES = ["Filial", "Fuente de\nFinanciación", "Moneda Crédito", "Fecha Inicial", "Fecha Vencimiento", "Plazo Años",
@@ -545,4 +551,4 @@ def q_parse_loans_legacy(spark, sf_dir):
     """Legacy loan sheet (header row, serial dates)."""
     from ..operators.reports import parse_loans_legacy
 
-    return parse_loans_legacy(_legacy_cells(Tables(spark, sf_dir)), LEGACY_NAMES, PUBLISHED)
+    return parse_loans_legacy(_legacy_cells(Tables(spark, sf_dir)), LEGACY_NAMES, PUBLISHED, chunk=_chunk())
