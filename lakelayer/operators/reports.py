@@ -332,20 +332,22 @@ def report_wide(existing: DataFrame, new: DataFrame, row_keys: Sequence[str], pe
 
 def project_report(df: DataFrame) -> DataFrame:
     """Hierarchical project list -- country > company > control type >
-    project -- with group-header flags for the first line of each group,
-    countries sorted (a total order; the caller sorts on read)."""
-    from pyspark.sql import Window
-
-    w_c = Window.partitionBy("Pais").orderBy("Compania", "TipoControl", "Proyecto")
-    w_e = Window.partitionBy("Pais", "Compania").orderBy("TipoControl", "Proyecto")
-    w_t = Window.partitionBy("Pais", "Compania", "TipoControl").orderBy("Proyecto")
-    return df.withColumns(
-        {
-            "country_header": F.row_number().over(w_c) == 1,
-            "company_header": F.row_number().over(w_e) == 1,
-            "control_header": F.row_number().over(w_t) == 1,
-        }
-    )
+    project -- with a header flag on the first line of each group (countries
+    and lines sorted on read).  The first line of each group is a ``min``
+    aggregate per group (partial aggregation before the shuffle) joined back,
+    so a country holding a third of the projects is not sorted in one task."""
+    levels = {
+        "country_header": (["Pais"], ["Compania", "TipoControl", "Proyecto"]),
+        "company_header": (["Pais", "Compania"], ["TipoControl", "Proyecto"]),
+        "control_header": (["Pais", "Compania", "TipoControl"], ["Proyecto"]),
+    }
+    out = df
+    for flag, (keys, order) in levels.items():
+        first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias(f"_{flag}"))
+        out = out.join(first, keys, "left").withColumn(
+            flag, F.coalesce(F.struct(*order) == F.col(f"_{flag}"), F.lit(False))
+        ).drop(f"_{flag}")
+    return out
 
 
 def classify_indent(cells: DataFrame, order: str = "row", chunk: Column | None = None) -> DataFrame:
