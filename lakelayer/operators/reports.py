@@ -147,8 +147,10 @@ def parse_statements(rows: DataFrame, year: int, q: int, published: str, order:
     for p in DROP_TOTALS:
         keep = keep & _like_ne_true("Descripcion", p)
     d = d.filter(keep)
+    desc = F.col("Descripcion")
     for pat, rep in LABEL_REWRITES:
-        d = d.withColumn("Descripcion", F.regexp_replace("Descripcion", pat, rep))
+        desc = F.regexp_replace(desc, pat, rep)
+    d = d.withColumn("Descripcion", desc)
     # a caption equal to any title text of the sheet is a company marker
     d = d.join(
         titles.select(*SHEET, F.col("_title").alias("Descripcion"), F.lit(True).alias("_is_title")),
@@ -186,8 +188,10 @@ def parse_statements(rows: DataFrame, year: int, q: int, published: str, order:
         & _like_ne_true("Descripcion", "%EQUITY%")
     )
     d = d.filter(keep)
+    kind = F.col("ValorContable")
     for pat, rep in KIND_REWRITES:
-        d = d.withColumn("ValorContable", F.regexp_replace("ValorContable", pat, rep))
+        kind = F.regexp_replace(kind, pat, rep)
+    d = d.withColumn("ValorContable", kind)
     d = d.filter(F.col("_is_title").isNull())
     return d.select(
         F.trim(F.split("Empresa", "-").getItem(0)).alias("Estado"),
