@@ -77,8 +77,8 @@ def search(train_df: DataFrame, val_df: DataFrame, features: Sequence[str], labe
            families: Sequence[str] = ("logistic_regression", "random_forest"), n_trials: int = 3, seed: int = 42,
            space: Mapping[str, Mapping[str, list]] | None = None, weight: str | None = None) -> DataFrame:
     """O2: seeded random search maximising F1 on the validation split; a
-    failed trial scores NULL and is ignored.  Returns the trial table
-    ``(trial, family, params, f1)``; the best per family is refit on
+    failed trial scores NULL (its error is kept) and is ranked last.
+    Returns the trial table ``(trial, family, params, f1, error)``; the best per family is refit on
     train+validation by :func:`refit_best`."""
     space = space or DEFAULT_SPACE
     rng = random.Random(seed)
@@ -92,11 +92,12 @@ def search(train_df: DataFrame, val_df: DataFrame, features: Sequence[str], labe
     for fam in families:
         for _ in range(n_trials):
             params = {k: rng.choice(v) for k, v in space[fam].items()}
+            err = None
             try:
                 f1 = _f1(train(train_df, fam, params, features, label, weight), val_df, label)
-            except Exception:  # noqa: BLE001 - failed trial = NULL score
-                f1 = None
-            rows.append((trial, fam, repr(sorted(params.items())), f1))
+            except Exception as exc:  # noqa: BLE001 - failed trial = NULL score
+                f1, err = None, f"{type(exc).__name__}: {str(exc)[:300]}"
+            rows.append((trial, fam, repr(sorted(params.items())), f1, err))
             trial += 1
     train_df.unpersist()
     val_df.unpersist()
@@ -106,6 +107,7 @@ def search(train_df: DataFrame, val_df: DataFrame, features: Sequence[str], labe
             T.StructField("family", T.StringType()),
             T.StructField("params", T.StringType()),
             T.StructField("f1", T.DoubleType()),
+            T.StructField("error", T.StringType()),
         ]
     )
     return train_df.sparkSession.createDataFrame(rows, schema)
@@ -117,6 +119,8 @@ def refit_best(trials: DataFrame, train_df: DataFrame, val_df: DataFrame, featur
     train + validation."""
     from ast import literal_eval
 
-    best = trials.filter(F.col("f1").isNotNull()).orderBy(F.desc("f1"), "trial").first()
+    best = trials.orderBy(F.desc_nulls_last("f1"), "trial").first()
+    if best is None:
+        raise ValueError("no trials to refit")
     params = dict(literal_eval(best["params"]))
     return best["family"], params, train(train_df.unionByName(val_df), best["family"], params, features, label, weight)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,13 +22,13 @@ def _pred(p: str | Column) -> Column:
     return F.coalesce(F.expr(p) if isinstance(p, str) else p, F.lit(False))
 
 
-def expect(df: DataFrame, rules: Sequence[Rule], name: str = "expectations") -> tuple[DataFrame, Observation]:
-    """I3 (warn): rows are kept; failure counts are collected as observed
-    metrics while the data flows through the next action (no extra pass)."""
-    obs = Observation(name)
-    metrics = [F.count(F.lit(1)).alias("_rows")]
-    metrics += [F.count_if(~_pred(p)).alias(n) for n, p in rules]
-    return df.observe(obs, *metrics), obs
+def expect(df: DataFrame, rules: Sequence[Rule], dataset: str = "dataset") -> tuple[DataFrame, DataFrame]:
+    """I3 (warn): rows are kept unchanged; the failure counts come back as a
+    lazy :func:`expectation_report` frame (one aggregate pass when it is
+    read).  ``DataFrame.observe`` would save that pass, but an observation
+    registered on the session makes later ``pyspark.ml`` fits fail to
+    serialise their tasks (ObservationManager), so it is not used."""
+    return df, expectation_report(df, rules, dataset)
 
 
 def expect_or_drop(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -164,9 +164,9 @@ def test_zip_rows_observe_and_classify(spark):
     z = rows(zip_rows(a, b, ["g"], ["r"], ["k"]), "r")
     assert z == [("s", 1, "a", 10, 0.5), ("s", 2, "b", 20, 0.7)]
     df = spark.createDataFrame([(1,), (None,), (3,)], "v int")
-    checked, obs = expect(df, [("v_present", "v IS NOT NULL"), ("v_big", "v > 2")])
+    checked, report = expect(df, [("v_present", "v IS NOT NULL"), ("v_big", "v > 2")], "d")
     assert checked.count() == 3
-    assert obs.get == {"_rows": 3, "v_present": 1, "v_big": 2}
+    assert {r.name: (r.passed_records, r.failed_records) for r in report.collect()} == {"v_present": (2, 1), "v_big": (1, 2)}
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType()),
                            T.StructField("c", T.TimestampNTZType()), T.StructField("d", T.BooleanType())])
     assert classify_columns(schema, {"a": "categorical"}) == {
