@@ -56,8 +56,9 @@ def normalize_text_exact(col: Column | str) -> Column:
 
 
 def text_equals_ci_ai(col: Column | str, literal: str) -> Column:
-    """Accent- and case-insensitive equality without a UDF (ICU collation)."""
-    return F.expr(f"collate({_c(col)._jc.toString()}, 'UNICODE_CI_AI')") == F.lit(literal)
+    """Accent- and case-insensitive equality without a UDF (ICU collation):
+    the comparison used where the reference normalises both sides first."""
+    return F.collate(_c(col), "UNICODE_CI_AI") == F.lit(literal)
 
 
 def standardize_phone(col: Column | str) -> Column:
@@ -86,23 +87,6 @@ def drop_last_char(col: Column | str) -> Column:
     return F.regexp_replace(_c(col), ".$", "")
 
 
-def clean_name(name: str) -> str:
-    """Column-name normalisation: strip accents, newlines, spaces and
-    punctuation (driver-side on names only, never on data)."""
-    s = "".join(c for c in unicodedata.normalize("NFD", name) if unicodedata.category(c) != "Mn")
-    s = s.replace("\n", " ").strip()
-    out = []
-    for ch in s:
-        if ch.isalnum():
-            out.append(ch)
-        elif ch in " _-./":
-            out.append("_")
-    res = "".join(out)
-    while "__" in res:
-        res = res.replace("__", "_")
-    return res.strip("_")
-
-
 def percent_text(col: Column | str, digits: int = 3) -> Column:
     """Rate rendered as text: ``round(x*100, digits) %``."""
     return F.concat_ws(" ", F.round(_c(col) * 100, digits).cast("string"), F.lit("%"))

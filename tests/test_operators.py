@@ -171,3 +171,14 @@ def test_zip_rows_observe_and_classify(spark):
                            T.StructField("c", T.TimestampNTZType()), T.StructField("d", T.BooleanType())])
     assert classify_columns(schema, {"a": "categorical"}) == {
         "numeric": [], "categorical": ["a", "b"], "datetime": ["c"], "boolean": ["d"]}
+
+
+def test_text_helpers(spark):
+    from lakelayer.functions.text import normalize_text, normalize_text_exact, standardize_phone, text_equals_ci_ai
+
+    df = spark.createDataFrame([("Tráfico",), ("Ñandú Ölçer",), (None,)], "s string")
+    got = [tuple(r) for r in df.select(normalize_text("s"), normalize_text_exact("s"), text_equals_ci_ai("s", "trafico")).collect()]
+    assert got[0] == ("trafico", "trafico", True) and got[1][0] == got[1][1] == "nandu olcer" and got[2][0] is None
+    ph = spark.createDataFrame([("(+57) 300-123 4567 ext 89 012",), ("",), (None,), ("١٢٣4",)], "p string")
+    out = [r[0] for r in ph.select(standardize_phone("p")).collect()]
+    assert out[:3] == ["(573)-001-234-56789", "()---", None] and out[3] == "(١٢٣)-4--"
