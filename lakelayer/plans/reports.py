@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.fill import with_ordinal  # noqa: F401  (E11 is the carried row)
 from ..operators.reports import (
     cells_from_rows,
     classify_indent,

@@ -6,7 +6,6 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakelayer.operators import fill
