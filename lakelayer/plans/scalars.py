@@ -20,7 +20,7 @@ CUT = "1998-01-01"
 SELECT o_orderkey, year(o_orderdate) AS yr, quarter(o_orderdate) AS qtr,
        CASE quarter(o_orderdate) WHEN 1 THEN 'Marzo' WHEN 2 THEN 'Junio' WHEN 3 THEN 'Septiembre' ELSE 'Diciembre' END AS month_name,
        CAST(DATE '1899-12-30' + CAST(o_orderkey % 50000 + 30000 AS INTEGER) AS DATE) AS serial_day,
-       CAST(round(o_totalprice / 1000000.0 * 100, 3) AS VARCHAR) || ' %' AS rate_text,
+       CAST(round((o_orderkey % 997) / 10000.0 * 100, 3) AS VARCHAR) || ' %' AS rate_text,
        CAST(TRY_CAST(o_totalprice AS DECIMAL(10, 0)) AS DOUBLE) AS amount_dec,
        CAST(TRY_CAST(o_totalprice * 100000 AS DECIMAL(10, 0)) AS DOUBLE) AS amount_overflow,
        CAST(ceil(o_totalprice / 1000) AS BIGINT) AS price_k_ceil,
@@ -44,7 +44,7 @@ def q_scalar_functions(spark, sf_dir):
         F.quarter("o_orderdate").alias("qtr"),
         F.coalesce(F.element_at(months, F.quarter("o_orderdate")), F.lit("Diciembre")).alias("month_name"),
         serial_date(F.col("o_orderkey") % 50000 + 30000).alias("serial_day"),
-        percent_text(F.col("o_totalprice") / 1000000.0).alias("rate_text"),
+        percent_text((F.col("o_orderkey") % 997) / 10000.0).alias("rate_text"),
         # decimal casts round HALF_UP and give NULL on overflow; reported as double
         F.col("o_totalprice").try_cast("decimal(10,0)").cast("double").alias("amount_dec"),
         (F.col("o_totalprice") * 100000).try_cast("decimal(10,0)").cast("double").alias("amount_overflow"),
