@@ -1,9 +1,12 @@
 """Distributed profiling (survey D7-D9, D11, N8-N10, F3).
 
-Every statistic is an aggregate with a map-side partial step; quantiles use
-the mergeable ``percentile_approx`` sketch (exact while a group has fewer
-values than ``accuracy``, rank error ``1/accuracy`` beyond), never a
-collect-all-values percentile.
+Every statistic is an aggregate with a map-side partial step.  Quantiles
+are exact without collecting a group's values anywhere: values are counted
+per distinct value (a hot value collapses map-side), the counts are
+accumulated in value order with a chunked running sum (a hot group is split
+into value ranges), and the q-quantile is the smallest value whose
+cumulative count reaches ``ceil(q * n)`` (the discrete definition).  The
+mergeable ``percentile_approx`` sketch remains available (``exact=False``).
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .fill import running_sum
+
 QUANTILE_ACCURACY = 100000
 
 
@@ -92,22 +97,59 @@ def value_range(df: DataFrame, col: str) -> tuple[float, float]:
     return float(r["lo"]), float(r["hi"])
 
 
-def box_stats(df: DataFrame, col: str, groups: Sequence[str], accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """Quartiles, IQR and 1.5xIQR whiskers per group."""
-    q = F.percentile_approx(col, [0.25, 0.5, 0.75], accuracy)
-    s = df.groupBy(*groups).agg(q.alias("_q"), F.count(col).alias("n"), F.min(col).alias("min"), F.max(col).alias("max"))
-    s = s.select(
-        *groups, "n", "min", "max",
-        F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"),
+def exact_quantiles(df: DataFrame, col: str, groups: Sequence[str], qs: Sequence[float],
+                    chunks: int = 1024) -> DataFrame:
+    """Exact discrete quantiles per group: ``(groups..., n, min, max, q0..)``
+    where ``q_i`` is the smallest value with ``count(<= value) >= ceil(q*n)``.
+
+    Work: one aggregate to (group, value, count), one to per-group stats,
+    then a running count over values chunked by equal-width value ranges of
+    the group; the final pick is a conditional ``min`` per group."""
+    groups = list(groups)
+    v = df.select(*groups, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
+    counts = v.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    stats_aggs = [F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    if groups:
+        d = counts.join(counts.groupBy(*groups).agg(*stats_aggs), groups)
+    else:  # one row of bounded size: inline it rather than join on nothing
+        st = counts.agg(*stats_aggs).first()
+        d = counts.withColumns({"_n": F.lit(st["_n"]), "_lo": F.lit(st["_lo"]), "_hi": F.lit(st["_hi"])})
+    width = (F.col("_hi") - F.col("_lo")) / F.lit(chunks)
+    chunk = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(chunks - 1))).otherwise(0)
+    cum = running_sum(d, ["_c"], groups, ["_v"], chunk, prefix="_cum")
+    picks = [
+        F.min(F.when(F.col("_cum_c") >= F.greatest(F.ceil(F.lit(float(q)) * F.col("_n")), F.lit(1)), F.col("_v"))).alias(f"q{i}")
+        for i, q in enumerate(qs)
+    ]
+    out = cum.groupBy(*groups).agg(
+        F.first("_n").alias("n"), F.first("_lo").alias("min"), F.first("_hi").alias("max"), *picks
     )
+    return out.withColumn("n", F.col("n").cast("long"))
+
+
+def box_stats(df: DataFrame, col: str, groups: Sequence[str], accuracy: int = QUANTILE_ACCURACY,
+              exact: bool = True) -> DataFrame:
+    """Quartiles, IQR and 1.5xIQR whiskers per group."""
+    if exact:
+        s = exact_quantiles(df, col, groups, [0.25, 0.5, 0.75]).select(
+            *groups, "n", "min", "max", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
+        )
+    else:
+        q = F.percentile_approx(col, [0.25, 0.5, 0.75], accuracy)
+        s = df.groupBy(*groups).agg(q.alias("_q"), F.count(col).alias("n"), F.min(col).alias("min"), F.max(col).alias("max"))
+        s = s.select(
+            *groups, "n", "min", "max",
+            F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"),
+        )
     iqr = F.col("q3") - F.col("q1")
     return s.withColumns({"lower_fence": F.col("q1") - 1.5 * iqr, "upper_fence": F.col("q3") + 1.5 * iqr})
 
 
-def outliers(df: DataFrame, col: str, groups: Sequence[str], accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+def outliers(df: DataFrame, col: str, groups: Sequence[str], accuracy: int = QUANTILE_ACCURACY,
+             exact: bool = True) -> DataFrame:
     """Rows outside the 1.5xIQR fences of their group.  The per-group
     fence table has one row per group; AQE broadcasts it when small."""
-    fences = box_stats(df, col, groups, accuracy).select(*groups, "lower_fence", "upper_fence")
+    fences = box_stats(df, col, groups, accuracy, exact).select(*groups, "lower_fence", "upper_fence")
     j = df.join(fences, list(groups), "inner")
     return j.filter((F.col(col) < F.col("lower_fence")) | (F.col(col) > F.col("upper_fence"))).drop(
         "lower_fence", "upper_fence"
@@ -116,7 +158,8 @@ def outliers(df: DataFrame, col: str, groups: Sequence[str], accuracy: int = QUA
 
 def terciles(df: DataFrame, col: str, out: str = "tercile", accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
     """Target terciles (quantile cut in three) from one sketch aggregate."""
-    cuts = df.agg(F.percentile_approx(col, [1 / 3, 2 / 3], accuracy).alias("c")).first()["c"]
+    r = exact_quantiles(df, col, [], [1 / 3, 2 / 3]).first()
+    cuts = [r["q0"], r["q1"]]
     t = F.when(F.col(col) <= F.lit(cuts[0]), 1).when(F.col(col) <= F.lit(cuts[1]), 2).otherwise(3)
     return df.withColumn(out, F.when(F.col(col).isNull(), F.lit(None)).otherwise(t))
 

@@ -181,3 +181,22 @@ def test_text_helpers(spark):
     ph = spark.createDataFrame([("(+57) 300-123 4567 ext 89 012",), ("",), (None,), ("١٢٣4",)], "p string")
     out = [r[0] for r in ph.select(standardize_phone("p")).collect()]
     assert out[:3] == ["(573)-001-234-56789", "()---", None] and out[3] == "(١٢٣)-4--"
+
+
+def test_exact_quantiles_match_sorted_rank(spark):
+    import math
+
+    from lakelayer.operators.profile import exact_quantiles
+
+    rnd = random.Random(4)
+    data = [("hot", 7.0) for _ in range(300)] + [("hot", float(rnd.randint(0, 50))) for _ in range(200)]
+    data += [("cold", float(rnd.randint(-5, 5))) for _ in range(37)] + [("cold", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    qs = [0.1, 0.25, 0.5, 1 / 3, 0.75, 0.9, 1.0]
+    for groups in (["g"], []):
+        got = exact_quantiles(df, "v", groups, qs, chunks=8).collect()
+        for r in got:
+            vals = sorted(v for g, v in data if v is not None and (not groups or g == r["g"]))
+            assert r["n"] == len(vals) and r["min"] == vals[0] and r["max"] == vals[-1]
+            for i, q in enumerate(qs):
+                assert r[f"q{i}"] == vals[max(math.ceil(q * len(vals)), 1) - 1]
