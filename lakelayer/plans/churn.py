@@ -1,4 +1,4 @@
-"""Churn medallion queries over the test tables.
+"""Churn bronze / silver / gold queries over the test tables.
 
 Mapping: customers are the users, ``events`` is the click stream (event type is
 the platform, the event day is the session), ``orders`` are the transactions
