@@ -178,3 +178,19 @@ def q_time_split(spark, sf_dir):
         ).select(F.lit(name).alias("part"), "event_type", "n", "value_sum")
 
     return summary(train, "train").unionByName(summary(test, "test"))
+
+
+@register(
+    "stratified_split",
+    f"""
+WITH e AS (SELECT event_id, event_type, {int_bucket_sql('event_id', SEED)} AS hb FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY hb, event_id) AS rk,
+             count(*) OVER (PARTITION BY event_type) AS n FROM e)
+SELECT event_id, event_type, CASE WHEN rk <= round(0.8 * n) THEN 'train' ELSE 'test' END AS split FROM r
+""",
+)
+def q_stratified_split(spark, sf_dir):
+    """80/20 split with exact per-event-type proportions."""
+    from ..operators.sample import stratified_split
+
+    return stratified_split(Tables(spark, sf_dir).events.select("event_id", "event_type"), "event_type", "event_id", 0.8, SEED)
