@@ -46,3 +46,14 @@ def test_entry_smoke(spark):
 
     df = entry(spark)
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QS if n not in {"train_leaderboard", "batch_score", "stream_ingest_equals_batch"}))
+def test_schema_is_stable_and_names_unique(spark, name):
+    """The driver compares schemas: building a query twice gives the same
+    schema, and no two output columns share a name (case-insensitively)."""
+    a = QS[name](spark, SF).schema
+    b = QS[name](spark, SF).schema
+    assert a == b
+    names = [f.name.lower() for f in a.fields]
+    assert len(names) == len(set(names))
