@@ -512,14 +512,58 @@ def _debt_sheet(t: Tables):
     return u.select(F.lit("deuda.xlsx").alias("file"), F.lit("KitBonos").alias("sheet"), (F.col("b") + F.col("o")).alias("row"), *DEBT_COLS)
 
 
-@register("parse_debt")
+DEBT_SQL = """
+WITH raw AS (
+  SELECT n_nationkey * 1000000 AS row, n_name AS Filial, NULL::VARCHAR AS Tipo, NULL::VARCHAR AS Fuente,
+         NULL::VARCHAR AS Moneda, NULL::VARCHAR AS FE, NULL::VARCHAR AS FV, NULL::VARCHAR AS Plazo, NULL::VARCHAR AS Tasa,
+         NULL::VARCHAR AS U8, NULL::VARCHAR AS U9, NULL::VARCHAR AS MC, NULL::VARCHAR AS MCOP, NULL::VARCHAR AS MUSD
+  FROM nation
+  UNION ALL
+  SELECT n_nationkey * 1000000 + 10 + s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN 'Bonos' ELSE 'Bonos Verdes' END,
+         'Mercado', 'USD', strftime(DATE '2015-01-01' + CAST(s_suppkey AS INTEGER), '%Y-%m-%d %H:%M:%S'),
+         strftime(DATE '2030-01-01' + CAST(s_suppkey AS INTEGER), '%Y-%m-%d %H:%M:%S'),
+         CAST(CAST(s_suppkey % 30 + 0.5 AS DOUBLE) AS VARCHAR), 'IPC', '+',
+         CASE WHEN s_suppkey % 5 = 0 THEN 'nan' ELSE CAST(CAST(s_suppkey % 7 AS DOUBLE) / 100.0 AS VARCHAR) END,
+         CAST(s_acctbal AS VARCHAR), CAST(s_acctbal * 4 AS VARCHAR), CAST(CAST(floor(s_acctbal) AS BIGINT) AS VARCHAR)
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION ALL
+  SELECT n_nationkey * 1000000 + 900000, 'TOTAL BONOS', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+  FROM nation),
+a AS (SELECT row, Filial, Tipo, Fuente, Moneda, FE, FV, Plazo, Tasa, U8,
+             CASE WHEN U9 IN ('nan', 'NaT', 'NaN') THEN NULL ELSE U9 END AS U9, MC, MCOP, MUSD FROM raw
+      WHERE Filial IS NULL OR Filial NOT IN ('(1) Bonos emitidos en PEN y se hizo un SWAP a USD con el Banco BBVA.',
+        '(2) Bonos emitidos en USD y se hizo un SWAP a UF.', '(3) Opcion Call', 'Bonos Verdes', 'TOTAL BONOS')),
+b AS (SELECT *, CASE WHEN Filial IS NOT NULL AND Tipo IS NULL THEN Filial END AS p_m,
+                CASE WHEN Filial IS NOT NULL AND Tipo IS NOT NULL THEN Filial END AS c_m FROM a
+      WHERE NOT (Filial = ' ' AND Tipo = ' ')),
+c AS (SELECT *, last_value(p_m IGNORE NULLS) OVER w AS Pais, last_value(c_m IGNORE NULLS) OVER w AS Compania
+      FROM b WINDOW w AS (ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT Compania, Pais, Tipo, Fuente AS FuentedeFinanciacion, Moneda AS MonedaCredito,
+       strftime(try_strptime(FE, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d') AS FechaEmision,
+       strftime(try_strptime(FV, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d') AS FechaVencimiento,
+       CAST(TRY_CAST(Plazo AS DECIMAL(10, 2)) AS DOUBLE) AS PlazoAnos,
+       concat_ws(' ', Tasa, U8, CASE WHEN U9 IS NOT NULL
+                               THEN CAST(round(TRY_CAST(U9 AS DOUBLE) * 100.0, 3) AS VARCHAR) || ' %' END) AS TasaDeInteres,
+       '2024' AS AnoMoneda, 'Jun' AS MesMoneda,
+       CAST(TRY_CAST(MC AS DECIMAL(20, 0)) AS DOUBLE) AS MonedaDelCredito,
+       CAST(TRY_CAST(MCOP AS DECIMAL(10, 0)) AS DOUBLE) AS MillonesDeCOP,
+       CAST(TRY_CAST(MUSD AS DECIMAL(10, 0)) AS DOUBLE) AS MilesUSD,
+       '2024' AS AnoEvaluado, '2' AS trimestreEvaluado, TIMESTAMP '2024-01-31 00:00:00' AS FECHAPUBLICACION
+FROM c WHERE Tipo IS NOT NULL
+"""
+
+
+@register("parse_debt", DEBT_SQL)
 def q_parse_debt(spark, sf_dir):
-    """Consolidated bonds sheet -> typed tidy rows."""
+    """Consolidated bonds sheet -> typed tidy rows (the
+    decimal amounts are reported as double for the comparison)."""
     from ..operators.reports import parse_debt, parse_header_period
 
     rows = _debt_sheet(Tables(spark, sf_dir))
     rename, mes, ano = parse_header_period(rows.columns)
-    return parse_debt(rows.withColumnsRenamed(rename), "bonos", mes, ano, 2024, 2, PUBLISHED, chunk=_chunk())
+    out = parse_debt(rows.withColumnsRenamed(rename), "bonos", mes, ano, 2024, 2, PUBLISHED, chunk=_chunk())
+    dec = [c for c, t in out.dtypes if t.startswith("decimal")]
+    return out.withColumns({c: F.col(c).cast("double") for c in dec})
 
 
 LEGACY_NAMES = ["Filial", "Fuente de\nFinanciación", "Moneda Crédito", "Fecha Inicial", "Fecha Vencimiento", "Plazo Años",
@@ -545,9 +589,41 @@ def _legacy_cells(t: Tables):
     return cells_from_rows(grid, "file", "sheet", "row", [f"v{i}" for i in range(len(LEGACY_NAMES))])
 
 
-@register("parse_loans_legacy")
+LEGACY_SQL = """
+WITH raw AS (
+  SELECT n_nationkey * 1000000 + 10 AS row, n_name AS Filial, NULL::VARCHAR AS Fuente, NULL::VARCHAR AS Moneda,
+         NULL::VARCHAR AS FI, NULL::VARCHAR AS FV, NULL::VARCHAR AS Plazo, NULL::VARCHAR AS Tasa,
+         NULL::VARCHAR AS MC, NULL::VARCHAR AS MCOP, NULL::VARCHAR AS MUSD FROM nation
+  UNION ALL
+  SELECT n_nationkey * 1000000 + 11 + s_suppkey, s_name, 'Banco', 'COP', CAST(43000 + s_suppkey AS VARCHAR),
+         CAST(47000 + s_suppkey AS VARCHAR), CAST(s_suppkey % 12 AS VARCHAR), 'IBR + 2%', CAST(s_acctbal AS VARCHAR),
+         CAST(s_acctbal * 4 AS VARCHAR), CAST(CAST(floor(s_acctbal) AS BIGINT) AS VARCHAR)
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+a AS (SELECT *, CASE WHEN Filial IS NOT NULL AND Fuente IS NULL THEN Filial END AS p_m,
+                CASE WHEN Filial IS NOT NULL AND Fuente IS NOT NULL THEN Filial END AS c_m FROM raw
+      WHERE (Filial IS NULL OR Filial <> 'Filial')
+        AND (Filial IS NULL OR Filial NOT IN ('(1) Bonos emitidos en PEN y se hizo un SWAP a USD con el Banco BBVA.',
+             '(2) Bonos emitidos en USD y se hizo un SWAP a UF.', '(3) Opcion Call', 'Bonos Verdes'))),
+c AS (SELECT *, last_value(p_m IGNORE NULLS) OVER w AS Pais, last_value(c_m IGNORE NULLS) OVER w AS Compania
+      FROM a WINDOW w AS (ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT Compania, Pais, Fuente AS FuentedeFinanciacion, Moneda AS MonedaCredito,
+       CAST(DATE '1899-12-30' + TRY_CAST(FI AS INTEGER) AS DATE) AS FechaInicial,
+       CAST(DATE '1899-12-30' + TRY_CAST(FV AS INTEGER) AS DATE) AS FechaVencimiento,
+       TRY_CAST(Plazo AS INTEGER) AS PlazoAnos, Tasa AS TasadeInteres,
+       CAST(TRY_CAST(MC AS DECIMAL(20, 0)) AS DOUBLE) AS Jun2024monedadelcredito,
+       CAST(TRY_CAST(MCOP AS DECIMAL(10, 0)) AS DOUBLE) AS Jun2024millonesdeCOP,
+       CAST(TRY_CAST(MUSD AS DECIMAL(10, 0)) AS DOUBLE) AS Jun2024milesUSD,
+       TIMESTAMP '2024-01-31 00:00:00' AS FECHAPUBLICACION
+FROM c WHERE Fuente IS NOT NULL
+"""
+
+
+@register("parse_loans_legacy", LEGACY_SQL)
 def q_parse_loans_legacy(spark, sf_dir):
-    """Legacy loan sheet (header row, serial dates)."""
+    """Legacy loan sheet (header row, serial dates); the
+    decimal amounts are reported as double for the comparison."""
     from ..operators.reports import parse_loans_legacy
 
-    return parse_loans_legacy(_legacy_cells(Tables(spark, sf_dir)), LEGACY_NAMES, PUBLISHED, chunk=_chunk())
+    out = parse_loans_legacy(_legacy_cells(Tables(spark, sf_dir)), LEGACY_NAMES, PUBLISHED, chunk=_chunk())
+    dec = [c for c, t in out.dtypes if t.startswith("decimal")]
+    return out.withColumns({c: F.col(c).cast("double") for c in dec})
