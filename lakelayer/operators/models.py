@@ -75,32 +75,45 @@ def _f1(model: PipelineModel, df: DataFrame, label: str) -> float | None:
 
 def search(train_df: DataFrame, val_df: DataFrame, features: Sequence[str], label: str,
            families: Sequence[str] = ("logistic_regression", "random_forest"), n_trials: int = 3, seed: int = 42,
-           space: Mapping[str, Mapping[str, list]] | None = None, weight: str | None = None) -> DataFrame:
+           space: Mapping[str, Mapping[str, list]] | None = None, weight: str | None = None,
+           parallelism: int = 2) -> DataFrame:
     """O2: seeded random search maximising F1 on the validation split; a
     failed trial scores NULL (its error is kept) and is ranked last.
-    Returns the trial table ``(trial, family, params, f1, error)``; the best per family is refit on
-    train+validation by :func:`refit_best`."""
+    Returns the trial table ``(trial, family, params, f1, error)``; the best
+    is refit on train+validation by :func:`refit_best`.
+
+    Trial parameters are drawn up front (the seed alone decides them), and
+    up to ``parallelism`` trials are fitted at once -- each fit is a series
+    of distributed jobs, so concurrent trials keep the executors busy, as
+    ``pyspark.ml``'s own tuning does with its ``parallelism``."""
+    from concurrent.futures import ThreadPoolExecutor
+
     space = space or DEFAULT_SPACE
     rng = random.Random(seed)
-    rows = []
-    trial = 0
+    plan = []
+    for fam in families:
+        for _ in range(n_trials):
+            plan.append((len(plan), fam, {k: rng.choice(v) for k, v in space[fam].items()}))
     # every trial scans the same inputs: keep them on the executors (memory,
     # spilling to disk) instead of recomputing the feature plan per trial;
     # a lost executor recomputes its blocks from the lineage
     train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
     val_df = val_df.persist(StorageLevel.MEMORY_AND_DISK)
-    for fam in families:
-        for _ in range(n_trials):
-            params = {k: rng.choice(v) for k, v in space[fam].items()}
-            err = None
-            try:
-                f1 = _f1(train(train_df, fam, params, features, label, weight), val_df, label)
-            except Exception as exc:  # noqa: BLE001 - failed trial = NULL score
-                f1, err = None, f"{type(exc).__name__}: {str(exc)[:300]}"
-            rows.append((trial, fam, repr(sorted(params.items())), f1, err))
-            trial += 1
-    train_df.unpersist()
-    val_df.unpersist()
+
+    def run(item):
+        trial, fam, params = item
+        try:
+            f1 = _f1(train(train_df, fam, params, features, label, weight), val_df, label)
+            return trial, fam, repr(sorted(params.items())), f1, None
+        except Exception as exc:  # noqa: BLE001 - failed trial = NULL score
+            return trial, fam, repr(sorted(params.items())), None, f"{type(exc).__name__}: {str(exc)[:300]}"
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, int(parallelism))) as pool:
+            rows = list(pool.map(run, plan))
+    finally:
+        train_df.unpersist()
+        val_df.unpersist()
     schema = T.StructType(
         [
             T.StructField("trial", T.IntegerType()),
