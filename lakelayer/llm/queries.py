@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakelayer.llm import licenses, mixing, quality, url_filter
+from lakelayer.llm import licenses, mixing, quality, sharding, toxicity, url_filter
 from lakelayer.llm.common import read
 
 
@@ -13,6 +14,13 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "sentence_ids", "licences", "n_known", "n_unmatched")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    slim = docs.withColumn("text_crc32", F.crc32(F.col("text").cast("binary")))
+    out = sharding.shard_records(slim)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return docs.drop("text", "lang", "source", *[c for c in docs.columns if c.startswith("fence_")])
@@ -23,10 +31,17 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.drop("url")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = toxicity.learnt_rows()
+    out = toxicity.score(docs, read(spark, sf_dir, "labels"), learn)
+    return out.select("doc_id", (~learn).alias("held_out"), "score", "predicted")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op5_quality_rules, op8_url_filter, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_sharding, op5_quality_rules, op8_url_filter, op9_toxicity, op10_mixing)}
 
 ORACLES = {"op2_license_scan": licenses.SQL, "op8_url_filter": url_filter.SQL, "op10_mixing": mixing.SQL}
