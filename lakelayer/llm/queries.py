@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayer.llm import licenses, mixing, quality, sharding, toxicity, url_filter
+from lakelayer.llm import licenses, mixing, quality, sharding, simhash, toxicity, url_filter
 from lakelayer.llm.common import read
 
 
@@ -26,6 +26,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.drop("text", "lang", "source", *[c for c in docs.columns if c.startswith("fence_")])
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = url_filter.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"))
     return pages.drop("url")
@@ -42,6 +47,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_sharding, op5_quality_rules, op8_url_filter, op9_toxicity, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_sharding, op5_quality_rules, op6_simhash, op8_url_filter, op9_toxicity, op10_mixing)}
 
 ORACLES = {"op2_license_scan": licenses.SQL, "op8_url_filter": url_filter.SQL, "op10_mixing": mixing.SQL}
