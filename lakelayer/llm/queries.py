@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayer.llm import licenses, mixing, quality, sharding, simhash, toxicity, url_filter
+from lakelayer.llm import decontaminate, licenses, mixing, quality, sharding, simhash, toxicity, url_filter
 from lakelayer.llm.common import read
 
 
@@ -31,6 +31,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.col("item_ids").cast("binary"), 256)
+    return out.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated", "n_near")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = url_filter.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"))
     return pages.drop("url")
@@ -47,6 +54,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_sharding, op5_quality_rules, op6_simhash, op8_url_filter, op9_toxicity, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_sharding, op5_quality_rules, op6_simhash, op7_decontamination, op8_url_filter, op9_toxicity, op10_mixing)}
 
 ORACLES = {"op2_license_scan": licenses.SQL, "op8_url_filter": url_filter.SQL, "op10_mixing": mixing.SQL}
