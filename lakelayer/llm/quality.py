@@ -48,8 +48,9 @@ def repeated_words(df: DataFrame, words: str, n: int) -> DataFrame:
 
     The 64-bit hash of each window, its upper bits packed with the window's
     position, is sorted as one array of longs; equal neighbours (checked on all
-    64 bits) are repeats.  Where the packed bits of unequal hashes collide, the
-    repeats are found by membership instead."""
+    64 bits) are repeats.  Of windows whose packed bits agree with a neighbour's
+    but not the hash, equal ones may stand apart: these few are compared with
+    each other."""
     mask = (1 << POSITION_BITS) - 1
     w = F.col(words)
 
@@ -69,21 +70,24 @@ def repeated_words(df: DataFrame, words: str, n: int) -> DataFrame:
     def same(x: Column, y: Column) -> Column:
         return F.coalesce(F.get(h, position(x)) == F.get(h, position(y)), F.lit(False))
 
-    collide = F.exists(
-        F.transform(p, lambda x, i: (i > 0) & (F.shiftright(x, POSITION_BITS) == F.shiftright(F.get(p, i - 1), POSITION_BITS)) & ~same(x, F.get(p, i - 1))),
-        lambda b: b,
-    )
-    # A repeat gives its position, any other window -1.
-    near = F.transform(p, lambda x, i: F.when(((i > 0) & same(x, F.get(p, F.greatest(i - 1, F.lit(0))))) | same(x, F.get(p, i + 1)), position(x)).otherwise(-1))
-    df = df.withColumn("__collide", F.coalesce(collide, F.lit(False)))
-    df = df.withColumn("__q", F.when(~F.col("__collide"), F.sort_array(F.array_remove(near, -1))))
-    twice = F.filter(F.array_distinct(h), lambda x: F.size(F.filter(h, lambda y: y == x)) > 1)
-    member = F.array_remove(F.transform(h, lambda x, i: F.when(F.array_contains(F.col("__twice"), x), i).otherwise(-1)), -1)
-    df = df.withColumn("__twice", F.when(F.col("__collide"), twice))
-    df = df.withColumn("__q", F.when(F.col("__collide"), member).otherwise(F.col("__q")))
+    def alike(x: Column, y: Column) -> Column:
+        return F.coalesce(F.shiftright(x, POSITION_BITS) == F.shiftright(y, POSITION_BITS), F.lit(False))
+
+    def state(x: Column, i: Column) -> Column:
+        """The position of a window equal to a neighbour; -2 - position where only
+        the packed bits agree; else -1."""
+        before, behind = F.get(p, i - 1), F.get(p, i + 1)
+        return F.when(same(x, before) | same(x, behind), position(x)).when(alike(x, before) | alike(x, behind), -2 - position(x)).otherwise(-1)
+
+    df = df.withColumn("__near", F.transform(p, state))
+    near = F.col("__near")
+    df = df.withColumn("__odd", F.transform(F.filter(near, lambda v: v < -1), lambda v: -2 - v))
+    odd = F.col("__odd")  # a few windows at most
+    twin = F.filter(odd, lambda c: F.exists(odd, lambda d: (d != c) & (F.get(h, d) == F.get(h, c))))
+    df = df.withColumn("__q", F.sort_array(F.concat(F.filter(near, lambda v: v >= 0), twin)))
     q = F.col("__q")
     covered = F.aggregate(F.transform(q, lambda x, i: F.least(F.lit(n), F.coalesce(F.get(q, i + 1) - x, F.lit(n)))), F.lit(0).cast("long"), lambda a, x: a + x)
-    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("__h", "__p", "__collide", "__twice", "__q")
+    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("__h", "__p", "__near", "__odd", "__q")
 
 
 def measures(least: Mapping[str, float]) -> dict[str, Column]:
