@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayer.llm import decontaminate, licenses, mixing, quality, sharding, simhash, toxicity, url_filter
+from lakelayer.llm import chat, decontaminate, licenses, mixing, quality, sharding, simhash, toxicity, url_filter
 from lakelayer.llm.common import read
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", chat.SPOKEN), (-7, 1, "assistant", chat.SPOKEN)], "conv_id long, turn long, role string, text string")
+    return chat.digests(rows.unionByName(more))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = licenses.scan(read(spark, sf_dir, "documents"))
     return docs.select("doc_id", "sentence_ids", "licences", "n_known", "n_unmatched")
@@ -54,6 +60,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_sharding, op5_quality_rules, op6_simhash, op7_decontamination, op8_url_filter, op9_toxicity, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_license_scan, op3_sharding, op5_quality_rules, op6_simhash, op7_decontamination, op8_url_filter, op9_toxicity, op10_mixing)}
 
-ORACLES = {"op2_license_scan": licenses.SQL, "op8_url_filter": url_filter.SQL, "op10_mixing": mixing.SQL}
+ORACLES = {"op1_chat_format": chat.SQL, "op2_license_scan": licenses.SQL, "op8_url_filter": url_filter.SQL, "op10_mixing": mixing.SQL}
