@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayer.llm import chat, decontaminate, licenses, mixing, quality, sharding, simhash, toxicity, url_filter
+from lakelayer.llm import chat, decontaminate, licenses, lm, mixing, quality, sharding, simhash, toxicity, url_filter
 from lakelayer.llm.common import read
 
 
@@ -27,6 +27,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), lm.training_rows())
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return docs.drop("text", "lang", "source", *[c for c in docs.columns if c.startswith("fence_")])
@@ -60,6 +64,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_license_scan, op3_sharding, op5_quality_rules, op6_simhash, op7_decontamination, op8_url_filter, op9_toxicity, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_license_scan, op3_sharding, op4_lm_score, op5_quality_rules, op6_simhash, op7_decontamination, op8_url_filter, op9_toxicity, op10_mixing)}
 
 ORACLES = {"op1_chat_format": chat.SQL, "op2_license_scan": licenses.SQL, "op8_url_filter": url_filter.SQL, "op10_mixing": mixing.SQL}

@@ -125,14 +125,14 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
 
 
 def scorer(spark, model):
-    """mapInPandas function that replaces ``__text`` by the evidence ``__d``."""
+    """Pandas UDF: the evidence of a text."""
     shared = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         words, pairs = shared.value
-        for b in batches:
-            b["__d"] = np.array([evidence(t, words, pairs) for t in b["__text"]], dtype=float)
-            yield b.drop(columns="__text")
+        for texts in batches:
+            yield pd.Series([evidence(t, words, pairs) for t in texts], dtype=float)
 
     return run
 
@@ -148,7 +148,7 @@ def fit(labelled: DataFrame):
     sample = parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
     sample = materialize(sample.repartition(2 * spark.sparkContext.defaultParallelism))
     model = expressions(sample.filter("NOT __fit"))
-    held = sample.filter("__fit").select("toxic", "__text").mapInPandas(scorer(spark, model), "toxic int, __d double").toPandas()
+    held = sample.filter("__fit").select("toxic", scorer(spark, model)("__text").alias("__d")).toPandas()
     share = float(held["toxic"].mean()) if len(held) else 0.0
     if held["toxic"].nunique() < 2:
         return model, (0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
@@ -162,8 +162,7 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text",
     known = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(ident).alias("__id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
     learnt = docs.filter(learn).select(F.col(ident).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     model, (slope, intercept) = fit(learnt.join(known, "__id").select("__text", "toxic"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", __d double"
-    df = docs.withColumn("__text", F.coalesce(F.col(text), F.lit(""))).mapInPandas(scorer(docs.sparkSession, model), schema)
+    df = docs.withColumn("__d", scorer(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit(""))))
     value = 1 / (1 + F.exp(-(F.col("__d") * slope + intercept)))
     return df.withColumn("score", value).withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("__d")
 
