@@ -129,8 +129,8 @@ def shard_records(
     """``df`` plus size, shard (0 to ``shards`` - 1) and slot (gapless from 0 in
     every shard, in the order of the key: the text's XXH64).  Columns of these
     names in ``df`` are replaced.  The records move once, to their range."""
-    df = df.drop("size", "shard", "slot")
-    df = df.withColumns({"__key": F.xxhash64(text), "__id": F.coalesce(F.col(ident).cast("long"), F.lit(LEAST)), "__size": size_of(F.col(text))})
+    columns = [c for c in df.columns if c not in ("size", "shard", "slot")]
+    df = df.select(*columns).withColumns({"__key": F.xxhash64(text), "__id": F.coalesce(F.col(ident).cast("long"), F.lit(LEAST)), "__size": size_of(F.col(text))})
     slim = materialize(df.select("__key", "__id", "__size"))
     cuts, total = splitters(slim, shards, ranges_per_shard, oversample, overfull)
     starts, _ = placed(slim, cuts, total, shards, group_share)
@@ -138,4 +138,4 @@ def shard_records(
     out, _ = placed(df, cuts, total, shards, group_share)
     out = out.join(F.broadcast(first), "shard")  # at most one row per shard
     out = out.withColumns({"size": F.col("__size"), "slot": (F.col("__row") - F.col("__first")).cast("long")})
-    return out.drop(*[c for c in out.columns if c.startswith("__") and c not in df.columns], "__key", "__id", "__size")
+    return out.select(*columns, "size", "shard", "slot")
