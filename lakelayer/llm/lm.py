@@ -49,8 +49,8 @@ from lakelayer.llm.common import materialize, words
 
 MASS = 300.0  # M
 END, START = b"\n", b"\n\n"  # no word holds white space
-SHARD_BYTES = 24 << 20
-STEP_TOKENS = 4 << 20
+SHARD_BYTES = 16 << 20
+STEP_TOKENS = 3 << 20
 STEP_BYTES = 16 << 20
 SAMPLE_BYTES = 8 << 20
 PART = 1 << 16  # values coded at a time; a whole number of bytes
@@ -246,10 +246,10 @@ class Tokens:
         import xxhash
 
         self.shut()
-        coded = pa.chunked_array([*self.chunks, pa.array(self.heads, type=pa.binary())]).dictionary_encode().unify_dictionaries()
+        coded = pa.concat_arrays([*self.chunks, pa.array(self.heads, type=pa.binary())]).dictionary_encode()
         self.chunks = []
-        ids = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in coded.chunks]).astype(np.int32)
-        self.hashes = np.array([xxhash.xxh64_intdigest(w) for w in coded.chunk(0).dictionary.to_pylist()], dtype=np.uint64)
+        ids = coded.indices.to_numpy(zero_copy_only=False)
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist()), dtype=np.uint64, count=len(coded.dictionary))
         self.word, heads = ids[: self.n], ids[self.n :]
         self.context = np.empty_like(self.word)
         self.context[1:] = self.word[:-1]
@@ -285,6 +285,22 @@ def token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
         yield block.done()
 
 
+def different(a: np.ndarray) -> np.ndarray:
+    """Different values, sorted."""
+    a = np.sort(a)
+    return a[np.r_[True, a[1:] != a[:-1]]] if len(a) else a
+
+
+def numbered(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values, sorted, and the number of each element's value."""
+    order = np.argsort(a, kind="stable")
+    a = a[order]
+    new = np.r_[True, a[1:] != a[:-1]]
+    number = np.empty(len(a), dtype=np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    return a[new], number
+
+
 def word_counts(shards: int, hot: np.ndarray):
     """Job 1: per block and word bucket the words, their training counts and the
     shards that will ask for them."""
@@ -296,7 +312,7 @@ def word_counts(shards: int, hot: np.ndarray):
             n = len(b.hashes)
             count = np.bincount(b.word[b.train[b.doc]], minlength=n)
             at = shard_of(b.hashes[b.context], b.hashes[b.word], hot, shards).astype(np.int64)
-            asks = np.unique(np.concatenate([b.word.astype(np.int64) * shards + at, b.context.astype(np.int64) * shards + at]))
+            asks = different(np.concatenate([different(b.word.astype(np.int64) * shards + at), different(b.context.astype(np.int64) * shards + at)]))
             asker, shard = asks // shards, asks % shards
             bucket = (mix(b.hashes ^ np.uint64(0x5BD1E995)) % np.uint64(shards)).astype(np.int32)
             order = np.argsort(bucket[asker], kind="stable")
@@ -349,13 +365,15 @@ def pair_blocks(shards: int, hot: np.ndarray):
             at = shard_of(b.hashes[b.context], b.hashes[b.word], hot, shards)
             order = np.argsort(at.astype(np.uint16) if shards < 1 << 16 else at, kind="stable")
             bounds = np.searchsorted(at[order], np.arange(shards + 1))
-            place = np.empty(len(b.hashes), dtype=np.int64)
+            place, marked = np.empty(len(b.hashes), dtype=np.int32), np.zeros(len(b.hashes), dtype=bool)
             for s in range(shards):
                 own = order[bounds[s] : bounds[s + 1]]
                 if not len(own):
                     continue
                 word, context = b.word[own], b.context[own]
-                used = np.unique(np.concatenate([word, context]))
+                marked[word] = marked[context] = True
+                used = np.flatnonzero(marked)
+                marked[used] = False
                 place[used] = np.arange(len(used))
                 step = np.diff(b.doc[own], prepend=0)  # documents come in order
                 blocks.append(pack(h=b.hashes[used], w=narrow(place[word]), u=narrow(place[context]), d=narrow(step), train=np.packbits(b.train[b.doc[own]])))
@@ -390,14 +408,17 @@ def shard_scores(total: int, kinds: int, texts: int, mass: float):
                 place = np.searchsorted(h, g["h"])
                 keys.append(place[g["u"].astype(np.int64)] * n + place[g["w"].astype(np.int64)])
                 trained.append(np.unpackbits(g["train"])[: len(keys[-1])].astype(bool))
-                docs.append(np.cumsum(g["d"].astype(np.int64)))
+                docs.append(np.cumsum(g["d"], dtype=np.int32))
             sizes = [len(k) for k in keys]
-            pair, which = np.unique(np.concatenate(keys), return_inverse=True)
+            pair, which = numbered(np.concatenate(keys))
+            del keys, group
             count = np.bincount(which[np.concatenate(trained)], minlength=len(pair))
-            context, word = pair // n, pair % n
+            context, word = (pair // n).astype(np.int32), (pair % n).astype(np.int32)
+            del pair
             seen = count > 0
             trie = Trie(Trie.build(h, c, as_context, total, kinds, context[seen], word[seen], count[seen], mass))
-            score = trie.score(context, word)
+            del seen, count
+            score = np.concatenate([trie.score(context[k : k + 8 * PART], word[k : k + 8 * PART]) for k in range(0, len(context), 8 * PART)])
             base = np.log10(c[word] + 1.0) - np.log10(total + kinds + 1.0)
             known = (c[word] > 0).astype(float)
             at = 0
