@@ -7,7 +7,6 @@ from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _c(col: Column | str) -> Column:
@@ -16,43 +15,28 @@ def _c(col: Column | str) -> Column:
 
 @lru_cache(maxsize=1)
 def _accent_table() -> tuple[str, str]:
-    """Accented Latin letters -> base letter, built by rule from Unicode data:
-    every code point in Latin-1 Supplement and Latin Extended-A/B whose canonical
-    decomposition (NFD) minus combining marks (category Mn) is one ASCII letter."""
+    """Marked letters -> base letter, built by rule from Unicode data: every code
+    point whose canonical decomposition (NFD) minus non-spacing marks (category
+    Mn) is one other character."""
     src, dst = [], []
-    for cp in range(0x00C0, 0x0250):
+    for cp in range(0x00C0, 0x30000):
         ch = chr(cp)
+        if not unicodedata.decomposition(ch) or unicodedata.decomposition(ch).startswith("<"):
+            continue
         base = "".join(c for c in unicodedata.normalize("NFD", ch) if unicodedata.category(c) != "Mn")
-        if base != ch and len(base) == 1 and base.isascii():
+        if base != ch and len(base) == 1:
             src.append(ch)
             dst.append(base)
     return "".join(src), "".join(dst)
 
 
 def normalize_text(col: Column | str) -> Column:
-    """Strip diacritics and lower-case (NFD, drop non-spacing marks, lower).
-
-    Runs as a JVM ``translate`` over the Latin accent table, so it stays inside
-    whole-stage codegen.  Text with marks outside Latin (or already decomposed
-    combining marks) needs :func:`normalize_text_exact`.
-    """
+    """Strip diacritics and lower-case (NFD, drop non-spacing marks, lower) as JVM
+    expressions: ``translate`` over the table above, then marks that stand
+    alone are dropped.  Hangul syllables, which decompose into several
+    letters, stay composed."""
     src, dst = _accent_table()
-    return F.lower(F.translate(_c(col), src, dst))
-
-
-@F.pandas_udf(T.StringType())
-def _normalize_exact(s):  # Arrow-batched; one call per batch, not per row
-    def one(v):
-        if v is None:
-            return None
-        return "".join(c for c in unicodedata.normalize("NFD", v) if unicodedata.category(c) != "Mn").lower()
-
-    return s.map(one)
-
-
-def normalize_text_exact(col: Column | str) -> Column:
-    """Full Unicode form of :func:`normalize_text` (vectorised pandas UDF)."""
-    return _normalize_exact(_c(col))
+    return F.lower(F.regexp_replace(F.translate(_c(col), src, dst), "\\p{Mn}+", ""))
 
 
 def text_equals_ci_ai(col: Column | str, literal: str) -> Column:

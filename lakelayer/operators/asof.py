@@ -47,6 +47,8 @@ def asof_join(
     def bucket(c):
         return F.floor(epoch_seconds(c) / F.lit(bucket_secs))
 
+    # A NULL key equals no key, so such feature rows can't match.
+    right = right.dropna(how="any", subset=keys)
     L = left.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col(left_ts).alias("_t"),

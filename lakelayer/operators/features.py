@@ -12,7 +12,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import days_since
+from ..functions.casts import safe_cast
+from ..functions.dates import RAW_TS_FORMAT, days_since, parse_ts
+
+
+def clean_users(raw: DataFrame) -> DataFrame:
+    """Bronze -> silver user cleaning (dates parsed, names in initial capitals,
+    int casts, rows without an id dropped); the same for batch and stream."""
+    return raw.filter(F.col("id").isNotNull()).withColumns(
+        {
+            **{c: parse_ts(c, RAW_TS_FORMAT) for c in ("creation_date", "last_activity_date")},
+            **{c: F.initcap(c) for c in ("firstname", "lastname")},
+            **{c: safe_cast(c, "int") for c in ("gender", "age_group", "churn")},
+        }
+    )
+
+
+def clean_orders(raw: DataFrame) -> DataFrame:
+    """Bronze -> silver order cleaning (rename, parse the raw date text,
+    cast the amounts); the same for batch and stream."""
+    return raw.select(
+        F.col("id").alias("order_id"),
+        "user_id",
+        parse_ts("transaction_date", RAW_TS_FORMAT).alias("creation_date"),
+        safe_cast("amount", "int").alias("amount"),
+        safe_cast("item_count", "int").alias("item_count"),
+    )
 
 
 def event_features(

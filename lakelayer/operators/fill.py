@@ -12,9 +12,8 @@ The per-chunk statistic needed by the next chunk (last value, edge row,
 count) is a whole-partition window on the *same* partitioning, so it adds no
 shuffle; the rows are reduced to one per chunk without a new exchange, a
 window over that small table (ordered by chunk) carries the value across
-chunk borders, and an equi-join on ``(partition, chunk)`` puts it back --
-the large side is already partitioned on those columns and the exchange of
-the input is shared by both branches (never recomputed per branch).
+chunk borders, and a NULL-safe equi-join on ``(partition, chunk)`` puts it
+back.  The two branches read the input twice.
 Without ``chunk`` the plain per-partition window is used.
 """
 
@@ -50,7 +49,15 @@ def _with_carry(d: DataFrame, part: Sequence[str], partition: Sequence[str], sta
     summary = d.groupBy(*part).agg(F.first("_stat").alias("_s"))
     wc = Window.partitionBy(*partition)
     carried = summary.withColumn("_carry", carry(F.col("_s"), wc)).drop("_s")
-    return d.drop("_stat").join(carried, list(part), "left")
+    return join_null_safe(d.drop("_stat"), carried, part)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on ``keys`` where NULL meets NULL."""
+    names = {k: f"_r{i}" for i, k in enumerate(keys)}
+    right = right.withColumnsRenamed(names)
+    on = [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()]
+    return left.join(right, on, "left").drop(*names.values())
 
 
 def ffill(df: DataFrame, col: str | Sequence[str], partition: Sequence[str], order: Sequence[str],

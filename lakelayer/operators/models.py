@@ -36,9 +36,10 @@ DEFAULT_SPACE = {
 }
 
 
-def with_class_weight(df: DataFrame, label: str, pos=1, col: str = "weight") -> DataFrame:
-    """Positive rows weighted by negatives / positives (D8), one aggregate."""
-    r = df.agg(F.count_if(F.col(label) == pos).alias("p"), F.count_if(F.col(label) != pos).alias("n")).first()
+def with_class_weight(df: DataFrame, label: str, pos=1, col: str = "weight", fit_on: DataFrame | None = None) -> DataFrame:
+    """Positive rows weighted by negatives / positives (D8) of ``fit_on`` (the
+    training split; default: ``df``), one aggregate."""
+    r = (df if fit_on is None else fit_on).agg(F.count_if(F.col(label) == pos).alias("p"), F.count_if(F.col(label) != pos).alias("n")).first()
     w = (r["n"] / r["p"]) if r["p"] and r["n"] else 1.0
     return df.withColumn(col, F.when(F.col(label) == pos, F.lit(float(w))).otherwise(F.lit(1.0)))
 

@@ -7,12 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .fill import join_null_safe
+
 # Violation thresholds as used by the drift check.
 PERF_MIN, LOSS_MAX, DRIFT_MAX = 0.5, 30.0, 0.19
 
@@ -90,52 +91,41 @@ def profile_metrics(
 
 @F.pandas_udf(T.DoubleType())
 def chi2_sf(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    """Upper tail of the chi-squared distribution, ``Q(dof/2, stat/2)``
-    (regularised upper incomplete gamma; series below ``a+1``, Lentz
-    continued fraction above).  Vectorised over the Arrow batch."""
-    from math import lgamma
+    """Upper tail of the chi-squared distribution, ``Q(dof/2, stat/2)``: the
+    regularised upper incomplete gamma by its series below ``a + 1`` and by
+    Lentz's continued fraction above, each until it converges.  A row is one
+    (window, group), so few rows come here."""
+    from math import exp, isfinite, lgamma, log
 
-    x = stat.to_numpy(dtype="float64") / 2.0
-    a = dof.to_numpy(dtype="float64") / 2.0
-    out = np.full(len(x), np.nan)
-    for i in range(len(x)):
-        xi, ai = x[i], a[i]
-        if not (np.isfinite(xi) and np.isfinite(ai)) or ai <= 0:
-            continue
-        if xi <= 0:
-            out[i] = 1.0
-            continue
-        lg = lgamma(ai)
-        if xi < ai + 1:
-            term = total = 1.0 / ai
-            ap = ai
-            for _ in range(1000):
-                ap += 1
-                term *= xi / ap
+    def tail(x: float, a: float) -> float:
+        if not (isfinite(x) and isfinite(a)) or a <= 0:
+            return float("nan")
+        if x <= 0:
+            return 1.0
+        front = exp(-x + a * log(x) - lgamma(a))
+        if x < a + 1:
+            term = total = 1.0 / a
+            k = a
+            while abs(term) > total * 1e-16:
+                k += 1
+                term *= x / k
                 total += term
-                if abs(term) < abs(total) * 1e-15:
-                    break
-            out[i] = 1.0 - total * np.exp(-xi + ai * np.log(xi) - lg)
-        else:
-            tiny = 1e-300
-            b = xi + 1 - ai
-            c = 1 / tiny
-            dd = 1 / b
-            h = dd
-            for k in range(1, 1000):
-                an = -k * (k - ai)
-                b += 2
-                dd = an * dd + b
-                dd = tiny if abs(dd) < tiny else dd
-                c = b + an / c
-                c = tiny if abs(c) < tiny else c
-                dd = 1 / dd
-                delta = dd * c
-                h *= delta
-                if abs(delta - 1) < 1e-15:
-                    break
-            out[i] = np.exp(-xi + ai * np.log(xi) - lg) * h
-    return pd.Series(out)
+            return 1.0 - total * front
+        tiny = 1e-300
+        b = x + 1 - a
+        c, d = 1 / tiny, 1 / b
+        h, delta, k = d, 0.0, 0
+        while abs(delta - 1) > 1e-15:
+            k += 1
+            an = -k * (k - a)
+            b += 2
+            d = 1 / (an * d + b or tiny)
+            c = b + an / c or tiny
+            delta = d * c
+            h *= delta
+        return front * h
+
+    return pd.Series([tail(s / 2.0, d / 2.0) for s, d in zip(stat.astype(float), dof.astype(float), strict=True)], dtype=float)
 
 
 def category_counts(df: DataFrame, ts: str, col: str, group: Sequence[str] = (), window: str = "1 day") -> DataFrame:
@@ -147,12 +137,6 @@ def category_counts(df: DataFrame, ts: str, col: str, group: Sequence[str] = (),
     )
 
 
-# Guard on the baseline distribution held as plan literals: (group x
-# category) cells of a categorical column; larger inputs are rejected.
-MAX_BASELINE_CELLS = 100000
-_SEP, _NULL = "\u0001", "\u0002null"
-
-
 def _round_out(agg: DataFrame, col: str, mode: str, digits: int) -> DataFrame:
     agg = agg.withColumn("chi_squared_pvalue", chi2_sf(F.col("chi_squared_statistic"), F.col("dof").cast("double")))
     num = ["js_distance", "tv_distance", "l_infinity_distance", "chi_squared_statistic", "chi_squared_pvalue"]
@@ -175,24 +159,19 @@ def drift(
     the previous window (``consecutive``) or a baseline table (``baseline``):
     Jensen-Shannon distance (sqrt of the divergence, log base 2, 0*log 0 = 0),
     total variation, L-infinity, chi-squared statistic and p-value over the
-    union of categories.  Works on the (window x category) count table only;
-    consecutive windows are matched by an equi-join on (window, category)."""
+    union of categories.  Works on the (window x category) count table only:
+    every count is taken as its own window's and as the next one's reference,
+    and one aggregate brings both together (NULL categories included)."""
     cur = category_counts(df, ts, col, group, window)
     keys = ["window_start", *group]
     if mode != "consecutive":
         return _drift_vs_baseline(cur, baseline if baseline is not None else df, col, list(group), digits)
     step = F.expr(f"INTERVAL {window}")
-    ref = cur.select((F.col("window_start") + step).alias("window_start"), *group, "category", F.col("n").alias("m"))
-    present = cur.select("window_start", *group).distinct()
-    # windows that have a previous window
-    windows = present.join(
-        present.withColumn("window_start", F.col("window_start") + step), ["window_start", *group], "inner"
-    )
-    cur_w = cur.join(windows, keys, "inner")
-    ref_w = ref.join(windows, keys, "inner")
-    j = cur_w.join(ref_w, [*keys, "category"], "full_outer").fillna(0, subset=["n", "m"])
+    own = cur.select(*keys, "category", "n", F.lit(0).cast("long").alias("m"))
+    ref = cur.select((F.col("window_start") + step).alias("window_start"), *group, "category", F.lit(0).cast("long").alias("n"), F.col("n").alias("m"))
+    j = own.unionByName(ref).groupBy(*keys, "category").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
     tot = Window.partitionBy(*keys)
-    j = j.withColumns({"_tn": F.sum("n").over(tot), "_tm": F.sum("m").over(tot)})
+    j = j.withColumns({"_tn": F.sum("n").over(tot), "_tm": F.sum("m").over(tot)}).filter("_tn > 0 AND _tm > 0")
     j = j.withColumns({"p": F.col("n") / F.col("_tn"), "q": F.col("m") / F.col("_tm")})
     mid = (F.col("p") + F.col("q")) / 2
 
@@ -217,52 +196,24 @@ def drift(
 
 def _drift_vs_baseline(cur: DataFrame, baseline: DataFrame, col: str, group: list[str], digits: int) -> DataFrame:
     """Each window against a fixed baseline distribution, without pairing
-    windows with baseline categories (no cross join): the baseline (one
-    count per group x category, a bounded table) is inlined as literal maps;
-    categories of the window are looked up, and the terms of baseline
-    categories absent from the window follow from totals (their JS and TV
-    terms are ``q/2`` each, their chi-squared terms ``(N/M) * m``); their
-    largest ``q`` for L-infinity is the first baseline category, by
-    descending share, that the window lacks (rank = 1 + length of the
-    matched prefix of ranks)."""
-    gk = F.concat_ws(_SEP, *[F.col(g).cast("string") for g in group]) if group else F.lit("")
-    b = baseline.groupBy(*group, F.col(col).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("m"))
-    cells = b.select(gk.alias("g"), "category", "m").limit(MAX_BASELINE_CELLS + 1).collect()
-    if len(cells) > MAX_BASELINE_CELLS:
-        raise ValueError(f"baseline has more than {MAX_BASELINE_CELLS} (group, category) cells")
-    per: dict[str, list[tuple[str | None, int]]] = {}
-    for r in cells:
-        per.setdefault(r["g"], []).append((r["category"], int(r["m"])))
-    m_map, r_map, tot_map, size_map, q_sorted = {}, {}, {}, {}, {}
-    for g, items in per.items():
-        total = sum(m for _, m in items)
-        items.sort(key=lambda x: (-x[1], x[0] if x[0] is not None else ""))
-        tot_map[g], size_map[g] = total, len(items)
-        q_sorted[g] = [m / total for _, m in items]
-        for i, (c, m) in enumerate(items, 1):
-            k = g + _SEP + (c if c is not None else _NULL)
-            m_map[k], r_map[k] = m, i
-
-    def lit_map(d, vtype):
-        if not d:
-            return F.create_map().cast(f"map<string,{vtype}>")
-        return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v).cast(vtype))])
-
-    qs_map = F.create_map(*[x for k, v in q_sorted.items() for x in (F.lit(k), F.array(*[F.lit(q) for q in v]))]) if q_sorted \
-        else F.create_map().cast("map<string,array<double>>")
+    windows with baseline categories (no cross join): a window's categories
+    are joined with the baseline's counts on (group, category), and the terms
+    of baseline categories absent from the window follow from totals (their JS
+    and TV terms are ``q/2`` each, their chi-squared terms ``(N/M) * m``); their
+    largest ``q`` for L-infinity is the first baseline category, by descending
+    share, that the window lacks (rank = 1 + length of the matched prefix of
+    ranks), joined on (group, rank).  All joins are NULL-safe."""
+    one = F.lit(1).alias("_all")
     keys = ["window_start", *group]
-    ck = F.concat(gk, F.lit(_SEP), F.coalesce(F.col("category"), F.lit(_NULL)))
-    d = cur.withColumns(
-        {
-            "_g": gk,
-            "m": F.coalesce(F.element_at(lit_map(m_map, "long"), ck), F.lit(0)),
-            "_r": F.element_at(lit_map(r_map, "int"), ck),
-        }
-    )
+    own = ["_all", *group]
+    b = baseline.groupBy(one, *group, F.col(col).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("m"))
+    order = Window.partitionBy(*own).orderBy(F.desc("m"), "category")
+    b = b.withColumn("_r", F.row_number().over(order))
+    sizes = b.groupBy(*own).agg(F.sum("m").alias("_tm"), F.count(F.lit(1)).alias("_bsize"))
+    d = join_null_safe(cur.withColumn("_all", F.lit(1)), b, [*own, "category"])
+    d = join_null_safe(d, sizes, own).withColumn("m", F.coalesce("m", F.lit(0)))
     d = d.withColumns(
         {
-            "_tm": F.element_at(lit_map(tot_map, "long"), F.col("_g")),
-            "_bsize": F.element_at(lit_map(size_map, "int"), F.col("_g")),
             "_tn": F.sum("n").over(Window.partitionBy(*keys)),
             "_rn": F.when(F.col("_r").isNotNull(), F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_r").asc_nulls_last()))),
         }
@@ -277,7 +228,7 @@ def _drift_vs_baseline(cur: DataFrame, baseline: DataFrame, col: str, group: lis
     chi = F.when(e_cur > 0, (F.col("n") - e_cur) ** 2 / e_cur).otherwise(0.0) + F.when(
         e_ref > 0, (F.col("m") - e_ref) ** 2 / e_ref
     ).otherwise(0.0)
-    agg = d.groupBy(*keys, "_g", "_tn", "_tm", "_bsize").agg(
+    agg = d.groupBy(*keys, "_all", "_tn", "_tm", "_bsize").agg(
         F.sum(kl_p).alias("_klp"),
         F.sum(kl_q).alias("_klq"),
         F.sum("q").alias("_qm"),
@@ -290,7 +241,8 @@ def _drift_vs_baseline(cur: DataFrame, baseline: DataFrame, col: str, group: lis
         F.count_if(F.col("_r") == F.col("_rn")).alias("_prefix"),
     )
     missing_q = 1.0 - F.col("_qm")
-    q_next = F.get(F.element_at(qs_map, F.col("_g")), F.col("_prefix").cast("int"))
+    agg = join_null_safe(agg.withColumn("_r", (F.col("_prefix") + 1).cast("int")), b.select(*own, "_r", "m"), [*own, "_r"])
+    q_next = F.col("m") / F.col("_tm")
     out = agg.select(
         *keys,
         F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.col("_klp") + 0.5 * F.col("_klq") + 0.5 * missing_q)).alias("js_distance"),

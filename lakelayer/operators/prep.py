@@ -19,9 +19,6 @@ from pyspark.sql import types as T
 from ..functions.dates import epoch_seconds
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-# Guard on one-hot width: the fitted category list is metadata held by the
-# driver, so an id-like column passed as categorical is rejected, not truncated.
-MAX_CATEGORIES = 10000
 
 
 def classify_columns(schema: T.StructType, overrides: dict[str, str] | None = None) -> dict[str, list[str]]:
@@ -71,14 +68,13 @@ class Preprocessor:
         for c in self.datetime:
             e = epoch_seconds(c)
             aggs += [F.avg(e).alias(f"m_{c}"), F.stddev_pop(e).alias(f"s_{c}")]
-        for c in self.categorical:
-            aggs.append(F.mode(c, deterministic=True).alias(f"mode_{c}"))
         self.stats = df.agg(*aggs).first().asDict() if aggs else {}
         for c in self.categorical:
-            vals = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
-            if len(vals) > MAX_CATEGORIES:
-                raise ValueError(f"{c}: more than {MAX_CATEGORIES} levels; not a categorical column")
-            self.levels[c] = sorted(r[0] for r in vals)
+            counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+            # Output columns, one per level: the caller's schema holds them anyway.
+            rows = counts.collect()
+            self.levels[c] = sorted(r[c] for r in rows)
+            self.stats[f"mode_{c}"] = min(rows, key=lambda r: (-r["_n"], r[c]))[c] if rows else None
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .fill import running_sum
+from .fill import join_null_safe, running_sum
 
 QUANTILE_ACCURACY = 100000
 
@@ -110,7 +110,7 @@ def exact_quantiles(df: DataFrame, col: str, groups: Sequence[str], qs: Sequence
     counts = v.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
     stats_aggs = [F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
     if groups:
-        d = counts.join(counts.groupBy(*groups).agg(*stats_aggs), groups)
+        d = join_null_safe(counts, counts.groupBy(*groups).agg(*stats_aggs), groups)
     else:  # one row of bounded size: inline it rather than join on nothing
         st = counts.agg(*stats_aggs).first()
         d = counts.withColumns({"_n": F.lit(st["_n"]), "_lo": F.lit(st["_lo"]), "_hi": F.lit(st["_hi"])})
@@ -150,7 +150,7 @@ def outliers(df: DataFrame, col: str, groups: Sequence[str], accuracy: int = QUA
     """Rows outside the 1.5xIQR fences of their group.  The per-group
     fence table has one row per group; AQE broadcasts it when small."""
     fences = box_stats(df, col, groups, accuracy, exact).select(*groups, "lower_fence", "upper_fence")
-    j = df.join(fences, list(groups), "inner")
+    j = join_null_safe(df, fences, list(groups))
     return j.filter((F.col(col) < F.col("lower_fence")) | (F.col(col) > F.col("upper_fence"))).drop(
         "lower_fence", "upper_fence"
     )

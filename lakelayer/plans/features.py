@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.asof import training_set
 from ..operators.rolling import destination_features, user_behavior, user_features
-from ..operators.sample import hash_sample, hash_split, int_bucket_sql, time_split
+from ..operators.sample import hash_sample, hash_split, int_bucket_sql, share, time_split
 from ..sources.tables import Tables
 from .registry import register
 
@@ -106,7 +106,7 @@ def q_user_features(spark, sf_dir):
     f"""
 WITH {USER_FEATURES_SQL.strip()},
 lab AS (SELECT user_id, event_type AS destination_id, ts, event_type = 'purchase' AS purchased
-        FROM events WHERE {int_bucket_sql('event_id', SEED)} < 300 AND ts < TIMESTAMP '{CUT}'),
+        FROM events WHERE {int_bucket_sql('event_id', SEED)} < {share(0.3)} AND ts < TIMESTAMP '{CUT}'),
 d AS (SELECT destination_id, ts,
    sum(CAST(event_type = 'click' AS INTEGER)) OVER w AS sum_clicks_7d, count(*) OVER w AS sum_impressions_7d
  FROM (SELECT event_type AS destination_id, event_type, ts, epoch_us(ts) // 1000000 AS tsl FROM events)
@@ -141,7 +141,7 @@ def q_asof_training_set(spark, sf_dir):
 
 @register(
     "hash_sample",
-    f"SELECT event_id, user_id, ts FROM events WHERE {int_bucket_sql('event_id', SEED)} < 300",
+    f"SELECT event_id, user_id, ts FROM events WHERE {int_bucket_sql('event_id', SEED)} < {share(0.3)}",
 )
 def q_hash_sample(spark, sf_dir):
     """30% sample by id hash, stable under repartitioning."""
@@ -151,7 +151,7 @@ def q_hash_sample(spark, sf_dir):
 @register(
     "hash_split",
     f"""
-SELECT event_id, event_type, CASE WHEN {int_bucket_sql('event_id', SEED)} < 800 THEN 'train' ELSE 'test' END AS split
+SELECT event_id, event_type, CASE WHEN {int_bucket_sql('event_id', SEED)} < {share(0.8)} THEN 'train' ELSE 'test' END AS split
 FROM events
 """,
 )

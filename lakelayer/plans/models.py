@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.evaluate import leaderboard
-from ..operators.models import refit_best, score, search, with_class_weight
+from ..operators.models import FAMILIES, refit_best, score, search, with_class_weight
 from ..operators.sample import hash_split
+from ..sources.writers import staged
 from .churn import gold_churn
 from .registry import register
 
@@ -18,16 +19,16 @@ INFERENCE_TS = "2024-01-31 12:00:00"
 def _labelled(spark, sf_dir):
     g = gold_churn(spark, sf_dir)
     g = g.withColumn("churn", (F.col("order_count") <= 9).cast("int"))
-    g = with_class_weight(g, "churn")
-    return hash_split(g, "user_id", 0.8, seed=11)
+    d = staged(hash_split(g, "user_id", 0.8, seed=11))  # planned once, read by every trial
+    return with_class_weight(d, "churn", fit_on=d.filter("split = 'train'"))
 
 
 @register("train_leaderboard")
 def q_train_leaderboard(spark, sf_dir):
-    """Seeded search over two families, ranked by validation F1."""
+    """Seeded search over all families, ranked by validation F1."""
     d = _labelled(spark, sf_dir)
     tr, va = d.filter("split = 'train'"), d.filter("split = 'test'")
-    trials = search(tr, va, FEATURES, "churn", n_trials=2, weight="weight")
+    trials = search(tr, va, FEATURES, "churn", families=tuple(FAMILIES), n_trials=2, weight="weight")
     return leaderboard(trials, "f1", "trial")
 
 

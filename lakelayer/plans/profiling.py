@@ -16,7 +16,7 @@ from ..operators.profile import (
     top_correlated,
     value_range,
 )
-from ..operators.sample import int_bucket, int_bucket_sql
+from ..operators.sample import int_bucket, int_bucket_sql, share
 from ..sources.tables import Tables
 from .registry import register
 
@@ -156,7 +156,7 @@ def _events_with_gaps(t):
     f"""
 WITH e AS (SELECT event_id, CASE WHEN event_id % 20 = 0 THEN NULL ELSE value END AS value,
                   CASE WHEN event_id % 33 = 0 THEN NULL ELSE event_type END AS event_type FROM events),
-tr AS (SELECT * FROM e WHERE {int_bucket_sql('event_id', 7)} < 800),
+tr AS (SELECT * FROM e WHERE {int_bucket_sql('event_id', 7)} < {share(0.8)}),
 st AS (SELECT avg(value) AS m, stddev_pop(value) AS s, mode(event_type) AS md FROM tr),
 f AS (SELECT e.event_id, e.event_type AS event_type_raw, (coalesce(e.value, m) - m) / CASE WHEN s = 0 THEN 1 ELSE s END AS v,
              coalesce(e.event_type, md) AS et FROM e, st)
@@ -170,7 +170,7 @@ def q_impute_scale_onehot(spark, sf_dir):
     """Mean / mode imputation, population-std scaling and
     drop-first one-hot, fitted on the training split and applied to all."""
     ev = _events_with_gaps(Tables(spark, sf_dir))
-    train = ev.filter(int_bucket("event_id", 7) < 800)
+    train = ev.filter(int_bucket("event_id", 7) < share(0.8))
     pre = Preprocessor(numeric=["value"], categorical=["event_type"], drop_first=True).fit(train)
     out = pre.transform(ev)
     return out.withColumn("value", F.round("value", 6))

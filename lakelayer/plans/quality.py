@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.casts import safe_cast
-from ..functions.dates import RAW_TS_FORMAT, parse_ts
+from ..functions.dates import RAW_TS_FORMAT
+from ..operators.features import clean_orders
 from ..operators.quality import (
     check_key,
     duplicate_keys,
@@ -53,18 +53,6 @@ def q_expectation_report(spark, sf_dir):
     return expectation_report(_orders_with_nulls(Tables(spark, sf_dir)), ORDER_RULES, "orders", drop=["user_id_valid"])
 
 
-def clean_orders(raw):
-    """Bronze -> silver order cleaning (rename, parse the raw date text,
-    cast the amount); the same function serves batch and stream."""
-    return raw.select(
-        F.col("id").alias("order_id"),
-        "user_id",
-        parse_ts("transaction_date", RAW_TS_FORMAT).alias("creation_date"),
-        safe_cast("amount", "int").alias("amount"),
-        safe_cast("item_count", "int").alias("item_count"),
-    )
-
-
 def raw_orders(t: Tables):
     """Orders as raw text records, as the file source delivers them."""
     o = t.orders

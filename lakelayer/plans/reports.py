@@ -25,13 +25,14 @@ from ..sources.tables import Tables
 from .registry import register
 
 PUBLISHED = "2024-01-31 00:00:00"
-LINE = 1_000_000  # rows reserved per nation block
+CHUNK = 100_000  # ordinals scanned together
+LINE = 1_000_000_000_000  # ordinals of a nation's block; keys stay below a tenth of it
 
 
 def _chunk():
     """Ordered scans over a sheet run in chunks of one block (a sheet here
     holds a whole table, so an unchunked scan would be one task)."""
-    return F.floor(F.col("row") / F.lit(LINE))
+    return F.floor(F.col("row") / F.lit(CHUNK))
 
 
 def _quarter_grid(t: Tables):
@@ -94,12 +95,12 @@ def _statement_rows(t: Tables):
         fixed(1, F.lit("Cifras expresadas en millones de pesos")),
         fixed(2, F.lit("ACTIVO")),
         fixed(3, F.lit("Activo corriente")),
-        fixed(100000, F.lit("Total activo corriente")),
-        fixed(100001, F.lit("PASIVO")),
-        fixed(100002, F.lit("Pasivo no corriente")),
-        fixed(200000, F.concat(F.lit("ESTADOS DE RESULTADOS CONSOLIDADO - "), F.col("n_name"))),
-        fixed(200001, F.lit("Ingresos operacionales")),
-        fixed(300000, F.lit("TOTAL RESULTADO")),
+        fixed(100000000000, F.lit("Total activo corriente")),
+        fixed(100000000001, F.lit("PASIVO")),
+        fixed(100000000002, F.lit("Pasivo no corriente")),
+        fixed(200000000000, F.concat(F.lit("ESTADOS DE RESULTADOS CONSOLIDADO - "), F.col("n_name"))),
+        fixed(200000000001, F.lit("Ingresos operacionales")),
+        fixed(300000000000, F.lit("TOTAL RESULTADO")),
     ]
     sup = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(
         base.alias("b"), (F.lit(10) + F.col("s_suppkey")).alias("o"),
@@ -107,11 +108,11 @@ def _statement_rows(t: Tables):
         F.when(F.col("s_suppkey") % 9 == 0, F.lit("nan")).otherwise(F.col("s_acctbal").cast("string")).alias("Valor"),
     )
     cus = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        base.alias("b"), (F.lit(100010) + F.col("c_custkey") % 90000).alias("o"),
+        base.alias("b"), (F.lit(100000000010) + F.col("c_custkey")).alias("o"),
         F.concat(F.lit("Obligacion "), F.col("c_name")).alias("Descripcion"), F.col("c_acctbal").cast("string").alias("Valor"),
     )
     inc = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        base.alias("b"), (F.lit(200010) + F.col("c_custkey") % 90000).alias("o"),
+        base.alias("b"), (F.lit(200000000010) + F.col("c_custkey")).alias("o"),
         F.concat(F.lit("Ingreso "), F.col("c_mktsegment"), F.lit(" "), F.col("c_custkey").cast("string")).alias("Descripcion"),
         F.col("c_acctbal").cast("string").alias("Valor"),
     )
@@ -129,18 +130,18 @@ def _statement_rows(t: Tables):
     "parse_statements",
     r"""
 WITH raw AS (
-  SELECT n_nationkey * 1000000 + o AS row, d AS Descripcion, CAST(NULL AS VARCHAR) AS Valor
+  SELECT n_nationkey * 1000000000000 + o AS row, d AS Descripcion, CAST(NULL AS VARCHAR) AS Valor
   FROM nation, (VALUES (0, 'T1'), (1, 'Cifras expresadas en millones de pesos'), (2, 'ACTIVO'), (3, 'Activo corriente'),
-                       (100000, 'Total activo corriente'), (100001, 'PASIVO'), (100002, 'Pasivo no corriente'),
-                       (200000, 'T2'), (200001, 'Ingresos operacionales'), (300000, 'TOTAL RESULTADO')) v(o, d0),
+                       (100000000000, 'Total activo corriente'), (100000000001, 'PASIVO'), (100000000002, 'Pasivo no corriente'),
+                       (200000000000, 'T2'), (200000000001, 'Ingresos operacionales'), (300000000000, 'TOTAL RESULTADO')) v(o, d0),
        LATERAL (SELECT CASE d0 WHEN 'T1' THEN 'ESTADOS CONSOLIDADOS DE SITUACIÓN FINANCIERA - ' || n_name
                                WHEN 'T2' THEN 'ESTADOS DE RESULTADOS CONSOLIDADO - ' || n_name ELSE d0 END AS d)
-  UNION ALL SELECT n_nationkey * 1000000 + 10 + s_suppkey, 'Cuenta ' || s_name,
+  UNION ALL SELECT n_nationkey * 1000000000000 + 10 + s_suppkey, 'Cuenta ' || s_name,
          CASE WHEN s_suppkey % 9 = 0 THEN 'nan' ELSE CAST(s_acctbal AS VARCHAR) END
     FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  UNION ALL SELECT n_nationkey * 1000000 + 100010 + c_custkey % 90000, 'Obligacion ' || c_name, CAST(c_acctbal AS VARCHAR)
+  UNION ALL SELECT n_nationkey * 1000000000000 + 100000000010 + c_custkey, 'Obligacion ' || c_name, CAST(c_acctbal AS VARCHAR)
     FROM customer JOIN nation ON c_nationkey = n_nationkey
-  UNION ALL SELECT n_nationkey * 1000000 + 200010 + c_custkey % 90000,
+  UNION ALL SELECT n_nationkey * 1000000000000 + 200000000010 + c_custkey,
          'Ingreso ' || c_mktsegment || ' ' || CAST(c_custkey AS VARCHAR), CAST(c_acctbal AS VARCHAR)
     FROM customer JOIN nation ON c_nationkey = n_nationkey),
 a AS (SELECT row, CASE WHEN Descripcion = 'nan' THEN NULL ELSE Descripcion END AS Descripcion,
@@ -208,9 +209,9 @@ def _capex_rows(t: Tables):
         F.col("s_acctbal").cast("string").alias("Valor"),
     )
     tot = s.groupBy("s_nationkey").agg(F.sum("s_acctbal").alias("t")).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
-    total = tot.select(base.alias("b"), F.lit(900000).alias("o"), F.concat(F.lit("Total "), F.col("n_name")).alias("EMPRESA"),
+    total = tot.select(base.alias("b"), F.lit(900000000000).alias("o"), F.concat(F.lit("Total "), F.col("n_name")).alias("EMPRESA"),
                        F.col("t").cast("string").alias("Valor"))
-    blank = n.select(base.alias("b"), F.lit(900001).alias("o"), F.lit(None).cast("string").alias("EMPRESA"),
+    blank = n.select(base.alias("b"), F.lit(900000000001).alias("o"), F.lit(None).cast("string").alias("EMPRESA"),
                      F.lit(None).cast("string").alias("Valor"))
     u = head.unionByName(lines).unionByName(total).unionByName(blank)
     return u.select(F.lit("capex.xlsx").alias("file"), F.lit("CAPEX").alias("sheet"),
@@ -221,13 +222,13 @@ def _capex_rows(t: Tables):
     "parse_capex",
     """
 WITH r AS (
-  SELECT n_nationkey * 1000000 AS row, n_name AS EMPRESA, CAST(NULL AS VARCHAR) AS Valor FROM nation
-  UNION ALL SELECT n_nationkey * 1000000 + 10 + s_suppkey,
+  SELECT n_nationkey * 1000000000000 AS row, n_name AS EMPRESA, CAST(NULL AS VARCHAR) AS Valor FROM nation
+  UNION ALL SELECT n_nationkey * 1000000000000 + 10 + s_suppkey,
          CASE WHEN s_suppkey % 17 = 0 THEN 'Inversiones dentro balance ' || s_name ELSE s_name END, CAST(s_acctbal AS VARCHAR)
     FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  UNION ALL SELECT n_nationkey * 1000000 + 900000, 'Total ' || n_name, 'total' FROM nation
+  UNION ALL SELECT n_nationkey * 1000000000000 + 900000000000, 'Total ' || n_name, 'total' FROM nation
     WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)
-  UNION ALL SELECT n_nationkey * 1000000 + 900001, NULL, NULL FROM nation),
+  UNION ALL SELECT n_nationkey * 1000000000000 + 900000000001, NULL, NULL FROM nation),
 l AS (SELECT *, lead(EMPRESA) OVER (ORDER BY row) AS nxt FROM r),
 k AS (SELECT * FROM l WHERE nxt IS NOT NULL AND EMPRESA IS NOT NULL),
 f AS (SELECT *, last_value(CASE WHEN Valor IS NULL THEN EMPRESA END IGNORE NULLS)
@@ -255,7 +256,7 @@ def _traffic_rows(t: Tables):
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(" ")).otherwise(
             F.concat(F.lit("1 "), F.col("k").cast("string"))).alias("Valor"),
     )
-    foot = n.select(base.alias("b"), F.lit(900000).alias("o"), F.lit("**TPD: Tráfico Promedio Diario").alias("Empresa"),
+    foot = n.select(base.alias("b"), F.lit(900000000000).alias("o"), F.lit("**TPD: Tráfico Promedio Diario").alias("Empresa"),
                     F.lit(None).cast("string").alias("Valor"))
     u = head.unionByName(seg).unionByName(foot)
     return u.select(F.lit("trafico.xlsx").alias("file"), F.lit("TRAFICO").alias("sheet"),
@@ -267,11 +268,11 @@ def _traffic_rows(t: Tables):
     r"""
 WITH seg AS (SELECT c_nationkey, c_mktsegment, count(*) AS k FROM customer GROUP BY ALL),
 r AS (
-  SELECT n_nationkey * 1000000 AS row, 'RUTA - ' || n_name AS Empresa, 'nan' AS Valor FROM nation
-  UNION ALL SELECT n_nationkey * 1000000 + 10 + length(c_mktsegment) * 100 + ascii(c_mktsegment), ' ' || c_mktsegment,
+  SELECT n_nationkey * 1000000000000 AS row, 'RUTA - ' || n_name AS Empresa, 'nan' AS Valor FROM nation
+  UNION ALL SELECT n_nationkey * 1000000000000 + 10 + length(c_mktsegment) * 100 + ascii(c_mktsegment), ' ' || c_mktsegment,
          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN ' ' ELSE '1 ' || CAST(k AS VARCHAR) END
     FROM seg JOIN nation ON c_nationkey = n_nationkey
-  UNION ALL SELECT n_nationkey * 1000000 + 900000, '**TPD: Tráfico Promedio Diario', NULL FROM nation),
+  UNION ALL SELECT n_nationkey * 1000000000000 + 900000000000, '**TPD: Tráfico Promedio Diario', NULL FROM nation),
 a AS (SELECT row, CASE WHEN Empresa = 'nan' THEN NULL ELSE Empresa END AS Empresa,
              CASE WHEN Valor = 'nan' THEN NULL ELSE Valor END AS Valor FROM r
       WHERE Empresa NOT IN ('*TMDE: Tráfico medio diario equivalente',
@@ -302,7 +303,7 @@ def _debt_rows(t: Tables):
         F.when(F.col("n_nationkey") % 4 == 0, F.lit(None)).otherwise(F.col("n_name")).alias("Compania"),
         F.lit("USD").alias("Moneda"), (F.col("n_nationkey") * 10.5).cast("string").alias("Valor"), F.lit(0.0).alias("tint"),
     )
-    country = r.select(rb.alias("b"), F.lit(900000).alias("o"), F.col("r_name").alias("Compania"),
+    country = r.select(rb.alias("b"), F.lit(900000000000).alias("o"), F.col("r_name").alias("Compania"),
                        F.lit(None).cast("string").alias("Moneda"), F.lit(None).cast("string").alias("Valor"),
                        F.lit(-0.25).alias("tint"))
     total = r.filter(F.col("r_regionkey") == 4).select(
@@ -317,11 +318,11 @@ def _debt_rows(t: Tables):
     "parse_debt_profile",
     """
 WITH r AS (
-  SELECT r_regionkey * 1000000 + 10 + n_nationkey * 2 AS row,
+  SELECT r_regionkey * 1000000000000 + 10 + n_nationkey * 2 AS row,
          CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE n_name END AS Compania, 'USD' AS Moneda,
          CAST(CAST(n_nationkey * 10.5 AS DOUBLE) AS VARCHAR) AS Valor, 0.0 AS tint
     FROM nation JOIN region ON n_regionkey = r_regionkey
-  UNION ALL SELECT r_regionkey * 1000000 + 900000, r_name, NULL, NULL, -0.25 FROM region
+  UNION ALL SELECT r_regionkey * 1000000000000 + 900000000000, r_name, NULL, NULL, -0.25 FROM region
   UNION ALL SELECT 5000000, 'TOTAL DEUDA', NULL, '0', -0.5 FROM region WHERE r_regionkey = 4),
 a AS (SELECT * FROM r WHERE NOT (Compania IS NULL AND Moneda IS NULL AND Valor IS NULL)),
 b AS (SELECT *, CASE WHEN tint <> 0 THEN Compania ELSE first_value(CASE WHEN tint <> 0 THEN Compania END IGNORE NULLS)
@@ -453,11 +454,11 @@ def q_project_report(spark, sf_dir):
 @register(
     "classify_indent",
     """
-WITH c AS (SELECT 'capex.xlsx' AS file, 'CAPEX' AS sheet, n_nationkey * 1000000 AS row, n_name AS value, 0 AS indent FROM nation
-           UNION ALL SELECT 'capex.xlsx', 'CAPEX', n_nationkey * 1000000 + 1 + s_suppkey, s_name,
+WITH c AS (SELECT 'capex.xlsx' AS file, 'CAPEX' AS sheet, n_nationkey * 1000000000000 AS row, n_name AS value, 0 AS indent FROM nation
+           UNION ALL SELECT 'capex.xlsx', 'CAPEX', n_nationkey * 1000000000000 + 1 + s_suppkey, s_name,
                             CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END
            FROM supplier JOIN nation ON s_nationkey = n_nationkey
-           UNION ALL SELECT 'capex.xlsx', 'CAPEX', n_nationkey * 1000000 + 999999, NULL, 0 FROM nation),
+           UNION ALL SELECT 'capex.xlsx', 'CAPEX', n_nationkey * 1000000000000 + 999999999999, NULL, 0 FROM nation),
 l AS (SELECT *, lag(row) OVER w AS prow, lag(value) OVER w AS pval FROM c WINDOW w AS (PARTITION BY file, sheet ORDER BY row))
 SELECT file, sheet, row, value, indent,
        CASE WHEN value IS NULL THEN 'blank' WHEN prow IS NOT NULL AND pval IS NULL THEN 'country'
@@ -507,19 +508,19 @@ def _debt_sheet(t: Tables):
         (F.col("s_acctbal") * 4).cast("string").alias("Jun-2024\n(millones de COP)"),
         F.floor("s_acctbal").cast("string").alias("Jun-2024\n(miles USD)"),
     )
-    total = n.select(base.alias("b"), F.lit(900000).alias("o"), F.lit("TOTAL BONOS").alias("Filial"), *[null.alias(c) for c in DEBT_COLS[1:]])
+    total = n.select(base.alias("b"), F.lit(900000000000).alias("o"), F.lit("TOTAL BONOS").alias("Filial"), *[null.alias(c) for c in DEBT_COLS[1:]])
     u = country.unionByName(bonds).unionByName(total)
-    return u.select(F.lit("deuda.xlsx").alias("file"), F.lit("KitBonos").alias("sheet"), (F.col("b") + F.col("o")).alias("row"), *DEBT_COLS)
+    return u.select(F.lit("deuda.xlsx").alias("file"), F.lit("Bonos").alias("sheet"), (F.col("b") + F.col("o")).alias("row"), *DEBT_COLS)
 
 
 DEBT_SQL = """
 WITH raw AS (
-  SELECT n_nationkey * 1000000 AS row, n_name AS Filial, NULL::VARCHAR AS Tipo, NULL::VARCHAR AS Fuente,
+  SELECT n_nationkey * 1000000000000 AS row, n_name AS Filial, NULL::VARCHAR AS Tipo, NULL::VARCHAR AS Fuente,
          NULL::VARCHAR AS Moneda, NULL::VARCHAR AS FE, NULL::VARCHAR AS FV, NULL::VARCHAR AS Plazo, NULL::VARCHAR AS Tasa,
          NULL::VARCHAR AS U8, NULL::VARCHAR AS U9, NULL::VARCHAR AS MC, NULL::VARCHAR AS MCOP, NULL::VARCHAR AS MUSD
   FROM nation
   UNION ALL
-  SELECT n_nationkey * 1000000 + 10 + s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN 'Bonos' ELSE 'Bonos Verdes' END,
+  SELECT n_nationkey * 1000000000000 + 10 + s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN 'Bonos' ELSE 'Bonos Verdes' END,
          'Mercado', 'USD', strftime(DATE '2015-01-01' + CAST(s_suppkey AS INTEGER), '%Y-%m-%d %H:%M:%S'),
          strftime(DATE '2030-01-01' + CAST(s_suppkey AS INTEGER), '%Y-%m-%d %H:%M:%S'),
          CAST(CAST(s_suppkey % 30 + 0.5 AS DOUBLE) AS VARCHAR), 'IPC', '+',
@@ -527,7 +528,7 @@ WITH raw AS (
          CAST(s_acctbal AS VARCHAR), CAST(s_acctbal * 4 AS VARCHAR), CAST(CAST(floor(s_acctbal) AS BIGINT) AS VARCHAR)
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
   UNION ALL
-  SELECT n_nationkey * 1000000 + 900000, 'TOTAL BONOS', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+  SELECT n_nationkey * 1000000000000 + 900000000000, 'TOTAL BONOS', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
   FROM nation),
 a AS (SELECT row, Filial, Tipo, Fuente, Moneda, FE, FV, Plazo, Tasa, U8,
              CASE WHEN U9 IN ('nan', 'NaT', 'NaN') THEN NULL ELSE U9 END AS U9, MC, MCOP, MUSD FROM raw
@@ -585,17 +586,17 @@ def _legacy_cells(t: Tables):
         F.lit("IBR + 2%").alias("v6"), F.col("s_acctbal").cast("string").alias("v7"),
         (F.col("s_acctbal") * 4).cast("string").alias("v8"), F.floor("s_acctbal").cast("string").alias("v9"),
     )
-    grid = head.unionByName(country).unionByName(loans).withColumns({"file": F.lit("creditos.xlsx"), "sheet": F.lit("KitCreditos")})
+    grid = head.unionByName(country).unionByName(loans).withColumns({"file": F.lit("creditos.xlsx"), "sheet": F.lit("Creditos")})
     return cells_from_rows(grid, "file", "sheet", "row", [f"v{i}" for i in range(len(LEGACY_NAMES))])
 
 
 LEGACY_SQL = """
 WITH raw AS (
-  SELECT n_nationkey * 1000000 + 10 AS row, n_name AS Filial, NULL::VARCHAR AS Fuente, NULL::VARCHAR AS Moneda,
+  SELECT n_nationkey * 1000000000000 + 10 AS row, n_name AS Filial, NULL::VARCHAR AS Fuente, NULL::VARCHAR AS Moneda,
          NULL::VARCHAR AS FI, NULL::VARCHAR AS FV, NULL::VARCHAR AS Plazo, NULL::VARCHAR AS Tasa,
          NULL::VARCHAR AS MC, NULL::VARCHAR AS MCOP, NULL::VARCHAR AS MUSD FROM nation
   UNION ALL
-  SELECT n_nationkey * 1000000 + 11 + s_suppkey, s_name, 'Banco', 'COP', CAST(43000 + s_suppkey AS VARCHAR),
+  SELECT n_nationkey * 1000000000000 + 11 + s_suppkey, s_name, 'Banco', 'COP', CAST(43000 + s_suppkey AS VARCHAR),
          CAST(47000 + s_suppkey AS VARCHAR), CAST(s_suppkey % 12 AS VARCHAR), 'IBR + 2%', CAST(s_acctbal AS VARCHAR),
          CAST(s_acctbal * 4 AS VARCHAR), CAST(CAST(floor(s_acctbal) AS BIGINT) AS VARCHAR)
   FROM supplier JOIN nation ON s_nationkey = n_nationkey),

@@ -1,5 +1,5 @@
 """Streaming ingest query (survey A1-A4, I1, I2): ``events`` written as
-JSON-lines files (one per day, some values spoiled, an unknown field on some
+JSON-lines files (some values spoiled, an unknown field on some
 records), ingested by an ``availableNow`` stream with rescued data into a
 Parquet bronze table, and read back.  The result must equal the batch
 content of the table, with the spoiled values NULL and flagged as rescued."""
@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.files import json_stream
+from ..sources.files import csv_stream, json_stream
 from ..sources.tables import Tables
 from ..sources.writers import staging_path
 from ..streaming.ingest import ingest
@@ -48,12 +48,64 @@ def q_stream_ingest(spark, sf_dir):
         F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("value"),
         "props",
         F.when(F.col("event_id") % 89 == 0, F.lit("x")).alias("extra"),
-        F.to_date("ts").alias("day"),
     )
-    raw.repartition("day").drop("day").write.mode("overwrite").json(src)
+    raw.write.mode("overwrite").json(src)
     bronze = f"{src}-bronze-{uuid.uuid4().hex[:8]}"
-    ingest(json_stream(spark, src, EVENT_SCHEMA), bronze, bronze + "-ckpt", timeout_s=600)
+    ingest(json_stream(spark, src, EVENT_SCHEMA), bronze, bronze + "-ckpt")
     out = spark.read.parquet(bronze)
     return out.select(
         "event_id", "ts", "user_id", "event_type", "value", "props", F.col("_rescued_data").isNotNull().alias("has_rescued")
     )
+
+
+@register(
+    "csv_ingest_rescue",
+    """
+SELECT event_id, user_id, event_type, CASE WHEN event_id % 97 <> 0 THEN value END AS value,
+       CASE WHEN event_id % 2 = 0 THEN '{"note":"n' || event_id % 5 || '"' || CASE WHEN event_id % 97 = 0 THEN ',"value":"n/a"' ELSE '' END || '}'
+            WHEN event_id % 97 = 0 THEN '{"value":"n/a"}' END AS _rescued_data,
+       event_id % 2 = 0 AS from_b
+FROM events
+""",
+)
+def q_csv_ingest(spark, sf_dir):
+    """A1/A4: CSV files of two layouts (columns in another order, one more column,
+    some bad casts) ingested by header name with rescued data and lineage."""
+    schema = T.StructType([f for f in EVENT_SCHEMA.fields if f.name not in ("ts", "props")])
+    value = F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "event_type", value.alias("value"))
+    src = staging_path(spark, "events-csv")
+    a = ev.filter("event_id % 2 <> 0").select("event_id", "user_id", "event_type", "value")
+    b = ev.filter("event_id % 2 = 0").select("value", F.concat(F.lit("n"), F.col("event_id") % 5).alias("note"), "event_type", "event_id", "user_id")
+    for name, part in (("a", a), ("b", b)):
+        part.write.option("header", "true").csv(f"{src}/layout={name}")
+    bronze = f"{src}-bronze"
+    ingest(csv_stream(spark, f"{src}/*", schema), bronze, bronze + "-ckpt")
+    out = spark.read.parquet(bronze)
+    return out.select("event_id", "user_id", "event_type", "value", "_rescued_data", F.col("_rescued_data").contains("note").alias("b")).select(
+        "event_id", "user_id", "event_type", "value", "_rescued_data", F.coalesce("b", F.lit(False)).alias("from_b")
+    )
+
+
+@register(
+    "json_ingest_malformed",
+    """
+SELECT CASE WHEN event_id % 41 <> 0 THEN event_id END AS event_id,
+       CASE WHEN event_id % 41 <> 0 THEN user_id END AS user_id,
+       CASE WHEN event_id % 41 = 0 THEN '{"_record":"{\\"event_id\\":' || event_id || ',\\"user_id\\":"}'
+            WHEN event_id % 37 = 0 THEN '{"_record":"{\\"event_id\\":' || event_id || ',\\"user_id\\":' || user_id || ',\\"user_id\\":' || user_id || '}"}' END AS _rescued_data
+FROM events
+""",
+)
+def q_json_malformed(spark, sf_dir):
+    """A2/A4: broken JSON lines and repeated fields are rescued whole."""
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType())])
+    e, u = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    line = F.when(F.col("event_id") % 41 == 0, F.concat(F.lit('{"event_id":'), e, F.lit(',"user_id":'))).when(
+        F.col("event_id") % 37 == 0, F.concat(F.lit('{"event_id":'), e, F.lit(',"user_id":'), u, F.lit(',"user_id":'), u, F.lit("}"))
+    ).otherwise(F.concat(F.lit('{"event_id":'), e, F.lit(',"user_id":'), u, F.lit("}")))
+    src = staging_path(spark, "events-bad-json")
+    Tables(spark, sf_dir).events.select(line.alias("value")).write.text(src)
+    bronze = f"{src}-bronze"
+    ingest(json_stream(spark, src, schema, lineage=False), bronze, bronze + "-ckpt")
+    return spark.read.parquet(bronze)

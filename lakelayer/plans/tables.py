@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.upsert import change_feed, scd1_apply, update_from, upsert
 from ..sources.tables import Tables
+from ..sources.writers import create_or_upsert, staging_path
 from .registry import register
 
 ORDER_COLS = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
@@ -121,3 +122,26 @@ def q_label_backfill(spark, sf_dir):
     )
     src = t.labels.select("doc_id", F.col("quality").alias("label"))
     return update_from(log, src, ["doc_id"], ["label"])
+
+
+@register(
+    "create_or_upsert_roundtrip",
+    """
+SELECT o_orderkey AS order_id,
+       CASE WHEN o_orderkey % 5 = 0 THEN CASE WHEN o_orderkey % 10 = 0 THEN '01' END
+            ELSE CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE lpad(CAST(o_orderkey % 3 AS VARCHAR), 2, '0') END END AS kind,
+       CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS amount
+FROM orders
+""",
+)
+def q_create_or_upsert(spark, sf_dir):
+    """K2/K5/A10: two keyed writes into a partitioned table -- NULL partitions, text
+    partition values with leading zeros, keys that move to another partition."""
+    o = Tables(spark, sf_dir).orders
+    key = F.col("o_orderkey")
+    first = o.select(key.alias("order_id"), F.when(key % 3 != 0, F.lpad((key % 3).cast("string"), 2, "0")).alias("kind"), F.col("o_totalprice").alias("amount"))
+    second = o.filter(key % 5 == 0).select(key.alias("order_id"), F.when(key % 10 == 0, "01").alias("kind"), (F.col("o_totalprice") + 1).alias("amount"))
+    path = staging_path(spark, "upsert-roundtrip")
+    for part in (first, second):
+        create_or_upsert(spark, part, path, ["order_id"], partition_by=["kind"])
+    return spark.read.schema(first.schema).parquet(path)

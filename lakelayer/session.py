@@ -60,13 +60,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
     and is used as is (also when it was only set on the SparkContext).  Only
-    when it is unset -- local tests, the bench -- a scratch folder is
-    created, so lineage can still be cut with ``DataFrame.checkpoint()``."""
+    where it is unset and the master is local -- tests, the bench -- a scratch
+    folder is created; off local mode an unset folder is an error."""
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="lakelayer-ckpt-")
     if spark.conf.get("spark.checkpoint.dir", None) != current:
         spark.conf.set("spark.checkpoint.dir", current)

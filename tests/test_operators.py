@@ -173,11 +173,12 @@ def test_zip_rows_observe_and_classify(spark):
 
 
 def test_text_helpers(spark):
-    from lakelayer.functions.text import normalize_text, normalize_text_exact, standardize_phone, text_equals_ci_ai
+    from lakelayer.functions.text import normalize_text, standardize_phone, text_equals_ci_ai
 
-    df = spark.createDataFrame([("Tráfico",), ("Ñandú Ölçer",), (None,)], "s string")
-    got = [tuple(r) for r in df.select(normalize_text("s"), normalize_text_exact("s"), text_equals_ci_ai("s", "trafico")).collect()]
-    assert got[0] == ("trafico", "trafico", True) and got[1][0] == got[1][1] == "nandu olcer" and got[2][0] is None
+    df = spark.createDataFrame([("Tráfico",), ("Ñandú Ölçer",), (None,), ("Việt Nam",), ("Ἀθῆναι",), ("e\u0301a\u0323",)], "s string")
+    got = [tuple(r) for r in df.select(normalize_text("s"), text_equals_ci_ai("s", "trafico")).collect()]
+    assert got[0] == ("trafico", True)
+    assert [g[0] for g in got[1:]] == ["nandu olcer", None, "viet nam", "αθηναι", "ea"]
     ph = spark.createDataFrame([("(+57) 300-123 4567 ext 89 012",), ("",), (None,), ("١٢٣4",)], "p string")
     out = [r[0] for r in ph.select(standardize_phone("p")).collect()]
     assert out[:3] == ["(573)-001-234-56789", "()---", None] and out[3] == "(١٢٣)-4--"
@@ -200,3 +201,53 @@ def test_exact_quantiles_match_sorted_rank(spark):
             assert r["n"] == len(vals) and r["min"] == vals[0] and r["max"] == vals[-1]
             for i, q in enumerate(qs):
                 assert r[f"q{i}"] == vals[max(math.ceil(q * len(vals)), 1) - 1]
+
+
+def test_small_samples_are_not_empty(spark):
+    from lakelayer.operators.sample import hash_sample
+
+    ids = spark.range(1_000_000).withColumnRenamed("id", "k")
+    for f in (0.0004, 0.3):
+        n = hash_sample(ids, "k", f).count()
+        assert abs(n - f * 1_000_000) <= 0.05 * f * 1_000_000
+
+
+def test_null_keys(spark):
+    from pyspark.sql import functions as F
+
+    from lakelayer.operators.asof import asof_join
+    from lakelayer.operators.fill import ffill
+    from lakelayer.operators.monitor import drift
+    from lakelayer.operators.profile import box_stats, outliers
+    from lakelayer.operators.sample import stratified_split
+
+    left = spark.createDataFrame([(None, 20), (1, 20)], "k long, t long").withColumn("t", F.timestamp_seconds("t"))
+    right = spark.createDataFrame([(None, 10, "x"), (1, 10, "y")], "k long, t long, f string").withColumn("t", F.timestamp_seconds("t"))
+    assert {(r["k"], r["f"]) for r in asof_join(left, right, ["k"], "t").collect()} == {(None, None), (1, "y")}
+
+    rows = spark.createDataFrame([(None, i, "m0" if i == 0 else None) for i in range(6)], "p string, i long, v string")
+    assert {r["v"] for r in ffill(rows, "v", ["p"], ["i"], chunk=F.floor(F.col("i") / 2)).collect()} == {"m0"}
+
+    cls = spark.createDataFrame([(None if i % 2 else "a", i) for i in range(400)], "c string, k long")
+    got = {(r["c"], r["split"]): r["count"] for r in stratified_split(cls, "c", "k").groupBy("c", "split").count().collect()}
+    assert got == {("a", "train"): 160, ("a", "test"): 40, (None, "train"): 160, (None, "test"): 40}
+
+    v = spark.createDataFrame([(None, float(x)) for x in (1, 2, 3, 4, 100)] + [("a", 1.0)], "g string, v double")
+    assert {r["g"] for r in box_stats(v, "v", ["g"]).collect()} == {None, "a"}
+    assert [r["v"] for r in outliers(v, "v", ["g"]).collect()] == [100.0]
+
+    days = spark.createDataFrame([(d, c) for d in ("2024-01-01", "2024-01-02") for c in ("a", None, None)], "d string, c string").withColumn("d", F.to_timestamp("d"))
+    for mode in ("consecutive", "baseline"):
+        r = drift(days, "d", "c", mode=mode).orderBy("window_start").collect()[-1]
+        assert (r["js_distance"], r["tv_distance"], r["dof"]) == (0.0, 0.0, 1)
+
+
+def test_chi2_tail_converges(spark):
+    from pyspark.sql import functions as F
+
+    from lakelayer.operators.monitor import chi2_sf
+
+    got = [r[0] for r in spark.createDataFrame([(3.841458821, 1.0), (1e6, 1e6), (4e6, 4e6), (0.0, 3.0)], "s double, d double").select(chi2_sf(F.col("s"), F.col("d"))).collect()]
+    assert abs(got[0] - 0.05) < 1e-9 and abs(got[3] - 1) < 1e-12
+    for g, n in zip(got[1:3], (1e6, 4e6), strict=True):  # Q(a, a) = 1/2 - 1 / (3 sqrt(2 pi a)) + O(a ** -1.5)
+        assert abs(g - (0.5 - 1 / (3 * (2 * 3.141592653589793 * n / 2) ** 0.5))) < 1e-6

@@ -133,7 +133,7 @@ def test_parse_debt_bonds(spark):
         ("(3) Opcion Call", *n),
         tuple([None] * 13),
     ]
-    df = spark.createDataFrame([("f", "KitBonos", i, *r) for i, r in enumerate(data)],
+    df = spark.createDataFrame([("f", "Bonos", i, *r) for i, r in enumerate(data)],
                                "file string, sheet string, row int, " + ", ".join(f"`{c}` string" for c in cols))
     rename, mes, ano = parse_header_period(df.columns)
     assert (mes, ano) == ("Jun", "2024")
