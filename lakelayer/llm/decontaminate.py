@@ -69,18 +69,17 @@ def search(docs: DataFrame, benchmark: DataFrame, text: str, ident: str, item: s
     test_terms = materialize(items.select(F.explode("words").alias("term")).distinct())
     frequency = materialize(postings(words, test_terms).groupBy("term").agg(F.count("*").alias("df")))
     windows = materialize(windows_of(items, frequency, window))
-    anchors = windows.select("item", "body", F.explode(F.array(F.struct(F.col("t1").alias("term"), F.col("a1").alias("at")), F.struct(F.col("t2").alias("term"), F.col("a2").alias("at")))).alias("a"))
-    anchors = materialize(anchors.select("item", "body", "a.term", "a.at").distinct())
+    two = [F.struct(F.col(f"t{a}").alias("term"), F.col(f"a{a}").alias("at"), F.col(f"a{b}").alias("mate")) for a, b in ((1, 2), (2, 1))]
+    anchors = windows.select("item", "body", F.explode(F.array(*two)).alias("a")).select("item", "body", "a.*")
+    anchors = materialize(anchors.groupBy("item", "body", "term", "at").agg(F.collect_set("mate").alias("mates")))  # mates: of one item
     index = materialize(postings(words, anchors.select("term").distinct()))
-    found = index.join(anchors, "term").select("k1", "k2", "item", "body", (F.col("pos") - F.col("at")).alias("delta"), "at")
+    found = index.join(anchors, "term").select("k1", "k2", "item", "body", (F.col("pos") - F.col("at")).alias("delta"), "at", "mates")
     found = materialize(found)
 
     # Intersection: alignments that hold both anchors of a window.
-    met = found.groupBy("k1", "k2", "item", "body", "delta").agg(F.collect_set("at").alias("at"))  # positions of one item
-    pairs = windows.groupBy("item", "body").agg(F.collect_set(F.struct("a1", "a2")).alias("pairs"))
-    both = F.exists("pairs", lambda p: F.array_contains("at", p["a1"]) & F.array_contains("at", p["a2"]))
-    met = met.join(pairs, ["item", "body"]).filter(both).select("k1", "k2", "item", "body", "delta")
-    met = materialize(met)
+    held = [F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_set("mates"))).alias("mates")]  # positions of one item
+    met = found.groupBy("k1", "k2", "item", "body", "delta").agg(*held)
+    met = materialize(met.filter(F.arrays_overlap("at", "mates")).select("k1", "k2", "item", "body", "delta"))
 
     # Exact phrase: the document's words against the item's.
     texts = words.join(met.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
@@ -93,8 +92,9 @@ def search(docs: DataFrame, benchmark: DataFrame, text: str, ident: str, item: s
     exact = spans.filter(F.size("spans") > 0).groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"), F.collect_set("item").alias("items"))
 
     # Proximity: both anchors of a window, up to slop words off their offsets.
-    first = found.join(windows.select("item", "body", "start", F.col("a1").alias("at"), "a2"), ["item", "body", "at"])
-    first = first.select("k1", "k2", "item", "body", "start", F.col("a2").alias("at"), F.col("delta").alias("d1"), F.explode(F.sequence(F.col("delta") - slop, F.col("delta") + slop)).alias("delta"))
+    pairs = windows.select("item", "body", F.col("a1").alias("at"), "a2").distinct()
+    first = found.join(pairs, ["item", "body", "at"])
+    first = first.select("k1", "k2", "item", "body", F.col("a2").alias("at"), F.explode(F.sequence(F.col("delta") - slop, F.col("delta") + slop)).alias("delta"))
     near = first.join(found, ["k1", "k2", "item", "body", "at", "delta"]).groupBy("k1", "k2").agg(F.count_distinct("item").alias("n_near"))
     return exact.join(near, ["k1", "k2"], "full")
 
