@@ -36,7 +36,7 @@ def asof_join(
     left_ts: str,
     right_ts: str | None = None,
     features: Sequence[str] | None = None,
-    bucket_secs: int = 7 * DAY,
+    bucket_secs: int = DAY,
 ) -> DataFrame:
     keys = list(keys)
     right_ts = right_ts or left_ts
@@ -116,7 +116,7 @@ def training_set(
     lookups: Sequence[tuple[DataFrame, Sequence[str], str, Sequence[str] | None]],
     ts: str,
     exclude: Sequence[str] = (),
-    bucket_secs: int = 7 * DAY,
+    bucket_secs: int = DAY,
 ) -> DataFrame:
     """Labels enriched by several point-in-time lookups, then the excluded
     (identity / time) columns dropped.  Each lookup is ``(features, keys,

@@ -1,22 +1,18 @@
 """Trailing time-range window features (survey E3-E5, N3, N5).
 
-The reference computes ``sum`` / ``count`` over
-``partitionBy(key).orderBy(ts).rangeBetween(-R, 0)``.  Spark evaluates such a
-sliding frame by re-aggregating the whole frame for every row, so the cost
-is rows x rows-per-frame, and one key holding a third of the table is one
-task.  ``rolling`` computes the same numbers exactly with running frames
-only:
-
-* each key's timeline is cut into buckets of ``bucket_secs`` (at most R);
-  a row is evaluated in its own bucket and copied, as *context*, into the
-  ``ceil(R / bucket_secs)`` following buckets its frame can reach, so a
-  window partition holds at most ``R + bucket_secs`` seconds of one key;
-* inside a partition, for a row at second ``t`` the frame sum is
-  ``own(t) + ctx_total - ctx(<= t - R - 1)``: ``own`` is the running sum of
-  the bucket's own rows (a RANGE frame, so same-second peers count),
-  ``ctx_total`` the partition total of context rows, and ``ctx(..)`` a
-  running sum of context rows read at ``t - R - 1`` by ordering the row at
-  that key.  Every frame is running or whole-partition: O(n log n).
+A sliding frame ``partitionBy(key).orderBy(ts).rangeBetween(-R, 0)`` would be
+re-aggregated for every row, and one key holding a third of the table would
+be one task.  ``rolling_many`` computes the same numbers from running sums:
+
+* rows are first summed per (key, second), so same-second peers count;
+* a key's timeline is cut into buckets (a day by default).  The cumulative
+  value at a second is the total of all earlier buckets -- a running sum over
+  the small (key, bucket) table -- plus a running sum inside (key, bucket);
+* the frame of a row at ``t`` is the cumulative value at ``t`` minus the one just
+  before ``t - R``, which a probe row placed into that second's bucket reads.
+
+A row is placed once per frame besides its own place, whatever the frame's
+length, and no window partition holds more than one bucket of one key.
 
 Aggregates are given as ``(kind, expr)``: ``("sum", col)`` or
 ``("count", col | None)`` (``None`` counts rows).  A sum whose frame holds
@@ -25,13 +21,13 @@ no non-NULL value is NULL, as in SQL.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_seconds
+from .fill import join_null_safe
 
 DAY = 86400
 UNB = Window.unboundedPreceding
@@ -43,67 +39,57 @@ def _col(x):
     return F.col(x) if isinstance(x, str) else x
 
 
-def rolling(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    range_secs: int,
-    aggs: Mapping[str, Agg],
-    bucket_secs: int | None = None,
-) -> DataFrame:
-    """One trailing frame ``[ts - range_secs, ts]`` (whole seconds).
-
-    ``bucket_secs`` (default and maximum ``range_secs``) sets the time split;
-    a bucket no longer than the frame means every earlier row of the row's
-    own bucket lies inside the frame."""
-    keys = list(keys)
-    R = int(range_secs)
-    bucket = int(min(bucket_secs or R, R))
-    hops = int(math.ceil(R / bucket))
-    staged = df.withColumn("_t", epoch_seconds(ts))
-    staged = staged.withColumn("_own", F.floor(F.col("_t") / F.lit(bucket))).withColumn(
-        "_bucket", F.explode(F.sequence(F.col("_own"), F.col("_own") + F.lit(hops)))
-    )
-    tgt = F.col("_bucket") == F.col("_own")
-    part = [*keys, "_bucket"]
-    w_all = Window.partitionBy(*part)
-    w_own = Window.partitionBy(*part).orderBy("_t").rangeBetween(UNB, 0)
-    probe = F.when(tgt, F.col("_t") - F.lit(R + 1)).otherwise(F.col("_t"))
-    w_probe = Window.partitionBy(*part).orderBy(probe).rangeBetween(UNB, 0)
-
-    def frame_sum(v: Column) -> Column:
-        own = F.sum(F.when(tgt, v)).over(w_own)
-        ctx_total = F.sum(F.when(~tgt, v)).over(w_all)
-        ctx_before = F.sum(F.when(~tgt, v)).over(w_probe)
-        return F.coalesce(own, F.lit(0)) + F.coalesce(ctx_total, F.lit(0)) - F.coalesce(ctx_before, F.lit(0))
-
-    cols: dict[str, Column] = {}
-    for name, (kind, expr) in aggs.items():
-        if kind == "count":
-            v = F.lit(1) if expr is None else _col(expr).isNotNull()
-            cols[name] = frame_sum(v.cast("long"))
-        elif kind == "sum":
-            e = _col(expr)
-            n = frame_sum(e.isNotNull().cast("long"))
-            cols[name] = F.when(n > 0, frame_sum(e))
-        else:
-            raise ValueError(f"unsupported rolling aggregate {kind!r} (sum, count)")
-    out = staged.withColumns(cols).filter(tgt)
-    return out.drop("_t", "_own", "_bucket")
-
-
 def rolling_many(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
     frames: Mapping[int, Mapping[str, Agg]],
-    bucket_secs: int | None = None,
+    bucket_secs: int = DAY,
 ) -> DataFrame:
-    """Several trailing frames ``{range_secs: {name: (kind, expr)}}`` on one
-    key, one time split (exchange) per frame length."""
+    """Trailing frames ``[ts - range_secs, ts]`` (whole seconds), given as
+    ``{range_secs: {name: (kind, expr)}}``, on one key."""
+    keys = list(keys)
+    sums, outs = {}, {}
     for secs, aggs in sorted(frames.items()):
-        df = rolling(df, keys, ts, secs, aggs, bucket_secs)
-    return df
+        for name, (kind, expr) in aggs.items():
+            if kind == "count":
+                sums[f"_n_{name}"] = F.sum((F.lit(1) if expr is None else _col(expr).isNotNull()).cast("long"))
+                outs[name] = (secs, F.col(f"_n_{name}"))
+            elif kind == "sum":
+                sums[f"_n_{name}"] = F.sum(_col(expr).isNotNull().cast("long"))
+                sums[f"_s_{name}"] = F.coalesce(F.sum(_col(expr)), F.lit(0))
+                outs[name] = (secs, F.when(F.col(f"_n_{name}") > 0, F.col(f"_s_{name}")))
+            else:
+                raise ValueError(f"unsupported rolling aggregate {kind!r} (sum, count)")
+    staged = df.withColumn("_t", epoch_seconds(ts))
+    # One row per key and second; the seconds a frame ends before are probes.
+    per = staged.groupBy(*keys, "_t").agg(*[v.alias(c) for c, v in sums.items()])
+    zero = [(F.col(c) - F.col(c)).alias(c) for c in sums]
+    rows = per.select(*keys, F.col("_t").alias("_owner"), "_t", F.lit(0).alias("_frame"), *sums)
+    for secs in frames:
+        rows = rows.unionByName(per.select(*keys, F.col("_t").alias("_owner"), (F.col("_t") - secs).alias("_t"), F.lit(int(secs)).alias("_frame"), *zero))
+    rows = rows.withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_secs)))
+    part = [*keys, "_b"]
+    # Probes first: what stands at a frame's first second is inside.
+    inside = Window.partitionBy(*part).orderBy("_t", (F.col("_frame") == 0).cast("int")).rowsBetween(UNB, 0)
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(UNB, -1)
+    totals = rows.groupBy(*part).agg(*[F.sum(c).alias(c) for c in sums])
+    totals = totals.select(*part, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before{c}") for c in sums])
+    rows = join_null_safe(rows.withColumns({c: F.sum(c).over(inside) for c in sums}), totals, part)
+    rows = rows.withColumns({c: F.col(c) + F.col(f"_before{c}") for c in sums})
+    picked = []
+    for name, (secs, _) in outs.items():
+        for c in (x for x in sums if x[3:] == name):
+            own, gone = F.when(F.col("_frame") == 0, F.col(c)), F.when(F.col("_frame") == secs, F.col(c))
+            picked.append((F.sum(own) - F.sum(gone)).alias(c))
+    framed = rows.groupBy(*keys, "_owner").agg(*picked)
+    framed = framed.select(*keys, F.col("_owner").alias("_t"), *[v.alias(name) for name, (_, v) in outs.items()])
+    return join_null_safe(staged, framed, [*keys, "_t"]).drop("_t")
+
+
+def rolling(df: DataFrame, keys: Sequence[str], ts: str, range_secs: int, aggs: Mapping[str, Agg], bucket_secs: int = DAY) -> DataFrame:
+    """One trailing frame ``[ts - range_secs, ts]``."""
+    return rolling_many(df, keys, ts, {int(range_secs): aggs}, bucket_secs)
 
 
 def rolling_sliding(df: DataFrame, keys: Sequence[str], ts: str, range_secs: int, aggs: Mapping[str, Column]) -> DataFrame:

@@ -35,6 +35,22 @@ def test_rolling_spreads_a_hot_key(spark, no_coalesce):
     assert busy_partitions(out) > 1
 
 
+def largest_share(df) -> float:
+    sizes = df.rdd.glom().map(len).collect()
+    return max(sizes) / max(sum(sizes), 1)
+
+
+def test_long_frame_bounds_the_largest_partition(spark, no_coalesce):
+    """A key with a third of the rows under the 180-day frame, over 60 days."""
+    d = hot(spark, 3000).unionAll(spark.range(6000).selectExpr("concat('k', id) AS k", "timestamp'2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts", "1.0D AS v"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        assert largest_share(rolling(d, ["k"], "ts", 180 * 86400, {"s": ("sum", "v")})) <= 0.15
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_asof_spreads_a_hot_key(spark, no_coalesce):
     d = hot(spark)
     labels = d.select("k", "ts").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND"))
