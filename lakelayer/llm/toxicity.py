@@ -70,8 +70,10 @@ def expressions(sample: DataFrame) -> tuple[dict, dict]:
     the shared backoff."""
     w = F.regexp_extract_all(F.lower("__text"), F.lit(JAVA_WORD), F.lit(0))
     rows = sample.select("toxic", w.alias("w")).filter(F.size("w") > 0)
-    pair = F.transform("w", lambda x, i: F.struct(F.when(i > 0, F.get("w", i - 1)).otherwise("").alias("u"), x.alias("w")))
-    pairs = rows.select("toxic", F.explode(F.array_distinct(pair)).alias("p")).select("toxic", "p.u", "p.w")
+    # As strings: distinct structs would be compared pair by pair.
+    pair = F.transform("w", lambda x, i: F.concat(F.when(i > 0, F.get("w", i - 1)).otherwise(""), F.lit(" "), x))
+    pairs = rows.select("toxic", F.explode(F.array_distinct(pair)).alias("p"))
+    pairs = pairs.select("toxic", F.substring_index("p", " ", 1).alias("u"), F.substring_index("p", " ", -1).alias("w"))
     per_class = [F.sum((F.col("toxic") == y).cast("long")).alias(f"n{y}") for y in (0, 1)]
     pairs = materialize(pairs.groupBy("u", "w").agg(*per_class))
     single = rows.select("toxic", F.explode(F.array_distinct("w")).alias("w")).groupBy("w").agg(*per_class)
