@@ -32,17 +32,6 @@ def serial_date(col: Column | str) -> Column:
     return F.date_add(F.to_date(F.lit(SERIAL_EPOCH)), _c(col).try_cast("int"))
 
 
-def time_parts(col: Column | str, prefix: str) -> dict[str, Column]:
-    """Hour, weekday (Monday=0) and weekend flag of a timestamp."""
-    c = _c(col)
-    wd = F.weekday(c)
-    return {
-        f"{prefix}_hour": F.hour(c),
-        f"{prefix}_weekday": wd,
-        f"{prefix}_is_weekend": (wd >= 5).cast("int"),
-    }
-
-
 # Quarter -> closing month name of the report period.
 QUARTER_END_MONTH = {1: "Marzo", 2: "Junio", 3: "Septiembre", 4: "Diciembre"}
 

@@ -48,10 +48,14 @@ def pivot_metric(df: DataFrame, keys: Sequence[str], name: str, value: str, name
 def custom_metric(df: DataFrame, template: str, groups: Sequence[str] = (), **cols: str) -> DataFrame:
     """Aggregate from a template such as
     ``avg(CASE WHEN {{prediction_col}} = {{target_col}} THEN 1 ELSE 0 END)``."""
-    expr = template
+    return df.groupBy(*groups).agg(F.expr(fill_template(template, **cols)).alias("custom_metric"))
+
+
+def fill_template(template: str, **cols: str) -> str:
+    """``{{name}}`` replaced by the quoted column given for the name."""
     for k, v in cols.items():
-        expr = expr.replace("{{" + k + "}}", f"`{v}`")
-    return df.groupBy(*groups).agg(F.expr(expr).alias("custom_metric"))
+        template = template.replace("{{" + k + "}}", f"`{v}`")
+    return template
 
 
 def correlations(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:

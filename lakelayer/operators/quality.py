@@ -79,38 +79,6 @@ EXPECTATIONS_SCHEMA = T.ArrayType(
 )
 
 
-def quality_log_record(df: DataFrame, group: Sequence[str], rules: Sequence[Rule], dataset: Column) -> DataFrame:
-    """Build pipeline event-log rows: per group one ``flow_progress`` JSON with
-    the output row count and the expectation results (what a pipeline run
-    writes; used to test :func:`parse_quality_log`)."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, (_, p) in enumerate(rules):
-        aggs += [F.count_if(_pred(p)).alias(f"_p{i}"), F.count_if(~_pred(p)).alias(f"_f{i}")]
-    anyfail = F.lit(False)
-    for _, p in rules:
-        anyfail = anyfail | ~_pred(p)
-    aggs.append(F.count_if(anyfail).alias("_drop"))
-    g = df.withColumn("_dataset", dataset).groupBy(*group, "_dataset").agg(*aggs)
-    exps = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("name"),
-                F.col("_dataset").alias("dataset"),
-                F.col(f"_p{i}").alias("passed_records"),
-                F.col(f"_f{i}").alias("failed_records"),
-            )
-            for i, (n, _) in enumerate(rules)
-        ]
-    )
-    details = F.struct(
-        F.struct(
-            F.struct(F.col("_rows").alias("num_output_rows")).alias("metrics"),
-            F.struct(F.col("_drop").alias("dropped_records"), exps.alias("expectations")).alias("data_quality"),
-        ).alias("flow_progress")
-    )
-    return g.select(*group, F.to_json(details).alias("details"))
-
-
 def parse_quality_log(log: DataFrame, id_col: str = "id") -> DataFrame:
     """Expectation metrics out of the JSON event log -- rows with
     ``flow_progress.metrics``, expectations array parsed and exploded."""
@@ -129,19 +97,6 @@ def parse_quality_log(log: DataFrame, id_col: str = "id") -> DataFrame:
     )
 
 
-def flow_definition_record(df: DataFrame) -> DataFrame:
-    """``flow_definition`` event-log rows, one per (id, output, inputs, type)."""
-    details = F.struct(
-        F.struct(
-            F.col("output_dataset"),
-            F.col("input_datasets"),
-            F.col("flow_type"),
-            F.col("schema"),
-        ).alias("flow_definition")
-    )
-    return df.select("id", "timestamp", F.to_json(details).alias("details"))
-
-
 def parse_flow_log(log: DataFrame) -> DataFrame:
     """L3: lineage fields of ``flow_definition`` events (JSON path reads)."""
     d = F.col("details")

@@ -7,10 +7,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.monitor import all_metrics, drift, profile_metrics, violations
+from ..operators.profile import fill_template
 from ..sources.tables import Tables
 from .registry import register
 
-LOSS = "avg(CASE WHEN prediction != label AND label = 1 THEN -value ELSE 0 END)"
+LOSS = "avg(CASE WHEN {{prediction_col}} != {{label_col}} AND {{label_col}} = 1 THEN -value ELSE 0 END)"
 
 
 def inference_log(t: Tables):
@@ -20,6 +21,7 @@ def inference_log(t: Tables):
         "ts",
         "user_id",
         "value",
+        F.col("event_type").alias("kind"),
         (F.col("event_type") == "purchase").cast("int").alias("label"),
         (F.col("value") > 25).cast("int").alias("prediction"),
         F.concat(F.lit("v"), (F.col("user_id") % 2 + 1).cast("string")).alias("model_version"),
@@ -27,10 +29,11 @@ def inference_log(t: Tables):
 
 
 LOG_SQL = """
-lg AS (SELECT event_id, ts, user_id, value, CAST(event_type = 'purchase' AS INTEGER) AS label,
+lg AS (SELECT event_id, ts, user_id, value, event_type AS kind, CAST(event_type = 'purchase' AS INTEGER) AS label,
               CAST(value > 25 AS INTEGER) AS prediction, 'v' || CAST(user_id % 2 + 1 AS VARCHAR) AS model_version,
               time_bucket(INTERVAL 1 DAY, ts) AS window_start FROM events),
 sl AS (SELECT *, NULL::VARCHAR AS slice_key, NULL::VARCHAR AS slice_value FROM lg
+       UNION ALL SELECT *, 'kind', kind FROM lg
        UNION ALL SELECT *, 'user_id % 3 = 0', CAST(user_id % 3 = 0 AS VARCHAR) FROM lg),
 base AS (SELECT window_start, model_version, slice_key, slice_value, count(*) AS n,
                 round(avg(CAST(label = prediction AS DOUBLE)), 6) AS accuracy,
@@ -54,8 +57,9 @@ prof AS (SELECT b.window_start, b.window_start + INTERVAL 1 DAY AS window_end, b
 
 
 def _profile(t: Tables):
+    loss = fill_template(LOSS, prediction_col="prediction", label_col="label")
     return profile_metrics(
-        inference_log(t), "ts", "label", "prediction", ["model_version"], slice_exprs=["user_id % 3 = 0"], custom=LOSS
+        inference_log(t), "ts", "label", "prediction", ["model_version"], slice_cols=["kind"], slice_exprs=["user_id % 3 = 0"], custom=loss
     )
 
 

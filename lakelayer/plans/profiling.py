@@ -107,7 +107,7 @@ FROM lineitem GROUP BY l_returnflag
 """,
 )
 def q_box_stats(spark, sf_dir):
-    """Quartiles and whisker fences per group (mergeable sketch)."""
+    """Quartiles and whisker fences per group (exact)."""
     return box_stats(Tables(spark, sf_dir).lineitem, "l_extendedprice", ["l_returnflag"])
 
 

@@ -11,10 +11,8 @@ from ..operators.quality import (
     duplicate_keys,
     expect_or_drop,
     expectation_report,
-    flow_definition_record,
     parse_flow_log,
     parse_quality_log,
-    quality_log_record,
 )
 from ..sources.tables import Tables
 from .registry import register
@@ -102,6 +100,51 @@ def q_expect_or_drop(spark, sf_dir):
 EVENT_RULES = [("value_over_5", "value > 5"), ("k_under_90", "CAST(get_json_object(props, '$.k') AS INT) < 90")]
 
 
+def quality_log_record(df, group, rules, dataset):
+    """Build pipeline event-log rows: per group one ``flow_progress`` JSON with
+    the output row count and the expectation results (what a pipeline run
+    writes; used to test :func:`parse_quality_log`)."""
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, (_, p) in enumerate(rules):
+        aggs += [F.count_if(F.coalesce(F.expr(p), F.lit(False))).alias(f"_p{i}"), F.count_if(~F.coalesce(F.expr(p), F.lit(False))).alias(f"_f{i}")]
+    anyfail = F.lit(False)
+    for _, p in rules:
+        anyfail = anyfail | ~F.coalesce(F.expr(p), F.lit(False))
+    aggs.append(F.count_if(anyfail).alias("_drop"))
+    g = df.withColumn("_dataset", dataset).groupBy(*group, "_dataset").agg(*aggs)
+    exps = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("name"),
+                F.col("_dataset").alias("dataset"),
+                F.col(f"_p{i}").alias("passed_records"),
+                F.col(f"_f{i}").alias("failed_records"),
+            )
+            for i, (n, _) in enumerate(rules)
+        ]
+    )
+    details = F.struct(
+        F.struct(
+            F.struct(F.col("_rows").alias("num_output_rows")).alias("metrics"),
+            F.struct(F.col("_drop").alias("dropped_records"), exps.alias("expectations")).alias("data_quality"),
+        ).alias("flow_progress")
+    )
+    return g.select(*group, F.to_json(details).alias("details"))
+
+
+def flow_definition_record(df):
+    """``flow_definition`` event-log rows, one per (id, output, inputs, type)."""
+    details = F.struct(
+        F.struct(
+            F.col("output_dataset"),
+            F.col("input_datasets"),
+            F.col("flow_type"),
+            F.col("schema"),
+        ).alias("flow_definition")
+    )
+    return df.select("id", "timestamp", F.to_json(details).alias("details"))
+
+
 def _event_log(t: Tables):
     ev = t.events.withColumn("day", F.to_date("ts"))
     prog = quality_log_record(ev, ["day", "event_type"], EVENT_RULES, F.concat(F.col("event_type"), F.lit("_silver")))

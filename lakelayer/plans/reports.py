@@ -436,7 +436,7 @@ def q_report_wide(spark, sf_dir):
     f"""
 WITH {PROJECTS_SQL.strip()},
 d AS (SELECT "Pais" AS Pais, "Empresa" AS Compania, "Tipo control" AS TipoControl, "Nombre del proyecto" AS Proyecto
-      FROM p WHERE "Ano reporte" = '1999')
+      FROM p)
 SELECT *, row_number() OVER (PARTITION BY Pais ORDER BY Compania, TipoControl, Proyecto) = 1 AS country_header,
        row_number() OVER (PARTITION BY Pais, Compania ORDER BY TipoControl, Proyecto) = 1 AS company_header,
        row_number() OVER (PARTITION BY Pais, Compania, TipoControl ORDER BY Proyecto) = 1 AS control_header
@@ -445,7 +445,7 @@ FROM d
 )
 def q_project_report(spark, sf_dir):
     """Hierarchical project list with group-header flags."""
-    p = _projects(Tables(spark, sf_dir)).filter(F.col("Ano reporte") == "1999")
+    p = _projects(Tables(spark, sf_dir))
     d = p.select("Pais", F.col("Empresa").alias("Compania"), F.col("Tipo control").alias("TipoControl"),
                  F.col("Nombre del proyecto").alias("Proyecto"))
     return project_report(d)

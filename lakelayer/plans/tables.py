@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.upsert import change_feed, scd1_apply, update_from, upsert
 from ..sources.tables import Tables
 from ..sources.writers import create_or_upsert, staging_path
+from ..streaming.ingest import applied_version, silver_scd1
 from .registry import register
 
 ORDER_COLS = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
@@ -69,8 +70,9 @@ def q_scd1(spark, sf_dir):
     one after another with latest-wins per ``(l_orderkey, l_linenumber)``,
     sequenced by ship date, ties broken by the full row."""
     li = Tables(spark, sf_dir).lineitem
-    y = F.year("l_shipdate")
-    batches = [li.filter(y < 1997), li.filter((y >= 1997) & (y < 1999)), li.filter(y >= 1999)]
+    day = F.col("l_shipdate")  # plain comparisons: each batch prunes its row groups
+    a, b = (F.lit(f"{y}-01-01").cast("timestamp") for y in (1997, 1999))
+    batches = [li.filter(day < a), li.filter((day >= a) & (day < b)), li.filter(day >= b)]
     state = scd1_apply(batches, ["l_orderkey", "l_linenumber"], ["l_shipdate"], checkpoint_every=2)
     return state.select(*li.columns)
 
@@ -145,3 +147,22 @@ def q_create_or_upsert(spark, sf_dir):
     for part in (first, second):
         create_or_upsert(spark, part, path, ["order_id"], partition_by=["kind"])
     return spark.read.schema(first.schema).parquet(path)
+
+
+@register(
+    "scd1_incremental",
+    """
+SELECT o_orderkey % 1000 AS slot, arg_max(o_orderkey, o_orderkey) AS order_id, arg_max(o_totalprice, o_orderkey) AS amount
+FROM orders GROUP BY 1
+""",
+)
+def q_scd1_incremental(spark, sf_dir):
+    """Two ingest runs into a bronze table; the second silver run reads only
+    the second run's rows and the state it found."""
+    o = Tables(spark, sf_dir).orders
+    rows = o.select((F.col("o_orderkey") % 1000).alias("slot"), F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("amount"))
+    bronze, state = staging_path(spark, "scd1-bronze"), staging_path(spark, "scd1-state")
+    for run, part in ((1, rows.filter("order_id % 2 = 1")), (2, rows.filter("order_id % 2 = 0"))):
+        part.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(bronze)
+        silver_scd1(spark, bronze, state, ["slot"], ["order_id"], "run")
+    return spark.read.parquet(f"{state}/v={applied_version(spark, state)}").select("slot", "order_id", "amount")

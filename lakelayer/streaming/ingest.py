@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.upsert import scd1
+from ..sources.writers import path_exists
 
 
 def ingest(stream: DataFrame, target: str, checkpoint: str, partition_by: list[str] | None = None,
@@ -33,10 +34,27 @@ def ingest(stream: DataFrame, target: str, checkpoint: str, partition_by: list[s
         raise q.exception()
 
 
-def silver_scd1(spark: SparkSession, bronze: str, silver_state: DataFrame | None, keys: list[str],
-                seq: list[str]) -> DataFrame:
-    """Latest-wins state from the bronze table (batch over the files)."""
-    return scd1(silver_state, spark.read.parquet(bronze), keys, seq)
+def silver_scd1(spark: SparkSession, bronze: str, state: str, keys: list[str], seq: list[str], batch: str) -> None:
+    """Latest-wins state of the bronze table, incrementally.  ``batch`` is the
+    bronze column (a partition of the table) that numbers the ingest runs; only
+    runs after the last applied one are read.  The state is written as a new
+    version ``state/v=<run>``, whose files appear when its write commits, so a run
+    that is lost half-way is done again."""
+    done = applied_version(spark, state)
+    rows = spark.read.parquet(bronze)
+    new = rows if done is None else rows.filter(F.col(batch) > done)
+    newest = new.agg(F.max(batch).alias("b")).first()["b"]
+    if newest is None:
+        return
+    old = None if done is None else spark.read.parquet(f"{state}/v={done}")
+    scd1(old, new.filter(F.col(batch) <= newest), keys, seq).write.mode("overwrite").parquet(f"{state}/v={newest}")
+
+
+def applied_version(spark: SparkSession, state: str) -> int | None:
+    """The last committed version of a state folder."""
+    if not path_exists(spark, state):
+        return None
+    return spark.read.parquet(state).agg(F.max(F.col("v").cast("long")).alias("v")).first()["v"]
 
 
 def daily_window_counts(stream: DataFrame, ts: str, watermark: str = "1 day") -> DataFrame:

@@ -16,6 +16,8 @@ def _registry():
 
 
 QS, SQLS = _registry()
+# Built by running jobs; the queries of the llm subpackage have tests of their own.
+EAGER = {"train_leaderboard", "batch_score", "stream_ingest_equals_batch", "csv_ingest_rescue", "json_ingest_malformed"}
 
 
 @pytest.fixture(scope="module")
@@ -48,7 +50,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QS if n not in {"train_leaderboard", "batch_score", "stream_ingest_equals_batch"}))
+@pytest.mark.parametrize("name", sorted(n for n in QS if n not in EAGER and not n.startswith(("op", "pipeline"))))
 def test_schema_is_stable_and_names_unique(spark, name):
     """The driver compares schemas: building a query twice gives the same
     schema, and no two output columns share a name (case-insensitively)."""
