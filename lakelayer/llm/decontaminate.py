@@ -89,7 +89,7 @@ def search(docs: DataFrame, benchmark: DataFrame, text: str, ident: str, item: s
     full = full.withColumn("equal", equal).withColumn("n", n)
     starts = F.filter(F.sequence(F.lit(0), F.size("words") - F.col("n")), lambda s: F.forall(F.slice("equal", s + 1, F.col("n")), lambda e: e))
     spans = full.select("k1", "k2", "item", F.transform(starts, lambda s: F.struct((F.col("delta") + s).alias("start"), F.col("n").alias("n"))).alias("spans"))
-    exact = spans.filter(F.size("spans") > 0).groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"), F.collect_set("item").alias("items"))
+    exact = spans.filter(F.size("spans") > 0).groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.collect_set("item").alias("items"))
 
     # Proximity: both anchors of a window, up to slop words off their offsets.
     pairs = windows.select("item", "body", F.col("a1").alias("at"), "a2").distinct()

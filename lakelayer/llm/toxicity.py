@@ -13,9 +13,9 @@ same probability.  A text's evidence is the toxic minus the ordinary
 log-likelihood, divided by its number of words; a logistic curve fitted on
 labelled rows kept out of the counts makes it a score.
 
-The models are fitted on a documented, bounded sample of labelled rows (at
-most ``MAX_CHARS`` characters a class, by a hash of the text), which bounds
-the tables that are broadcast; scoring reads every text whole.
+The models are fitted on a documented, bounded sample of labelled rows (about
+``MAX_CHARS`` characters a class, by a hash of the text), which bounds the
+tables that are broadcast; scoring reads every text whole.
 
 Defined results: NULL or empty text has no evidence (0); rows are scored one by
 one; of several labels of one id the largest counts; without labels of both
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelayer.llm.common import materialize
@@ -44,13 +44,30 @@ WORD = r"[^\W_]+"  # letters and digits
 JAVA_WORD = r"[\p{L}\p{M}\p{N}]+"
 
 
-def bounded(rows: DataFrame, most: int) -> DataFrame:
-    """Different texts in the order of a hash while their characters stay within
-    ``most``; ``most`` / 64 rows at most are looked at, so the window is bounded."""
-    n = F.length("__text") + 64
-    order = Window.partitionBy(F.lit(0)).orderBy("__o", "__text").rowsBetween(Window.unboundedPreceding, 0)
-    picked = rows.withColumn("__o", F.xxhash64("__text", F.lit(1))).orderBy("__o", "__text").limit(most // 64)
-    return picked.withColumn("__total", F.sum(n).over(order)).filter(F.col("__total") <= most).drop("__o", "__total")
+def drawn(th: Column, rate: Column) -> Column:
+    """Whether a text is in the sample, by its hash."""
+    return F.pmod(F.xxhash64(th, F.lit(1)), F.lit(1 << 30)) < F.round(rate * float(1 << 30))
+
+
+def sample_of(learnt: DataFrame, known: DataFrame) -> DataFrame:
+    """(__text, toxic, __fit): different labelled texts, about MAX_CHARS characters a
+    class and fold (all where there are fewer), none over a sixteenth of that.
+    Only hashes and lengths are joined with the labels; of the texts, only
+    those in the sample move."""
+    th = F.xxhash64("__text")
+    slim = learnt.select("__id", th.alias("__h"), F.length("__text").alias("__n")).join(known, "__id")
+    # Copies count once; their labels, should they differ, as toxic.
+    slim = slim.groupBy("__h").agg(F.max("toxic").alias("toxic"), F.max("__n").alias("__n"))
+    slim = materialize(slim.withColumn("__fit", F.pmod(F.xxhash64("__h", F.lit(2)), F.lit(5)) == 0))
+    short = slim.filter(F.col("__n") <= MAX_CHARS // 16)
+    totals = short.groupBy("toxic", "__fit").agg(F.sum(F.col("__n") + 64).alias("n")).collect()  # four rows
+    rate, most = F.lit(0.0), 0.0
+    for r in totals:
+        part = min(1.0, MAX_CHARS / r["n"])
+        rate, most = F.when((F.col("toxic") == r["toxic"]) & (F.col("__fit") == r["__fit"]), part).otherwise(rate), max(most, part)
+    picked = short.filter(drawn(F.col("__h"), rate)).select("__h", "toxic", "__fit")
+    texts = learnt.select("__text", th.alias("__h")).filter(drawn(F.col("__h"), F.lit(most)))
+    return texts.join(picked, "__h").dropDuplicates(["__h"]).drop("__h")
 
 
 def class_probability(n: str, kinds: str, total: str, shorter: Column) -> Column:
@@ -139,18 +156,15 @@ def scorer(spark, model):
     return run
 
 
-def fit(labelled: DataFrame):
-    """Log ratios and the curve (slope, intercept) from rows (__text, toxic); four
-    fifths, by a hash of the text, feed the counts, one fifth the curve."""
-    spark = labelled.sparkSession
-    # Copies count once; their labels, should they differ, as toxic.
-    rows = labelled.groupBy("__text").agg(F.max("toxic").alias("toxic"))
-    rows = materialize(rows.withColumn("__fit", F.pmod(F.xxhash64("__text", F.lit(2)), F.lit(5)) == 0))
-    parts = [bounded(rows.filter((F.col("toxic") == y) & (F.col("__fit") == f)), MAX_CHARS) for y in (0, 1) for f in (False, True)]
-    sample = parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
-    sample = materialize(sample.repartition(2 * spark.sparkContext.defaultParallelism))
+def fit(learnt: DataFrame, known: DataFrame):
+    """Log ratios and the curve (slope, intercept) from texts (__id, __text) and
+    labels (__id, toxic); four fifths, by a hash of the text, feed the counts,
+    one fifth the curve."""
+    spark = learnt.sparkSession
+    sample = materialize(sample_of(learnt, known).repartition(2 * spark.sparkContext.defaultParallelism))
     model = expressions(sample.filter("NOT __fit"))
     held = sample.filter("__fit").select("toxic", scorer(spark, model)("__text").alias("__d")).toPandas()
+    held = held.sort_values(["__d", "toxic"])  # sums in one order, so reruns agree
     share = float(held["toxic"].mean()) if len(held) else 0.0
     if held["toxic"].nunique() < 2:
         return model, (0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
@@ -163,7 +177,7 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text",
     docs = docs.drop("score", "predicted")
     known = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(ident).alias("__id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
     learnt = docs.filter(learn).select(F.col(ident).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    model, (slope, intercept) = fit(learnt.join(known, "__id").select("__text", "toxic"))
+    model, (slope, intercept) = fit(learnt, known)
     df = docs.withColumn("__d", scorer(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit(""))))
     value = 1 / (1 + F.exp(-(F.col("__d") * slope + intercept)))
     return df.withColumn("score", value).withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("__d")
