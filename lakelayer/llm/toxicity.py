@@ -67,7 +67,8 @@ def sample_of(learnt: DataFrame, known: DataFrame) -> DataFrame:
         rate, most = F.when((F.col("toxic") == r["toxic"]) & (F.col("__fit") == r["__fit"]), part).otherwise(rate), max(most, part)
     picked = short.filter(drawn(F.col("__h"), rate)).select("__h", "toxic", "__fit")
     texts = learnt.select("__text", th.alias("__h")).filter(drawn(F.col("__h"), F.lit(most)))
-    return texts.join(picked, "__h").dropDuplicates(["__h"]).drop("__h")
+    texts = texts.groupBy("__h").agg(F.any_value("__text").alias("__text"))  # copies meet on the map side
+    return texts.join(picked, "__h").drop("__h")
 
 
 def class_probability(n: str, kinds: str, total: str, shorter: Column) -> Column:
