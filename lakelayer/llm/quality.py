@@ -4,7 +4,9 @@ Per (language, source) a KLL quantile sketch of each measure is aggregated
 with map-side partial sketches; the sketches of a language are merged from
 those of its groups and serve groups too small for thresholds of their own.
 A document's measures are joined with the thresholds of its group; it is
-rejected above the upper fence ``q3 + reach * max(q3 - q1, floor)``.
+rejected above the upper fence ``q3 + reach * max(q3 - q1, floor)``, and, where
+low values are bad too, below the lower fence, which is as many times below q1
+as ``q3 + reach * max(q3 - q1, low floor)`` is above q3.
 
 Defined results: NULL or empty text has no words and fails the base check;
 NULL language and NULL source are groups of their own; rows are judged one by
@@ -21,13 +23,16 @@ from pyspark.sql import functions as F
 from lakelayer.llm.common import SPACE, SPACE_RE, key, materialize
 
 SYMBOLS = "#*$%&|<>"
-#: Measure -> least spread of its fence.
-FENCES = {"word_length": 1.0, "symbol_share": 0.05, "dup_line_share": 0.1, "repeat_share": 0.05}
+#: Measure -> least spread of its fence.  Six times that is less than a share can
+#: reach, and less than the base cut of the repeated words.
+FENCES = {"word_length": 0.5, "symbol_share": 0.02, "dup_line_share": 0.08, "repeat_share": 0.03}
+#: Measure of which low values are bad too -> least spread of its lower fence.
+LOW_FENCES = {"word_length": 1.0}
 POSITION_BITS = 28  # a text has fewer than 2 ** 28 words: a string holds 2 ** 31 bytes at most
 
 
 def word_measures(df: DataFrame, text: str) -> DataFrame:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long)."""
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, __n_lines (long)."""
     df = df.withColumn("__t", F.coalesce(F.col(text), F.lit("")))
     spaceless = F.translate("__t", SPACE, "")
     lines = F.filter(F.split("__t", "\n"), lambda x: F.translate(x, SPACE, "") != "")
@@ -39,7 +44,7 @@ def word_measures(df: DataFrame, text: str) -> DataFrame:
             "n_symbols": (F.length("__t") - F.length(F.translate("__t", SYMBOLS, ""))).cast("long"),
         }
     )
-    df = df.withColumns({"n_words": F.size("__w").cast("long"), "n_dup_lines": (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long")})
+    df = df.withColumns({"n_words": F.size("__w").cast("long"), "__n_lines": F.size("__l").cast("long"), "n_dup_lines": (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long")})
     return repeated_words(df, "__w", 5).drop("__t", "__l", "__w")
 
 
@@ -96,24 +101,34 @@ def measures(least: Mapping[str, float]) -> dict[str, Column]:
     shares = {
         "word_length": F.col("word_chars") / n,
         "symbol_share": F.col("n_symbols") / n,
-        "dup_line_share": F.col("n_dup_lines") / n,
+        "dup_line_share": F.col("n_dup_lines") / F.when(n > 0, F.col("__n_lines").cast("double")),
         "repeat_share": F.col("n_repeat_words") / n,
     }
     return {m: shares[m] for m in least}
 
 
-def thresholds(df: DataFrame, lang: str, source: str, fences: Mapping[str, float], reach: float, least_rows: int, k: int) -> DataFrame:
-    """__lang, __source and a fence per measure, from sketches of all rows."""
+def thresholds(df: DataFrame, lang: str, source: str, fences: Mapping[str, float], low_fences: Mapping[str, float], reach: float, least_rows: int, k: int) -> DataFrame:
+    """__lang, __source, a fence per measure and its lower fence, if any, from
+    sketches of all rows."""
     sketch = {m: F.kll_sketch_agg_double(F.col(f"__{m}"), F.lit(k)).alias(m) for m in fences}
     groups = materialize(df.filter("n_words > 0").groupBy("__lang", "__source").agg(F.count("*").alias("__n"), *sketch.values()))
     whole = groups.groupBy("__lang").agg(*[F.kll_merge_agg_double(F.col(m), F.lit(k)).alias(f"__all_{m}") for m in fences])
 
-    def fence(m: str, floor: float) -> Column:
+    def quartiles(m: str) -> tuple[Column, Column]:
         own = F.when(F.col("__n") >= least_rows, F.col(m)).otherwise(F.col(f"__all_{m}"))
-        q1, q3 = F.kll_sketch_get_quantile_double(own, F.lit(0.25)), F.kll_sketch_get_quantile_double(own, F.lit(0.75))
-        return (q3 + reach * F.greatest(q3 - q1, F.lit(floor))).alias(f"__fence_{m}")
+        return F.kll_sketch_get_quantile_double(own, F.lit(0.25)), F.kll_sketch_get_quantile_double(own, F.lit(0.75))
 
-    return groups.join(whole, "__lang").select("__lang", "__source", *[fence(m, f) for m, f in fences.items()])
+    def above(m: str, floor: float) -> Column:
+        q1, q3 = quartiles(m)
+        return q3 + reach * F.greatest(q3 - q1, F.lit(floor))
+
+    def below(m: str, floor: float) -> Column:
+        q1, q3 = quartiles(m)
+        return q1 * q3 / above(m, floor)
+
+    high = [above(m, f).alias(f"__fence_{m}") for m, f in fences.items()]
+    low = [below(m, f).alias(f"__fence_low_{m}") for m, f in low_fences.items()]
+    return groups.join(whole, "__lang").select("__lang", "__source", *high, *low)
 
 
 def judge(
@@ -127,18 +142,24 @@ def judge(
     least_words: int = 10,
     repeat_percent: int = 20,
     k: int = 1024,
+    low_fences: Mapping[str, float] = LOW_FENCES,
 ) -> DataFrame:
-    """``docs`` plus the counts, base_failed, kept and a fence_<measure> each.
-    Columns of these names in ``docs`` are replaced."""
-    own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *[f"fence_{m}" for m in fences]]
+    """``docs`` plus the counts, base_failed, kept, a fence_<measure> each and a
+    fence_low_<measure> where low values are bad.  Columns of these names in
+    ``docs`` are replaced."""
+    low_fences = {m: f for m, f in low_fences.items() if m in fences}
+    bounds = [f"fence_{m}" for m in fences] + [f"fence_low_{m}" for m in low_fences]
+    own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *bounds]
     df = word_measures(docs.drop(*own), text)
     df = df.withColumns({"__lang": key(F.col(lang)), "__source": key(F.col(source)), **{f"__{m}": c for m, c in measures(fences).items()}})
-    fenced = thresholds(df, lang, source, fences, reach, least_rows, k)
+    fenced = thresholds(df, lang, source, fences, low_fences, reach, least_rows, k)
     df = df.join(fenced, ["__lang", "__source"], "left")
     base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     within = F.lit(True)
     for m in fences:
         within = within & F.coalesce(F.col(f"__{m}") <= F.col(f"__fence_{m}"), F.lit(True))
-    df = df.withColumns({"base_failed": base, **{f"fence_{m}": F.col(f"__fence_{m}") for m in fences}})
+    for m in low_fences:
+        within = within & F.coalesce(F.col(f"__{m}") >= F.col(f"__fence_low_{m}"), F.lit(True))
+    df = df.withColumns({"base_failed": base, **{b: F.col(f"__{b}") for b in bounds}})
     df = df.withColumn("kept", ~F.col("base_failed") & within)
-    return df.drop("__lang", "__source", *[f"__{m}" for m in fences], *[f"__fence_{m}" for m in fences])
+    return df.drop("__lang", "__source", "__n_lines", *[f"__{m}" for m in fences], *[f"__{b}" for b in bounds])

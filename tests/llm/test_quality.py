@@ -54,6 +54,30 @@ def test_fences_follow_their_group(spark):
     assert [k for k, v in kept.items() if not v] == [1000]
 
 
+def test_each_measure_rejects_below_the_base_cut(spark):
+    """One planted outlier per measure and side, among ordinary documents."""
+    rng = random.Random(9)
+
+    def words(n, least=3, most=7):
+        return ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(least, most))) for _ in range(n)]
+
+    usual = [" ".join(words(12)) + "\n" + " ".join(words(28)) for _ in range(80)]
+    few = words(5)
+    short = [few[k] for k in (0, 1, 2, 3, 4, 0, 2, 4, 1, 3, 0, 3, 1, 4, 2)]  # no five lines twice
+    again = " ".join(words(5))
+    planted = {
+        "long words": " ".join(words(40, 10, 10)),
+        "single letters": " ".join(words(40, 1, 1)),
+        "symbols": " ".join(w + ("*" if k % 5 == 0 else "") for k, w in enumerate(words(40))),
+        "lines": "\n".join(short + [" ".join(words(8))]),
+        "words again": " ".join([again, *words(22), again, *words(20)]),
+    }
+    rows = [(f"usual {k}", v, "en", "a") for k, v in enumerate(usual)] + [(k, v, "en", "a") for k, v in planted.items()]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert {r["doc_id"] for r in got if not r["kept"]} == set(planted)
+
+
 def test_messy(messy, clash, no_docs):
     for r in quality.judge(messy).collect():
         assert tuple(r[c] for c in COLUMNS) == brute(r["text"])
