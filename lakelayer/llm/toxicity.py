@@ -25,7 +25,6 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +39,12 @@ DISCOUNT = 0.75
 LEAST_TEXTS = 4
 LEAST_Z = 4.0
 LEAST_FACTOR = 3.0
-WORD = r"[^\W_]+"  # letters and digits
-JAVA_WORD = r"[\p{L}\p{M}\p{N}]+"
+NO_WORD = r"[^\p{L}\p{M}\p{N}]+"  # words are letters, their marks and digits
+
+
+def spaced(text: Column) -> Column:
+    """The words of a text with one space between; counting and scoring both read this."""
+    return F.trim(F.regexp_replace(F.lower(text), NO_WORD, " "))
 
 
 def drawn(th: Column, rate: Column) -> Column:
@@ -86,7 +89,7 @@ def differs(share: Column) -> Column:
 def expressions(sample: DataFrame) -> tuple[dict, dict]:
     """Log ratio per word, and per (word in front, word), where it isn't left to
     the shared backoff."""
-    w = F.regexp_extract_all(F.lower("__text"), F.lit(JAVA_WORD), F.lit(0))
+    w = F.array_remove(F.split(spaced(F.col("__text")), " "), "")
     rows = sample.select("toxic", w.alias("w")).filter(F.size("w") > 0)
     # As strings: distinct structs would be compared pair by pair.
     pair = F.transform("w", lambda x, i: F.concat(F.when(i > 0, F.get("w", i - 1)).otherwise(""), F.lit(" "), x))
@@ -118,9 +121,10 @@ def expressions(sample: DataFrame) -> tuple[dict, dict]:
     return {r["w"]: r["r"] for r in words.collect()}, {(r["u"], r["w"]): r["r"] for r in pairs.collect()}
 
 
-def evidence(text: str, words: dict, pairs: dict, find=re.compile(WORD).findall) -> float:
-    """Mean log ratio per word; a pair's where it has one, else the word's."""
-    own = find(text.lower())
+def evidence(text: str, words: dict, pairs: dict) -> float:
+    """Mean log ratio per word of a spaced text; a pair's where it has one, else the
+    word's."""
+    own = text.split()
     total, before = 0.0, ""
     for w in own:
         r = pairs.get((before, w))
@@ -145,7 +149,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
 
 
 def scorer(spark, model):
-    """Pandas UDF: the evidence of a text."""
+    """Pandas UDF: the evidence of a spaced text."""
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -164,7 +168,7 @@ def fit(learnt: DataFrame, known: DataFrame):
     spark = learnt.sparkSession
     sample = materialize(sample_of(learnt, known).repartition(2 * spark.sparkContext.defaultParallelism))
     model = expressions(sample.filter("NOT __fit"))
-    held = sample.filter("__fit").select("toxic", scorer(spark, model)("__text").alias("__d")).toPandas()
+    held = sample.filter("__fit").select("toxic", scorer(spark, model)(spaced(F.col("__text"))).alias("__d")).toPandas()
     held = held.sort_values(["__d", "toxic"])  # sums in one order, so reruns agree
     share = float(held["toxic"].mean()) if len(held) else 0.0
     if held["toxic"].nunique() < 2:
@@ -179,7 +183,7 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text",
     known = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(ident).alias("__id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
     learnt = docs.filter(learn).select(F.col(ident).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     model, (slope, intercept) = fit(learnt, known)
-    df = docs.withColumn("__d", scorer(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit(""))))
+    df = docs.withColumn("__d", scorer(docs.sparkSession, model)(spaced(F.coalesce(F.col(text), F.lit("")))))
     value = 1 / (1 + F.exp(-(F.col("__d") * slope + intercept)))
     return df.withColumn("score", value).withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("__d")
 

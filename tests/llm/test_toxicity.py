@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 from pyspark.sql import functions as F
 
@@ -43,6 +44,21 @@ def test_rare_expressions_weigh_nothing(spark):
     assert all("bad" in p or "fine" in p for p in pairs)
 
 
+def test_words_with_marks(spark):
+    """Words learnt with combining marks are found with them."""
+    marked = ["हिंदी", "কৃষ্ণ", "ที่นี่", "قُرْآن", unicodedata.normalize("NFD", "été")]
+    docs, labels = labelled(spark)
+    for bad, w in zip(("vile", "rotten", "hateful"), marked):
+        docs = docs.withColumn("text", F.regexp_replace("text", bad, w))
+    got = toxicity.score(docs, labels, toxicity.learnt_rows()).join(labels, "doc_id").filter(~toxicity.learnt_rows()).collect()
+    assert sum(r["predicted"] != r["toxic"] for r in got) <= 0.02 * len(got)
+    rows = [(f"plain words {marked[i % 5] if i % 2 else 'fine'} here", i % 2) for i in range(400)]
+    model = toxicity.expressions(spark.createDataFrame(rows, "__text string, toxic int"))
+    asked = spark.createDataFrame([(w.upper(),) for w in marked], "text string")
+    found = asked.select(toxicity.scorer(spark, model)(toxicity.spaced(F.col("text"))).alias("d")).collect()
+    assert all(r["d"] > 1 for r in found)
+
+
 def test_query_returns_every_document(spark, sf):
     rows = op9_toxicity(spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
