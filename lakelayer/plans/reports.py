@@ -323,7 +323,7 @@ WITH r AS (
          CAST(CAST(n_nationkey * 10.5 AS DOUBLE) AS VARCHAR) AS Valor, 0.0 AS tint
     FROM nation JOIN region ON n_regionkey = r_regionkey
   UNION ALL SELECT r_regionkey * 1000000000000 + 900000000000, r_name, NULL, NULL, -0.25 FROM region
-  UNION ALL SELECT 5000000, 'TOTAL DEUDA', NULL, '0', -0.5 FROM region WHERE r_regionkey = 4),
+  UNION ALL SELECT 5000000000000, 'TOTAL DEUDA', NULL, '0', -0.5 FROM region WHERE r_regionkey = 4),
 a AS (SELECT * FROM r WHERE NOT (Compania IS NULL AND Moneda IS NULL AND Valor IS NULL)),
 b AS (SELECT *, CASE WHEN tint <> 0 THEN Compania ELSE first_value(CASE WHEN tint <> 0 THEN Compania END IGNORE NULLS)
                   OVER (ORDER BY row ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) END AS Pais FROM a),
