@@ -55,7 +55,7 @@ def repeated_words(df: DataFrame, words: str, n: int) -> DataFrame:
     position, is sorted as one array of longs; equal neighbours (checked on all
     64 bits) are repeats.  Of windows whose packed bits agree with a neighbour's
     but not the hash, equal ones may stand apart: these few are compared with
-    each other."""
+    all windows that have a neighbour of the same packed bits."""
     mask = (1 << POSITION_BITS) - 1
     w = F.col(words)
 
@@ -88,7 +88,8 @@ def repeated_words(df: DataFrame, words: str, n: int) -> DataFrame:
     near = F.col("__near")
     df = df.withColumn("__odd", F.transform(F.filter(near, lambda v: v < -1), lambda v: -2 - v))
     odd = F.col("__odd")  # a few windows at most
-    twin = F.filter(odd, lambda c: F.exists(odd, lambda d: (d != c) & (F.get(h, d) == F.get(h, c))))
+    others = F.transform(F.filter(near, lambda v: v != -1), lambda v: F.when(v < 0, -2 - v).otherwise(v))
+    twin = F.filter(odd, lambda c: F.exists(others, lambda d: (d != c) & (F.get(h, d) == F.get(h, c))))
     df = df.withColumn("__q", F.sort_array(F.concat(F.filter(near, lambda v: v >= 0), twin)))
     q = F.col("__q")
     covered = F.aggregate(F.transform(q, lambda x, i: F.least(F.lit(n), F.coalesce(F.get(q, i + 1) - x, F.lit(n)))), F.lit(0).cast("long"), lambda a, x: a + x)
