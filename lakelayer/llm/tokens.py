@@ -35,8 +35,10 @@ special tokens are encoded as the library does by default, as one id.
 from __future__ import annotations
 
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -50,7 +52,7 @@ from lakelayer.llm.common import materialize
 from lakelayer.session import ensure_checkpoint_dir
 
 FRAME_IDS = 1 << 17
-MEMO = 800_000  # words, and pieces, that a worker remembers
+MEMO = 1_200_000  # words, and pieces, that a worker remembers
 SKIPPABLE, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1  # fixed values of the public seekable format
 INDEX_FRAME = 0x184D2A50  # another skippable frame: the documents' index
 TABLE_FRAME = SKIPPABLE
@@ -60,6 +62,17 @@ BYTE_CHARS = {b: chr(b) for b in PRINTED} | {b: chr(256 + k) for k, b in enumera
 MANIFEST = "part int, file string, n_docs long, n_ids long"
 
 
+class Words(dict):
+    """Word -> the ids' bytes; those asked for in vain are listed."""
+
+    def __init__(self, known: dict[str, bytes] | None = None):
+        super().__init__(known or {})
+        self.asked: list[str] = []
+
+    def __missing__(self, word: str) -> None:
+        self.asked.append(word)
+
+
 class Encoder:
     """Texts to bytes of little-endian ids; bounded memos of words and pieces.
 
@@ -77,7 +90,7 @@ class Encoder:
             self.tokenizer = Tokenizer.from_file(self.path)
             self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
             self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-            self.words: dict[str, bytes] = {}  # a word with a space in front
+            self.words = Words()  # words with a space in front
             self.pieces: dict[str, bytes] = {}  # a piece as the pre-tokenizer maps it
             self.plain = self.tokenizer.normalizer is None
             self.marks = {m: self.direct(m) for m in ",.;:!?"}
@@ -85,7 +98,7 @@ class Encoder:
         return self.width
 
     def packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+        return array("H" if self.width == 2 else "I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, f"<u{self.width}").tobytes()
 
     def direct(self, text: str) -> bytes:
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if text else b""
@@ -93,19 +106,18 @@ class Encoder:
     def learn(self, words: list[str]) -> None:
         """The ids of each word behind a space.  Letters are one piece; a mark behind a
         letter is a piece of its own, so such a word is its letters' ids and the mark's."""
-        known, tokenize, packed = self.words, self.tokenizer.model.tokenize, self.packed
+        known, tokenize, packed, space = self.words, self.tokenizer.model.tokenize, self.packed, self.space
         if not self.plain:
             return self.learn_whole(words)
         stems = {w: w[:-1] for w in words if w[-1] in self.marks and w[:-1].isalpha() and w[-2] < "\u0250"}
-        bare = {*words, *stems.values()}.difference(stems, known)
+        bare = {w for w in words if w not in stems}.union(w for w in stems.values() if w not in known)
         mixed = []
         for w in bare:
-            if w.isascii() and w.isalpha():
-                known[w] = packed([t.id for t in tokenize(self.space + w)])
-            elif w.isalpha() and max(w) < "\u0250":
-                known[w] = packed([t.id for t in tokenize(self.space + w.encode().decode("latin-1").translate(BYTE_CHARS))])
-            else:
+            if not w.isalpha() or not w.isascii() and max(w) >= "\u0250":
                 mixed.append(w)
+                continue
+            piece = w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_CHARS)
+            known[w] = packed([t.id for t in tokenize(space + piece)])
         self.learn_whole(mixed)
         for w, stem in stems.items():
             known[w] = known[stem] + self.marks[w[-1]]
@@ -147,21 +159,30 @@ class Encoder:
         """The ids of each text, as the tokenizer encodes it whole."""
         self.load()
         cut = [t.split(" ") for t in texts]
-        seen = set(chain.from_iterable(cut))
         if len(self.pieces) > MEMO:
             self.pieces.clear()
-        if len(self.words) + len(seen) > MEMO:  # what these texts use stays
-            self.words = {w: self.words[w] for w in seen.intersection(self.words)}
-        new = [w for w in seen.difference(self.words) if w and not w[0].isspace() and not w[-1].isspace()]
+        found = [list(map(self.words.__getitem__, parts)) for parts in cut]
+        unseen, self.words.asked = set(self.words.asked), []
+        if len(self.words) + len(unseen) > MEMO:  # what these texts use stays
+            self.words = Words({w: self.words[w] for w in set(chain.from_iterable(cut)).difference(unseen)})
+        new = [w for w in unseen if w and not w[0].isspace() and not w[-1].isspace()]
         for k in range(0, len(new), 50_000):
             self.learn(new[k : k + 50_000])
-        out, get = [], self.words.__getitem__
-        for parts in cut:
-            try:
-                out.append(b"".join([self.direct(parts[0]), *map(get, parts[1:])]) if parts[0] else self.apart(parts))
-            except KeyError:
-                out.append(self.apart(parts))
-        return out
+        return [self.joined(parts, ids) for parts, ids in zip(cut, found, strict=True)]
+
+    def joined(self, parts: list[str], ids: list[bytes | None]) -> bytes:
+        """The ids of a text's parts; those that were new when ``ids`` was read are
+        filled in."""
+        if not parts[0]:
+            return self.apart(parts)
+        ids[0] = self.direct(parts[0])
+        at = 0
+        for _ in range(ids.count(None)):
+            at = ids.index(None, at)
+            ids[at] = self.words.get(parts[at])
+            if ids[at] is None:  # a space beside other white space
+                return self.apart(parts)
+        return b"".join(ids)
 
 
 class FileWriter:
