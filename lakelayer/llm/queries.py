@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayer.llm import chat, decontaminate, licenses, lm, mixing, quality, sharding, simhash, tokens, toxicity, url_filter
+from lakelayer.llm import chat, decontaminate, licenses, lm, mixing, phrases, quality, search, sharding, simhash, tokens, toxicity, url_filter
 from lakelayer.llm.common import read
 
 
@@ -64,6 +64,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(read(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.search(docs, read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op13_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -71,6 +80,6 @@ def op13_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_files(tokens.write_files(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_license_scan, op3_sharding, op4_lm_score, op5_quality_rules, op6_simhash, op7_decontamination, op8_url_filter, op9_toxicity, op10_mixing, op13_token_output)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_license_scan, op3_sharding, op4_lm_score, op5_quality_rules, op6_simhash, op7_decontamination, op8_url_filter, op9_toxicity, op10_mixing, op11_phrases, op12_lexical_search, op13_token_output)}
 
-ORACLES = {"op1_chat_format": chat.SQL, "op2_license_scan": licenses.SQL, "op8_url_filter": url_filter.SQL, "op10_mixing": mixing.SQL}
+ORACLES = {"op1_chat_format": chat.SQL, "op2_license_scan": licenses.SQL, "op8_url_filter": url_filter.SQL, "op10_mixing": mixing.SQL, "op11_phrases": phrases.SQL, "op12_lexical_search": search.SQL}
