@@ -402,7 +402,7 @@ SQL = r"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
 -
 ]')) AS piece FROM documents),
-w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), x -> x <> '') AS w FROM p),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS w FROM p),
 i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
 s AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM i, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)),
 n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),

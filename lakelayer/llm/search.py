@@ -246,7 +246,7 @@ def ranked(found: DataFrame, by: list[str], k: int) -> DataFrame:
 
 
 def search(docs: DataFrame, benchmark: DataFrame, k: int = 20, text: str = "text", ident: str = "doc_id", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """item_id (as a string), rank, doc_id, score: the ``k`` best documents with a
+    """item_id, rank, doc_id, score: the ``k`` best documents with a
     score above 0 for each item."""
     corpus = docs.select(F.col(ident).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     asked = materialize(benchmark.select(F.col(item).cast("string").alias("item"), F.coalesce(F.col(item_text), F.lit("")).cast("binary").alias("text")).distinct())
@@ -259,12 +259,12 @@ def search(docs: DataFrame, benchmark: DataFrame, k: int = 20, text: str = "text
         found = search_block(corpus, [q for q in queries if q[1]], k)
         out = found if out is None else out.unionAll(found)
     doc = F.when(F.col("id") != LEAST, F.col("id"))
-    return out.select(F.col("item").alias("item_id"), "rank", doc.alias("doc_id"), "score")
+    return out.select(F.col("item").cast(benchmark.schema[item].dataType).alias("item_id"), "rank", doc.alias("doc_id"), "score")
 
 
 SQL = r"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM documents),
-b AS (SELECT item_id, unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), x -> x <> '')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
 q AS (SELECT item_id, term, count(*) AS times FROM b GROUP BY ALL),
 c AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
 p AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(w) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
