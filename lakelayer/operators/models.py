@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.versions import Version, append
 from .evaluate import binary_metrics
 
 FAMILIES = {
@@ -56,8 +57,7 @@ def train(df: DataFrame, family: str, params: Mapping, features: Sequence[str],
 
 def score(model: PipelineModel, df: DataFrame, version: str, ts: str, label_type: str = "int") -> DataFrame:
     """The model as a column function; prediction cast to the label
-    type, model version and inference time added (append to the log with
-    :func:`lakelayer.sources.writers.append_select`)."""
+    type, model version and inference time added."""
     out = model.transform(df)
     return out.drop("features", "rawPrediction", "probability").withColumns(
         {
@@ -68,6 +68,19 @@ def score(model: PipelineModel, df: DataFrame, version: str, ts: str, label_type
     )
 
 
+def save(model: PipelineModel, path: str) -> None:
+    """A fitted model written to a shared folder; an existing one stays as it is."""
+    model.write().save(path)
+
+
+def log_scores(path: str, df: DataFrame, root: str, version: str, batch: str, ts: str, columns: Sequence[str], label_type: str = "int") -> Version:
+    """The saved model is loaded, scores a batch, and ``columns`` of the
+    scored rows are appended to the inference log, a table of committed versions.
+    A batch of a model version enters the log once, however often it is repeated."""
+    scored = score(PipelineModel.load(path), df, version, ts, label_type).withColumn("batch", F.lit(batch))
+    return append(scored, root, [*columns, "prediction", "model_version", "inference_timestamp", "batch"], batch=f"{version}/{batch}")
+
+
 def _f1(model: PipelineModel, df: DataFrame, label: str) -> float | None:
     m = binary_metrics(model.transform(df).withColumn("prediction", F.col("prediction").cast("int")), label, "prediction")
     r = m.filter(F.col("metric") == "f1").first()

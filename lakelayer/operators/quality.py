@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 Rule = tuple[str, "str | Column"]
 
 
-def _pred(p: str | Column) -> Column:
+def holds(p: str | Column) -> Column:
+    """Whether a rule's predicate holds; NULL doesn't."""
     return F.coalesce(F.expr(p) if isinstance(p, str) else p, F.lit(False))
 
 
@@ -35,7 +36,7 @@ def expect_or_drop(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """I4: keep only rows passing every rule."""
     cond = F.lit(True)
     for _, p in rules:
-        cond = cond & _pred(p)
+        cond = cond & holds(p)
     return df.filter(cond)
 
 
@@ -45,11 +46,11 @@ def expectation_report(df: DataFrame, rules: Sequence[Rule], dataset: str, drop:
     any rule listed in ``drop``."""
     aggs = []
     for i, (n, p) in enumerate(rules):
-        aggs += [F.count_if(_pred(p)).alias(f"p{i}"), F.count_if(~_pred(p)).alias(f"f{i}")]
+        aggs += [F.count_if(holds(p)).alias(f"p{i}"), F.count_if(~holds(p)).alias(f"f{i}")]
     dropping = [p for n, p in rules if n in set(drop)]
     anyfail = F.lit(False)
     for p in dropping:
-        anyfail = anyfail | ~_pred(p)
+        anyfail = anyfail | ~holds(p)
     aggs.append(F.count_if(anyfail).alias("dropped"))
     one = df.agg(*aggs)
     rows = F.array(

@@ -1,14 +1,15 @@
-"""Model queries (survey O1, O2, O4, O5): rows-only checks (a fitted model
-has no SQL equivalent)."""
+"""Model queries (survey O1, O2, O4, O5, A12, J3): predictions have no SQL
+equivalent; the rows of the inference log do."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..operators.evaluate import leaderboard
-from ..operators.models import FAMILIES, refit_best, score, search, with_class_weight
+from ..operators.models import FAMILIES, log_scores, refit_best, save, score, search, train, with_class_weight
 from ..operators.sample import hash_split
-from ..sources.writers import staged
+from ..sources import versions
+from ..sources.writers import staged, staging_path
 from .churn import gold_churn
 from .registry import register
 
@@ -43,3 +44,28 @@ def q_batch_score(spark, sf_dir):
     return score(model, d.drop("weight", "split"), f"{fam}-1", INFERENCE_TS).select(
         "user_id", "churn", "prediction", "model_version", "inference_timestamp"
     )
+
+
+@register(
+    "inference_log",
+    f"""
+SELECT u.user_id, 'logistic_regression-1' AS model_version, TIMESTAMP '{INFERENCE_TS}' AS inference_timestamp,
+       CASE WHEN u.user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS batch, 2 AS last_version, TRUE AS scored
+FROM (SELECT c_custkey AS user_id FROM customer WHERE c_custkey % 101 <> 0) u
+WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = u.user_id) AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = u.user_id)
+""",
+)
+def q_inference_log(spark, sf_dir):
+    """A model is saved and loaded again for each of three runs of batch
+    scoring; the run that repeats a batch leaves the log as it is."""
+    d = _labelled(spark, sf_dir)
+    model = train(d.filter("split = 'train'"), "logistic_regression", {"maxIter": 20}, FEATURES, "churn", weight="weight")
+    path, log = staging_path(spark, "model"), staging_path(spark, "inference-log")
+    save(model, path)
+    rows = d.drop("weight", "split")
+    for batch, rest in (("even", 0), ("odd", 1), ("even", 0)):
+        log_scores(path, rows.filter(F.col("user_id") % 2 == rest), log, "logistic_regression-1", batch, INFERENCE_TS, ["user_id", "churn"])
+    last = versions.version(spark, log).number + 1
+    return versions.read(spark, log).select(
+        "user_id", "model_version", "inference_timestamp", "batch", F.lit(last).alias("last_version"), F.col("prediction").isin(0, 1).alias("scored")
+    )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.upsert import change_feed, scd1_apply, update_from, upsert
+from ..sources import versions
 from ..sources.tables import Tables
-from ..sources.writers import create_or_upsert, staging_path
+from ..sources.writers import staging_path
 from ..streaming.ingest import applied_version, silver_scd1
 from .registry import register
 
@@ -145,8 +146,8 @@ def q_create_or_upsert(spark, sf_dir):
     second = o.filter(key % 5 == 0).select(key.alias("order_id"), F.when(key % 10 == 0, "01").alias("kind"), (F.col("o_totalprice") + 1).alias("amount"))
     path = staging_path(spark, "upsert-roundtrip")
     for part in (first, second):
-        create_or_upsert(spark, part, path, ["order_id"], partition_by=["kind"])
-    return spark.read.schema(first.schema).parquet(path)
+        versions.create_or_upsert(part, path, ["order_id"], partition_by=["kind"])
+    return versions.read(spark, path)
 
 
 @register(
@@ -166,3 +167,82 @@ def q_scd1_incremental(spark, sf_dir):
         part.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(bronze)
         silver_scd1(spark, bronze, state, ["slot"], ["order_id"], "run")
     return spark.read.parquet(f"{state}/v={applied_version(spark, state)}").select("slot", "order_id", "amount")
+
+
+@register(
+    "table_versions",
+    """
+WITH c AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, c_custkey % 3 AS part FROM customer),
+o AS (SELECT o_custkey AS id, count(*) AS n_orders FROM orders GROUP BY 1)
+SELECT 0 AS version, id, name, balance, NULL::BIGINT AS n_orders FROM c WHERE part = 0
+UNION ALL SELECT 3, id, name, balance, NULL FROM c
+UNION ALL SELECT 4, id, NULL, NULL, n_orders FROM o
+""",
+)
+def q_table_versions(spark, sf_dir):
+    """A snapshot, two appends with a column list (one of them
+    repeated under its batch's name), an overwrite that adds a column and keeps the
+    old ones; three of the versions read back."""
+    t = Tables(spark, sf_dir)
+    c = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    root = staging_path(spark, "versions")
+    versions.overwrite(c.filter("id % 3 = 0"), root)
+    versions.append(c.filter("id % 3 = 1").select("balance", "name", "id", F.lit(1).alias("more")), root, ["id", "name", "balance"])
+    for _ in range(2):
+        versions.append(c.filter("id % 3 = 2").select("name", "id", "balance"), root, ["id", "name", "balance"], batch="rest")
+    versions.append(c.filter("id < 0"), root)
+    versions.overwrite(t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n_orders")), root, merge_schema=True)
+    parts = [versions.read(spark, root, v).withColumn("version", F.lit(v)) for v in (0, 3, 4)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2], allowMissingColumns=True).select("version", "id", "name", "balance", "n_orders")
+
+
+@register(
+    "overwrite_partitions",
+    """
+SELECT o_orderkey AS id, o_orderstatus AS status, year(o_orderdate)::INTEGER AS year,
+       CASE WHEN year(o_orderdate) IN (1996, 1997) AND o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS price
+FROM orders WHERE NOT (year(o_orderdate) IN (1996, 1997) AND o_orderstatus = 'F' AND o_orderkey % 2 = 0)
+""",
+)
+def q_overwrite_partitions(spark, sf_dir):
+    """A table partitioned by status and year; a second write replaces the
+    partitions that it has, and no other."""
+    o = Tables(spark, sf_dir).orders.select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("price")
+    )
+    root = staging_path(spark, "partitions")
+    versions.overwrite(o, root, ["status", "year"])
+    part = o.filter("year IN (1996, 1997) AND status = 'F' AND id % 2 <> 0").withColumn("price", F.col("price") * 2)
+    versions.overwrite(part, root, ["status", "year"], dynamic=True)
+    return versions.read(spark, root)
+
+
+@register(
+    "feature_table_merge",
+    """
+SELECT o_custkey AS user_id, count(*) AS n_orders, max(o_orderdate) AS last_order,
+       (SELECT count(*) FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01') > 0 AS rejected
+FROM orders GROUP BY 1
+""",
+)
+def q_feature_table_merge(spark, sf_dir):
+    """K5/L4: features per user, first of the orders before 2000, then those of the
+    users with later ones merged by key; a write with repeated keys is rejected and
+    leaves the table as it is."""
+    o = Tables(spark, sf_dir).orders
+
+    def features(rows):
+        return rows.groupBy(F.col("o_custkey").alias("user_id")).agg(F.count("*").alias("n_orders"), F.max("o_orderdate").alias("last_order"))
+
+    late = F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp")
+    root = staging_path(spark, "features")
+    versions.create_or_upsert(features(o.filter(~late)), root, ["user_id"], unique_keys=True)
+    changed = o.join(o.filter(late).select("o_custkey").distinct(), "o_custkey", "left_semi")
+    versions.create_or_upsert(features(changed), root, ["user_id"], unique_keys=True)
+    twice = features(o.filter(late))
+    try:
+        versions.create_or_upsert(twice.unionAll(twice), root, ["user_id"], unique_keys=True)
+        rejected = False
+    except versions.KeyCheckFailed:
+        rejected = True
+    return versions.read(spark, root).withColumn("rejected", F.lit(rejected))

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .writers import staged
-
 RESCUE_COL = "_rescued_data"
 
 
@@ -91,58 +89,9 @@ def json_stream(spark: SparkSession, path: str, schema: T.StructType, lineage: b
     return parse_json_records(text, schema)
 
 
-def csv_headers(spark: SparkSession, path: str) -> DataFrame:
-    """The header line of every CSV file under ``path``: (file, header), one row
-    per file -- the line that starts at the file's first byte."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    first = lines.filter("at = 0").withColumn("n", F.monotonically_increasing_id())
-    return first.groupBy("file").agg(F.min_by("value", "n").alias("header"))
-
-
-def csv_stream(spark: SparkSession, path: str, schema: T.StructType, lineage: bool = True) -> DataFrame:
-    """A1/A4: incremental source of CSV files with a header line.
-
-    Fields are taken by each file's own header, so files may order their
-    columns differently.  Columns outside the schema and values that fail
-    their cast are rescued; a record with more or fewer fields than its header
-    is rescued whole under ``_record``.  Headers are read when the run starts
-    (an ``availableNow`` run sees the files of that moment).  Records are lines:
-    a quoted line break isn't supported."""
-    headers = staged(csv_headers(spark, path))
-    # The width of the widest line: one number.
-    width = spark.read.text(path).agg(F.max(F.length(F.regexp_replace("value", "[^,]", "")))).first()[0] or 0
-    cells = ", ".join(f"c{i} string" for i in range(width + 1))
-    text = spark.readStream.format("text").load(path).withColumn("_file", F.col("_metadata.file_path"))
-    if lineage:
-        text = with_lineage(text)
-    d = text.join(headers.withColumnRenamed("file", "_file"), "_file", "left").filter("value <> header AND trim(value) <> ''")
-
-    def fields(line: Column) -> Column:
-        """The line's cells; cells beyond the line's last are NULL and cut off."""
-        parsed = F.from_csv(F.concat(line, F.lit(",\u0001")), F.lit(cells + ", last string"))
-        every = F.array(*[parsed.getField(f"c{i}") for i in range(width + 1)], parsed.getField("last"))
-        return F.slice(every, F.lit(1), F.array_position(every, "\u0001").cast("int") - 1)
-
-    d = d.withColumns({"_names": F.transform(fields(F.col("header")), lambda c: F.trim(c)), "_cells": fields(F.col("value"))})
-    fits = F.size("_names") == F.size("_cells")
-    d = d.withColumn("_m", F.when(fits, F.map_filter(F.map_from_arrays("_names", "_cells"), lambda k, v: v.isNotNull())))
-    typed, rescued = rescue(F.col("_m"), schema)
-    record = F.to_json(F.create_map(F.lit(RECORD), F.col("value")))
-    keep = ["ingest_file_name", "ingest_datetime"] if lineage else []
-    return d.select(*keep, *[v.alias(k) for k, v in typed.items()], F.when(F.col("_m").isNull(), record).otherwise(rescued).alias(RESCUE_COL))
-
-
 def evolve_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     """I2 (addNewColumns): the old fields keep their type and position; new
     fields are appended.  A field whose type changed keeps the old type, so
     its new values land in ``_rescued_data`` through the failed cast."""
     names = {f.name for f in old.fields}
     return T.StructType(list(old.fields) + [f for f in new.fields if f.name not in names])
-
-
-def infer_schema(spark: SparkSession, path: str, fmt: str, sample_ratio: float = 1.0) -> T.StructType:
-    """Schema from a batch read of the current files (all records by default)."""
-    r = spark.read.format(fmt).option("samplingRatio", str(sample_ratio))
-    if fmt == "csv":
-        r = r.option("header", "true").option("inferSchema", "true")
-    return r.load(path).schema

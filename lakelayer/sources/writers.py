@@ -1,22 +1,9 @@
-"""Sinks: snapshot, append, schema-merging overwrite, partitioned writes and
-a create-or-upsert over Parquet folders (survey A7-A11, A13, K2, K5, K6).
-
-A folder cannot be overwritten by a job that reads it, so every rewrite of an
-existing table is staged under the session's ``spark.checkpoint.dir`` (a
-shared folder on a cluster) and then written back; with a partitioned target
-only the partitions present in the source are read and replaced.
-"""
+"""Shared-folder helpers; tables are written by :mod:`lakelayer.sources.versions`."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..operators.upsert import upsert
 
 
 def _fs(spark: SparkSession, path: str):
@@ -37,80 +24,8 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/_staging/{name}-{uuid.uuid4().hex}"
 
 
-def snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Create-or-replace copy of a table."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def append_select(df: DataFrame, cols: Sequence[str], path: str) -> None:
-    """Append with an explicit column list and order."""
-    df.select(*cols).write.mode("append").parquet(path)
-
-
-def overwrite_merge_schema(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Overwrite, keeping the union of old and new columns (old columns
-    missing from the new data are kept, NULL-filled)."""
-    if path_exists(spark, path):
-        old_cols = spark.read.parquet(path).schema
-        new_names = set(df.columns)
-        for f in old_cols.fields:
-            if f.name not in new_names:
-                df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
-    df.write.mode("overwrite").parquet(path)
-
-
-def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], dynamic: bool = False) -> None:
-    """Overwrite partitioned by a few low-cardinality keys.  With
-    ``dynamic`` only partitions present in ``df`` are replaced (an option of
-    this write, not of the session).  Rows are rebalanced by the partition
-    keys: few files per partition value, and a large one over several tasks."""
-    mode = "dynamic" if dynamic else "static"
-    rebalanced = df.hint("rebalance", *[F.col(k) for k in keys])
-    rebalanced.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*keys).parquet(path)
-
-
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     path = staging_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def create_or_upsert(
-    spark: SparkSession,
-    source: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    partition_by: Sequence[str] = (),
-    null_safe: bool = False,
-) -> None:
-    """K2/K5: create the table from ``source`` when absent, else upsert.
-
-    The target is read with the source's column types (a partition value
-    ``'01'`` stays text).  Where the partition columns are among the keys, only
-    partitions present in the source (NULL included) are read, merged, staged
-    and replaced.  Otherwise a key may move between partitions: the whole
-    table is merged and replaced."""
-    if not path_exists(spark, path):
-        if partition_by:
-            write_partitioned(source, path, partition_by)
-        else:
-            source.write.mode("overwrite").parquet(path)
-        return
-    found = spark.read.parquet(path).schema
-    types = {f.name: f.dataType for f in source.schema.fields}
-    schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found.fields])
-    target = spark.read.schema(schema).parquet(path)
-    within = bool(partition_by) and set(partition_by) <= set(keys)
-    if within:
-        parts = source.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(partition_by)]).distinct()
-        on = [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(partition_by)]
-        target = target.join(parts, on, "left_semi")
-    merged = staged(upsert(target, source.select(*target.columns), keys, null_safe=null_safe))
-    if partition_by:
-        write_partitioned(merged, path, partition_by, dynamic=within)
-    else:
-        merged.write.mode("overwrite").parquet(path)
