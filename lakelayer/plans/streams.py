@@ -1,8 +1,6 @@
-"""Streaming ingest query (survey A1-A4, I1, I2): ``events`` written as
-JSON-lines files (some values spoiled, an unknown field on some
-records), ingested by an ``availableNow`` stream with rescued data into a
-Parquet bronze table, and read back.  The result must equal the batch
-content of the table, with the spoiled values NULL and flagged as rescued."""
+"""Streaming queries (survey A1-A6, I1-I5, I8): the tables written as files (some
+values spoiled, unknown fields on some records), ingested by ``availableNow``
+streams and read back, so that the result can be told from the tables."""
 
 from __future__ import annotations
 
@@ -11,12 +9,32 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.files import csv_stream, json_stream
+from ..functions.dates import RAW_TS_FORMAT
+from ..operators.features import clean_orders, clean_users
+from ..sources import versions
+from ..sources.files import json_stream
 from ..sources.tables import Tables
-from ..sources.writers import staging_path
-from ..streaming.ingest import ingest
+from ..sources.writers import _fs, staging_path
+from ..streaming.ingest import daily_window_counts, ingest, silver_stream
+from ..streaming.landing import ingest_files, schema_log
+from .churn import RAW_USERS_SQL, raw_users
 from .registry import register
 
+INGESTED = "2024-02-01 08:00:00"
+
+
+def _put_csv(df, folder: str, name: str) -> None:
+    """Writes CSV files with a header and moves them to ``folder`` as ``name``-<n>.csv."""
+    spark = df.sparkSession
+    draft = staging_path(spark, "csv")
+    df.write.option("header", "true").csv(draft)
+    fs, source = _fs(spark, draft)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(folder))
+    parts = sorted(str(f.getPath()) for f in fs.listStatus(source) if f.getPath().getName().endswith(".csv"))
+    for i, part in enumerate(parts):
+        fs.rename(path(part), path(f"{folder}/{name}-{i}.csv"))
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -60,31 +78,64 @@ def q_stream_ingest(spark, sf_dir):
 
 @register(
     "csv_ingest_rescue",
-    """
+    f"""
 SELECT event_id, user_id, event_type, CASE WHEN event_id % 97 <> 0 THEN value END AS value,
-       CASE WHEN event_id % 2 = 0 THEN '{"note":"n' || event_id % 5 || '"' || CASE WHEN event_id % 97 = 0 THEN ',"value":"n/a"' ELSE '' END || '}'
-            WHEN event_id % 97 = 0 THEN '{"value":"n/a"}' END AS _rescued_data,
-       event_id % 2 = 0 AS from_b
+       CASE WHEN event_id % 2 = 0 THEN '{{"note":"n' || event_id % 5 || '"' || CASE WHEN event_id % 97 = 0 THEN ',"value":"n/a"' ELSE '' END || '}}'
+            WHEN event_id % 97 = 0 THEN '{{"value":"n/a"}}' END AS _rescued_data,
+       CASE WHEN event_id % 2 = 0 THEN 'b' ELSE 'a' END AS layout, TIMESTAMP '{INGESTED}' AS ingest_datetime
 FROM events
 """,
 )
 def q_csv_ingest(spark, sf_dir):
-    """A1/A4: CSV files of two layouts (columns in another order, one more column,
-    some bad casts) ingested by header name with rescued data and lineage."""
+    """A1/A3/A4: CSV files of two layouts (columns in another order, one more column,
+    some bad casts) ingested by header name into declared columns, with rescued
+    data, file name and ingest time."""
     schema = T.StructType([f for f in EVENT_SCHEMA.fields if f.name not in ("ts", "props")])
     value = F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
     ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "event_type", value.alias("value"))
     src = staging_path(spark, "events-csv")
-    a = ev.filter("event_id % 2 <> 0").select("event_id", "user_id", "event_type", "value")
-    b = ev.filter("event_id % 2 = 0").select("value", F.concat(F.lit("n"), F.col("event_id") % 5).alias("note"), "event_type", "event_id", "user_id")
-    for name, part in (("a", a), ("b", b)):
-        part.write.option("header", "true").csv(f"{src}/layout={name}")
-    bronze = f"{src}-bronze"
-    ingest(csv_stream(spark, f"{src}/*", schema), bronze, bronze + "-ckpt")
-    out = spark.read.parquet(bronze)
-    return out.select("event_id", "user_id", "event_type", "value", "_rescued_data", F.col("_rescued_data").contains("note").alias("b")).select(
-        "event_id", "user_id", "event_type", "value", "_rescued_data", F.coalesce("b", F.lit(False)).alias("from_b")
+    _put_csv(ev.filter("event_id % 2 <> 0").select("event_id", "user_id", "event_type", "value"), src, "a")
+    note = F.concat(F.lit("n"), F.col("event_id") % 5).alias("note")
+    _put_csv(ev.filter("event_id % 2 = 0").select("value", note, "event_type", "event_id", "user_id"), src, "b")
+    table = f"{src}-bronze"
+    ingest_files(spark, src, table, f"{src}-work", schema=schema, evolve=False, ingest_time=F.lit(INGESTED).cast("timestamp"))
+    out = versions.read(spark, table)
+    return out.select("event_id", "user_id", "event_type", "value", "_rescued_data", F.split("ingest_file_name", "-")[0].alias("layout"), "ingest_datetime")
+
+
+@register(
+    "csv_ingest_evolving",
+    """
+SELECT event_id, CASE WHEN event_id % 3 < 2 THEN user_id END AS user_id, event_type,
+       CASE WHEN event_id % 3 = 2 AND event_id % 97 = 0 THEN NULL ELSE value END AS value,
+       CASE WHEN event_id % 3 > 0 THEN event_id % 7 END AS score,
+       CASE WHEN event_id % 3 = 2 THEN 'n' || event_id % 5 END AS note,
+       CASE WHEN event_id % 3 = 2 AND event_id % 97 = 0 THEN '{"value":"n/a"}' END AS _rescued_data,
+       'run' || event_id % 3 AS file, 3 AS n_versions, 'event_id event_type user_id value score note' AS columns_in_order
+FROM events
+""",
+)
+def q_csv_evolving(spark, sf_dir):
+    """Three runs over CSV files; the second brings a new column and another
+    order, the third a new column, a dropped one and values that don't fit their type."""
+    ev = Tables(spark, sf_dir).events
+    src = staging_path(spark, "events-evolving")
+    table = f"{src}-bronze"
+    spoiled = F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("value")
+    score, note = (F.col("event_id") % 7).alias("score"), F.concat(F.lit("n"), F.col("event_id") % 5).alias("note")
+    layouts = (["event_id", "user_id", "event_type", "value"], [score, "value", "event_type", "user_id", "event_id"], [note, "event_type", spoiled, "event_id", score])
+    for run, columns in enumerate(layouts):
+        _put_csv(ev.filter(F.col("event_id") % 3 == run).select(*columns), src, f"run{run}")
+        ingest_files(spark, src, table, f"{src}-work")
+    log = schema_log(spark, table).filter(~F.col("name").rlike("^ingest_|^_rescued")).orderBy("version").collect()  # one row per column
+    out = versions.read(spark, table).withColumns(
+        {
+            "file": F.split("ingest_file_name", "-")[0],
+            "n_versions": F.lit(len(versions.versions(spark, table))),
+            "columns_in_order": F.lit(" ".join(r["name"] for r in log)),
+        }
     )
+    return out.drop("ingest_file_name", "ingest_datetime")
 
 
 @register(
@@ -109,3 +160,104 @@ def q_json_malformed(spark, sf_dir):
     bronze = f"{src}-bronze"
     ingest(json_stream(spark, src, schema, lineage=False), bronze, bronze + "-ckpt")
     return spark.read.parquet(bronze)
+
+
+@register(
+    "json_ingest_evolving",
+    """
+SELECT event_id, user_id, CASE WHEN event_id % 2 = 1 THEN value END AS value, CASE WHEN event_id % 2 = 1 THEN event_type = 'view' END AS seen,
+       CAST(NULL AS VARCHAR) AS _rescued_data
+FROM events
+""",
+)
+def q_json_evolving(spark, sf_dir):
+    """Two runs over JSON lines; fields that are new in the second become typed
+    columns."""
+    ev = Tables(spark, sf_dir).events
+    src = staging_path(spark, "events-json-evolving")
+    seen = (F.col("event_type") == "view").alias("seen")
+    for rest, columns in ((0, ["event_id", "user_id"]), (1, ["user_id", "event_id", "value", seen])):
+        ev.filter(F.col("event_id") % 2 == rest).select(*columns).write.mode("append").json(src)
+        ingest_files(spark, src, f"{src}-bronze", f"{src}-work", fmt="json")
+    return versions.read(spark, f"{src}-bronze").select("event_id", "user_id", "value", "seen", "_rescued_data")
+
+
+def _raw_orders(t: Tables):
+    """Orders as raw text records: some without a user, some without an id."""
+    key = F.col("o_orderkey")
+    return t.orders.select(
+        F.when(key % 61 != 0, key.cast("string")).alias("id"),
+        F.when(key % 43 != 0, F.col("o_custkey").cast("string")).alias("user_id"),
+        F.date_format("o_orderdate", RAW_TS_FORMAT).alias("transaction_date"),
+        F.floor("o_totalprice").cast("string").alias("amount"),
+        F.when(key % 11 == 0, "many").otherwise((key % 5).cast("string")).alias("item_count"),
+    )
+
+
+def _silver_runs(spark, sf_dir):
+    """Users and orders through bronze and silver streams, in two runs each."""
+    t = Tables(spark, sf_dir)
+    base = staging_path(spark, "silver")
+    flows = (
+        ("users", raw_users(t), clean_users, [("age_known", "age_group <> 'n/a'")], [("id_valid", "id IS NOT NULL")]),
+        ("orders", _raw_orders(t), clean_orders, [], [("user_id_valid", "user_id IS NOT NULL"), ("order_id_valid", "id IS NOT NULL")]),
+    )
+    for name, raw, clean, warn, drop in flows:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in raw.columns])
+        part = F.pmod(F.xxhash64(*raw.columns), F.lit(2))
+        for run in (0, 1):
+            raw.filter(part == run).write.mode("append").json(f"{base}/{name}-json")
+            bronze = f"{base}/{name}-bronze"
+            ingest(json_stream(spark, f"{base}/{name}-json", schema), bronze, f"{bronze}-ckpt")
+            silver = f"{base}/{name}-silver"
+            silver_stream(spark, bronze, clean, silver, f"{silver}-ckpt", f"{base}/log", name, warn, drop)
+    return base
+
+
+@register("silver_users_stream", f"WITH {RAW_USERS_SQL.strip()} SELECT * FROM su")
+def q_silver_users_stream(spark, sf_dir):
+    """Users from JSON files through a bronze and a silver stream."""
+    out = spark.read.parquet(f"{_silver_runs(spark, sf_dir)}/users-silver")
+    out = out.drop("ingest_file_name", "ingest_datetime", "_rescued_data").withColumnRenamed("id", "user_id")
+    return out.withColumns({"user_id": F.col("user_id").cast("long"), "nation_key": F.col("nation_key").cast("long")})
+
+
+@register(
+    "expectation_log",
+    """
+WITH o AS (SELECT o_orderkey AS k FROM orders), u AS (SELECT c_custkey AS k FROM customer)
+SELECT 'users' AS flow, 'age_known' AS rule, 'warn' AS action, 2 AS n_batches, count_if(k % 53 <> 0) AS passed, count_if(k % 53 = 0) AS failed FROM u
+UNION ALL SELECT 'users', 'id_valid', 'drop', 2, count_if(k % 101 <> 0), count_if(k % 101 = 0) FROM u
+UNION ALL SELECT 'orders', 'user_id_valid', 'drop', 2, count_if(k % 43 <> 0), count_if(k % 43 = 0) FROM o
+UNION ALL SELECT 'orders', 'order_id_valid', 'drop', 2, count_if(k % 61 <> 0), count_if(k % 61 = 0) FROM o
+""",
+)
+def q_expectation_log(spark, sf_dir):
+    """The rules' counts of both flows, observed while the streams ran."""
+    log = versions.read(spark, f"{_silver_runs(spark, sf_dir)}/log")
+    return log.groupBy("flow", "rule", "action").agg(F.count_distinct("batch").alias("n_batches"), F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
+@register(
+    "stream_daily_windows",
+    """
+WITH e AS (SELECT ts, CASE WHEN ts < TIMESTAMP '2024-01-10' AND event_id % 50 <> 0 THEN 1 ELSE 2 END AS run FROM events),
+m AS (SELECT max(ts) FILTER (run = 1) - INTERVAL 1 DAY AS w1, max(ts) - INTERVAL 1 DAY AS w2 FROM e),
+d AS (SELECT date_trunc('day', ts) AS day, run FROM e),
+n AS (SELECT CAST(day AS TIMESTAMP) AS day, count(*) AS n, count_if(run = 1) AS early FROM d GROUP BY 1)
+SELECT day, CASE WHEN day + INTERVAL 1 DAY <= w1 THEN early ELSE n END AS n FROM n, m
+WHERE day + INTERVAL 1 DAY <= w2 AND (day + INTERVAL 1 DAY > w1 OR early > 0)
+""",
+)
+def q_stream_daily_windows(spark, sf_dir):
+    """I8: daily counts with a watermark, state kept between two runs; rows that are
+    late for a window that the first run has closed are left out."""
+    ev = Tables(spark, sf_dir).events.select(F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    src = staging_path(spark, "windows")
+    first = (F.col("ts") < F.lit("2024-01-10").cast("timestamp")) & (F.col("event_id") % 50 != 0)
+    for part in (ev.filter(first), ev.filter(~first)):
+        part.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ev.schema).parquet(src)
+        counts = daily_window_counts(stream, "ts")
+        ingest(counts.select(F.col("window.start").alias("day"), "n"), f"{src}-days", f"{src}-ckpt")
+    return spark.read.parquet(f"{src}-days")

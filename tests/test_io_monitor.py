@@ -7,44 +7,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from lakelayer.operators.monitor import chi2_sf, drift, violations
-from lakelayer.sources.files import csv_stream, evolve_schema
-from lakelayer.sources.writers import create_or_upsert, overwrite_merge_schema
+from lakelayer.sources.files import evolve_schema
 from lakelayer.streaming.ingest import ingest
 
 
-def test_create_or_upsert_partitioned(spark, tmp_path):
-    path = str(tmp_path / "t")
-    a = spark.createDataFrame([(1, 2023, "a"), (2, 2023, "b"), (3, 2024, "c")], "k int, y int, v string")
-    create_or_upsert(spark, a, path, ["k"], ["y"])
-    b = spark.createDataFrame([(2, 2023, "B"), (4, 2023, "d")], "k int, y int, v string")
-    create_or_upsert(spark, b, path, ["k"], ["y"])
-    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "y", "v").collect())
-    assert got == [(1, 2023, "a"), (2, 2023, "B"), (3, 2024, "c"), (4, 2023, "d")]
-
-
-def test_overwrite_merge_schema(spark, tmp_path):
-    path = str(tmp_path / "m")
-    spark.createDataFrame([(1, "x")], "k int, old string").write.parquet(path)
-    overwrite_merge_schema(spark, spark.createDataFrame([(2, 5)], "k int, new int"), path)
-    df = spark.read.parquet(path)
-    assert set(df.columns) == {"k", "old", "new"} and df.count() == 1
-
-
-def test_csv_stream_rescue_and_exactly_once(spark, tmp_path):
-    src = tmp_path / "in"
-    src.mkdir()
-    (src / "a.csv").write_text("id,amount\n1,10\n2,abc\n")
-    from pyspark.sql import types as T
-
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("amount", T.IntegerType())])
-    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    ingest(csv_stream(spark, str(src), schema), out, ck, timeout_s=120)
-    (src / "b.csv").write_text("id,amount\n3,30\n")
-    ingest(csv_stream(spark, str(src), schema), out, ck, timeout_s=120)
-    got = sorted((r.id, r.amount, r._rescued_data, r.ingest_file_name) for r in spark.read.parquet(out).collect())
-    assert got == [(1, 10, None, "a.csv"), (2, None, '{"amount":"abc"}', "a.csv"), (3, 30, None, "b.csv")]
-
-
 def test_evolve_schema():
     from pyspark.sql import types as T
 
@@ -143,20 +109,6 @@ def test_streaming_daily_windows_with_watermark(spark, tmp_path):
     assert len(got) >= len(want) - 1  # only the last, still-open window may be missing
 
 
-def test_upsert_partitions(spark, tmp_path):
-    """NULL partitions keep their rows, text values keep their type, and a key
-    that moves leaves no old row behind."""
-    from lakelayer.sources.writers import create_or_upsert
-
-    schema = "k long, p string, v long"
-    for keys, path in ((["k"], str(tmp_path / "a")), (["k", "p"], str(tmp_path / "b"))):
-        create_or_upsert(spark, spark.createDataFrame([(1, None, 1), (2, "01", 1), (3, "02", 1), (4, None, 1)], schema), path, keys, ["p"], null_safe=True)
-        create_or_upsert(spark, spark.createDataFrame([(1, None, 2), (2, "01", 2), (3, "01", 2)], schema), path, keys, ["p"], null_safe=True)
-        rows = {(r["k"], r["p"], r["v"]) for r in spark.read.schema(schema).parquet(path).collect()}
-        moved = set() if keys == ["k"] else {(3, "02", 1)}
-        assert rows == {(1, None, 2), (2, "01", 2), (3, "01", 2), (4, None, 1)} | moved
-
-
 def test_shared_folder_is_required_off_local_mode(spark):
     import pytest
 

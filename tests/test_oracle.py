@@ -17,7 +17,11 @@ def _registry():
 
 QS, SQLS = _registry()
 # Built by running jobs; the queries of the llm subpackage have tests of their own.
-EAGER = {"train_leaderboard", "batch_score", "stream_ingest_equals_batch", "csv_ingest_rescue", "json_ingest_malformed"}
+EAGER = {
+    "train_leaderboard", "batch_score", "inference_log", "stream_ingest_equals_batch", "csv_ingest_rescue", "csv_ingest_evolving",
+    "json_ingest_malformed", "json_ingest_evolving", "silver_users_stream", "expectation_log", "stream_daily_windows",
+    "table_versions", "overwrite_partitions", "feature_table_merge", "create_or_upsert_roundtrip",
+}
 
 
 @pytest.fixture(scope="module")
