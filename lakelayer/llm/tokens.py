@@ -40,10 +40,10 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,7 +52,8 @@ from lakelayer.llm.common import materialize
 from lakelayer.session import ensure_checkpoint_dir
 
 FRAME_IDS = 1 << 17
-MEMO = 1_200_000  # words, and pieces, that a worker remembers
+BATCH_BYTES = 8_000_000  # of texts encoded together, or one text
+MEMO = 800_000  # words, and pieces, that a worker remembers
 SKIPPABLE, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1  # fixed values of the public seekable format
 INDEX_FRAME = 0x184D2A50  # another skippable frame: the documents' index
 TABLE_FRAME = SKIPPABLE
@@ -155,34 +156,49 @@ class Encoder:
                 last += " " + p
         return b"".join(map(self.direct, [*units, last]))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as the tokenizer encodes it whole."""
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, as the tokenizer encodes it whole.  Each different
+        part between spaces is looked up once, then the ids are gathered."""
         self.load()
-        cut = [t.split(" ") for t in texts]
+        parts = pc.split_pattern(texts, " ")
+        at = parts.offsets.to_numpy().astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        place, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        at -= at[0]
+        known = self.known(words)
+        odd = np.array([ids is None for ids in known], bool)
+        known = [ids or b"" for ids in known]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.width
+        flat, begins = np.frombuffer(b"".join(known), dtype=f"<u{self.width}"), np.cumsum(sizes) - sizes
+        sizes, begins, first = sizes[place], begins[place], at[:-1]
+        sizes[first] = 0  # a first part has no space in front
+        ends = np.cumsum(sizes)
+        ids = flat[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes - begins, sizes)]
+        apart = np.concatenate([[0], np.cumsum(odd[place])])
+        ends = np.concatenate([[0], ends])
+        out = []
+        for i, text in enumerate(texts):
+            a, b = at[i], at[i + 1]
+            head = words[place[a]]
+            if apart[b] > apart[a + 1] or head[-1:].isspace() or not head:
+                out.append(self.apart(text.as_py().split(" ")))
+            else:
+                out.append(self.direct(head) + ids[ends[a] : ends[b]].tobytes())
+        return out
+
+    def known(self, words: list[str]) -> list[bytes | None]:
+        """The ids of different words, each behind a space; None for one that is empty or
+        has white space at an end."""
+        found = list(map(self.words.__getitem__, words))
+        unseen, self.words.asked = self.words.asked, []
         if len(self.pieces) > MEMO:
             self.pieces.clear()
-        found = [list(map(self.words.__getitem__, parts)) for parts in cut]
-        unseen, self.words.asked = set(self.words.asked), []
         if len(self.words) + len(unseen) > MEMO:  # what these texts use stays
-            self.words = Words({w: self.words[w] for w in set(chain.from_iterable(cut)).difference(unseen)})
+            self.words = Words({w: ids for w, ids in zip(words, found, strict=True) if ids is not None})
         new = [w for w in unseen if w and not w[0].isspace() and not w[-1].isspace()]
         for k in range(0, len(new), 50_000):
             self.learn(new[k : k + 50_000])
-        return [self.joined(parts, ids) for parts, ids in zip(cut, found, strict=True)]
-
-    def joined(self, parts: list[str], ids: list[bytes | None]) -> bytes:
-        """The ids of a text's parts; those that were new when ``ids`` was read are
-        filled in."""
-        if not parts[0]:
-            return self.apart(parts)
-        ids[0] = self.direct(parts[0])
-        at = 0
-        for _ in range(ids.count(None)):
-            at = ids.index(None, at)
-            ids[at] = self.words.get(parts[at])
-            if ids[at] is None:  # a space beside other white space
-                return self.apart(parts)
-        return b"".join(ids)
+        return [self.words.get(w) if ids is None else ids for w, ids in zip(words, found, strict=True)] if new else found
 
 
 class FileWriter:
@@ -314,6 +330,7 @@ def write_files(docs: DataFrame, tokenizer: str, text: str = "text", ident: str
         writer = None
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
             at = 0
             while at < len(ids):
                 if writer is None:
@@ -324,13 +341,10 @@ def write_files(docs: DataFrame, tokenizer: str, text: str = "text", ident: str
                     sink = store.open_output_stream(f"{root}/.{name}", compression=None)
                     writer = FileWriter(sink, encoder.load(), frame_ids, level)
                     end = end_id.to_bytes(encoder.width, "little")
-                own, chars = [], 0
-                while at + len(own) < len(ids) and (not own or chars < 4_000_000):
-                    own.append(texts[at + len(own)].as_py())
-                    chars += len(own[-1])
-                for i, raw in zip(ids[at : at + len(own)], encoder.encode(own), strict=True):
+                end_at = max(at + 1, int(np.searchsorted(sizes, sizes[at] + BATCH_BYTES, side="right")) - 1)
+                for i, raw in zip(ids[at:end_at], encoder.encode(texts[at:end_at]), strict=True):
                     writer.add(i, raw + end)
-                at += len(own)
+                at = end_at
         if writer is not None:
             writer.close()
             sink.close()
