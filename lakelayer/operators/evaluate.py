@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .fill import running_sum
+from .fill import RANGES, running_sum
 
 # Cost matrix of the churn campaign (true negative, false
 # positive, false negative, true positive), applied as given.
@@ -39,12 +39,12 @@ def score_counts(df: DataFrame, label: str, score: str, pos=1) -> DataFrame:
     return df.groupBy(F.col(score).alias("score")).agg(F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg"))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, pos=1, chunks: int = 1000) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, pos=1) -> DataFrame:
     """ROC AUC with tied scores counted one half (= average ranks):
     ``sum_s pos(s) * (neg(<s) + neg(s)/2) / (P*N)``.  The cumulative negatives
-    run over the per-score table in score ranges (``chunks`` per unit)."""
+    run over the per-score table in ranges of equal size."""
     sc = score_counts(df, label, score, pos)
-    cum = running_sum(sc, ["neg"], [], ["score"], F.floor(F.col("score") * F.lit(chunks)))
+    cum = running_sum(sc, ["neg"], [], ["score"], RANGES)
     part = cum.withColumn("_c", F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0))
     return part.agg(
         F.when((F.sum("pos") > 0) & (F.sum("neg") > 0), F.sum("_c") / (F.sum("pos") * F.sum("neg"))).alias("roc_auc")
@@ -73,13 +73,13 @@ def binary_metrics(df: DataFrame, label: str, pred: str, score: str | None = Non
     return out.withColumn("value", F.round("value", digits))
 
 
-def roc_points(df: DataFrame, label: str, score: str, pos=1, chunks: int = 1000, digits: int = 6) -> DataFrame:
+def roc_points(df: DataFrame, label: str, score: str, pos=1, digits: int = 6) -> DataFrame:
     """One ROC point per distinct score threshold (score >= t is
     positive): ``(threshold, tpr, fpr)``.  Totals come from one aggregate row."""
     sc = score_counts(df, label, score, pos)
     tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     P, N = float(tot["P"] or 0), float(tot["N"] or 0)
-    cum = running_sum(sc, ["pos", "neg"], [], [F.col("score").desc()], F.floor(-F.col("score") * F.lit(chunks)))
+    cum = running_sum(sc, ["pos", "neg"], [], [F.col("score").desc()], RANGES)
     return cum.select(
         F.col("score").alias("threshold"),
         F.round(F.col("cum_pos") / F.lit(P if P else 1.0), digits).alias("tpr"),

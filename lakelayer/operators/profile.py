@@ -17,7 +17,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .fill import join_null_safe, running_sum
+from .fill import RANGES, join_null_safe, running_sum
 
 QUANTILE_ACCURACY = 100000
 
@@ -101,14 +101,13 @@ def value_range(df: DataFrame, col: str) -> tuple[float, float]:
     return float(r["lo"]), float(r["hi"])
 
 
-def exact_quantiles(df: DataFrame, col: str, groups: Sequence[str], qs: Sequence[float],
-                    chunks: int = 1024) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, groups: Sequence[str], qs: Sequence[float]) -> DataFrame:
     """Exact discrete quantiles per group: ``(groups..., n, min, max, q0..)``
     where ``q_i`` is the smallest value with ``count(<= value) >= ceil(q*n)``.
 
     Work: one aggregate to (group, value, count), one to per-group stats,
-    then a running count over values chunked by equal-width value ranges of
-    the group; the final pick is a conditional ``min`` per group."""
+    then a running count over the values in ranges of equal size, however they
+    are spread; the final pick is a conditional ``min`` per group."""
     groups = list(groups)
     v = df.select(*groups, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
     counts = v.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
@@ -118,9 +117,7 @@ def exact_quantiles(df: DataFrame, col: str, groups: Sequence[str], qs: Sequence
     else:  # one row of bounded size: inline it rather than join on nothing
         st = counts.agg(*stats_aggs).first()
         d = counts.withColumns({"_n": F.lit(st["_n"]), "_lo": F.lit(st["_lo"]), "_hi": F.lit(st["_hi"])})
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(chunks)
-    chunk = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(chunks - 1))).otherwise(0)
-    cum = running_sum(d, ["_c"], groups, ["_v"], chunk, prefix="_cum")
+    cum = running_sum(d, ["_c"], groups, ["_v"], RANGES, prefix="_cum")
     picks = [
         F.min(F.when(F.col("_cum_c") >= F.greatest(F.ceil(F.lit(float(q)) * F.col("_n")), F.lit(1)), F.col("_v"))).alias(f"q{i}")
         for i, q in enumerate(qs)

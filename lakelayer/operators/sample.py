@@ -62,19 +62,18 @@ def _is_integral(df: DataFrame, c: str) -> bool:
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, train: float = 0.8, seed: int = 42,
-                     col: str = "split", chunks: int = 64) -> DataFrame:
+                     col: str = "split") -> DataFrame:
     """F5 (stratified): within each label class, the first
     ``round(train * class size)`` rows in (hash bucket, id) order are
     ``train``, the rest ``test`` -- exact class proportions, decided per row
-    by its rank.  The rank is a running count per class, chunked by hash
-    bucket so a large class is not ranked in one task; class sizes are one
-    aggregate joined back (one row per class)."""
-    from .fill import join_null_safe, running_sum
+    by its rank.  The rank is a running count per class over ranges of equal size,
+    so a large class is not ranked in one task; class sizes are one aggregate
+    joined back (one row per class)."""
+    from .fill import RANGES, join_null_safe, running_sum
 
     b = int_bucket(id_col, seed) if _is_integral(df, id_col) else hash_bucket(seed, id_col)
     d = df.withColumns({"_hb": b, "_one": F.lit(1)})
-    ranked = running_sum(d, ["_one"], [label], ["_hb", id_col], F.floor(F.col("_hb") * F.lit(chunks) / F.lit(BUCKETS)),
-                         prefix="_rank")
+    ranked = running_sum(d, ["_one"], [label], ["_hb", id_col], RANGES, prefix="_rank")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     out = join_null_safe(ranked, sizes, [label])
     keep = F.col("_rank_one") <= F.round(F.lit(float(train)) * F.col("_n"))

@@ -1,14 +1,14 @@
 """Ordered-scan queries (survey E6-E10) over ``lineitem`` read as report
 sheets: the sheet is the return flag (three sheets, each about a third of the
 table -- the hot-group case), rows run in (order, line, ...) order, and the
-ordered scans are chunked by ranges of 1,000 order keys.
+ordered scans are distributed prefix scans.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.fill import bfill, drop_before_blank, ffill, lag_fill, running_count
+from ..operators.fill import RANGES, bfill, drop_before_blank, ffill, lag_fill, running_count, with_ordinal, zip_rows
 from ..sources.tables import Tables
 from .registry import register
 
@@ -16,7 +16,6 @@ ORDER = (
     "l_orderkey l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax l_linestatus l_shipdate"
 ).split()
 ORDER_SQL = ", ".join(ORDER)
-CHUNK_ORDERS = 1000
 
 
 def _sheet(t: Tables):
@@ -28,10 +27,6 @@ def _sheet(t: Tables):
     return li.withColumn("marker", marker)
 
 
-def _chunk():
-    return F.floor(F.col("l_orderkey") / F.lit(CHUNK_ORDERS))
-
-
 SHEET_SQL = """
 s AS (SELECT *, l_returnflag AS sheet,
         CASE WHEN l_linenumber = 1 AND l_orderkey % 7 = 0 THEN 'Section ' || CAST(l_orderkey AS VARCHAR) END AS marker
@@ -51,7 +46,7 @@ FROM s
 def q_ffill(spark, sf_dir):
     """Section marker forward-filled down each sheet."""
     d = _sheet(Tables(spark, sf_dir))
-    return ffill(d, "marker", ["sheet"], ORDER, _chunk(), out="section").select("sheet", *ORDER, "section")
+    return ffill(d, "marker", ["sheet"], ORDER, RANGES, out="section").select("sheet", *ORDER, "section")
 
 
 @register(
@@ -67,7 +62,7 @@ FROM s
 def q_bfill(spark, sf_dir):
     """First marker after each row (country taken from the following row)."""
     d = _sheet(Tables(spark, sf_dir))
-    return bfill(d, "marker", ["sheet"], ORDER, _chunk(), out="next_section").select("sheet", *ORDER, "next_section")
+    return bfill(d, "marker", ["sheet"], ORDER, RANGES, out="next_section").select("sheet", *ORDER, "next_section")
 
 
 @register(
@@ -84,7 +79,7 @@ def q_lag_fill(spark, sf_dir):
     """A NULL takes the previous row's value, one step only."""
     li = Tables(spark, sf_dir).lineitem.withColumn("sheet", F.col("l_returnflag"))
     li = li.withColumn("qty", F.when(F.col("l_linenumber").isin(2, 3), F.lit(None)).otherwise(F.col("l_quantity")))
-    return lag_fill(li, "qty", ["sheet"], ORDER, _chunk(), out="qty_filled").select("sheet", *ORDER, "qty_filled")
+    return lag_fill(li, "qty", ["sheet"], ORDER, RANGES, out="qty_filled").select("sheet", *ORDER, "qty_filled")
 
 
 @register(
@@ -104,7 +99,7 @@ def q_drop_before_blank(spark, sf_dir):
         "caption",
         F.when(F.col("l_linenumber") == 3, F.lit(None)).otherwise(F.concat(F.lit("Line "), F.col("l_partkey").cast("string"))),
     )
-    return drop_before_blank(li, "caption", ["sheet"], ORDER, _chunk()).select("sheet", *ORDER, "caption")
+    return drop_before_blank(li, "caption", ["sheet"], ORDER, RANGES).select("sheet", *ORDER, "caption")
 
 
 @register(
@@ -119,4 +114,21 @@ FROM lineitem
 def q_block_id(spark, sf_dir):
     """Running count of separator rows = block id."""
     li = Tables(spark, sf_dir).lineitem.withColumn("sheet", F.col("l_returnflag"))
-    return running_count(li, F.col("l_linenumber") == 1, ["sheet"], ORDER, _chunk()).select("sheet", *ORDER, "block_id")
+    return running_count(li, F.col("l_linenumber") == 1, ["sheet"], ORDER, RANGES).select("sheet", *ORDER, "block_id")
+
+
+@register(
+    "zip_rows",
+    """
+WITH o AS (SELECT o_orderpriority AS sheet, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS pos FROM orders),
+d AS (SELECT o_orderpriority AS sheet, o_totalprice, o_orderkey AS k,
+             row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice, o_orderkey) AS pos FROM orders WHERE o_orderstatus = 'F')
+SELECT o.sheet, o.o_orderkey, o.pos, d.o_totalprice FROM o JOIN d ON o.sheet = d.sheet AND o.pos = d.pos
+""",
+)
+def q_zip_rows(spark, sf_dir):
+    """The i-th order of a priority beside its i-th lowest price of a closed order."""
+    o = Tables(spark, sf_dir).orders.withColumnRenamed("o_orderpriority", "sheet")
+    left = with_ordinal(o.select("sheet", "o_orderkey"), ["sheet"], ["o_orderkey"], "pos")
+    right = o.filter("o_orderstatus = 'F'").select("sheet", "o_totalprice", F.col("o_orderkey").alias("k"))
+    return zip_rows(left, right, ["sheet"], ["o_orderkey"], ["o_totalprice", "k"]).select("sheet", "o_orderkey", "pos", "o_totalprice")

@@ -195,7 +195,7 @@ def test_exact_quantiles_match_sorted_rank(spark):
     df = spark.createDataFrame(data, "g string, v double")
     qs = [0.1, 0.25, 0.5, 1 / 3, 0.75, 0.9, 1.0]
     for groups in (["g"], []):
-        got = exact_quantiles(df, "v", groups, qs, chunks=8).collect()
+        got = exact_quantiles(df, "v", groups, qs).collect()
         for r in got:
             vals = sorted(v for g, v in data if v is not None and (not groups or g == r["g"]))
             assert r["n"] == len(vals) and r["min"] == vals[0] and r["max"] == vals[-1]
