@@ -2,16 +2,27 @@
 
 An expression is a word, or a word after another.  It is counted once per
 text and class.  Pooled continuation counts (different words in front) give
-the shared backoff; each class interpolates its discounted counts with it:
+the shared backoff of words; a context's backoff weight is shared by the classes,
+taken from its pooled counts, so a pair that neither class has seen is as
+likely as the class's model of its word makes it:
 
     P_y(w)   = (max(n_y(w) - D, 0) + D * kinds_y * P_shared(w)) / N_y
-    P_y(w|u) = (max(n_y(uw) - D, 0) + D * kinds_y(u) * P_y(w)) / N_y(u)
-
-An expression that is rare, or whose classes differ no more than chance or
-than ``LEAST_FACTOR``, is left to the shared backoff: both classes give it the
-same probability.  A text's evidence is the toxic minus the ordinary
-log-likelihood, divided by its number of words; a logistic curve fitted on
-labelled rows kept out of the counts makes it a score.
+    P_y(w|u) = (1 - l(u)) * max(n_y(uw) - D, 0) / sum_v max(n_y(uv) - D, 0) + l(u) * P_y(w)
+    l(u)     = D * kinds(u) / N(u)
+
+(the first term goes, and l(u) is 1, where the class has no count over D).  An
+expression whose classes differ no more than chance (a likelihood ratio of
+``LEAST_GAIN`` against the classes' shares) or than ``LEAST_FACTOR`` is left to the
+shared backoff: both classes give it the same probability.  How many texts that
+takes follows from the classes' shares; there is no least number of texts.  A
+text's evidence is the toxic minus the ordinary log-likelihood, divided by its
+number of words.
+
+A logistic curve makes it a score.  It is fitted on all labelled texts of the
+sample, each by the model of the half (of its class, by hash) that it isn't in;
+the counts of both halves come from one pass, and the model that scores has
+both.  Two pseudo-texts of evidence +-``PRIOR`` stand for the belief that more
+evidence is more toxic, where labels are too few to show it.
 
 The models are fitted on a documented, bounded sample of labelled rows (about
 ``MAX_CHARS`` characters a class, by a hash of the text), which bounds the
@@ -36,9 +47,9 @@ from lakelayer.llm.common import materialize
 
 MAX_CHARS = 32_000_000
 DISCOUNT = 0.75
-LEAST_TEXTS = 4
-LEAST_Z = 4.0
+LEAST_GAIN = 8.0  # as far from chance as four standard deviations
 LEAST_FACTOR = 3.0
+PRIOR = 0.05
 NO_WORD = r"[^\p{L}\p{M}\p{N}]+"  # words are letters, their marks and digits
 
 
@@ -53,71 +64,85 @@ def drawn(th: Column, rate: Column) -> Column:
 
 
 def sample_of(learnt: DataFrame, known: DataFrame) -> DataFrame:
-    """(__text, toxic, __fit): different labelled texts, about MAX_CHARS characters a
-    class and fold (all where there are fewer), none over a sixteenth of that.
-    Only hashes and lengths are joined with the labels; of the texts, only
-    those in the sample move."""
+    """(__text, toxic, __half): different labelled texts, about MAX_CHARS characters a
+    class (all where there are fewer), none over a sixteenth of that; the halves
+    of a class lie at both sides of the median hash.  Only hashes and lengths are
+    joined with the labels; of the texts, only those in the sample move."""
     th = F.xxhash64("__text")
     slim = learnt.select("__id", th.alias("__h"), F.length("__text").alias("__n")).join(known, "__id")
     # Copies count once; their labels, should they differ, as toxic.
     slim = slim.groupBy("__h").agg(F.max("toxic").alias("toxic"), F.max("__n").alias("__n"))
-    slim = materialize(slim.withColumn("__fit", F.pmod(F.xxhash64("__h", F.lit(2)), F.lit(5)) == 0))
-    short = slim.filter(F.col("__n") <= MAX_CHARS // 16)
-    totals = short.groupBy("toxic", "__fit").agg(F.sum(F.col("__n") + 64).alias("n")).collect()  # four rows
-    rate, most = F.lit(0.0), 0.0
+    short = materialize(slim.withColumn("__place", F.xxhash64("__h", F.lit(2)))).filter(F.col("__n") <= MAX_CHARS // 16)
+    totals = short.groupBy("toxic").agg(F.sum(F.col("__n") + 64).alias("n"), F.percentile_approx("__place", 0.5).alias("m")).collect()  # two rows
+    rate, middle, most = F.lit(0.0), F.lit(0).cast("long"), 0.0
     for r in totals:
         part = min(1.0, MAX_CHARS / r["n"])
-        rate, most = F.when((F.col("toxic") == r["toxic"]) & (F.col("__fit") == r["__fit"]), part).otherwise(rate), max(most, part)
-    picked = short.filter(drawn(F.col("__h"), rate)).select("__h", "toxic", "__fit")
+        own = F.col("toxic") == r["toxic"]
+        rate, middle, most = F.when(own, part).otherwise(rate), F.when(own, r["m"]).otherwise(middle), max(most, part)
+    half = (F.col("__place") > middle).cast("int").alias("__half")
+    picked = short.filter(drawn(F.col("__h"), rate)).select("__h", "toxic", half)
     texts = learnt.select("__text", th.alias("__h")).filter(drawn(F.col("__h"), F.lit(most)))
     texts = texts.groupBy("__h").agg(F.any_value("__text").alias("__text"))  # copies meet on the map side
     return texts.join(picked, "__h").drop("__h")
 
 
-def class_probability(n: str, kinds: str, total: str, shorter: Column) -> Column:
-    seen = F.col(total) > 0
-    return F.when(seen, (F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(kinds) * shorter) / F.col(total)).otherwise(shorter)
+def over(n: Column) -> Column:
+    """A discounted count."""
+    return F.greatest(n - DISCOUNT, F.lit(0.0))
 
 
-def differs(share: Column) -> Column:
-    """The classes of an expression differ by more than chance."""
-    n = F.col("n0") + F.col("n1")
-    z = F.abs(F.col("n1") - n * share) / F.sqrt(F.greatest(n * share * (1 - share), F.lit(1e-9)))
-    return (n >= LEAST_TEXTS) & (z >= LEAST_Z)
+def differs(n0: Column, n1: Column, t0: Column, t1: Column) -> Column:
+    """Whether the classes of an expression differ by more than chance: the gain in
+    log-likelihood of its own shares over those of all expressions."""
+    n, t = n0 + n1, t0 + t1
 
+    def part(k: Column, all_: Column) -> Column:
+        return F.when(k > 0, k * F.log(k * t / (n * all_))).otherwise(0.0)
 
-def expressions(sample: DataFrame) -> tuple[dict, dict]:
-    """Log ratio per word, and per (word in front, word), where it isn't left to
-    the shared backoff."""
+    return part(n0, t0) + part(n1, t1) >= LEAST_GAIN
+
+
+def counts(sample: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts of each class and half (n<class><half>) that hold a word (w) or a pair
+    (u, w; u is empty at the start), in one pass."""
     w = F.array_remove(F.split(spaced(F.col("__text")), " "), "")
-    rows = sample.select("toxic", w.alias("w")).filter(F.size("w") > 0)
+    rows = sample.select("toxic", "__half", w.alias("w")).filter(F.size("w") > 0)
     # As strings: distinct structs would be compared pair by pair.
     pair = F.transform("w", lambda x, i: F.concat(F.when(i > 0, F.get("w", i - 1)).otherwise(""), F.lit(" "), x))
-    pairs = rows.select("toxic", F.explode(F.array_distinct(pair)).alias("p"))
-    pairs = pairs.select("toxic", F.substring_index("p", " ", 1).alias("u"), F.substring_index("p", " ", -1).alias("w"))
-    per_class = [F.sum((F.col("toxic") == y).cast("long")).alias(f"n{y}") for y in (0, 1)]
-    pairs = materialize(pairs.groupBy("u", "w").agg(*per_class))
-    single = rows.select("toxic", F.explode(F.array_distinct("w")).alias("w")).groupBy("w").agg(*per_class)
+    pairs = rows.select("toxic", "__half", F.explode(F.array_distinct(pair)).alias("p"))
+    pairs = pairs.select("toxic", "__half", F.substring_index("p", " ", 1).alias("u"), F.substring_index("p", " ", -1).alias("w"))
+    each = [F.sum(((F.col("toxic") == y) & (F.col("__half") == h)).cast("long")).alias(f"n{y}{h}") for y in (0, 1) for h in (0, 1)]
+    single = rows.select("toxic", "__half", F.explode(F.array_distinct("w")).alias("w")).groupBy("w").agg(*each)
+    return materialize(single), materialize(pairs.groupBy("u", "w").agg(*each))
+
+
+def expressions(single: DataFrame, pairs: DataFrame, halves: tuple[int, ...] = (0, 1)) -> tuple[dict, dict]:
+    """Log ratio per word, and per (word in front, word), where it isn't left to
+    the shared backoff, from the counts of the given halves."""
+    own = [sum(F.col(f"n{y}{h}") for h in halves).alias(f"n{y}") for y in (0, 1)]
+    single = single.select("w", *own).filter("n0 + n1 > 0")
+    pairs = pairs.select("u", "w", *own).filter("n0 + n1 > 0")
     single = single.join(pairs.groupBy("w").agg(F.count("*").alias("__cont")), "w")
-    single = materialize(single)
     kinds = [F.count(F.when(F.col(f"n{y}") > 0, 1)).alias(f"k{y}") for y in (0, 1)]
     sums = [F.sum(f"n{y}").alias(f"t{y}") for y in (0, 1)]
     whole = single.agg(F.sum("__cont").alias("c"), *kinds, *sums).first()
     if not whole["c"] or not whole["t0"] or not whole["t1"]:
         return {}, {}
-    single = single.withColumns({f"{x}{y}": F.lit(whole[f"{x}{y}"]) for x in "kt" for y in (0, 1)})
     shared = F.col("__cont") / float(whole["c"])
-    single = single.withColumns({f"p{y}": class_probability(f"n{y}", f"k{y}", f"t{y}", shared) for y in (0, 1)})
+    single = single.withColumns({f"p{y}": (over(F.col(f"n{y}")) + DISCOUNT * whole[f"k{y}"] * shared) / float(whole[f"t{y}"]) for y in (0, 1)})
     ratio = F.log(F.col("p1") / F.col("p0")).alias("r")
     apart = F.abs(F.log(F.col("p1") / F.col("p0"))) >= float(np.log(LEAST_FACTOR))
-    words = single.filter(differs(F.col("t1") / (F.col("t0") + F.col("t1"))) & apart).select("w", ratio)
-    contexts = pairs.groupBy("u").agg(*kinds, *sums)
-    pairs = pairs.filter(F.col("n0") + F.col("n1") >= LEAST_TEXTS).join(contexts, "u")
-    pairs = pairs.filter(differs(F.col("t1") / (F.col("t0") + F.col("t1"))))
-    pairs = pairs.join(single.select("w", F.col("p0").alias("s0"), F.col("p1").alias("s1")), "w")
-    pairs = pairs.withColumns({f"p{y}": class_probability(f"n{y}", f"k{y}", f"t{y}", F.col(f"s{y}")) for y in (0, 1)})
+    words = single.filter(differs(F.col("n0"), F.col("n1"), F.lit(whole["t0"]), F.lit(whole["t1"])) & apart).select("w", ratio)
+    some = [F.sum(over(F.col(f"n{y}"))).alias(f"s{y}") for y in (0, 1)]
+    contexts = pairs.groupBy("u").agg(F.count("*").alias("k"), *sums, *some)
+    pairs = pairs.join(contexts, "u").filter(differs(F.col("n0"), F.col("n1"), F.col("t0"), F.col("t1")))
+    pairs = pairs.join(single.select("w", F.col("p0").alias("q0"), F.col("p1").alias("q1")), "w")
+    weight = DISCOUNT * F.col("k") / (F.col("t0") + F.col("t1"))
+    for y in (0, 1):
+        seen = (1 - weight) * over(F.col(f"n{y}")) / F.col(f"s{y}") + weight * F.col(f"q{y}")
+        pairs = pairs.withColumn(f"p{y}", F.when(F.col(f"s{y}") > 0, seen).otherwise(F.col(f"q{y}")))
     pairs = pairs.filter(apart).select("u", "w", ratio)
-    # At most one row per LEAST_TEXTS expressions of the bounded sample.
+    # Expressions of the bounded sample, each in several of its texts.
     return {r["w"]: r["r"] for r in words.collect()}, {(r["u"], r["w"]): r["r"] for r in pairs.collect()}
 
 
@@ -133,47 +158,50 @@ def evidence(text: str, words: dict, pairs: dict) -> float:
     return total / max(len(own), 1)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
     """Slope and intercept of a ridge-smoothed logistic curve, by Newton steps on
     the scaled evidence."""
-    scale = x.std() or 1.0
+    scale = float(np.sqrt(np.average((x - np.average(x, weights=weight)) ** 2, weights=weight))) or 1.0
     a = np.stack([x / scale, np.ones_like(x)], axis=1)
     w = np.zeros(2)
-    for _ in range(100):
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(2), a.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + ridge * np.eye(2), a.T @ (weight * (y - p)) - ridge * w)
         w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
     return float(w[0] / scale), float(w[1])
 
 
-def scorer(spark, model):
-    """Pandas UDF: the evidence of a spaced text."""
-    shared = spark.sparkContext.broadcast(model)
+def scorer(spark, models: list):
+    """Pandas UDF: the evidence of a spaced text by the model of a number."""
+    shared = spark.sparkContext.broadcast(models)
 
     @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words, pairs = shared.value
-        for texts in batches:
-            yield pd.Series([evidence(t, words, pairs) for t in texts], dtype=float)
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, which in batches:
+            yield pd.Series([evidence(t, *shared.value[m]) for t, m in zip(texts, which, strict=True)], dtype=float)
 
     return run
 
 
 def fit(learnt: DataFrame, known: DataFrame):
     """Log ratios and the curve (slope, intercept) from texts (__id, __text) and
-    labels (__id, toxic); four fifths, by a hash of the text, feed the counts,
-    one fifth the curve."""
+    labels (__id, toxic)."""
     spark = learnt.sparkSession
     sample = materialize(sample_of(learnt, known).repartition(2 * spark.sparkContext.defaultParallelism))
-    model = expressions(sample.filter("NOT __fit"))
-    held = sample.filter("__fit").select("toxic", scorer(spark, model)(spaced(F.col("__text"))).alias("__d")).toPandas()
-    held = held.sort_values(["__d", "toxic"])  # sums in one order, so reruns agree
-    share = float(held["toxic"].mean()) if len(held) else 0.0
-    if held["toxic"].nunique() < 2:
+    single, pairs = counts(sample)
+    other = [expressions(single, pairs, (1,)), expressions(single, pairs, (0,))]  # by the half of the text
+    crossed = sample.select("toxic", scorer(spark, other)(spaced(F.col("__text")), F.col("__half")).alias("__d"))
+    seen = crossed.groupBy("toxic", F.round("__d", 6).alias("__d")).agg(F.count("*").alias("n")).toPandas()  # of the bounded sample
+    seen = seen.sort_values(["__d", "toxic"])  # sums in one order, so reruns agree
+    n, toxic = float(seen["n"].sum()), float((seen["n"] * seen["toxic"]).sum())
+    model = expressions(single, pairs)
+    if not 0 < toxic < n:
+        share = toxic / n if n else 0.0
         return model, (0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
-    return model, logistic(held["__d"].to_numpy(float), held["toxic"].to_numpy(float))
+    x, y, w = (np.append(seen[c].to_numpy(float), more) for c, more in (("__d", (PRIOR, -PRIOR)), ("toxic", (1.0, 0.0)), ("n", (1.0, 1.0))))
+    return model, logistic(x, y, w)
 
 
 def score(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", ident: str = "doc_id", label: str = "toxic") -> DataFrame:
@@ -183,7 +211,7 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text",
     known = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(ident).alias("__id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
     learnt = docs.filter(learn).select(F.col(ident).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     model, (slope, intercept) = fit(learnt, known)
-    df = docs.withColumn("__d", scorer(docs.sparkSession, model)(spaced(F.coalesce(F.col(text), F.lit("")))))
+    df = docs.withColumn("__d", scorer(docs.sparkSession, [model])(spaced(F.coalesce(F.col(text), F.lit(""))), F.lit(0)))
     value = 1 / (1 + F.exp(-(F.col("__d") * slope + intercept)))
     return df.withColumn("score", value).withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("__d")
 

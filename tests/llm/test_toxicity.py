@@ -1,6 +1,9 @@
+import collections
+import math
 import random
 import unicodedata
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakelayer.llm import toxicity
@@ -36,14 +39,85 @@ def test_held_out_labels_are_not_read(spark):
     assert a == b
 
 
+def model_of(spark, rows):
+    """The model of (text, toxic) rows, all in one half."""
+    sample = spark.createDataFrame([(t, y, 0) for t, y in rows], "__text string, toxic int, __half int")
+    return toxicity.expressions(*toxicity.counts(sample))
+
+
 def test_rare_expressions_weigh_nothing(spark):
-    rows = [(f"common words here {'once' + str(i)} {'bad' if i % 2 else 'fine'}", i % 2) for i in range(200)]
-    words, pairs = toxicity.expressions(spark.createDataFrame(rows, "__text string, toxic int"))
+    words, pairs = model_of(spark, [(f"common words here {'once' + str(i)} {'bad' if i % 2 else 'fine'}", i % 2) for i in range(200)])
     assert words["bad"] > 1 and words["fine"] < -1
     assert "common" not in words and not any(w.startswith("once") for w in words)
     assert all("bad" in p or "fine" in p for p in pairs)
 
 
+def brute(rows):
+    """Log ratios of the model by its formulas."""
+    d = toxicity.DISCOUNT
+    n, nn = collections.defaultdict(lambda: [0, 0]), collections.defaultdict(lambda: [0, 0])
+    for text, y in rows:
+        w = text.split()
+        for x in set(w):
+            n[x][y] += 1
+        for p in set(zip(["", *w], w)):
+            nn[p][y] += 1
+    cont = collections.Counter(w for _, w in nn)
+    t = [sum(c[y] for c in n.values()) for y in (0, 1)]
+    k = [sum(c[y] > 0 for c in n.values()) for y in (0, 1)]
+
+    def gain(c, t):
+        return sum(c[y] * math.log(c[y] * sum(t) / (sum(c) * t[y])) for y in (0, 1) if c[y])
+
+    p = {w: [(max(c[y] - d, 0) + d * k[y] * cont[w] / sum(cont.values())) / t[y] for y in (0, 1)] for w, c in n.items()}
+    words = {w: math.log(p[w][1] / p[w][0]) for w, c in n.items() if gain(c, t) >= toxicity.LEAST_GAIN}
+    pairs = {}
+    for (u, w), c in nn.items():
+        own = [v for (x, _), v in nn.items() if x == u]
+        tu = [sum(v[y] for v in own) for y in (0, 1)]
+        if gain(c, tu) < toxicity.LEAST_GAIN:
+            continue
+        weight, q = d * len(own) / sum(tu), []
+        for y in (0, 1):
+            s = sum(max(v[y] - d, 0) for v in own)
+            q.append((1 - weight) * max(c[y] - d, 0) / s + weight * p[w][y] if s else p[w][y])
+        pairs[u, w] = math.log(q[1] / q[0])
+    least = math.log(toxicity.LEAST_FACTOR)
+    return {w: r for w, r in words.items() if abs(r) >= least}, {x: r for x, r in pairs.items() if abs(r) >= least}
+
+
+def test_model_equals_its_formulas(spark):
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(25)]
+    rows = []
+    for i in range(240):
+        y = int(i % 4 == 0)
+        w = [rng.choice(words[:20] if y else words[3:]) for _ in range(rng.randint(0, 14))]
+        rows.append((" ".join(w + (["w3", "w4"] if y and rng.random() < 0.6 else ["w4", "w3"])), y))
+    got, want = model_of(spark, rows), brute(rows)
+    assert len(got[0]) > 3 and got[1]
+    for a, b in zip(got, want):
+        assert a.keys() == b.keys()
+        assert all(abs(a[x] - b[x]) < 1e-9 for x in a)
+
+
+@pytest.mark.parametrize("seed", range(11))
+def test_few_toxic_labels(spark, seed):
+    """Six toxic rows of 600, held-out ones among them, hold one word three times."""
+    rng = random.Random(seed)
+    plain = [a + b for a in "ba ce di fo gu".split() for b in "la me ni po ru ta ve".split()]
+    rows = [(k, [rng.choice(plain) for _ in range(rng.randint(40, 90))]) for k in range(600)]
+    bad = {k for k, _ in rows if k % 100 == seed}
+    for k, w in rows:
+        if k in bad:
+            for at in rng.sample(range(len(w)), 3):
+                w[at] = "vile"
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k in bad)) for k, _ in rows], "doc_id long, toxic int")
+    got = toxicity.score(docs, labels, toxicity.learnt_rows()).filter("predicted = 1").collect()
+    assert {r["doc_id"] for r in got} == bad
+
+
 def test_words_with_marks(spark):
     """Words learnt with combining marks are found with them."""
     marked = ["हिंदी", "কৃষ্ণ", "ที่นี่", "قُرْآن", unicodedata.normalize("NFD", "été")]
@@ -53,9 +127,9 @@ def test_words_with_marks(spark):
     got = toxicity.score(docs, labels, toxicity.learnt_rows()).join(labels, "doc_id").filter(~toxicity.learnt_rows()).collect()
     assert sum(r["predicted"] != r["toxic"] for r in got) <= 0.02 * len(got)
     rows = [(f"plain words {marked[i % 5] if i % 2 else 'fine'} here", i % 2) for i in range(400)]
-    model = toxicity.expressions(spark.createDataFrame(rows, "__text string, toxic int"))
+    model = model_of(spark, rows)
     asked = spark.createDataFrame([(w.upper(),) for w in marked], "text string")
-    found = asked.select(toxicity.scorer(spark, model)(toxicity.spaced(F.col("text"))).alias("d")).collect()
+    found = asked.select(toxicity.scorer(spark, [model])(toxicity.spaced(F.col("text")), F.lit(0)).alias("d")).collect()
     assert all(r["d"] > 1 for r in found)
 
 
