@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_seconds
+from ..sources.writers import staged
 
 DAY = 86400
 
@@ -120,8 +121,10 @@ def training_set(
 ) -> DataFrame:
     """Labels enriched by several point-in-time lookups, then the excluded
     (identity / time) columns dropped.  Each lookup is ``(features, keys,
-    feature_ts, feature_names)``."""
+    feature_ts, feature_names)``.  A join reads both its sides twice, so the
+    features asked for and the labels enriched so far are written once each."""
     out = labels
     for feats, keys, fts, names in lookups:
-        out = asof_join(out, feats, keys, ts, fts, names, bucket_secs)
+        feats = feats if names is None else feats.select(*dict.fromkeys([*keys, fts, *names]))
+        out = asof_join(staged(out), staged(feats), keys, ts, fts, names, bucket_secs)
     return out.drop(*exclude)

@@ -42,17 +42,16 @@ def null_out(df: DataFrame, cols: Sequence[str], sentinels: Sequence[str] = ("na
     )
 
 
-def recode(df: DataFrame, col: str, mapping: Mapping, default=None, out: str | None = None) -> DataFrame:
+def recode(df: DataFrame, col: str, mapping: Mapping, default=None, out: str | None = None, keep: bool = False) -> DataFrame:
     """Value -> value by an ordered condition chain; unmatched gets
-    ``default`` (NULL by default)."""
+    ``default`` (NULL by default) or, with ``keep``, stays as it is."""
     items = list(mapping.items())
     expr = reduce(
         lambda acc, kv: acc.when(F.col(col) == F.lit(kv[0]), F.lit(kv[1])),
         items[1:],
         F.when(F.col(col) == F.lit(items[0][0]), F.lit(items[0][1])),
     )
-    expr = expr.otherwise(F.lit(default) if default is not None else F.lit(None))
-    return df.withColumn(out or col, expr)
+    return df.withColumn(out or col, expr.otherwise(F.col(col) if keep else F.lit(default)))
 
 
 def expand_code(df: DataFrame, col: str, mapping: Mapping[str, str], out: str | None = None) -> DataFrame:
@@ -132,11 +131,27 @@ def two_level_counts(df: DataFrame, g1: str, g2: str, id_col: str) -> DataFrame:
     )
 
 
-def step_counts(steps: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count of each named step, as one ``(step, rows)`` table.
-    Each count is a distributed aggregate; the union is of one-row frames."""
-    parts = [d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("step"), "rows") for n, d in steps.items()]
-    return reduce(DataFrame.unionByName, parts)
+class StepCounts:
+    """Row counts of named steps, taken while the rows flow once.
+
+    ``mark`` puts a counter on a step (``DataFrame.observe``); ``run`` executes the
+    last step and reads the counters of that execution.  The metrics are taken
+    from the executed query itself, not from a listener on the session."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+
+    def mark(self, df: DataFrame, name: str) -> DataFrame:
+        self.names.append(name)
+        return df.observe(f"step_{len(self.names)}", F.count(F.lit(1)).alias("rows"))
+
+    def run(self, last: DataFrame) -> DataFrame:
+        """Runs ``last`` once, to its row count; ``(step, rows)`` in the order of the marks."""
+        counted = last.agg(F.count(F.lit(1)))
+        counted.collect()
+        seen = counted._jdf.queryExecution().observedMetrics()
+        rows = [(name, seen.apply(f"step_{i}").getLong(0)) for i, name in enumerate(self.names, 1)]
+        return last.sparkSession.createDataFrame(rows, "step string, rows long")
 
 
 def null_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -20,11 +20,19 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_part_or_null
 from .clean import null_out
-from .fill import bfill, drop_before_blank, ffill
+from .fill import RANGES, Chunk, bfill, by_range, drop_before_blank, ffill
 
 SHEET = ["file", "sheet"]
 
 
+def _in_ranges(rows: DataFrame, order: str, chunk: Chunk) -> tuple[DataFrame, Chunk]:
+    """With ``RANGES``: the sheet rows written once in ranges that serve all of the
+    scans behind, so these read the written rows and not what they came from."""
+    if isinstance(chunk, str) and chunk == RANGES:
+        return by_range(rows, SHEET, [order]).withColumnRenamed("_chunk", "_range"), F.col("_range")
+    return rows, chunk
+
+
 # ---------------------------------------------------------------- M1 - M3
 def cells_from_rows(df: DataFrame, file: str, sheet: str, row: str, value_cols: Sequence[str]) -> DataFrame:
     """M1: a wide grid (one row per sheet row) as a long cell table; column
@@ -129,7 +137,7 @@ def _like_ne_true(col: str, pattern: str) -> Column:
 
 
 def parse_statements(rows: DataFrame, year: int, q: int, published: str, order: str = "row",
-                     chunk: Column | None = None) -> DataFrame:
+                     chunk: Chunk = None) -> DataFrame:
     """M4: sectioned income / balance statements -> tidy rows.
 
     ``rows``: ``(file, sheet, row, Descripcion, Valor)`` from :func:`slice_period`.
@@ -137,6 +145,7 @@ def parse_statements(rows: DataFrame, year: int, q: int, published: str, order:
     kind (``Activo``/``Pasivo``/``Patrimonio``/..., default ``Utilidad``) and
     the current / non-current term are forward-filled; titles, totals and
     captions are dropped; the title splits into ``state - company``."""
+    rows, chunk = _in_ranges(rows, order, chunk)
     d = null_out(rows, ["Descripcion", "Valor"], ["nan"])
     is_company = F.lit(False)
     for p in COMPANY_PREFIXES:
@@ -211,11 +220,12 @@ CAPEX_EXCLUDE = ["%Inversiones dentro balance%", "%Negocios que no consolidan%"]
 
 
 def parse_capex(rows: DataFrame, year: int, q: int, published: str, order: str = "row",
-                chunk: Column | None = None) -> DataFrame:
+                chunk: Chunk = None) -> DataFrame:
     """M5: ``(file, sheet, row, EMPRESA, Valor)`` -> ``PAIS, EMPRESA, Valor``:
     the row before each blank caption (block total) is dropped, a captioned
     row without value is a country header forward-filled onto the companies
     below it, excluded captions removed."""
+    rows, chunk = _in_ranges(rows, order, chunk)
     d = drop_before_blank(rows, "EMPRESA", SHEET, [order], chunk).filter(F.col("EMPRESA").isNotNull())
     d = d.withColumn("_country", F.when(F.col("Valor").isNull(), F.col("EMPRESA")))
     d = ffill(d, "_country", SHEET, [order], chunk, out="PAIS").filter(F.col("Valor").isNotNull())
@@ -240,7 +250,7 @@ TRAFFIC_COMPANY = "(?i)(RUTA|TMDE|TPD)"
 
 
 def parse_traffic(rows: DataFrame, year: int, q: int, published: str, order: str = "row",
-                  chunk: Column | None = None) -> DataFrame:
+                  chunk: Chunk = None) -> DataFrame:
     """M6: company rows (``RUTA``/``TMDE``/``TPD``) with type rows beneath;
     separators stripped; a captioned row without value gets ``'0'``."""
     d = rows
@@ -258,6 +268,7 @@ def parse_traffic(rows: DataFrame, year: int, q: int, published: str, order: str
     ).dropna(subset=["Empresa", "Valor"])
     d = d.withColumn("_is_company", F.col("Empresa").rlike(TRAFFIC_COMPANY))
     d = d.withColumn("_marker", F.when(F.col("_is_company"), F.col("Empresa")))
+    d, chunk = _in_ranges(d, order, chunk)
     d = ffill(d, "_marker", SHEET, [order], chunk, out="Compania").filter(~F.col("_is_company"))
     return d.select(
         "Compania", F.col("Empresa").alias("Tipo"), "Valor",
@@ -268,11 +279,12 @@ def parse_traffic(rows: DataFrame, year: int, q: int, published: str, order: str
 
 # ---------------------------------------------------------------- M7
 def parse_debt_profile(rows: DataFrame, year: int, q: int, published: str, order: str = "row",
-                       chunk: Column | None = None) -> DataFrame:
+                       chunk: Chunk = None) -> DataFrame:
     """M7: ``(file, sheet, row, Compania, Moneda, Valor, tint)``: a coloured
     row (``tint != 0``) names a country, which applies to itself and to the
     rows *before* it (backward fill); ``TOTAL DEUDA`` rows are dropped; a
     missing company takes the previous row's, one step only."""
+    rows, chunk = _in_ranges(rows, order, chunk)
     d = null_out(rows, ["Compania", "Moneda", "Valor"], ["nan"])
     d = d.filter(~(F.col("Compania").isNull() & F.col("Moneda").isNull() & F.col("Valor").isNull()))
     d = d.withColumn("_c", F.when(F.col("tint") != 0, F.col("Compania")))
@@ -354,7 +366,7 @@ def project_report(df: DataFrame) -> DataFrame:
     return out
 
 
-def classify_indent(cells: DataFrame, order: str = "row", chunk: Column | None = None) -> DataFrame:
+def classify_indent(cells: DataFrame, order: str = "row", chunk: Chunk = None) -> DataFrame:
     """Rows of a block -- a row right after a blank caption is a country
     header; a row with indent 1 is a company; others are detail lines."""
     from .fill import _neighbour
@@ -412,7 +424,7 @@ def _to_iso_date(col: str) -> Column:
 
 
 def parse_debt(rows: DataFrame, kind: str, mes: str | None, ano: str | None, year: int, q: int, published: str,
-               order: str = "row", chunk: Column | None = None) -> DataFrame:
+               order: str = "row", chunk: Chunk = None) -> DataFrame:
     """M8: consolidated bonds (``kind='bonos'``) or loans (``'creditos'``).
 
     ``rows`` carries the sheet columns under their header names (amount
@@ -454,8 +466,8 @@ def parse_debt(rows: DataFrame, kind: str, mes: str | None, ano: str | None, yea
             "_comp": F.when(F.col("Filial").isNotNull() & F.col("Tipo").isNotNull(), F.col("Filial")),
         }
     )
-    d = ffill(d, "_pais", SHEET, [order], chunk, out="Pais")
-    d = ffill(d, "_comp", SHEET, [order], chunk, out="Compania")
+    d, chunk = _in_ranges(d, order, chunk)
+    d = ffill(d, ["_pais", "_comp"], SHEET, [order], chunk, out=["Pais", "Compania"])
     d = d.filter(F.col("Tipo").isNotNull())
     return d.select(
         "Compania", "Pais", "Tipo", F.col("Fuente de Financiación").alias("FuentedeFinanciacion"),
@@ -481,7 +493,7 @@ def legacy_name(name: str) -> str:
 
 
 def parse_loans_legacy(cells: DataFrame, names: Sequence[str], published: str, order: str = "row",
-                       chunk: Column | None = None) -> DataFrame:
+                       chunk: Chunk = None) -> DataFrame:
     """Legacy loan sheet from its cell table.  The first row holds the
     headers (B16); ``names`` are those header texts in column order (sheet
     metadata).  Cells are pivoted to one row per sheet row with the listed
@@ -513,8 +525,9 @@ def parse_loans_legacy(cells: DataFrame, names: Sequence[str], published: str, o
             "_comp": F.when(F.col("Filial").isNotNull() & F.col("FuentedeFinanciacion").isNotNull(), F.col("Filial")),
         }
     )
-    d = ffill(d, "_pais", SHEET, [order], chunk, out="Pais")
-    d = ffill(d, "_comp", SHEET, [order], chunk, out="Compania").filter(F.col("FuentedeFinanciacion").isNotNull())
+    d, chunk = _in_ranges(d, order, chunk)
+    d = ffill(d, ["_pais", "_comp"], SHEET, [order], chunk, out=["Pais", "Compania"])
+    d = d.filter(F.col("FuentedeFinanciacion").isNotNull())
     keep = ["Compania", "Pais", "FuentedeFinanciacion", "MonedaCredito", "FechaInicial", "FechaVencimiento", "PlazoAnos",
             "TasadeInteres", *amounts]
     return d.select(*[c for c in keep if c in d.columns], F.lit(published).cast("timestamp").alias("FECHAPUBLICACION"))

@@ -15,8 +15,8 @@ from ..operators.clean import (
     keep_first,
     null_out,
     null_report,
+    StepCounts,
     recode,
-    step_counts,
     two_level_counts,
 )
 from ..sources.tables import Tables
@@ -291,10 +291,27 @@ UNION ALL SELECT 'deduplicated', count(*) FROM dd
 def q_step_counts(spark, sf_dir):
     """The bronze customer table holds each customer three
     times (create + insert + re-insert, one copy with NULL keys); row counts
-    after each cleaning step."""
+    after each cleaning step, taken in one pass over the table."""
     c = Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment")
-    spoiled = c.withColumn("c_custkey", F.when(F.col("c_custkey") % 50 == 0, F.lit(None)).otherwise(F.col("c_custkey")))
-    raw = c.unionByName(c).unionByName(spoiled)
-    nn = raw.dropna(subset=["c_custkey"])
-    dd = keep_first(nn, ["c_custkey"], [("c_name", True), ("c_mktsegment", True)])
-    return step_counts({"raw": raw, "not_null_key": nn, "deduplicated": dd})
+    spoiled = F.when(F.col("c_custkey") % 50 != 0, F.col("c_custkey"))
+    copies = F.explode(F.array(F.col("c_custkey"), F.col("c_custkey"), spoiled))
+    steps = StepCounts()
+    raw = steps.mark(c.select(copies.alias("c_custkey"), "c_name", "c_mktsegment"), "raw")
+    nn = steps.mark(raw.dropna(subset=["c_custkey"]), "not_null_key")
+    dd = steps.mark(keep_first(nn, ["c_custkey"], [("c_name", True), ("c_mktsegment", True)]), "deduplicated")
+    return steps.run(dd)
+
+
+@register(
+    "replace_values",
+    """
+SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '5-LOW' THEN 'low' ELSE o_orderpriority END AS o_orderpriority,
+       CASE o_orderstatus WHEN 'F' THEN 'closed' END AS closed
+FROM orders
+""",
+)
+def q_replace_values(spark, sf_dir):
+    """Some values replaced, the others kept; B10: the others NULL."""
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    d = recode(o, "o_orderpriority", {"1-URGENT": "urgent", "5-LOW": "low"}, keep=True)
+    return recode(d, "o_orderstatus", {"F": "closed"}, out="closed").drop("o_orderstatus")

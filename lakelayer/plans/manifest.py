@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name
-from ..operators.manifest import check_result, choose_files, match_period_files, missing, reconcile
+from ..operators.manifest import check_result, choose_files, list_files, match_period_files, missing, reconcile
 from ..sources.tables import Tables
+from ..sources.writers import staging_path
 from .registry import register
 
 Q, YEAR = 3, 2023
@@ -26,7 +27,7 @@ def listing(t: Tables):
         clean, F.lit("_"), (F.col("page_id") % 4 + 1).cast("string"), F.lit("Q_"),
         (F.lit(2020) + F.col("page_id") % 5).cast("string"), F.lit(".xlsx"),
     )
-    files = p.select(F.regexp_extract("url", "^https?://([^/]+)", 1).alias("folder"), path.alias("path"), "url")
+    files = p.select(F.regexp_extract("url", "^https?://([^/]+)", 1).alias("folder"), path.alias("path"), "url", "page_id")
     return files.withColumn("file", base_name("path"))
 
 
@@ -145,7 +146,7 @@ SELECT DISTINCT path, sheet FROM req WHERE (path, sheet) NOT IN (SELECT (path, s
 def q_missing_sheets(spark, sf_dir):
     """Required (file, sheet) pairs absent from the workbooks."""
     t = Tables(spark, sf_dir)
-    f = listing(t).join(t.pages.select("url", "page_id"), "url")
+    f = listing(t)
     sheets = F.array(*[F.lit(s) for s in REQUIRED_SHEETS])
     req = f.select("path", F.explode(sheets).alias("sheet"))
     pres = f.select(
@@ -161,3 +162,32 @@ def q_missing_sheets(spark, sf_dir):
         ).alias("sheet"),
     )
     return missing(req, pres, ["path", "sheet"])
+
+
+@register(
+    "list_period_files",
+    f"""
+WITH p AS (SELECT DISTINCT 'host' || page_id % 40 AS folder,
+                  CAST(page_id // 40 % 4 + 1 AS VARCHAR) || 'Q_' || CAST(2020 + page_id // 160 % 5 AS VARCHAR) || '.xlsx' AS file FROM pages),
+hit AS (SELECT folder, file FROM p WHERE contains(file, '{Q}Q_{YEAR}') QUALIFY row_number() OVER (PARTITION BY folder ORDER BY file) = 1),
+n AS (SELECT folder FROM p GROUP BY folder HAVING count(*) = 1),
+u AS (SELECT * FROM p WHERE folder IN (SELECT folder FROM n)
+      UNION SELECT * FROM p WHERE file LIKE '%Q{Q}%' OR file LIKE '%{Q}Q%' OR file LIKE '%T{Q}%' OR file LIKE '%{Q}T%'),
+r AS (SELECT * FROM p WHERE folder NOT IN (SELECT folder FROM u) AND (file LIKE '%{YEAR}%' OR file LIKE '%{YEAR % 100:02d}%')
+      QUALIFY row_number() OVER (PARTITION BY folder ORDER BY file) = 1)
+SELECT c.folder, c.file, hit.file IS NOT NULL AS has_period_file FROM (SELECT * FROM u UNION ALL SELECT * FROM r) c LEFT JOIN hit USING (folder)
+""",
+)
+def q_list_period_files(spark, sf_dir):
+    """A15 with L8/L9: pages written as files of folders, the folders listed by the
+    files' metadata, and the period's files picked."""
+    pages = Tables(spark, sf_dir).pages
+    k = F.floor(F.col("page_id") / 40)
+    name = F.concat((k % 4 + 1).cast("string"), F.lit("Q_"), (F.floor(F.col("page_id") / 160) % 5 + 2020).cast("string"), F.lit(".xlsx"))
+    root = staging_path(spark, "reports")
+    rows = pages.select("url", F.concat(F.lit("host"), F.col("page_id") % 40).alias("folder"), name.alias("file"))
+    rows.hint("rebalance", F.col("folder"), F.col("file")).write.partitionBy("folder", "file").text(root)
+    part = list_files(spark, root).select(F.regexp_extract("path", "/folder=([^/]+)/file=([^/]+)/", 1).alias("folder"), F.regexp_extract("path", "/file=([^/]+)/", 1).alias("file"))
+    files = part.distinct()  # a large report may be in several part files
+    hit = match_period_files(files.withColumn("path", F.col("file")), Q, YEAR).select("folder", F.col("ok").alias("has_period_file"))
+    return choose_files(files, Q, YEAR).join(hit, "folder")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators.prep import Preprocessor
+from ..operators.prep import Preprocessor, VectorPreprocessor
 from ..operators.profile import (
     box_stats,
     class_distribution,
@@ -18,6 +20,7 @@ from ..operators.profile import (
 )
 from ..operators.sample import int_bucket, int_bucket_sql, share
 from ..sources.tables import Tables
+from ..sources.writers import staging_path
 from .registry import register
 
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -192,3 +195,37 @@ def q_datetime_features(spark, sf_dir):
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderdate")
     pre = Preprocessor(datetime=["o_orderdate"]).fit(o)
     return pre.transform(o).withColumn("o_orderdate_epoch", F.round("o_orderdate_epoch", 6))
+
+
+@register(
+    "sparse_features",
+    f"""
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 20 = 0 THEN NULL ELSE o_totalprice END AS price,
+                  CAST(o_custkey AS VARCHAR) AS cust, CASE WHEN o_orderkey % 33 = 0 THEN NULL ELSE o_orderpriority END AS prio FROM orders),
+tr AS (SELECT * FROM o WHERE {int_bucket_sql('o_orderkey', 7)} < {share(0.5)}),
+st AS (SELECT avg(price) AS m, stddev_pop(price) AS s FROM tr),
+lc AS (SELECT cust, row_number() OVER (ORDER BY cust) - 1 AS pos FROM (SELECT DISTINCT cust FROM tr)),
+lp AS (SELECT prio, n, row_number() OVER (ORDER BY prio) - 1 AS pos FROM (SELECT prio, count(*) AS n FROM tr WHERE prio IS NOT NULL GROUP BY prio)),
+md AS (SELECT pos FROM lp ORDER BY n DESC, prio LIMIT 1)
+SELECT o_orderkey, round((coalesce(price, m) - m) / s, 6) AS scaled, lc.pos AS cust_index,
+       CASE WHEN o.prio IS NULL THEN (SELECT pos FROM md) ELSE lp.pos END AS prio_index,
+       (SELECT count(*) + 1 FROM lc) + (SELECT count(*) FROM lp) AS n_features
+FROM o CROSS JOIN st LEFT JOIN lc ON lc.cust = o.cust LEFT JOIN lp ON lp.prio = o.prio
+""",
+)
+def q_sparse_features(spark, sf_dir):
+    """A price, a customer id as a category and a priority in one sparse
+    vector, by a preprocessor fitted on half of the rows, saved and loaded again."""
+    key = F.col("o_orderkey")
+    o = Tables(spark, sf_dir).orders.select(
+        "o_orderkey",
+        F.when(key % 20 != 0, F.col("o_totalprice")).alias("price"),
+        F.col("o_custkey").cast("string").alias("cust"),
+        F.when(key % 33 != 0, F.col("o_orderpriority")).alias("prio"),
+    )
+    path = staging_path(spark, "preprocessor")
+    VectorPreprocessor(["price"], ["cust", "prio"]).fit(o.filter(int_bucket("o_orderkey", 7) < share(0.5))).save(spark, path)
+    pre = VectorPreprocessor.load(spark, path)
+    first = VectorSlicer(inputCol="features", outputCol="first", indices=[0]).transform(pre.transform(o))
+    scaled = F.round(F.get(vector_to_array("first"), 0), 6).alias("scaled")
+    return first.select("o_orderkey", scaled, "cust_index", "prio_index", F.lit(pre.size()).cast("long").alias("n_features"))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.fill import RANGES
 from ..operators.reports import (
     cells_from_rows,
     classify_indent,
@@ -22,19 +23,13 @@ from ..operators.reports import (
     slice_period,
 )
 from ..sources.tables import Tables
+from ..sources.writers import staged
 from .registry import register
 
 PUBLISHED = "2024-01-31 00:00:00"
-CHUNK = 100_000  # ordinals scanned together
 LINE = 1_000_000_000_000  # ordinals of a nation's block; keys stay below a tenth of it
 
 
-def _chunk():
-    """Ordered scans over a sheet run in chunks of one block (a sheet here
-    holds a whole table, so an unchunked scan would be one task)."""
-    return F.floor(F.col("row") / F.lit(CHUNK))
-
-
 def _quarter_grid(t: Tables):
     """Per nation one sheet: a title + period header row, then one row per
     customer with its 1998 order count per quarter (blank when none)."""
@@ -78,7 +73,7 @@ FROM customer LEFT JOIN c ON c_custkey = o_custkey
 def q_report_slice(spark, sf_dir):
     """Grid -> cell table -> anchor (``estados de resultados``)
     -> the ``3Q98`` period column next to the description column."""
-    cells = _quarter_grid(Tables(spark, sf_dir))
+    cells = staged(_quarter_grid(Tables(spark, sf_dir)))  # read by every step
     anchors = find_anchor(cells, F.lower(F.col("value")).contains("estados de resultados"))
     return slice_period(cells, anchors, period_header(1998, 3))
 
@@ -195,7 +190,7 @@ FROM k
 )
 def q_parse_statements(spark, sf_dir):
     """M4: statement sections -> tidy (state, company, line, kind, term, value)."""
-    return parse_statements(_statement_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=_chunk())
+    return parse_statements(_statement_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=RANGES)
 
 
 def _capex_rows(t: Tables):
@@ -241,7 +236,7 @@ FROM f WHERE Valor IS NOT NULL AND EMPRESA NOT LIKE '%Inversiones dentro balance
 )
 def q_parse_capex(spark, sf_dir):
     """M5: capex blocks -> (country, company, value)."""
-    return parse_capex(_capex_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=_chunk())
+    return parse_capex(_capex_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=RANGES)
 
 
 def _traffic_rows(t: Tables):
@@ -292,7 +287,7 @@ FROM f WHERE NOT is_c
 )
 def q_parse_traffic(spark, sf_dir):
     """M6: traffic sheet -> (company, type, value)."""
-    return parse_traffic(_traffic_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=_chunk())
+    return parse_traffic(_traffic_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=RANGES)
 
 
 def _debt_rows(t: Tables):
@@ -335,7 +330,7 @@ FROM c
 )
 def q_parse_debt_profile(spark, sf_dir):
     """M7: debt profile -> (country, company, currency, value)."""
-    return parse_debt_profile(_debt_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=_chunk())
+    return parse_debt_profile(_debt_rows(Tables(spark, sf_dir)), 2023, 3, PUBLISHED, chunk=RANGES)
 
 
 PROJECTS_SQL = """
@@ -479,7 +474,7 @@ def q_classify_indent(spark, sf_dir):
     blank = n.select(F.lit("capex.xlsx").alias("file"), F.lit("CAPEX").alias("sheet"),
                      (F.col("n_nationkey").cast("long") * LINE + LINE - 1).alias("row"), F.lit(None).cast("string").alias("value"),
                      F.lit(0).alias("indent"))
-    return classify_indent(head.unionByName(lines).unionByName(blank), chunk=_chunk())
+    return classify_indent(head.unionByName(lines).unionByName(blank), chunk=RANGES)
 
 
 DEBT_COLS = [
@@ -562,7 +557,20 @@ def q_parse_debt(spark, sf_dir):
 
     rows = _debt_sheet(Tables(spark, sf_dir))
     rename, mes, ano = parse_header_period(rows.columns)
-    out = parse_debt(rows.withColumnsRenamed(rename), "bonos", mes, ano, 2024, 2, PUBLISHED, chunk=_chunk())
+    out = parse_debt(rows.withColumnsRenamed(rename), "bonos", mes, ano, 2024, 2, PUBLISHED, chunk=RANGES)
+    dec = [c for c, t in out.dtypes if t.startswith("decimal")]
+    return out.withColumns({c: F.col(c).cast("double") for c in dec})
+
+
+@register("parse_debt_loans", DEBT_SQL.replace("CASE WHEN s_suppkey % 2 = 0 THEN 'Bonos' ELSE 'Bonos Verdes' END", "'Creditos'"))
+def q_parse_debt_loans(spark, sf_dir):
+    """M8: the consolidated loans sheet, which has no type column and names the
+    start date in its own way."""
+    from ..operators.reports import parse_debt, parse_header_period
+
+    rows = _debt_sheet(Tables(spark, sf_dir)).drop("Tipo").withColumnRenamed("Fecha Emisión", "Fecha Inicial")
+    rename, mes, ano = parse_header_period(rows.columns)
+    out = parse_debt(rows.withColumnsRenamed(rename), "creditos", mes, ano, 2024, 2, PUBLISHED, chunk=RANGES)
     dec = [c for c, t in out.dtypes if t.startswith("decimal")]
     return out.withColumns({c: F.col(c).cast("double") for c in dec})
 
@@ -625,6 +633,6 @@ def q_parse_loans_legacy(spark, sf_dir):
     decimal amounts are reported as double for the comparison."""
     from ..operators.reports import parse_loans_legacy
 
-    out = parse_loans_legacy(_legacy_cells(Tables(spark, sf_dir)), LEGACY_NAMES, PUBLISHED, chunk=_chunk())
+    out = parse_loans_legacy(staged(_legacy_cells(Tables(spark, sf_dir))), LEGACY_NAMES, PUBLISHED, chunk=RANGES)
     dec = [c for c, t in out.dtypes if t.startswith("decimal")]
     return out.withColumns({c: F.col(c).cast("double") for c in dec})
