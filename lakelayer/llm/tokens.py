@@ -34,6 +34,7 @@ special tokens are encoded as the library does by default, as one id.
 
 from __future__ import annotations
 
+import gc
 import struct
 import sys
 import uuid
@@ -53,7 +54,7 @@ from lakelayer.session import ensure_checkpoint_dir
 
 FRAME_IDS = 1 << 17
 BATCH_BYTES = 8_000_000  # of texts encoded together, or one text
-MEMO = 800_000  # words, and pieces, that a worker remembers
+MEMO = 1_200_000  # words, and pieces, that a worker remembers
 SKIPPABLE, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1  # fixed values of the public seekable format
 INDEX_FRAME = 0x184D2A50  # another skippable frame: the documents' index
 TABLE_FRAME = SKIPPABLE
@@ -112,13 +113,14 @@ class Encoder:
             return self.learn_whole(words)
         stems = {w: w[:-1] for w in words if w[-1] in self.marks and w[:-1].isalpha() and w[-2] < "\u0250"}
         bare = {w for w in words if w not in stems}.union(w for w in stems.values() if w not in known)
-        mixed = []
+        mixed, kind = [], ("H" if self.width == 2 else "I") * (sys.byteorder == "little")
         for w in bare:
             if not w.isalpha() or not w.isascii() and max(w) >= "\u0250":
                 mixed.append(w)
                 continue
             piece = w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_CHARS)
-            known[w] = packed([t.id for t in tokenize(space + piece)])
+            ids = [t.id for t in tokenize(space + piece)]
+            known[w] = array(kind, ids).tobytes() if kind else packed(ids)
         self.learn_whole(mixed)
         for w, stem in stems.items():
             known[w] = known[stem] + self.marks[w[-1]]
@@ -191,13 +193,17 @@ class Encoder:
         has white space at an end."""
         found = list(map(self.words.__getitem__, words))
         unseen, self.words.asked = self.words.asked, []
-        if len(self.pieces) > MEMO:
+        collects = gc.isenabled()
+        gc.disable()  # no cycles arise here, and each collection would walk the memo
+        if len(self.pieces) > MEMO // 4:
             self.pieces.clear()
         if len(self.words) + len(unseen) > MEMO:  # what these texts use stays
             self.words = Words({w: ids for w, ids in zip(words, found, strict=True) if ids is not None})
         new = [w for w in unseen if w and not w[0].isspace() and not w[-1].isspace()]
         for k in range(0, len(new), 50_000):
             self.learn(new[k : k + 50_000])
+        if collects:
+            gc.enable()
         return [self.words.get(w) if ids is None else ids for w, ids in zip(words, found, strict=True)] if new else found
 
 
