@@ -67,10 +67,6 @@ def base_name(col: Column | str) -> Column:
     return F.element_at(F.split(F.regexp_replace(_c(col), "/$", ""), "/"), -1)
 
 
-def drop_last_char(col: Column | str) -> Column:
-    return F.regexp_replace(_c(col), ".$", "")
-
-
 def percent_text(col: Column | str, digits: int = 3) -> Column:
     """Rate rendered as text: ``round(x*100, digits) %``."""
     return F.concat_ws(" ", F.round(_c(col) * 100, digits).cast("string"), F.lit("%"))

@@ -7,7 +7,6 @@ never on a driver-side copy of the predictions.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -148,7 +147,3 @@ def leaderboard(results: DataFrame, metric: str = "f1", order_col: str = "trial"
     """Runs ranked by the metric, descending; the earlier run wins a tie
     (strictly greater replaces the best)."""
     return results.orderBy(F.desc_nulls_last(metric), F.asc(order_col))
-
-
-def union_checks(checks: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), checks)

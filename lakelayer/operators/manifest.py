@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name
@@ -33,9 +33,9 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFr
     )
 
 
-def folder_name(col: str) -> F.Column:
-    """Folder display name: the listing's trailing slash cut off."""
-    return F.regexp_replace(F.col(col), ".$", "")
+def folder_name(col: Column | str) -> Column:
+    """Folder display name: the listing's trailing slash cut off."""
+    return F.regexp_replace(F.col(col) if isinstance(col, str) else col, ".$", "")
 
 
 def reconcile(catalog: DataFrame, manifest: DataFrame, cat_name: str, man_name: str) -> DataFrame:
@@ -56,7 +56,7 @@ def check_result(issues: DataFrame, check: str) -> DataFrame:
     )
 
 
-def _period_like(col: str, tags: Sequence[str]) -> F.Column:
+def _period_like(col: str, tags: Sequence[str]) -> Column:
     cond = F.lit(False)
     for t in tags:
         cond = cond | F.col(col).like(f"%{t}%")

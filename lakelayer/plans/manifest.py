@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name
-from ..operators.manifest import check_result, choose_files, list_files, match_period_files, missing, reconcile
+from ..operators.manifest import check_result, choose_files, folder_name, list_files, match_period_files, missing, reconcile
 from ..sources.tables import Tables
 from ..sources.writers import staging_path
 from .registry import register
@@ -187,7 +187,7 @@ def q_list_period_files(spark, sf_dir):
     root = staging_path(spark, "reports")
     rows = pages.select("url", F.concat(F.lit("host"), F.col("page_id") % 40).alias("folder"), name.alias("file"))
     rows.hint("rebalance", F.col("folder"), F.col("file")).write.partitionBy("folder", "file").text(root)
-    part = list_files(spark, root).select(F.regexp_extract("path", "/folder=([^/]+)/file=([^/]+)/", 1).alias("folder"), F.regexp_extract("path", "/file=([^/]+)/", 1).alias("file"))
+    part = list_files(spark, root).select(folder_name(F.regexp_extract("path", "/folder=([^/]+/)file=", 1)).alias("folder"), F.regexp_extract("path", "/file=([^/]+)/", 1).alias("file"))
     files = part.distinct()  # a large report may be in several part files
     hit = match_period_files(files.withColumn("path", F.col("file")), Q, YEAR).select("folder", F.col("ok").alias("has_period_file"))
     return choose_files(files, Q, YEAR).join(hit, "folder")

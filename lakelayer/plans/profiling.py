@@ -14,7 +14,9 @@ from ..operators.profile import (
     histogram,
     linear_fit,
     outliers,
+    pivot_metric,
     pos_weight,
+    terciles,
     top_correlated,
     value_range,
 )
@@ -229,3 +231,30 @@ def q_sparse_features(spark, sf_dir):
     first = VectorSlicer(inputCol="features", outputCol="first", indices=[0]).transform(pre.transform(o))
     scaled = F.round(F.get(vector_to_array("first"), 0), 6).alias("scaled")
     return first.select("o_orderkey", scaled, "cust_index", "prio_index", F.lit(pre.size()).cast("long").alias("n_features"))
+
+
+@register(
+    "terciles",
+    """
+WITH q AS (SELECT quantile_disc(o_totalprice, [1.0 / 3, 2.0 / 3]) AS q FROM orders)
+SELECT o_orderkey, CASE WHEN o_totalprice <= q[1] THEN 1 WHEN o_totalprice <= q[2] THEN 2 ELSE 3 END AS tercile FROM orders, q
+""",
+)
+def q_terciles(spark, sf_dir):
+    """Orders cut in three by price."""
+    return terciles(Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice"), "o_totalprice").drop("o_totalprice")
+
+
+@register(
+    "pivot_metrics",
+    """
+SELECT event_type, count(*)::DOUBLE AS n, round(avg(value), 4) AS mean, round(max(value), 4) AS top FROM events GROUP BY event_type
+""",
+)
+def q_pivot_metrics(spark, sf_dir):
+    """Long metrics of the event types as one column per metric."""
+    ev = Tables(spark, sf_dir).events
+    one = ev.groupBy("event_type").agg(F.count("*").cast("double").alias("n"), F.round(F.avg("value"), 4).alias("mean"), F.round(F.max("value"), 4).alias("top"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in ("n", "mean", "top")]))
+    long = one.select("event_type", pairs.alias("m")).select("event_type", "m.*")
+    return pivot_metric(long, ["event_type"], "metric", "value", ["n", "mean", "top"])

@@ -19,6 +19,7 @@ from ..operators.reports import (
     parse_traffic,
     period_header,
     project_report,
+    promote_header,
     report_wide,
     slice_period,
 )
@@ -636,3 +637,23 @@ def q_parse_loans_legacy(spark, sf_dir):
     out = parse_loans_legacy(staged(_legacy_cells(Tables(spark, sf_dir))), LEGACY_NAMES, PUBLISHED, chunk=RANGES)
     dec = [c for c, t in out.dtypes if t.startswith("decimal")]
     return out.withColumns({c: F.col(c).cast("double") for c in dec})
+
+
+@register(
+    "promoted_header",
+    """
+SELECT 'nation_' || n_nationkey || '.xlsx' AS file, s_suppkey + 2 AS row, s_name AS "Nombre", CAST(s_nationkey AS VARCHAR) AS "Zona"
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+""",
+)
+def q_promoted_header(spark, sf_dir):
+    """The texts of a sheet's first row become the names of the cells below."""
+    t = Tables(spark, sf_dir)
+    file = F.concat(F.lit("nation_"), F.col("n_nationkey").cast("string"), F.lit(".xlsx")).alias("file")
+    head = t.nation.select(file, F.lit(1).cast("long").alias("row"), F.lit("Nombre").alias("v1"), F.lit("Zona").alias("v2"))
+    body = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        file, (F.col("s_suppkey") + 2).alias("row"), F.col("s_name").alias("v1"), F.col("s_nationkey").cast("string").alias("v2")
+    )
+    sheet = head.unionByName(body).withColumn("sheet", F.lit("Hoja1"))
+    named = promote_header(cells_from_rows(sheet, "file", "sheet", "row", ["v1", "v2"]), 1)
+    return named.groupBy("file", "row").pivot("name", ["Nombre", "Zona"]).agg(F.first("value"))

@@ -9,10 +9,12 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import to_numeric
 from ..functions.dates import RAW_TS_FORMAT
+from ..operators.clean import empty_like, positional_names, union_all
 from ..operators.features import clean_orders, clean_users
 from ..sources import versions
-from ..sources.files import json_stream
+from ..sources.files import json_stream, read_batch
 from ..sources.tables import Tables
 from ..sources.writers import _fs, staging_path
 from ..streaming.ingest import daily_window_counts, ingest, silver_stream
@@ -261,3 +263,24 @@ def q_stream_daily_windows(spark, sf_dir):
         counts = daily_window_counts(stream, "ts")
         ingest(counts.select(F.col("window.start").alias("day"), "n"), f"{src}-days", f"{src}-ckpt")
     return spark.read.parquet(f"{src}-days")
+
+
+@register(
+    "batch_read",
+    """
+SELECT event_id, CASE WHEN event_id % 97 <> 0 OR event_id % 2 = 0 THEN value END AS value, CASE WHEN event_id % 2 = 0 THEN event_type END AS kind, event_id % 2 = 0 AS from_json
+FROM events
+""",
+)
+def q_batch_read(spark, sf_dir):
+    """JSON and headerless CSV files read as batches, the CSV columns
+    named by place and coerced to numbers, both stacked by name on an empty table."""
+    ev = Tables(spark, sf_dir).events
+    base = staging_path(spark, "batch")
+    ev.filter("event_id % 2 = 0").select("event_id", F.col("event_type").alias("kind"), "value").write.json(f"{base}/json")
+    value = F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    ev.filter("event_id % 2 = 1").select("event_id", value.alias("value")).write.csv(f"{base}/csv")
+    a = read_batch(spark, f"{base}/json", "json", "event_id long, kind string, value double").withColumn("from_json", F.lit(True))
+    b = positional_names(read_batch(spark, f"{base}/csv", "csv", "c0 string, c1 string", header=False), ["event_id", "value"])
+    b = to_numeric(to_numeric(b, ["event_id"], "bigint"), ["value"]).withColumn("from_json", F.lit(False))
+    return union_all([empty_like(spark, T.StructType.fromDDL("event_id long, value double, kind string, from_json boolean")), a, b])

@@ -20,7 +20,8 @@ QS, SQLS = _registry()
 EAGER = {
     "train_leaderboard", "batch_score", "inference_log", "stream_ingest_equals_batch", "csv_ingest_rescue", "csv_ingest_evolving",
     "json_ingest_malformed", "json_ingest_evolving", "silver_users_stream", "expectation_log", "stream_daily_windows",
-    "table_versions", "overwrite_partitions", "feature_table_merge", "create_or_upsert_roundtrip",
+    "table_versions", "overwrite_partitions", "feature_table_merge", "create_or_upsert_roundtrip", "step_counts", "batch_read",
+    "list_period_files", "sparse_features",
 }
 
 
