@@ -124,7 +124,7 @@ def unwrapped(clean: Column, sentences: Mapping[str, str], whole: Mapping[str, S
     mark = f"(?:(?:{'|'.join(MARKS)})[ \n])?"
 
     def form(s: str) -> Column:
-        pattern = f"(?<![^\n]){mark}{s.replace(' ', '[ \n]').replace('*', '[a-z0-9 \n]{1,200}?')}(?![^\n])"
+        pattern = f"(?<![^\n]){mark}{s.replace(' ', '[ \n]').replace('*', '[a-z0-9 \n]+?')}(?![^\n])"
         # Of a sentence with a name the part behind it is looked for.
         return F.struct(F.lit(s.split("* ")[-1]).alias("held"), F.lit(pattern).alias("pattern"), F.lit("\n".join(forms[s])).alias("lines"))
 

@@ -69,3 +69,11 @@ def test_messy(messy, clash, no_docs):
     assert licenses.scan(messy).filter("licences <> '' OR n_known > 0").count() == 0
     assert licenses.scan(clash).count() == messy.count()
     assert licenses.scan(no_docs).count() == 0
+
+
+def test_holder_of_any_length(spark):
+    """The name in the BSD clause may be long and wrapped."""
+    holder = "the Regents of " + ", ".join(f"University {k}" for k in range(60))
+    text = textwrap.fill(BSD3.split("\n\n")[-1].replace("the copyright holder", holder), 72)
+    docs = spark.createDataFrame([(1, f"{BSD2}\n\n{text}")], "doc_id long, text string")
+    assert len(holder) > 600 and licenses.scan(docs).first()["licences"] == "BSD-3-Clause"
