@@ -43,7 +43,8 @@ def parts(url: Column) -> tuple[Column, Column]:
 
 def term_hits(strict: Sequence[str], soft: Sequence[str]):
     """Pandas UDF: distinct strict and distinct soft terms of a lower-cased URL.
-    A term counts only between characters other than a-z and 0-9."""
+    A term counts only between characters other than a-z and 0-9; without terms
+    there are no hits."""
     vocabulary = [(t, True) for t in strict] + [(t, False) for t in soft]
 
     @F.pandas_udf(HITS)
@@ -66,7 +67,7 @@ def term_hits(strict: Sequence[str], soft: Sequence[str]):
             return n, len(found) - n
 
         for urls in batches:
-            yield pd.DataFrame([one(u) for u in urls], columns=["strict", "soft"], dtype="int32")
+            yield pd.DataFrame([one(u) if vocabulary else (0, 0) for u in urls], columns=["strict", "soft"], dtype="int32")
 
     return count
 

@@ -28,3 +28,10 @@ def test_cases(spark, no_docs):
     for r in got:
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == urls[r["url"]]
     assert url_filter.judge_urls(no_docs.withColumnRenamed("text", "url")).count() == 0
+
+
+def test_empty_vocabulary(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/porn"), (2, "http://a.com/de/")], "page_id long, url string")
+    got = {r["page_id"]: (r["verdict"], r["strict_hits"], r["soft_hits"]) for r in url_filter.judge_urls(pages, strict=(), soft=()).collect()}
+    assert got == {1: ("allow", 0, 0), 2: ("block", 0, 0)}
+    assert url_filter.judge_urls(pages.limit(0), strict=(), soft=()).count() == 0
