@@ -2,14 +2,17 @@
 
 Records are ordered by (key, id).  Size-weighted samples of that order give
 quantile splitters, which cut it into fine ranges; a range that turns out
-overfull is subdivided by splitters sampled inside it, so a hot key is cut by
-the id.  Exact range totals are added up along the ranges, rows only within a
-range, and the running size decides the shard: shards are runs of the order
-with near-equal bytes.  Rows with equal keys are neighbours; a run of equal
-keys within ``group_share`` of a shard stays in one shard.
+overfull is subdivided by splitters sampled inside it.  Exact range totals are
+added up along the ranges, rows only within a range, and the running size
+decides the shard: shards are runs of the order with near-equal bytes.
 
-Only splitters reach the driver; their expected number is ``shards *
-ranges_per_shard * oversample``, whatever the size of the data.
+Rows with equal keys are neighbours.  A key of at most ``group_share`` of a shard
+is never cut: splitters inside it move to its first row, so it lies in one range
+and goes as a whole to the shard that holds its middle.  Larger keys (at most
+``shards / group_share`` of them) are cut by the id.
+
+Only splitters and the large keys reach the driver; the expected number of
+samples is ``shards * ranges_per_shard * oversample``, whatever the size of the data.
 
 Defined results: NULL text has size 1 (no bytes plus 1); NULL ids come first
 among equal keys; repeated rows take neighbouring slots; an empty table gives
@@ -59,20 +62,25 @@ def range_id(splitters: list[tuple[int, int]]):
     return place("__key", "__id")
 
 
-def splitters(slim: DataFrame, shards: int, ranges_per_shard: int, oversample: int, overfull: float) -> tuple[list[tuple[int, int]], int]:
-    """Sorted splitters and the total size; overfull ranges are cut again until
-    none is left that holds more than one (key, id)."""
+def splitters(slim: DataFrame, shards: int, ranges_per_shard: int, oversample: int, overfull: float, group_share: float) -> tuple[list[tuple[int, int]], int, frozenset[int]]:
+    """Sorted splitters, the total size and the keys that may be cut; overfull
+    ranges are cut again until none is left that can be."""
     total = slim.agg(F.sum("__size").alias("n")).first()["n"] or 0
     if not total:
-        return [], 0
+        return [], 0, frozenset()
     fine = shards * ranges_per_shard
+    sums = slim.groupBy("__key").agg(F.sum("__size").alias("n")).filter(F.col("n") > group_share * total / shards)
+    large = frozenset(r["__key"] for r in sums.collect())  # at most shards / group_share
+
+    def snapped(points) -> set[tuple[int, int]]:
+        return {(k, i if k in large else LEAST) for k, i in points}
 
     def quantiles(rows: list, pieces: int) -> list[tuple[int, int]]:
         points = sorted((r["__key"], r["__id"]) for r in rows)
         return [points[len(points) * k // pieces] for k in range(1, pieces)] if points else []
 
     rows = drawn(slim, F.lit(fine * oversample / total), 0).select("__key", "__id").collect()
-    cuts = sorted(set(quantiles(rows, fine)))
+    cuts = sorted(snapped(quantiles(rows, fine)))
     for again in range(1, 64):
         filled = slim.withColumn("__r", range_id(cuts)).groupBy("__r").agg(F.sum("__size").alias("n"), F.min(F.struct("__key", "__id")).alias("lo"), F.max(F.struct("__key", "__id")).alias("hi"))
         over = filled.filter((F.col("n") > overfull * total / fine) & (F.col("lo") != F.col("hi"))).collect()
@@ -87,13 +95,14 @@ def splitters(slim: DataFrame, shards: int, ranges_per_shard: int, oversample: i
         new = {(r["hi"]["__key"], r["hi"]["__id"]) for r in over}
         for r in over:
             new.update(quantiles(more[r["__r"]], max(2, 2 * int(r["n"] * fine / total))))
+        new = snapped(new)
         if set(cuts) >= new:
-            break  # every range left is a run of one (key, id)
+            break  # every range left is one (key, id), or one key that stays whole
         cuts = sorted(set(cuts) | new)
-    return cuts, total
+    return cuts, total, large
 
 
-def placed(df: DataFrame, cuts: list[tuple[int, int]], total: int, shards: int, group_share: float) -> tuple[DataFrame, DataFrame]:
+def placed(df: DataFrame, cuts: list[tuple[int, int]], total: int, shards: int, large: frozenset[int]) -> tuple[DataFrame, DataFrame]:
     """``df`` with its range and in-range running columns, and the ranges' offsets."""
     df = df.withColumn("__r", range_id(cuts))
     sums = materialize(df.groupBy("__r").agg(F.sum("__size").alias("__n"), F.count("*").alias("__rows")))
@@ -110,7 +119,7 @@ def placed(df: DataFrame, cuts: list[tuple[int, int]], total: int, shards: int,
     df = df.join(offsets, "__r")
     df = df.withColumns({"__end": F.col("__bytes_before") + F.sum("__size").over(running), "__row": F.col("__rows_before") + F.row_number().over(within) - 1})
     df = df.withColumns({"__group": F.sum("__size").over(group), "__group_end": F.max("__end").over(group)})
-    whole = F.col("__group") <= group_share * total / shards
+    whole = ~F.col("__key").isin(*large) if large else F.lit(True)
     middle = F.when(whole, F.col("__group_end") - F.col("__group") / 2.0).otherwise(F.col("__end") - F.col("__size") / 2.0)
     shard = F.least(F.floor(middle * shards / float(max(total, 1))), F.lit(shards - 1)).cast("int")
     return df.withColumn("shard", shard), offsets
@@ -132,10 +141,10 @@ def shard_records(
     columns = [c for c in df.columns if c not in ("size", "shard", "slot")]
     df = df.select(*columns).withColumns({"__key": F.xxhash64(text), "__id": F.coalesce(F.col(ident).cast("long"), F.lit(LEAST)), "__size": size_of(F.col(text))})
     slim = materialize(df.select("__key", "__id", "__size"))
-    cuts, total = splitters(slim, shards, ranges_per_shard, oversample, overfull)
-    starts, _ = placed(slim, cuts, total, shards, group_share)
+    cuts, total, large = splitters(slim, shards, ranges_per_shard, oversample, overfull, group_share)
+    starts, _ = placed(slim, cuts, total, shards, large)
     first = materialize(starts.groupBy("shard").agg(F.min("__row").alias("__first")))
-    out, _ = placed(df, cuts, total, shards, group_share)
+    out, _ = placed(df, cuts, total, shards, large)
     out = out.join(F.broadcast(first), "shard")  # at most one row per shard
     out = out.withColumns({"size": F.col("__size"), "slot": (F.col("__row") - F.col("__first")).cast("long")})
     return out.select(*columns, "size", "shard", "slot")

@@ -1,5 +1,9 @@
+import collections
+import itertools
+import random
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakelayer.llm import sharding
@@ -32,12 +36,58 @@ def test_hot_key_is_split_and_even(spark):
     sums = check(rows, lambda r: len(r["text"]) + 1, 8)
     mean = sum(sums.values()) / 8
     assert len(sums) == 8 and max(sums.values()) < 1.02 * mean and min(sums.values()) > 0.98 * mean
-    cuts, total = sharding.splitters(df.select(F.xxhash64("text").alias("__key"), F.col("doc_id").alias("__id"), sharding.size_of(F.col("text")).alias("__size")), 8, 4, 8, 2.0)
+    cuts, total, large = sharding.splitters(df.select(F.xxhash64("text").alias("__key"), F.col("doc_id").alias("__id"), sharding.size_of(F.col("text")).alias("__size")), 8, 4, 8, 2.0, 0.01)
+    assert len(large) == 1
     key = df.select(F.xxhash64("text").alias("__key"), F.col("doc_id").alias("__id"), sharding.size_of(F.col("text")).alias("__size"))
     filled = key.groupBy(sharding.range_id(cuts).alias("r")).agg(F.sum("__size").alias("n")).collect()
     assert max(r["n"] for r in filled) <= 2 * total / 32 + 20
 
 
+def brute(rows, shards, limit):
+    """id -> (shard, slot), for texts of at most ``limit`` bytes in groups or one text a row."""
+    order = sorted(rows)  # (key, id, size)
+    total, end, at = sum(r[2] for r in order), 0, {}
+    groups = itertools.groupby(order, key=lambda r: r[0])
+    counts = collections.Counter()
+    for _, own in groups:
+        own = list(own)
+        size = sum(r[2] for r in own)
+        whole = size <= limit
+        for key, ident, n in own:
+            middle = end + size / 2 if whole else end + n / 2
+            end += 0 if whole else n
+            shard = min(int(middle * shards / total), shards - 1)
+            at[ident] = (shard, counts[shard])
+            counts[shard] += 1
+        end += size if whole else 0
+    return at
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_groups_stay_whole_and_equal_brute_force(spark, seed):
+    """Groups of equal texts under the limit of 1 % of a shard, and a large one."""
+    rng = random.Random(seed)
+    rows, k = [], 0
+    for g in range(1200):
+        for _ in range(rng.choice([1, 1, 2, 10])):
+            rows.append((k, f"{seed} text {g} " + "x" * (g % 37)))
+            k += 1
+    rows += [(k + j, f"{seed} a large group") for j in range(rng.choice([0, 900]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.xxhash64("text")).repartition(4)
+    got = sharding.shard_records(df, shards=4).collect()
+    keyed = [(r["key"], r["doc_id"], r["size"]) for r in got]
+    total = sum(r[2] for r in keyed)
+    limit = 0.01 * total / 4
+    want = brute(keyed, 4, limit)
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in got} == want
+    sizes, homes = collections.Counter(), collections.defaultdict(set)
+    for r in got:
+        sizes[r["key"]] += r["size"]
+        homes[r["key"]].add(r["shard"])
+    assert all(len(homes[x]) == 1 for x, n in sizes.items() if n <= limit)
+    assert sum(n <= limit for n in sizes.values()) > 800
+
+
 def test_messy(messy, clash, no_docs):
     rows = sharding.shard_records(messy, shards=4).collect()
     check(rows, lambda r: len((r["text"] or "").encode()) + 1, 4)
