@@ -4,7 +4,9 @@ Conversations that share their first turns share the tree nodes of these turns.
 A node is one formatted turn after its ancestors; its tokens are emitted once,
 depth-first, with position ids that go on from its parent and the intervals of
 its ancestors in the tree's sequence: a token attends to these and, causally,
-to its own segment.  A tree is a set of segment rows, never one row or group.
+to its own segment.  A tree is a set of segment rows, never one row or group;
+a conversation is one row (its digests need its whole text), a turn carries its
+own numbers only, so work and memory grow with the number of turns.
 
 Depth-first order comes from sorting: node ids are chained digests, different
 conversations are range-sorted by their arrays of node ids, and what a
@@ -28,6 +30,7 @@ import re
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +41,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 ESCAPES = {"\\": "\\\\", "###": "\\h", "</turn>": "\\e"}
 ROLE_ESCAPES = {**ESCAPES, ":": "\\c", "\n": "\\n"}
 UNESCAPE = {v[1]: k for k, v in ROLE_ESCAPES.items()}
+SPANS = "array<struct<start:bigint,end:bigint>>"
 TURN = re.compile(r"### ([^:]*): (.*?)</turn>\n", re.DOTALL)
 
 
@@ -127,7 +131,36 @@ def merged(intervals: Column) -> Column:
         joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last["start"].alias("start"), x["end"].alias("end"))))
         return F.when((F.size(acc) > 0) & (last["end"] == x["start"]), joined).otherwise(F.concat(acc, F.array(x)))
 
-    return F.aggregate(intervals, F.array().cast("array<struct<start:bigint,end:bigint>>"), add)
+    return F.aggregate(intervals, F.array().cast(SPANS), add)
+
+
+OWN_NODES = "leaf string, tree_id string, depth int, node_id string, parent_id string, n bigint, base bigint, start bigint, position bigint"
+
+
+def own_nodes(batches: Iterator[pd.DataFrame], together: int = 100_000) -> Iterator[pd.DataFrame]:
+    """The nodes of each path from ``shared`` on, with their places; some 100,000
+    nodes, or a path's, at a time."""
+    columns = ("leaf", "tree_id", "depth", "node_id", "parent_id", "n", "base", "start", "position")
+    held, n = [], 0
+
+    def whole() -> pd.DataFrame:
+        return pd.DataFrame({c: np.concatenate([h[k] for h in held]) for k, c in enumerate(columns)})
+
+    for b in batches:
+        for leaf, tree, base, shared, path, sizes in zip(b["leaf"], b["tree_id"], b["base"], b["shared"], b["path"], b["sizes"], strict=True):
+            sizes = np.asarray(sizes, dtype=np.int64)
+            position = np.cumsum(sizes) - sizes
+            ids, own = np.asarray(path, dtype=object), len(sizes) - shared
+            parents = np.concatenate([np.array([None], dtype=object), ids])[shared : len(ids)]
+            same = (np.full(own, x, dtype=object) for x in (leaf, tree))
+            start = base + position[shared:] - sizes[:shared].sum()
+            held.append((*same, np.arange(shared, len(ids), dtype=np.int32), ids[shared:], parents, sizes[shared:], np.full(own, base), start, position[shared:]))
+            n += own
+            if n >= together:
+                yield whole()
+                held, n = [], 0
+    if held:
+        yield whole()
 
 
 def prefix_tree(conversations: DataFrame, tokenizer_path: str | None = TOKENIZER, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -170,26 +203,18 @@ def prefix_tree(conversations: DataFrame, tokenizer_path: str | None = TOKENIZER
     trees = paths.groupBy("tree_id").agg(F.min("at").alias("first"))
     paths = materialize(paths.join(trees, "tree_id").withColumn("base", F.col("at") - F.col("first")).drop("at", "first"))
 
-    # Starts: of a path's own nodes by sums, of shared ones from where they were emitted.
-    placed = paths.select("leaf", "tree_id", "base", "shared", "path", "sizes", F.posexplode("path").alias("depth", "node_id"))
-    ownstart = F.col("base") + total(F.slice("sizes", F.col("shared") + 1, F.greatest(F.col("depth") - F.col("shared"), F.lit(0))))
-    emitted = placed.filter("depth >= shared").select("leaf", "tree_id", "depth", "node_id", F.col("sizes")[F.col("depth")].alias("n"), ownstart.alias("start"), total(F.slice("sizes", F.lit(1), F.col("depth"))).alias("position"))
-    emitted = materialize(emitted)
-    lent = placed.filter("depth < shared").select("leaf", "depth", "node_id").join(emitted.select("node_id", "n", "start"), "node_id")
-    known = lent.select("leaf", "depth", "node_id", "n", "start").unionAll(emitted.select("leaf", "depth", "node_id", "n", "start"))
-    spans = F.sort_array(F.collect_list(F.struct("depth", F.col("start").alias("start"), (F.col("start") + F.col("n")).alias("end"), "node_id")))
-    spans = known.groupBy("leaf").agg(spans.alias("spans"))
-    segments = emitted.join(spans, "leaf")
-    above = F.transform(F.slice("spans", F.lit(1), F.col("depth")), lambda s: F.struct(s["start"], s["end"]))
-    segments = segments.select(
-        "tree_id",
-        "node_id",
-        F.when(F.col("depth") > 0, F.get("spans", F.col("depth") - 1)["node_id"]).alias("parent_id"),
-        "depth",
-        "start",
-        "position",
-        merged(above).alias("ancestors"),
-    )
+    # A path's own nodes follow each other from its base on; the shared ones stand
+    # where they were emitted.  No row of a turn holds more than its own numbers.
+    emitted = materialize(paths.mapInPandas(own_nodes, OWN_NODES))
+    lent = paths.select("leaf", F.posexplode(F.slice("path", F.lit(1), F.col("shared"))).alias("depth", "node_id"))
+    lent = lent.join(emitted.select("node_id", "start", (F.col("start") + F.col("n")).alias("end")), "node_id")
+    spans = F.sort_array(F.collect_list(F.struct("depth", "start", "end")))
+    lead = lent.groupBy("leaf").agg(spans.alias("spans")).select("leaf", merged(F.transform("spans", lambda s: F.struct(s["start"], s["end"]))).alias("lead"))
+    segments = emitted.join(lead, "leaf", "left").withColumn("lead", F.coalesce("lead", F.array().cast(SPANS)))
+    since = F.when(F.col("start") > F.col("base"), F.array(F.struct(F.col("base").alias("start"), F.col("start").alias("end")))).otherwise(F.array().cast(SPANS))
+    last = F.slice("lead", F.greatest(F.size("lead"), F.lit(1)), F.lit(1))  # the only one that may go on
+    above = F.concat(F.slice("lead", F.lit(1), F.greatest(F.size("lead") - 1, F.lit(0))), merged(F.concat(last, since)))
+    segments = segments.select("tree_id", "node_id", "parent_id", "depth", "start", "position", above.alias("ancestors"))
     segments = segments.join(tokens, "node_id")
     ids = F.when(F.col("n_tokens") > 0, F.sequence(F.col("position"), F.col("position") + F.col("n_tokens") - 1))
     segments = segments.withColumn("position_ids", ids.cast("array<int>")).drop("position")

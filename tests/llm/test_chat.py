@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+from pyspark.sql import functions as F
+
 from lakelayer.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string, depth string, n_tokens string"
@@ -69,3 +71,19 @@ def test_tree_is_depth_first_with_ancestors(spark):
 
 def test_empty(spark):
     assert chat.digests(table(spark, [])).count() == 0
+
+
+def test_very_long_conversations(spark):
+    """Work grows with the turns: 50,000 turns in one conversation, and a second one
+    that shares half of them."""
+    rows = [(1, k, "user" if k % 2 else "assistant", f"t{k}") for k in range(50_000)]
+    rows += [(2, k, r, t if k < 25_000 else t + "!") for _, k, r, t in rows[:30_000]]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    segments, members = chat.prefix_tree(df, None)
+    assert segments.count() == 55_000 and members.count() == 80_000
+    last = segments.orderBy(F.desc("depth")).limit(1).collect()[0]
+    assert last["depth"] == 49_999 and sum(a["end"] - a["start"] for a in last["ancestors"]) == last["position_ids"][0]
+    assert all(len(r["ancestors"]) <= 2 for r in segments.select("ancestors").collect())
+    got = {r["conv_id"]: r for r in chat.digests(df, None).collect()}
+    assert {k: r["n_turns"] for k, r in got.items()} == {1: 50_000, 2: 30_000}
+    assert got[1]["loss_sha256"] == hashlib.sha256("".join(t for _, _, r, t in rows[:50_000] if r == "assistant").encode()).hexdigest()
