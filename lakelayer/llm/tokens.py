@@ -175,7 +175,8 @@ class Encoder:
         sizes, begins, first = sizes[place], begins[place], at[:-1]
         sizes[first] = 0  # a first part has no space in front
         ends = np.cumsum(sizes)
-        ids = flat[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes - begins, sizes)]
+        total = int(ends[-1]) if len(ends) else 0  # ids of a batch: 32 bits hold their places
+        ids = flat[np.arange(total, dtype=np.int32) - np.repeat((ends - sizes - begins).astype(np.int32), sizes)]
         apart = np.concatenate([[0], np.cumsum(odd[place])])
         ends = np.concatenate([[0], ends])
         out = []

@@ -2,27 +2,28 @@
 
 An expression is a word, or a word after another.  It is counted once per
 text and class.  Pooled continuation counts (different words in front) give
-the shared backoff of words; a context's backoff weight is shared by the classes,
-taken from its pooled counts, so a pair that neither class has seen is as
-likely as the class's model of its word makes it:
+the shared backoff; each class interpolates its discounted counts with it, a pair
+with the class's own model of its word:
 
     P_y(w)   = (max(n_y(w) - D, 0) + D * kinds_y * P_shared(w)) / N_y
-    P_y(w|u) = (1 - l(u)) * max(n_y(uw) - D, 0) / sum_v max(n_y(uv) - D, 0) + l(u) * P_y(w)
-    l(u)     = D * kinds(u) / N(u)
-
-(the first term goes, and l(u) is 1, where the class has no count over D).  An
-expression whose classes differ no more than chance (a likelihood ratio of
-``LEAST_GAIN`` against the classes' shares) or than ``LEAST_FACTOR`` is left to the
-shared backoff: both classes give it the same probability.  How many texts that
-takes follows from the classes' shares; there is no least number of texts.  A
-text's evidence is the toxic minus the ordinary log-likelihood, divided by its
-number of words.
+    P_y(w|u) = (max(n_y(uw) - D, 0) + D * kinds_y(u) * P_y(w)) / N_y(u)
+
+A pair that isn't told apart counts as its word alone: the contexts' backoff
+weights, which differ with the sizes of the classes' samples, are taken as equal
+(and so P_y(w) where the class has not seen u).  An expression whose classes
+differ no more than chance or than ``LEAST_FACTOR`` is left to the shared backoff:
+both classes give it the same probability.  Chance: the gain in log-likelihood
+of its own class shares over those of all must exceed the logarithm of the
+number of expressions by -log ``CHANCE``.  How many texts that takes follows from
+the shares and the vocabulary; there is no least number of texts.  A text's
+evidence is the toxic minus the ordinary log-likelihood, divided by its number
+of words.
 
 A logistic curve makes it a score.  It is fitted on all labelled texts of the
-sample, each by the model of the half (of its class, by hash) that it isn't in;
-the counts of both halves come from one pass, and the model that scores has
-both.  Two pseudo-texts of evidence +-``PRIOR`` stand for the belief that more
-evidence is more toxic, where labels are too few to show it.
+sample; a text's own count is first taken out of the expressions that it holds,
+as if the model had not seen it.  Two pseudo-texts of evidence +-``PRIOR`` stand
+for the belief that more evidence is more toxic, where labels are too few to
+show it.
 
 The models are fitted on a documented, bounded sample of labelled rows (about
 ``MAX_CHARS`` characters a class, by a hash of the text), which bounds the
@@ -36,6 +37,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +49,7 @@ from lakelayer.llm.common import materialize
 
 MAX_CHARS = 32_000_000
 DISCOUNT = 0.75
-LEAST_GAIN = 8.0  # as far from chance as four standard deviations
+CHANCE = 0.001  # expected number of expressions taken for different by chance
 LEAST_FACTOR = 3.0
 PRIOR = 0.05
 NO_WORD = r"[^\p{L}\p{M}\p{N}]+"  # words are letters, their marks and digits
@@ -64,23 +66,20 @@ def drawn(th: Column, rate: Column) -> Column:
 
 
 def sample_of(learnt: DataFrame, known: DataFrame) -> DataFrame:
-    """(__text, toxic, __half): different labelled texts, about MAX_CHARS characters a
-    class (all where there are fewer), none over a sixteenth of that; the halves
-    of a class lie at both sides of the median hash.  Only hashes and lengths are
-    joined with the labels; of the texts, only those in the sample move."""
+    """(__text, toxic): different labelled texts, about MAX_CHARS characters a class (all
+    where there are fewer), none over a sixteenth of that.  Only hashes and lengths
+    are joined with the labels; of the texts, only those in the sample move."""
     th = F.xxhash64("__text")
     slim = learnt.select("__id", th.alias("__h"), F.length("__text").alias("__n")).join(known, "__id")
     # Copies count once; their labels, should they differ, as toxic.
     slim = slim.groupBy("__h").agg(F.max("toxic").alias("toxic"), F.max("__n").alias("__n"))
-    short = materialize(slim.withColumn("__place", F.xxhash64("__h", F.lit(2)))).filter(F.col("__n") <= MAX_CHARS // 16)
-    totals = short.groupBy("toxic").agg(F.sum(F.col("__n") + 64).alias("n"), F.percentile_approx("__place", 0.5).alias("m")).collect()  # two rows
-    rate, middle, most = F.lit(0.0), F.lit(0).cast("long"), 0.0
+    short = materialize(slim).filter(F.col("__n") <= MAX_CHARS // 16)
+    totals = short.groupBy("toxic").agg(F.sum(F.col("__n") + 64).alias("n")).collect()  # two rows
+    rate, most = F.lit(0.0), 0.0
     for r in totals:
         part = min(1.0, MAX_CHARS / r["n"])
-        own = F.col("toxic") == r["toxic"]
-        rate, middle, most = F.when(own, part).otherwise(rate), F.when(own, r["m"]).otherwise(middle), max(most, part)
-    half = (F.col("__place") > middle).cast("int").alias("__half")
-    picked = short.filter(drawn(F.col("__h"), rate)).select("__h", "toxic", half)
+        rate, most = F.when(F.col("toxic") == r["toxic"], part).otherwise(rate), max(most, part)
+    picked = short.filter(drawn(F.col("__h"), rate)).select("__h", "toxic")
     texts = learnt.select("__text", th.alias("__h")).filter(drawn(F.col("__h"), F.lit(most)))
     texts = texts.groupBy("__h").agg(F.any_value("__text").alias("__text"))  # copies meet on the map side
     return texts.join(picked, "__h").drop("__h")
@@ -91,69 +90,87 @@ def over(n: Column) -> Column:
     return F.greatest(n - DISCOUNT, F.lit(0.0))
 
 
-def differs(n0: Column, n1: Column, t0: Column, t1: Column) -> Column:
-    """Whether the classes of an expression differ by more than chance: the gain in
-    log-likelihood of its own shares over those of all expressions."""
+def gain(n0: Column, n1: Column, t0: Column, t1: Column) -> Column:
+    """Log-likelihood of an expression's own class shares over those of all expressions."""
     n, t = n0 + n1, t0 + t1
 
     def part(k: Column, all_: Column) -> Column:
         return F.when(k > 0, k * F.log(k * t / (n * all_))).otherwise(0.0)
 
-    return part(n0, t0) + part(n1, t1) >= LEAST_GAIN
+    return part(n0, t0) + part(n1, t1)
 
 
 def counts(sample: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Texts of each class and half (n<class><half>) that hold a word (w) or a pair
-    (u, w; u is empty at the start), in one pass."""
+    """Texts of each class (n0, n1) that hold a word (w) or a pair (u, w; u is empty at
+    the start), in one pass."""
     w = F.array_remove(F.split(spaced(F.col("__text")), " "), "")
-    rows = sample.select("toxic", "__half", w.alias("w")).filter(F.size("w") > 0)
+    rows = sample.select("toxic", w.alias("w")).filter(F.size("w") > 0)
     # As strings: distinct structs would be compared pair by pair.
     pair = F.transform("w", lambda x, i: F.concat(F.when(i > 0, F.get("w", i - 1)).otherwise(""), F.lit(" "), x))
-    pairs = rows.select("toxic", "__half", F.explode(F.array_distinct(pair)).alias("p"))
-    pairs = pairs.select("toxic", "__half", F.substring_index("p", " ", 1).alias("u"), F.substring_index("p", " ", -1).alias("w"))
-    each = [F.sum(((F.col("toxic") == y) & (F.col("__half") == h)).cast("long")).alias(f"n{y}{h}") for y in (0, 1) for h in (0, 1)]
-    single = rows.select("toxic", "__half", F.explode(F.array_distinct("w")).alias("w")).groupBy("w").agg(*each)
+    pairs = rows.select("toxic", F.explode(F.array_distinct(pair)).alias("p"))
+    pairs = pairs.select("toxic", F.substring_index("p", " ", 1).alias("u"), F.substring_index("p", " ", -1).alias("w"))
+    each = [F.sum((F.col("toxic") == y).cast("long")).alias(f"n{y}") for y in (0, 1)]
+    single = rows.select("toxic", F.explode(F.array_distinct("w")).alias("w")).groupBy("w").agg(*each)
     return materialize(single), materialize(pairs.groupBy("u", "w").agg(*each))
 
 
-def expressions(single: DataFrame, pairs: DataFrame, halves: tuple[int, ...] = (0, 1)) -> tuple[dict, dict]:
-    """Log ratio per word, and per (word in front, word), where it isn't left to
-    the shared backoff, from the counts of the given halves."""
-    own = [sum(F.col(f"n{y}{h}") for h in halves).alias(f"n{y}") for y in (0, 1)]
-    single = single.select("w", *own).filter("n0 + n1 > 0")
-    pairs = pairs.select("u", "w", *own).filter("n0 + n1 > 0")
+#: What is taken out of the counts of (ordinary, toxic) texts: nothing, an ordinary
+#: text, a toxic one.
+WITHOUT = ((0, 0), (1, 0), (0, 1))
+
+
+def expressions(single: DataFrame, pairs: DataFrame) -> tuple[dict, dict]:
+    """Log ratios per word, and per (word in front, word), where it isn't left to the
+    shared backoff: of all texts, without an ordinary text that holds it, and
+    without a toxic one (0 where it is then left to the backoff)."""
     single = single.join(pairs.groupBy("w").agg(F.count("*").alias("__cont")), "w")
     kinds = [F.count(F.when(F.col(f"n{y}") > 0, 1)).alias(f"k{y}") for y in (0, 1)]
     sums = [F.sum(f"n{y}").alias(f"t{y}") for y in (0, 1)]
-    whole = single.agg(F.sum("__cont").alias("c"), *kinds, *sums).first()
+    whole = single.agg(F.sum("__cont").alias("c"), F.count("*").alias("m"), *kinds, *sums).first()
     if not whole["c"] or not whole["t0"] or not whole["t1"]:
         return {}, {}
-    shared = F.col("__cont") / float(whole["c"])
-    single = single.withColumns({f"p{y}": (over(F.col(f"n{y}")) + DISCOUNT * whole[f"k{y}"] * shared) / float(whole[f"t{y}"]) for y in (0, 1)})
-    ratio = F.log(F.col("p1") / F.col("p0")).alias("r")
-    apart = F.abs(F.log(F.col("p1") / F.col("p0"))) >= float(np.log(LEAST_FACTOR))
-    words = single.filter(differs(F.col("n0"), F.col("n1"), F.lit(whole["t0"]), F.lit(whole["t1"])) & apart).select("w", ratio)
-    some = [F.sum(over(F.col(f"n{y}"))).alias(f"s{y}") for y in (0, 1)]
-    contexts = pairs.groupBy("u").agg(F.count("*").alias("k"), *sums, *some)
-    pairs = pairs.join(contexts, "u").filter(differs(F.col("n0"), F.col("n1"), F.col("t0"), F.col("t1")))
-    pairs = pairs.join(single.select("w", F.col("p0").alias("q0"), F.col("p1").alias("q1")), "w")
-    weight = DISCOUNT * F.col("k") / (F.col("t0") + F.col("t1"))
-    for y in (0, 1):
-        seen = (1 - weight) * over(F.col(f"n{y}")) / F.col(f"s{y}") + weight * F.col(f"q{y}")
-        pairs = pairs.withColumn(f"p{y}", F.when(F.col(f"s{y}") > 0, seen).otherwise(F.col(f"q{y}")))
-    pairs = pairs.filter(apart).select("u", "w", ratio)
+
+    # The pooled continuation counts add up to the number of different pairs.
+    least_word, least_pair = (math.log(m / CHANCE) for m in (whole["m"], whole["c"]))
+
+    def ratio(p0: Column, p1: Column, far: Column) -> Column:
+        r = F.log(p1 / p0)
+        return F.when(far & (F.abs(r) >= float(np.log(LEAST_FACTOR))), r).otherwise(0.0)
+
+    shared, by_word = F.col("__cont") / float(whole["c"]), {}
+    for v, out in enumerate(WITHOUT):
+        n = [F.greatest(F.col(f"n{y}") - out[y], F.lit(0)) for y in (0, 1)]
+        by_word |= {f"q{y}{v}": (over(n[y]) + DISCOUNT * whole[f"k{y}"] * shared) / float(whole[f"t{y}"]) for y in (0, 1)}
+        by_word[f"far{v}"] = gain(n[0], n[1], F.lit(whole["t0"]), F.lit(whole["t1"])) >= least_word
+    single = single.withColumns(by_word)
+    words = single.select("w", *[ratio(F.col(f"q0{v}"), F.col(f"q1{v}"), F.col(f"far{v}")).alias(f"r{v}") for v in range(3)]).filter("r0 <> 0")
+
+    contexts = pairs.groupBy("u").agg(*kinds, *sums)
+    pairs = pairs.join(contexts, "u").filter(gain(F.col("n0"), F.col("n1"), F.col("t0"), F.col("t1")) >= least_pair)
+    pairs = pairs.join(single.select("w", *[c for c in by_word if c[0] == "q"]), "w")
+    by_pair = []
+    for v, out in enumerate(WITHOUT):
+        n = [F.greatest(F.col(f"n{y}") - out[y], F.lit(0)) for y in (0, 1)]
+        p = []
+        for y in (0, 1):
+            t, shorter = F.col(f"t{y}") - out[y], F.col(f"q{y}{v}")
+            p.append(F.when(t > 0, (over(n[y]) + DISCOUNT * F.col(f"k{y}") * shorter) / t).otherwise(shorter))
+        by_pair.append(ratio(*p, gain(*n, *[F.col(f"t{y}") - out[y] for y in (0, 1)]) >= least_pair).alias(f"r{v}"))
+    pairs = pairs.select("u", "w", *by_pair).filter("r0 <> 0")
     # Expressions of the bounded sample, each in several of its texts.
-    return {r["w"]: r["r"] for r in words.collect()}, {(r["u"], r["w"]): r["r"] for r in pairs.collect()}
+    return {r["w"]: (r["r0"], r["r1"], r["r2"]) for r in words.collect()}, {(r["u"], r["w"]): (r["r0"], r["r1"], r["r2"]) for r in pairs.collect()}
+
+
+NOTHING = (0.0, 0.0, 0.0)
 
 
-def evidence(text: str, words: dict, pairs: dict) -> float:
+def evidence(text: str, words: dict, pairs: dict, without: int = 0) -> float:
     """Mean log ratio per word of a spaced text; a pair's where it has one, else the
-    word's."""
+    word's.  ``without``: a place in WITHOUT."""
     own = text.split()
     total, before = 0.0, ""
     for w in own:
-        r = pairs.get((before, w))
-        total += words.get(w, 0.0) if r is None else r
+        total += pairs.get((before, w), NOTHING)[without] or words.get(w, NOTHING)[without]
         before = w
     return total / max(len(own), 1)
 
@@ -173,14 +190,15 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return float(w[0] / scale), float(w[1])
 
 
-def scorer(spark, models: list):
-    """Pandas UDF: the evidence of a spaced text by the model of a number."""
-    shared = spark.sparkContext.broadcast(models)
+def scorer(spark, model):
+    """Pandas UDF: the evidence of a spaced text, with a place in WITHOUT."""
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, which in batches:
-            yield pd.Series([evidence(t, *shared.value[m]) for t, m in zip(texts, which, strict=True)], dtype=float)
+        words, pairs = shared.value
+        for texts, without in batches:
+            yield pd.Series([evidence(t, words, pairs, v) for t, v in zip(texts, without, strict=True)], dtype=float)
 
     return run
 
@@ -190,13 +208,11 @@ def fit(learnt: DataFrame, known: DataFrame):
     labels (__id, toxic)."""
     spark = learnt.sparkSession
     sample = materialize(sample_of(learnt, known).repartition(2 * spark.sparkContext.defaultParallelism))
-    single, pairs = counts(sample)
-    other = [expressions(single, pairs, (1,)), expressions(single, pairs, (0,))]  # by the half of the text
-    crossed = sample.select("toxic", scorer(spark, other)(spaced(F.col("__text")), F.col("__half")).alias("__d"))
-    seen = crossed.groupBy("toxic", F.round("__d", 6).alias("__d")).agg(F.count("*").alias("n")).toPandas()  # of the bounded sample
+    model = expressions(*counts(sample))
+    unseen = sample.select("toxic", scorer(spark, model)(spaced(F.col("__text")), F.col("toxic") + 1).alias("__d"))
+    seen = unseen.groupBy("toxic", F.round("__d", 6).alias("__d")).agg(F.count("*").alias("n")).toPandas()  # of the bounded sample
     seen = seen.sort_values(["__d", "toxic"])  # sums in one order, so reruns agree
     n, toxic = float(seen["n"].sum()), float((seen["n"] * seen["toxic"]).sum())
-    model = expressions(single, pairs)
     if not 0 < toxic < n:
         share = toxic / n if n else 0.0
         return model, (0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
@@ -211,7 +227,7 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text",
     known = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(ident).alias("__id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
     learnt = docs.filter(learn).select(F.col(ident).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     model, (slope, intercept) = fit(learnt, known)
-    df = docs.withColumn("__d", scorer(docs.sparkSession, [model])(spaced(F.coalesce(F.col(text), F.lit(""))), F.lit(0)))
+    df = docs.withColumn("__d", scorer(docs.sparkSession, model)(spaced(F.coalesce(F.col(text), F.lit(""))), F.lit(0)))
     value = 1 / (1 + F.exp(-(F.col("__d") * slope + intercept)))
     return df.withColumn("score", value).withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("__d")
 

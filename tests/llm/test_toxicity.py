@@ -40,14 +40,13 @@ def test_held_out_labels_are_not_read(spark):
 
 
 def model_of(spark, rows):
-    """The model of (text, toxic) rows, all in one half."""
-    sample = spark.createDataFrame([(t, y, 0) for t, y in rows], "__text string, toxic int, __half int")
-    return toxicity.expressions(*toxicity.counts(sample))
+    """The model of (text, toxic) rows."""
+    return toxicity.expressions(*toxicity.counts(spark.createDataFrame(rows, "__text string, toxic int")))
 
 
 def test_rare_expressions_weigh_nothing(spark):
     words, pairs = model_of(spark, [(f"common words here {'once' + str(i)} {'bad' if i % 2 else 'fine'}", i % 2) for i in range(200)])
-    assert words["bad"] > 1 and words["fine"] < -1
+    assert min(words["bad"]) > 1 and max(words["fine"]) < -1
     assert "common" not in words and not any(w.startswith("once") for w in words)
     assert all("bad" in p or "fine" in p for p in pairs)
 
@@ -69,19 +68,15 @@ def brute(rows):
     def gain(c, t):
         return sum(c[y] * math.log(c[y] * sum(t) / (sum(c) * t[y])) for y in (0, 1) if c[y])
 
-    p = {w: [(max(c[y] - d, 0) + d * k[y] * cont[w] / sum(cont.values())) / t[y] for y in (0, 1)] for w, c in n.items()}
-    words = {w: math.log(p[w][1] / p[w][0]) for w, c in n.items() if gain(c, t) >= toxicity.LEAST_GAIN}
+    p = {w: [(max(c[y] - d, 0) + d * k[y] * cont[w] / len(nn)) / t[y] for y in (0, 1)] for w, c in n.items()}
+    words = {w: math.log(p[w][1] / p[w][0]) for w, c in n.items() if gain(c, t) >= math.log(len(n) / toxicity.CHANCE)}
     pairs = {}
     for (u, w), c in nn.items():
         own = [v for (x, _), v in nn.items() if x == u]
         tu = [sum(v[y] for v in own) for y in (0, 1)]
-        if gain(c, tu) < toxicity.LEAST_GAIN:
-            continue
-        weight, q = d * len(own) / sum(tu), []
-        for y in (0, 1):
-            s = sum(max(v[y] - d, 0) for v in own)
-            q.append((1 - weight) * max(c[y] - d, 0) / s + weight * p[w][y] if s else p[w][y])
-        pairs[u, w] = math.log(q[1] / q[0])
+        if gain(c, tu) >= math.log(len(nn) / toxicity.CHANCE):
+            q = [(max(c[y] - d, 0) + d * sum(v[y] > 0 for v in own) * p[w][y]) / tu[y] if tu[y] else p[w][y] for y in (0, 1)]
+            pairs[u, w] = math.log(q[1] / q[0])
     least = math.log(toxicity.LEAST_FACTOR)
     return {w: r for w, r in words.items() if abs(r) >= least}, {x: r for x, r in pairs.items() if abs(r) >= least}
 
@@ -90,7 +85,7 @@ def test_model_equals_its_formulas(spark):
     rng = random.Random(6)
     words = [f"w{k}" for k in range(25)]
     rows = []
-    for i in range(240):
+    for i in range(480):
         y = int(i % 4 == 0)
         w = [rng.choice(words[:20] if y else words[3:]) for _ in range(rng.randint(0, 14))]
         rows.append((" ".join(w + (["w3", "w4"] if y and rng.random() < 0.6 else ["w4", "w3"])), y))
@@ -98,7 +93,13 @@ def test_model_equals_its_formulas(spark):
     assert len(got[0]) > 3 and got[1]
     for a, b in zip(got, want):
         assert a.keys() == b.keys()
-        assert all(abs(a[x] - b[x]) < 1e-9 for x in a)
+        assert all(abs(a[x][0] - b[x]) < 1e-9 for x in a)
+    # Without one text that holds a word, only its own count changes.
+    for y in (0, 1):
+        for w, r in got[0].items():
+            less = next(i for i, (t, c) in enumerate(rows) if c == y and w in t.split()) if any(c == y and w in t.split() for t, c in rows) else None
+            if less is not None and r[1 + y]:
+                assert abs(r[1 + y] - r[0]) < 0.5 and (r[1 + y] > r[0] if y == 0 else r[1 + y] < r[0])
 
 
 @pytest.mark.parametrize("seed", range(11))
@@ -129,7 +130,7 @@ def test_words_with_marks(spark):
     rows = [(f"plain words {marked[i % 5] if i % 2 else 'fine'} here", i % 2) for i in range(400)]
     model = model_of(spark, rows)
     asked = spark.createDataFrame([(w.upper(),) for w in marked], "text string")
-    found = asked.select(toxicity.scorer(spark, [model])(toxicity.spaced(F.col("text")), F.lit(0)).alias("d")).collect()
+    found = asked.select(toxicity.scorer(spark, model)(toxicity.spaced(F.col("text")), F.lit(0)).alias("d")).collect()
     assert all(r["d"] > 1 for r in found)
 
 
