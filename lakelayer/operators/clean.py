@@ -110,7 +110,8 @@ def keep_first(
         packed = df.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.struct(*ordkey)).alias("_kf"))
         return packed.select("_kf.*")
     spec = [F.col(c).asc_nulls_first() if a else F.col(c).desc_nulls_last() for c, a in order]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salt)))
+    # The source partition spreads copies of one row, too.
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*cols, F.spark_partition_id()), F.lit(salt)))
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*spec)
     stage1 = salted.withColumn("_rn", F.row_number().over(w1)).filter("_rn = 1").drop("_rn", "_salt")
     w2 = Window.partitionBy(*keys).orderBy(*spec)

@@ -216,6 +216,7 @@ def parse_statements(rows: DataFrame, year: int, q: int, published: str, order:
 
 
 # ---------------------------------------------------------------- M5
+# Captions left out of the investment sheet.
 CAPEX_EXCLUDE = ["%Inversiones dentro balance%", "%Negocios que no consolidan%"]
 
 
@@ -479,7 +480,13 @@ def parse_debt(rows: DataFrame, kind: str, mes: str | None, ano: str | None, yea
 
 
 # ---------------------------------------------------------------- M10
-LEGACY_FOOTNOTES = DEBT_FOOTNOTES[:4]
+# Footnote captions removed from the legacy loan sheet.
+LEGACY_FOOTNOTES = [
+    "(1) Bonos emitidos en PEN y se hizo un SWAP a USD con el Banco BBVA.",
+    "(2) Bonos emitidos en USD y se hizo un SWAP a UF.",
+    "(3) Opcion Call",
+    "Bonos Verdes",
+]
 
 
 def legacy_name(name: str) -> str:

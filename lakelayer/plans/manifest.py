@@ -3,8 +3,8 @@
 The folder listing is ``pages``: the host is the folder, the URL without
 query / fragment / trailing slash is the path, and each page's report file
 carries a period tag derived from its id (quarter ``id % 4 + 1``, year
-``2020 + id % 5``).  The manifest names the folders (https hosts) with the
-page language as sheet.
+``2020 + id % 5``).  The manifest names the folders with the page language as
+sheet.
 """
 
 from __future__ import annotations
@@ -33,8 +33,7 @@ def listing(t: Tables):
 
 def manifest(t: Tables):
     """C11: manifest (folder, sheet) joined to the listing on the folder."""
-    p = t.pages.filter(F.col("url").startswith("https://"))
-    return p.select(
+    return t.pages.select(
         F.regexp_extract("url", "^https?://([^/]+)", 1).alias("folder"),
         F.upper(F.regexp_extract("url", "^https?://[^/]+/([a-z]+)/", 1)).alias("sheet"),
     ).distinct()
@@ -52,7 +51,7 @@ f AS (SELECT *, string_split(regexp_replace(path, '/$', ''), '/')[-1] AS file FR
     f"""
 WITH {LISTING_SQL.strip()},
 m AS (SELECT DISTINCT regexp_extract(url, '^https?://([^/]+)', 1) AS folder,
-             upper(regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1)) AS sheet FROM pages WHERE url LIKE 'https://%'),
+             upper(regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1)) AS sheet FROM pages),
 c AS (SELECT f.folder, m.sheet, f.path, f.file FROM f JOIN m ON f.folder = m.folder),
 n AS (SELECT folder FROM c GROUP BY folder HAVING count(file) = 1),
 u AS (SELECT * FROM c WHERE folder IN (SELECT folder FROM n)
