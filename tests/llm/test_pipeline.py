@@ -1,6 +1,6 @@
 import corpus_pipeline
 from lakelayer.llm import decontaminate, mixing, simhash, toxicity
-from lakelayer.llm.common import read
+from lakelayer.llm.common import TABLES, drop_tables, read
 
 
 def test_stages_keep_what_they_should(spark, sf):
@@ -33,3 +33,13 @@ def test_empty_and_messy(spark, sf, messy, no_docs):
             if name != "sharding":
                 assert docs.columns == messy.columns
         docs.count()
+
+
+def test_run_removes_what_it_no_longer_reads(spark, sf):
+    since = len(TABLES)
+    out = corpus_pipeline.run(spark, sf)
+    rows = out.count()
+    left = TABLES[since:]  # the last stage's input and its own tables
+    assert rows > 0 and 0 < len(left) <= 8
+    drop_tables(spark, since)
+    assert len(TABLES) == since
