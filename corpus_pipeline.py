@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakelayer.llm import decontaminate, mixing, sharding, simhash, toxicity
-from lakelayer.llm.common import materialize, read
+from lakelayer.llm.common import TABLES, drop_tables, materialize, read
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +51,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage returns is written to the shared
-    folder and read again by the next one."""
-    docs = read(spark, sf_dir, "documents")
+    folder and read again by the next one.  Once it is written, the stage's input
+    and the tables that the stage has written for itself go."""
+    docs, since = read(spark, sf_dir, "documents"), len(TABLES)
     for k, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES):
             docs = materialize(docs)
+            drop_tables(spark, since, keep=TABLES[-1:])
     return docs
