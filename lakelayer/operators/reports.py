@@ -76,11 +76,9 @@ def slice_period(cells: DataFrame, anchors: DataFrame, header: Column, desc_offs
     )
     a = anchors.join(hdr, SHEET)
     below = cells.join(a, SHEET).filter(F.col("row") > F.col("anchor_row"))
-    desc = below.filter(F.col("col") == F.col("anchor_col") + desc_offset).select(
-        *SHEET, "row", F.col("value").alias("description")
-    )
-    val = below.filter(F.col("col") == F.col("value_col")).select(*SHEET, "row", F.col("value").alias("value"))
-    return desc.join(val, [*SHEET, "row"], "left")
+    is_desc, is_value = F.col("col") == F.col("anchor_col") + desc_offset, F.col("col") == F.col("value_col")
+    both = [F.max(F.when(c, F.col("value"))).alias(n) for c, n in ((is_desc, "description"), (is_value, "value"))]
+    return below.filter(is_desc | is_value).groupBy(*SHEET, "row").agg(*both).filter("description IS NOT NULL")
 
 
 def promote_header(cells: DataFrame, header_row: int) -> DataFrame:
