@@ -1,9 +1,12 @@
 """Quality rules with adaptive thresholds.
 
-Per (language, source) a KLL quantile sketch of each measure is aggregated
-with map-side partial sketches; the sketches of a language are merged from
-those of its groups and serve groups too small for thresholds of their own.
-A document's measures are joined with the thresholds of its group; it is
+Every text is measured once and the measures are written without it.  Per
+(language, source) a quantile sketch of each measure is aggregated: counts per
+logarithmic bucket, whose quantiles lie within ``ACCURACY`` of the value, depend
+on the values alone, and merge by adding counts.  The sketches of a language
+are merged from those of its groups and serve groups too small for thresholds
+of their own.  A document's measures are joined with the thresholds of its
+group; it is
 rejected above the upper fence ``q3 + reach * max(q3 - q1, floor)``, and, where
 low values are bad too, below the lower fence, which is as many times below q1
 as ``q3 + reach * max(q3 - q1, low floor)`` is above q3.
@@ -15,6 +18,7 @@ one; an empty table gives an empty result.  Built-in functions only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +32,9 @@ SYMBOLS = "#*$%&|<>"
 FENCES = {"word_length": 0.5, "symbol_share": 0.02, "dup_line_share": 0.08, "repeat_share": 0.03}
 #: Measure of which low values are bad too -> least spread of its lower fence.
 LOW_FENCES = {"word_length": 1.0}
+ACCURACY = 0.005  # of a sketch's quantiles, as a share of the value
+GROWTH = (1 + ACCURACY) / (1 - ACCURACY)
+ZERO = -(1 << 30)  # the bucket of 0
 POSITION_BITS = 28  # a text has fewer than 2 ** 28 words: a string holds 2 ** 31 bytes at most
 
 
@@ -108,28 +115,52 @@ def measures(least: Mapping[str, float]) -> dict[str, Column]:
     return {m: shares[m] for m in least}
 
 
-def thresholds(df: DataFrame, lang: str, source: str, fences: Mapping[str, float], low_fences: Mapping[str, float], reach: float, least_rows: int, k: int) -> DataFrame:
+def bucket(value: Column) -> Column:
+    """The sketch's bucket of a value of 0 or more: i where g^(i-1) < value <= g^i."""
+    return F.when(value > 0, F.ceil(F.log(value) / math.log(GROWTH)).cast("int")).otherwise(ZERO)
+
+
+def bucket_value(i: Column) -> Column:
+    """The value that stands for a bucket, within ACCURACY of all that it holds."""
+    return F.when(i == ZERO, 0.0).otherwise(2.0 * F.pow(F.lit(GROWTH), i) / (GROWTH + 1.0))
+
+
+def quantile(sketch: Column, n: Column, p: float) -> Column:
+    """The value at a share of a sketch, an array of (bucket, n) in the order of buckets."""
+    rank = F.greatest(F.ceil(n * p), F.lit(1))
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("int").alias("at"))
+
+    def step(a: Column, x: Column) -> Column:
+        below = a["n"] + x["n"]
+        return F.struct(below.alias("n"), F.when(a["at"].isNull() & (below >= rank), x["bucket"]).otherwise(a["at"]).alias("at"))
+
+    return bucket_value(F.aggregate(sketch, start, step)["at"])
+
+
+def thresholds(df: DataFrame, fences: Mapping[str, float], low_fences: Mapping[str, float], reach: float, least_rows: int) -> DataFrame:
     """__lang, __source, a fence per measure and its lower fence, if any, from
     sketches of all rows."""
-    sketch = {m: F.kll_sketch_agg_double(F.col(f"__{m}"), F.lit(k)).alias(m) for m in fences}
-    groups = materialize(df.filter("n_words > 0").groupBy("__lang", "__source").agg(F.count("*").alias("__n"), *sketch.values()))
-    whole = groups.groupBy("__lang").agg(*[F.kll_merge_agg_double(F.col(m), F.lit(k)).alias(f"__all_{m}") for m in fences])
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(f"__{m}").alias("v")) for m in fences])).alias("x")
+    rows = df.filter("n_words > 0").select("__lang", "__source", each).select("__lang", "__source", "x.m", bucket(F.col("x.v")).alias("bucket"))
+    counts = materialize(rows.groupBy("__lang", "__source", "m", "bucket").agg(F.count("*").alias("n")))
+    merged = counts.groupBy("__lang", "m", "bucket").agg(F.sum("n").alias("n"))
 
-    def quartiles(m: str) -> tuple[Column, Column]:
-        own = F.when(F.col("__n") >= least_rows, F.col(m)).otherwise(F.col(f"__all_{m}"))
-        return F.kll_sketch_get_quantile_double(own, F.lit(0.25)), F.kll_sketch_get_quantile_double(own, F.lit(0.75))
+    def quartiles(sketches: DataFrame, *keys: str) -> DataFrame:
+        ordered = F.sort_array(F.collect_list(F.struct("bucket", "n")))  # as many as buckets
+        whole = sketches.groupBy(*keys, "m").agg(F.sum("n").alias("n"), ordered.alias("s"))
+        return whole.select(*keys, "m", "n", *[quantile(F.col("s"), F.col("n"), p).alias(q) for q, p in (("q1", 0.25), ("q3", 0.75))])
 
-    def above(m: str, floor: float) -> Column:
-        q1, q3 = quartiles(m)
-        return q3 + reach * F.greatest(q3 - q1, F.lit(floor))
+    own, whole = quartiles(counts, "__lang", "__source"), quartiles(merged, "__lang")
+    both = own.join(whole.select("__lang", "m", F.col("q1").alias("all1"), F.col("q3").alias("all3")), ["__lang", "m"])
+    few = F.col("n") < least_rows
+    both = both.withColumns({"q1": F.when(few, F.col("all1")).otherwise(F.col("q1")), "q3": F.when(few, F.col("all3")).otherwise(F.col("q3"))})
 
-    def below(m: str, floor: float) -> Column:
-        q1, q3 = quartiles(m)
-        return q1 * q3 / above(m, floor)
+    def above(floor: float) -> Column:
+        return F.col("q3") + reach * F.greatest(F.col("q3") - F.col("q1"), F.lit(floor))
 
-    high = [above(m, f).alias(f"__fence_{m}") for m, f in fences.items()]
-    low = [below(m, f).alias(f"__fence_low_{m}") for m, f in low_fences.items()]
-    return groups.join(whole, "__lang").select("__lang", "__source", *high, *low)
+    high = [F.max(F.when(F.col("m") == m, above(f))).alias(f"__fence_{m}") for m, f in fences.items()]
+    low = [F.max(F.when(F.col("m") == m, F.col("q1") * F.col("q3") / above(f))).alias(f"__fence_low_{m}") for m, f in low_fences.items()]
+    return both.groupBy("__lang", "__source").agg(*high, *low)
 
 
 def judge(
@@ -142,10 +173,11 @@ def judge(
     least_rows: int = 30,
     least_words: int = 10,
     repeat_percent: int = 20,
-    k: int = 1024,
     low_fences: Mapping[str, float] = LOW_FENCES,
+    with_text: bool = True,
 ) -> DataFrame:
-    """``docs`` plus the counts, base_failed, kept, a fence_<measure> each and a
+    """``docs`` (without the text column unless ``with_text``, which is then written
+    along) plus the counts, base_failed, kept, a fence_<measure> each and a
     fence_low_<measure> where low values are bad.  Columns of these names in
     ``docs`` are replaced."""
     low_fences = {m: f for m, f in low_fences.items() if m in fences}
@@ -153,7 +185,8 @@ def judge(
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *bounds]
     df = word_measures(docs.drop(*own), text)
     df = df.withColumns({"__lang": key(F.col(lang)), "__source": key(F.col(source)), **{f"__{m}": c for m, c in measures(fences).items()}})
-    fenced = thresholds(df, lang, source, fences, low_fences, reach, least_rows, k)
+    df = materialize(df if with_text else df.drop(text))
+    fenced = thresholds(df, fences, low_fences, reach, least_rows)
     df = df.join(fenced, ["__lang", "__source"], "left")
     base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     within = F.lit(True)

@@ -32,8 +32,8 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
-    return docs.drop("text", "lang", "source", *[c for c in docs.columns if c.startswith("fence_")])
+    docs = quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), with_text=False)
+    return docs.drop("lang", "source", *[c for c in docs.columns if c.startswith("fence_")])
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import collections
+import math
 import random
 import re
 
@@ -78,6 +79,40 @@ def test_each_measure_rejects_below_the_base_cut(spark):
     assert {r["doc_id"] for r in got if not r["kept"]} == set(planted)
 
 
+def test_sketch_quantiles_are_near_and_equal_on_every_run(spark):
+    """Fences from exact quartiles differ by the sketch's accuracy only, and ``kept``
+    only within it; another partitioning gives the same fences."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(3000):
+        lang, source = rng.choice(["en", "de"]), rng.choice(["a", "b", None])
+        w = ["x" * max(1, int(rng.lognormvariate(1.5, 0.7))) + rng.choice(["", "", "", "#", "*|"]) for _ in range(rng.randint(11, 60))]
+        rows.append((k, " ".join(w), lang, source))
+    rows += [(9000 + k, "few words of a small group that has no thresholds of its own", "en", "small") for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    a, b = ({r["doc_id"]: r.asDict() for r in quality.judge(df.repartition(n)).collect()} for n in (3, 7))
+    assert a == b
+    groups = collections.defaultdict(list)
+    for r in a.values():
+        groups[r["lang"], r["source"]].append((r["word_chars"] / r["n_words"], r["n_symbols"] / r["n_words"]))
+    near = 0
+    for r in a.values():
+        own = groups[r["lang"], r["source"]]
+        if len(own) < 30:
+            own = [v for (lang, _), g in groups.items() if lang == r["lang"] for v in g]
+        held = True
+        for m, (name, floor) in enumerate((("word_length", 0.5), ("symbol_share", 0.02))):
+            v = sorted(x[m] for x in own)
+            q1, q3 = (v[max(0, math.ceil(len(v) * p) - 1)] for p in (0.25, 0.75))
+            fence = q3 + 6 * max(q3 - q1, floor)
+            assert abs(r[f"fence_{name}"] - fence) <= 14 * 0.0051 * q3 + 1e-9
+            mine = (r["word_chars"], r["n_symbols"])[m] / r["n_words"]
+            near += abs(mine - fence) <= 14 * 0.0051 * q3
+            held = held and mine <= r[f"fence_{name}"]
+        assert not (r["kept"] and not held)
+    assert near < 300
+
+
 def test_messy(messy, clash, no_docs):
     for r in quality.judge(messy).collect():
         assert tuple(r[c] for c in COLUMNS) == brute(r["text"])
