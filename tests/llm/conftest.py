@@ -46,3 +46,12 @@ def clash(messy):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture
+def few_partitions(spark):
+    """Two partitions per shuffle: small tables spend their time on tasks."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -64,7 +64,7 @@ def brute(rows, shards, limit):
 
 
 @pytest.mark.parametrize("seed", range(6))
-def test_groups_stay_whole_and_equal_brute_force(spark, seed):
+def test_groups_stay_whole_and_equal_brute_force(spark, few_partitions, seed):
     """Groups of equal texts under the limit of 1 % of a shard, and a large one."""
     rng = random.Random(seed)
     rows, k = [], 0

@@ -103,7 +103,7 @@ def test_model_equals_its_formulas(spark):
 
 
 @pytest.mark.parametrize("seed", range(11))
-def test_few_toxic_labels(spark, seed):
+def test_few_toxic_labels(spark, few_partitions, seed):
     """Six toxic rows of 600, held-out ones among them, hold one word three times."""
     rng = random.Random(seed)
     plain = [a + b for a in "ba ce di fo gu".split() for b in "la me ni po ru ta ve".split()]
