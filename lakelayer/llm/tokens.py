@@ -93,6 +93,7 @@ class Encoder:
             self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
             self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
             self.words = Words()  # words with a space in front
+            self.heads: dict[str, bytes] = {}  # first words, without a space
             self.pieces: dict[str, bytes] = {}  # a piece as the pre-tokenizer maps it
             self.plain = self.tokenizer.normalizer is None
             self.marks = {m: self.direct(m) for m in ",.;:!?"}
@@ -105,6 +106,15 @@ class Encoder:
     def direct(self, text: str) -> bytes:
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if text else b""
 
+    def head(self, word: str) -> bytes:
+        """The ids of a text's first word."""
+        ids = self.heads.get(word)
+        if ids is None:
+            if len(self.heads) >= MEMO // 16:
+                self.heads.clear()
+            ids = self.heads[word] = self.direct(word)
+        return ids
+
     def learn(self, words: list[str]) -> None:
         """The ids of each word behind a space.  Letters are one piece; a mark behind a
         letter is a piece of its own, so such a word is its letters' ids and the mark's."""
@@ -186,7 +196,7 @@ class Encoder:
             if apart[b] > apart[a + 1] or head[-1:].isspace() or not head:
                 out.append(self.apart(text.as_py().split(" ")))
             else:
-                out.append(self.direct(head) + ids[ends[a] : ends[b]].tobytes())
+                out.append(self.head(head) + ids[ends[a] : ends[b]].tobytes())
         return out
 
     def known(self, words: list[str]) -> list[bytes | None]:
@@ -318,7 +328,7 @@ def open_folder(folder: str):
     return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
 
 
-def write_files(docs: DataFrame, tokenizer: str, text: str = "text", ident: str = "doc_id", folder: str | None = None, end_id: int = 0, frame_ids: int = FRAME_IDS, level: int = 3) -> DataFrame:
+def write_files(docs: DataFrame, tokenizer: str, text: str = "text", ident: str = "doc_id", folder: str | None = None, end_id: int = 0, frame_ids: int = FRAME_IDS, level: int = 1) -> DataFrame:
     """Encodes the texts of ``docs`` into files in ``folder`` (default: a new one in
     the cluster's shared folder); ``tokenizer`` is the path of a file of the
     tokenizers library on every worker.  Returns the manifest: part (the order
